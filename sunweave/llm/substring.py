@@ -226,7 +226,7 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, text: str = "text", key:
                 table = table.set_column(table.schema.get_field_index(text), text, pa.array(texts, table.schema.field(text).type))
                 if "n_chars" in table.column_names:
                     table = table.set_column(table.schema.get_field_index("n_chars"), "n_chars", pc.cast(pc.utf8_length(table.column(text)), table.schema.field("n_chars").type))
-                yield from table.take(keep).to_batches()
+                yield from table.take(pa.array(keep, pa.int64())).to_batches()
 
     schema = docs.select(*columns).schema
     return blocks.select("block", "data").join(later, "block", "left").mapInArrow(run, schema).select(*docs.columns)
