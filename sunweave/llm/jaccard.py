@@ -196,19 +196,26 @@ def _links(percent: int):
     return run
 
 
-def _set_links(classes: DataFrame, percent: int) -> DataFrame:
-    """(src, dst) digests: a spanning forest, at least, of all links between the classes' different sets."""
-    posts = written(classes.where("prefix > 0").select("digest", F.explode(F.expr("slice(shared, 1, prefix)")).alias("h")), "posts")
-    lead = posts.groupBy("h").agg(F.min("digest").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    near = posts.join(lead, "h").where("digest <> lead").select(F.col("digest").alias("src"), F.col("lead").alias("dst")).distinct()
+def _set_links(some: DataFrame, least: DataFrame, percent: int, key: str) -> DataFrame:
+    """(src, dst) digests: a spanning forest, at least, of all links between different sets.
+
+    Of each class only the row with the smallest id brings n-grams along, joined by digest and id, so that copies meet
+    nowhere; all but the last step goes without the long lists.
+    """
+    lead = least.select(F.col("digest").alias("d"), "least")
+    of_lead = (F.col("digest") == F.col("d")) & F.col(key).eqNullSafe(F.col("least"))
+    heads = some.where("prefix > 0").select("digest", key, F.expr("slice(shared, 1, prefix)").alias("head"))
+    posts = written(heads.join(lead, of_lead).select("digest", F.explode("head").alias("h")), "posts")
+    first = posts.groupBy("h").agg(F.min("digest").alias("lead"), F.max("digest").alias("last")).where("lead <> last")
+    near = posts.join(first, "h").where("digest <> lead").select(F.col("digest").alias("src"), F.col("lead").alias("dst")).distinct()
     cluster = connected_components(near).withColumnRenamed("root", "cluster")
-    sets = classes.join(cluster, F.col("digest") == F.col("node")).select("cluster", "digest", "size", "shared")
-    weights = sets.groupBy("cluster").agg(F.count("*").alias("c_sets"), F.sum(F.size("shared")).alias("c_hashes"))
+    sets = written(least.join(cluster, F.col("digest") == F.col("node")).select("cluster", "digest", "least", "size", "hashes"), "members")
+    weights = sets.groupBy("cluster").agg(F.count("*").alias("c_sets"), F.sum("hashes").alias("c_hashes"))
     sets = sets.join(weights, "cluster")
     step = math.log(100 / (percent - 0.1))
     small = (F.col("c_sets") <= GROUP_SETS) & (F.col("c_hashes") <= GROUP_HASHES)
     sets = sets.withColumn("level", F.when(small, 0).otherwise(F.floor(F.log(F.col("size").cast("double")) / step)).cast("int")).drop("c_sets", "c_hashes")
-    levels = sets.groupBy("cluster", "level").agg(F.count("*").alias("n"), F.sum(F.size("shared")).alias("hashes"))
+    levels = sets.groupBy("cluster", "level").agg(F.count("*").alias("n"), F.sum("hashes").alias("hashes"))
     levels = written(levels.select("cluster", "level", F.greatest(F.ceil(F.col("n") / GROUP_SETS), F.ceil(F.col("hashes") / GROUP_HASHES)).cast("int").alias("parts")), "levels")
     beside = lambda d, name: levels.select("cluster", (F.col("level") - d).alias("level"), F.col("parts").alias(name))
     sets = sets.join(levels, ["cluster", "level"]).join(beside(1, "above"), ["cluster", "level"], "left").join(beside(-1, "below"), ["cluster", "level"], "left")
@@ -218,7 +225,8 @@ def _set_links(classes: DataFrame, percent: int) -> DataFrame:
     own = name.format(n="parts", level="level || '='", a="least(g, x)", b="greatest(g, x)")
     up = f"if(above IS NULL, array(), {name.format(n='above', level='level', a='g', b='x')})"
     down = f"if(below IS NULL, array(), {name.format(n='below', level='(level - 1)', a='x', b='g')})"
-    rows = sets.withColumn("pair", F.explode(F.expr(f"concat({own}, {up}, {down})")))
+    pairs = sets.select(F.col("digest").alias("d"), "least", F.expr(f"concat({own}, {up}, {down})").alias("pairs"))
+    rows = some.select("digest", key, "size", "shared").join(pairs, of_lead).withColumn("pair", F.explode("pairs"))
     shift = 64 - (FRAGMENTS - 1).bit_length()
     cut = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda v: F.struct(v.alias("fragment"), F.filter("shared", lambda h: F.shiftrightunsigned(h, shift) == v).alias("part")))
     rows = rows.select("pair", "digest", "size", F.inline(cut))
@@ -230,13 +238,9 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "
     """(key, n_shingles, component_id): component_id is the smallest id that links of percent similarity reach."""
     sets = _shared_sets(docs, n, percent, text, key)
     some = sets.where("digest IS NOT NULL")
-    least = some.groupBy("digest").agg(F.min(key).alias("least"), F.count("*").alias("copies"))
+    least = some.groupBy("digest").agg(F.min(key).alias("least"), F.max("size").alias("size"), F.max(F.size("shared")).alias("hashes"))
     least = written(least, "classes")
-    # Only the row with the smallest id brings its n-grams along, and of rows with equal ids or without any the first.
-    lead = least.select(F.col("digest").alias("d"), "least")
-    one = some.join(lead, (F.col("digest") == F.col("d")) & F.col(key).eqNullSafe(F.col("least")))
-    classes = written(one.groupBy("digest").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("shared").alias("shared")), "classes")
-    links = _set_links(classes, percent)
+    links = _set_links(some, least, percent, key)
     root = connected_components(links)
     of = least.join(root, F.col("digest") == F.col("node"), "left").select("digest", "least", F.coalesce("root", "digest").alias("root"))
     component = of.groupBy("root").agg(F.min("least").alias("component_id"))
