@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunweave.llm import binary, chat, jaccard, license, media, mix, packing, quality, substring, tokens
+from sunweave.sources.shared import written
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +20,8 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.features(media.store_texts(_documents(spark, sf_dir))).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "true_type", "n_embedded")
+    stored = written(media.store_texts(_documents(spark, sf_dir)), "media")
+    return media.features(stored).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "true_type", "n_embedded")
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
