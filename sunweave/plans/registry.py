@@ -3,8 +3,544 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sunweave.functions import solar, spatial as geo, timegrid
+from sunweave.operators import analytics, capacity, exposure, graph, integrity, queue, spatial, topology
+from sunweave.plans.views import DAY, Views, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(views: str = "", sql: str | None = None):
+    """Registers a function of Views under its name, with its SQL over the named views if there is any."""
+
+    def add(f: Callable[[Views], DataFrame]):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Views(spark, sf_dir))
+        if sql is not None:
+            ORACLES[f.__name__] = with_views(views, sql)
+        return f
+
+    return add
+
+
+def _texts(df: DataFrame, *names: str) -> DataFrame:
+    """Dates as text, which other engines' clients give alike."""
+    return df.withColumns({n: F.col(n).cast("string") for n in names})
+
+
+# --- facts and rollups ----------------------------------------------------------------------------------------------------
+
+
+@query("rollup", "SELECT * FROM rollup")
+def edge_rollup(v):
+    return exposure.edge_rollup(v.samples())
+
+
+@query("rollup", "SELECT section_id, count(*) AS edge_steps, CAST(sum(sample_count) AS BIGINT) AS samples FROM rollup GROUP BY section_id")
+def rollup_all_sections(v):
+    return exposure.edge_rollup(v.samples()).groupBy("section_id").agg(F.count("*").alias("edge_steps"), F.sum("sample_count").alias("samples"))
+
+
+@query("samples", "SELECT edge_id, datetime, CAST(sum(CAST(is_sunlit AS INTEGER)) AS BIGINT) AS sunlit_sum FROM samples WHERE (edge_id, datetime) NOT IN (SELECT (edge_id, datetime) FROM samples WHERE sample_point_id % 3 = 0) GROUP BY ALL")
+def edge_rollup_v1_antijoin(v):
+    s = v.samples()
+    new = s.groupBy("edge_id", "datetime").agg(F.sum(F.col("is_sunlit").cast("int")).alias("sunlit_sum"))
+    return exposure.append_missing(new, s.where("sample_point_id % 3 = 0").select("edge_id", "datetime"))
+
+
+@query("rollup", "SELECT * FROM rollup WHERE hour(datetime) <> 12 UNION ALL SELECT section_id, edge_id, datetime, 0, sample_count FROM rollup WHERE hour(datetime) = 12")
+def upsert_rollup(v):
+    r = exposure.edge_rollup(v.samples())
+    new = r.where(F.hour("datetime") == 12).withColumn("sunlit_sum", F.lit(0).cast("long"))
+    return exposure.upsert(r, new, ["section_id", "edge_id", "datetime"])
+
+
+@query("points grid_facts", f"SELECT edge_id, row_number() OVER (PARTITION BY edge_id ORDER BY t, sample_point_id) - 1 AS step_index, t AS travelled_m, is_sunlit FROM (SELECT p.edge_id, p.sample_point_id, max(distance_from_start) OVER (PARTITION BY p.edge_id) - distance_from_start AS t, g.is_sunlit FROM points p JOIN grid_facts g USING (sample_point_id) WHERE p.edge_id = 7 AND g.datetime = TIMESTAMP '{DAY} 16:30:00')")
+def edge_profile(v):
+    return exposure.edge_profile(v.points(), v.grid_facts(), 7, F.to_timestamp_ntz(F.lit(f"{DAY} 16:30:00")), reverse=True)
+
+
+_WALK = f"""
+w AS (SELECT edge_id, sample_point_id, CASE WHEN {{rev}} THEN max(distance_from_start) OVER e - distance_from_start ELSE distance_from_start END AS t, max(distance_from_start) OVER e AS len, count(*) OVER e AS n FROM points WINDOW e AS (PARTITION BY edge_id)),
+a AS (SELECT *, TIMESTAMP '{DAY} 16:00:30' + to_minutes(CAST(edge_id % 11 AS BIGINT)) + to_microseconds(CAST(round(t / 0.25 * 1000000) AS BIGINT)) AS arrival FROM w),
+s AS (SELECT *, date_trunc('day', arrival) + to_minutes(CAST(180 + 3 * greatest(0, least(359, round_even((epoch_us(arrival - date_trunc('day', arrival)) / 60000000.0 - 180) / 3, 0))) AS BIGINT)) AS datetime FROM a),
+l AS (SELECT s.*, g.is_sunlit FROM s LEFT JOIN grid_facts g USING (sample_point_id, datetime)),
+r AS (SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY t, sample_point_id) - row_number() OVER (PARTITION BY edge_id, is_sunlit ORDER BY t, sample_point_id) AS run FROM l WHERE is_sunlit IS NOT NULL),
+runs AS (SELECT edge_id, is_sunlit, run, min(t) AS from_m, max(t) AS to_m, count(*) AS samples FROM r GROUP BY ALL),
+best AS (SELECT edge_id, max(to_m - from_m) AS best FROM runs WHERE is_sunlit GROUP BY edge_id)"""
+_COST = """
+SELECT l.edge_id AS request_id, l.edge_id, {rev} AS reverse, count(is_sunlit) AS samples, len AS edge_length_m, round(len / 0.25, 6) AS traverse_seconds,
+ round(count(*) FILTER (is_sunlit) * (len / greatest(n - 1, 1)) / 0.25, 6) AS sun_seconds, round(count(*) FILTER (NOT is_sunlit) * (len / greatest(n - 1, 1)) / 0.25, 6) AS shade_seconds,
+ CAST(round(CAST(100 * count(*) FILTER (is_sunlit) AS DECIMAL(38, 12)) / nullif(count(is_sunlit), 0), 2) AS DOUBLE) AS pct_sun,
+ arg_min(is_sunlit, (t, sample_point_id)) FILTER (is_sunlit IS NOT NULL) AS entered_in_sun, arg_max(is_sunlit, (t, sample_point_id)) FILTER (is_sunlit IS NOT NULL) AS exited_in_sun,
+ round(COALESCE(any_value(best) + len / greatest(n - 1, 1), 0), 6) AS longest_sun_run_m, count(DISTINCT datetime) FILTER (is_sunlit IS NOT NULL) AS timesteps_spanned
+FROM l LEFT JOIN best ON best.edge_id = l.edge_id GROUP BY l.edge_id, len, n"""
+
+
+def _walked(rev: str, last: str) -> str:
+    return with_views("points grid_facts", "").rstrip() + ", " + _WALK.format(rev=rev) + last.format(rev=rev)
+
+
+@query()
+def directional_cost_fwd(v):
+    return exposure.directional_cost(v.requests(False), v.points(), v.grid_facts())
+
+
+@query()
+def directional_cost_rev(v):
+    return exposure.directional_cost(v.requests(True), v.points(), v.grid_facts())
+
+
+@query()
+def longest_run(v):
+    lit = exposure.timed_walk(v.requests(False), v.points(), v.grid_facts()).where("is_sunlit IS NOT NULL")
+    return exposure.sun_runs(lit)
+
+
+ORACLES["directional_cost_fwd"] = _walked("false", _COST)
+ORACLES["directional_cost_rev"] = _walked("true", _COST)
+ORACLES["longest_run"] = _walked("false", " SELECT edge_id AS request_id, is_sunlit, run, from_m, to_m, samples FROM runs")
+
+
+@query("points grid_facts", "SELECT edge_id, sample_point_id, CAST(0 AS INTEGER) AS word, CAST(sum(CASE WHEN is_sunlit THEN 1::BIGINT << k ELSE 0 END) AS BIGINT) AS bits, count(*) AS steps FROM grid_facts GROUP BY ALL")
+def pack_day(v):
+    return exposure.pack_words(v.grid_facts(), ["edge_id", "sample_point_id"])
+
+
+@query("points grid_facts", "SELECT edge_id, sample_point_id, k, is_sunlit FROM grid_facts")
+def unpack_day(v):
+    return exposure.unpack_words(exposure.pack_words(v.grid_facts(), ["edge_id", "sample_point_id"]), ["edge_id", "sample_point_id"])
+
+
+@query("", "SELECT * FROM (VALUES ('left', 0::BIGINT), ('right', 0::BIGINT)) t(side, rows)")
+def exposure_bijection(v):
+    facts = v.grid_facts().select("edge_id", "sample_point_id", "k", "is_sunlit")
+    again = exposure.unpack_words(exposure.pack_words(facts, ["edge_id", "sample_point_id"]), ["edge_id", "sample_point_id"])
+    return integrity.differences(facts, again)
+
+
+@query("grid_facts", "SELECT edge_id, CAST(sum(bit_count(bits)) AS BIGINT) AS lit FROM (SELECT edge_id, sample_point_id, CAST(sum(CASE WHEN is_sunlit THEN 1::BIGINT << k ELSE 0 END) AS BIGINT) AS bits FROM grid_facts GROUP BY ALL) GROUP BY edge_id")
+def popcount_total(v):
+    return exposure.pack_words(v.grid_facts(), ["edge_id", "sample_point_id"]).groupBy("edge_id").agg(F.sum(F.bit_count("bits")).alias("lit"))
+
+
+@query("points trees", "SELECT sample_point_id, edge_id, least(round(COALESCE(s, 0), 6), 1) AS tree_value FROM (SELECT sample_point_id, edge_id, x, y, (SELECT sum(shade_norm) FROM trees t WHERE (t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y) <= 3600) AS s FROM (SELECT *, CAST(sample_point_id * 7919 % 5000 AS DOUBLE) AS x, CAST(sample_point_id * 104729 % 22000 AS DOUBLE) AS y FROM points) p)")
+def tree_shade(v):
+    return exposure.tree_values(_placed_points(v), v.trees(), 60.0)
+
+
+def _placed_points(v):
+    return v.points().select("*", ((F.col("sample_point_id") * 7919) % 5000).cast("double").alias("x"), ((F.col("sample_point_id") * 104729) % 22000).cast("double").alias("y"))
+
+
+@query("points trees", "SELECT edge_id, round(sum(least(round(COALESCE(s, 0), 6), 1)), 4) AS total_tree_value FROM (SELECT edge_id, (SELECT sum(shade_norm) FROM trees t WHERE (t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y) <= 3600) AS s FROM (SELECT *, CAST(sample_point_id * 7919 % 5000 AS DOUBLE) AS x, CAST(sample_point_id * 104729 % 22000 AS DOUBLE) AS y FROM points) p) GROUP BY edge_id")
+def edge_tree_value(v):
+    return exposure.tree_values(_placed_points(v), v.trees(), 60.0).groupBy("edge_id").agg(F.round(F.sum("tree_value"), 4).alias("total_tree_value"))
+
+
+# --- analytics ----------------------------------------------------------------------------------------------------------
+
+
+@query("rollup", "SELECT count(DISTINCT edge_id) AS edges, CAST(COALESCE(sum(sample_count), 0) AS BIGINT) AS samples, CAST(COALESCE(sum(sunlit_sum), 0) AS BIGINT) AS sunlit, CAST(round(CAST(100 * sum(sunlit_sum) AS DECIMAL(38, 12)) / nullif(sum(sample_count), 0), 3) AS DOUBLE) AS pct_sun FROM rollup WHERE datetime >= TIMESTAMP '2024-01-10 12:00:00' AND datetime < TIMESTAMP '2024-01-10 13:00:00'")
+def network_snapshot(v):
+    hour = F.to_timestamp_ntz(F.lit("2024-01-10 12:00:00"))
+    r = exposure.edge_rollup(v.samples()).where((F.col("datetime") >= hour) & (F.col("datetime") < F.to_timestamp_ntz(F.lit("2024-01-10 13:00:00"))))
+    return analytics.network_snapshot(r.withColumn("datetime", hour), hour)
+
+
+_PROFILE = "SELECT month, hour, sunlit_count, total_count, CAST(round(CAST(100 * sunlit_count AS DECIMAL(38, 12)) / nullif(total_count, 0), 2) AS DOUBLE) AS percentage FROM (SELECT CAST(month(datetime) AS INTEGER) AS month, CAST(hour(datetime) AS INTEGER) AS hour, count(*) FILTER (is_sunlit) AS sunlit_count, count(*) AS total_count FROM samples WHERE minute(datetime) = 0 AND hour(datetime) BETWEEN 3 AND 21 GROUP BY ALL)"
+
+
+@query("samples", _PROFILE)
+def month_hour_profile(v):
+    return analytics.month_hour_profile(v.samples())
+
+
+@query("samples", f"SELECT month, round(avg(percentage), 6) AS mean_pct, row_number() OVER (ORDER BY round(avg(percentage), 6), month) - 1 AS rank FROM ({_PROFILE}) GROUP BY month")
+def month_ranks(v):
+    return analytics.month_ranks(analytics.month_hour_profile(v.samples()))
+
+
+@query("samples", "SELECT strftime(datetime, '%Y-%m') AS month, count(*) AS rows, count(*) FILTER (is_sunlit) AS sunlit FROM samples GROUP BY 1")
+def monthly_totals(v):
+    return analytics.monthly_totals(v.samples())
+
+
+@query("counts", "SELECT * FROM counts")
+def timestep_counts(v):
+    return analytics.timestep_counts(v.samples())
+
+
+_SUNRISE = """
+m AS (SELECT CAST(datetime AS DATE) AS date, datetime, sunlit, row_number() OVER (PARTITION BY CAST(datetime AS DATE) ORDER BY datetime) AS i FROM counts WHERE CAST(datetime AS TIME) <= TIME '12:00:00'),
+f AS (SELECT date, min(i) AS first FROM m WHERE sunlit > 0 GROUP BY date),
+dip AS (SELECT m.date, min((sunlit, i)) AS d, first, max(sunlit) FILTER (i = first) AS start FROM m JOIN f USING (date) WHERE i BETWEEN first AND first + 14 GROUP BY m.date, first),
+spikes AS (SELECT m.date, datetime FROM m JOIN dip USING (date) WHERE start - d[1] > 1 AND i >= first AND i < d[2] AND sunlit > 0)"""
+
+
+@query()
+def sunrise_spikes(v):
+    return _texts(analytics.sunrise_spikes(analytics.timestep_counts(v.samples()), drop=1), "date")
+
+
+ORACLES["sunrise_spikes"] = with_views("counts", "").rstrip() + ", " + _SUNRISE.replace("d[1]", "struct_extract(d, 1)").replace("d[2]", "struct_extract(d, 2)") + " SELECT CAST(date AS VARCHAR) AS date, datetime FROM spikes"
+
+
+@query("counts", "SELECT CAST(date AS VARCHAR) AS date, datetime FROM (SELECT CAST(datetime AS DATE) AS date, datetime, sunlit, lag(sunlit) OVER (PARTITION BY CAST(datetime AS DATE) ORDER BY datetime) AS b FROM counts WHERE hour(datetime) >= 14) WHERE sunlit > b AND sunlit > 0")
+def sunset_spikes(v):
+    return _texts(analytics.sunset_spikes(analytics.timestep_counts(v.samples())), "date")
+
+
+@query("rollup counts", "SELECT section_id, edge_id, datetime, CASE WHEN datetime IN (SELECT datetime FROM (SELECT datetime, sunlit, lag(sunlit) OVER (PARTITION BY CAST(datetime AS DATE) ORDER BY datetime) AS b FROM counts WHERE hour(datetime) >= 14) WHERE sunlit > b AND sunlit > 0) THEN 0 ELSE sunlit_sum END AS sunlit_sum, sample_count FROM rollup")
+def spike_corrected_rollup(v):
+    s = v.samples()
+    return analytics.corrected_rollup(exposure.edge_rollup(s), analytics.sunset_spikes(analytics.timestep_counts(s)))
+
+
+@query("od", "SELECT day_type, hour, round(COALESCE(sum(trips * min_exposure) FILTER (ok) / nullif(sum(trips) FILTER (ok), 0), 0), 4) AS mean_min, round(COALESCE(sum(trips * max_exposure) FILTER (ok) / nullif(sum(trips) FILTER (ok), 0), 0), 4) AS mean_max FROM (SELECT *, trips <> 0 AND min_exposure IS NOT NULL AND max_exposure IS NOT NULL AS ok FROM od) GROUP BY ALL")
+def weighted_od_mean(v):
+    return analytics.weighted_od_mean(v.od())
+
+
+@query("points grid_facts", f"SELECT segment, min(position) AS position, rpad(repeat('1', CAST(round_even(10.0::DOUBLE * count(*) FILTER (NOT is_sunlit) / count(*), 0) AS BIGINT)), 10, '0') AS barcode FROM (SELECT edge_id AS segment, sequence_index AS position, is_sunlit FROM grid_facts WHERE datetime = TIMESTAMP '{DAY} 16:30:00') GROUP BY segment")
+def shadow_barcode(v):
+    facts = v.grid_facts().where(F.col("datetime") == F.to_timestamp_ntz(F.lit(f"{DAY} 16:30:00")))
+    return analytics.shadow_barcode(facts.select(F.col("edge_id").alias("segment"), F.col("sequence_index").alias("position"), "is_sunlit"))
+
+
+@query("points", "SELECT path_id, round(COALESCE(sum(sqrt((nx - x) ** 2 + (ny - y) ** 2)), 0), 6) AS length_m FROM (SELECT path_id, x, y, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM (SELECT edge_id AS path_id, sequence_index AS position, CAST(sample_point_id % 100 AS DOUBLE) AS x, CAST(sample_point_id * 7 % 90 AS DOUBLE) AS y FROM points) WINDOW w AS (PARTITION BY path_id ORDER BY position)) GROUP BY path_id")
+def path_lengths(v):
+    p = v.points().select(F.col("edge_id").alias("path_id"), F.col("sequence_index").alias("position"), (F.col("sample_point_id") % 100).cast("double").alias("x"), (F.col("sample_point_id") * 7 % 90).cast("double").alias("y"))
+    return analytics.path_lengths(p)
+
+
+@query("samples", "SELECT count(*) AS rows, min(datetime) AS first, max(datetime) AS last, count(DISTINCT edge_id) AS edges FROM samples")
+def fact_summary(v):
+    return integrity.summary(v.samples())
+
+
+@query("samples", "SELECT DISTINCT CAST(CAST(datetime AS DATE) AS VARCHAR) AS date FROM samples")
+def simulated_dates(v):
+    return v.samples().select(F.to_date("datetime").cast("string").alias("date")).distinct()
+
+
+@query("", "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1")
+def json_config(v):
+    return v.table("events").groupBy(F.get_json_object("props", "$.k").cast("long").alias("k")).agg(F.count("*").alias("n"))
+
+
+# --- time grid and sun ----------------------------------------------------------------------------------------------------
+
+_SNAP = "date_trunc('day', ts) + to_minutes(CAST(180 + 3 * greatest(0, least(359, round_even((epoch_us(ts - date_trunc('day', ts)) / 60000000.0::DOUBLE - 180) / 3, 0))) AS BIGINT))"
+
+
+@query("", f"SELECT event_id, {_SNAP} AS datetime FROM events")
+def snap_timestep(v):
+    return v.table("events").select("event_id", timegrid.snap_timestep(F.col("ts")).alias("datetime"))
+
+
+@query("", "SELECT CAST(d AS VARCHAR) AS d, CAST(w AS INTEGER) AS w, CAST(d AS TIMESTAMP) + to_minutes(CAST(180 + w * 180 AS BIGINT)) AS lo, CAST(d AS TIMESTAMP) + to_minutes(CAST(360 + w * 180 AS BIGINT)) AS hi, CAST(180 + w * 180 AS INTEGER) AS first_minute, CAST(359 + w * 180 AS INTEGER) AS last_minute, 'exposure_s7_' || strftime(d, '%Y%m%d') || '_w' || w AS leaf FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), range(6) t(w)")
+def window_bounds(v):
+    days = v.table("orders").select(F.to_date("o_orderdate").alias("d")).distinct().crossJoin(F.broadcast(v.spark.range(6).select(F.col("id").cast("int").alias("w"))))
+    return days.withColumn("b", timegrid.window_bounds(F.col("d"), F.col("w"))).select(F.col("d").cast("string").alias("d"), "w", "b.*", timegrid.leaf_name(F.lit(7), F.col("d"), F.col("w")).alias("leaf"))
+
+
+_DATES = [date(2024, 1, 4), date(2024, 1, 12), date(2024, 1, 20), date(2024, 1, 26)]
+
+
+@query("", "SELECT event_id, (SELECT CAST(arg_min(d, (abs(d - CAST(ts AS DATE)), i)) AS VARCHAR) FROM (VALUES (DATE '2024-01-04', 0), (DATE '2024-01-12', 1), (DATE '2024-01-20', 2), (DATE '2024-01-26', 3)) t(d, i)) AS nearest FROM events")
+def nearest_date(v):
+    return v.table("events").select("event_id", timegrid.nearest_date(F.to_date("ts"), _DATES).cast("string").alias("nearest"))
+
+
+_LIVE = "CAST(floor(greatest(0, least(hi, 716 + h / 2 - 20) - greatest(lo, 716 - h / 2 + 20)) / 3) AS INTEGER)"
+_DAYLIGHT = "2 * degrees(acos(greatest(-1, least(1, -tan(radians(40.7826::DOUBLE)) * tan(radians(23.45::DOUBLE * sin(radians(360.0::DOUBLE * (doy + 284) / 365)))))))) / 15 * 60"
+
+
+@query("", f"SELECT doy, w, {_LIVE} AS live FROM (SELECT CAST(doy AS INTEGER) AS doy, CAST(w AS INTEGER) AS w, 180.0::DOUBLE + 180 * w AS lo, 360.0::DOUBLE + 180 * w AS hi, {_DAYLIGHT} AS h FROM range(1, 366) a(doy), range(6) b(w))")
+def live_steps(v):
+    grid = v.spark.range(1, 366).select(F.col("id").cast("int").alias("doy")).crossJoin(v.spark.range(6).select(F.col("id").cast("int").alias("w")))
+    return grid.select("doy", "w", solar.live_steps(F.col("doy"), 180 + 180 * F.col("w"), 360 + 180 * F.col("w")).alias("live"))
+
+
+@query("sections", f"SELECT section_id, doy, w, sample_count * greatest(1, {_LIVE}) AS est_raycasts FROM (SELECT section_id, sample_count, CAST(doy AS INTEGER) AS doy, CAST(w AS INTEGER) AS w, 180.0::DOUBLE + 180 * w AS lo, 360.0::DOUBLE + 180 * w AS hi, {_DAYLIGHT} AS h FROM sections, range(15, 366, 30) a(doy), range(6) b(w) WHERE sample_count > 0)")
+def task_estimates(v):
+    grid = v.spark.range(15, 366, 30).select(F.col("id").cast("int").alias("doy")).crossJoin(v.spark.range(6).select(F.col("id").cast("int").alias("w")))
+    rows = v.sections().where("sample_count > 0").crossJoin(F.broadcast(grid))
+    return rows.select("section_id", "doy", "w", (F.col("sample_count") * F.greatest(F.lit(1), solar.live_steps(F.col("doy"), 180 + 180 * F.col("w"), 360 + 180 * F.col("w")))).alias("est_raycasts"))
+
+
+@query()
+def sun_day(v):
+    from sunweave.sources.files import make_ephemeris
+
+    return make_ephemeris(v.spark, 2026, 40.7826, -73.9656, -5).where("doy = 172")
+
+
+@query()
+def box_shadows(v):
+    from sunweave.sources.files import make_ephemeris
+
+    sun = make_ephemeris(v.spark, 2026, 40.7826, -73.9656, -5).where("doy = 172 AND minute % 180 = 0").select((F.to_timestamp_ntz(F.lit("2026-06-21 00:00:00")) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"), F.lit(0))).alias("datetime"), "azimuth", "elevation")
+    samples = v.waypoints().select(F.col("id").alias("sample_point_id"), "x", "y", F.lit(-112.0).alias("z"))
+    boxes = v.trees().select("x", "y", "shade_norm").select(F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + 20).alias("x2"), (F.col("y") + 20).alias("y2"), (F.lit(-112.0) + 60 * F.col("shade_norm")).alias("top"))
+    return exposure.occluded_facts(samples, sun, boxes, reach=700.0)
+
+
+# --- queue ------------------------------------------------------------------------------------------------------------------
+
+_PCT = "CAST(round(CAST(100 * done AS DECIMAL(38, 12)) / nullif(total, 0), 2) AS DOUBLE) AS pct_done"
+
+
+@query("tasks", f"SELECT *, {_PCT} FROM (SELECT run_id, count(*) AS total, count(*) FILTER (state = 'pending') AS pending, count(*) FILTER (state = 'running') AS running, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'failed') AS failed, count(DISTINCT worker_id) FILTER (state = 'running') AS active_workers, CAST(COALESCE(sum(est_raycasts) FILTER (state = 'done'), 0) AS BIGINT) AS raycasts_done, CAST(sum(est_raycasts) AS BIGINT) AS raycasts_total FROM tasks GROUP BY run_id)")
+def run_progress(v):
+    return queue.run_progress(v.tasks())
+
+
+@query("tasks", f"SELECT *, {_PCT} FROM (SELECT shard_index, count(*) AS total, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'running') AS running FROM tasks GROUP BY shard_index)")
+def shard_progress(v):
+    return queue.shard_progress(v.tasks())
+
+
+@query("tasks", "SELECT run_id, task_id, section_id, state, attempts FROM tasks WHERE state <> 'done'")
+def run_gaps(v):
+    return queue.run_gaps(v.tasks())
+
+
+
+
+@query("tasks shards", "SELECT * FROM (SELECT shard_index, COALESCE(n, 0) AS running, 100000000 - COALESCE(n, 0) AS free FROM shards LEFT JOIN (SELECT shard_index, count(*) AS n FROM tasks WHERE state = 'running' GROUP BY 1) USING (shard_index) WHERE state = 'online') WHERE free > 0")
+def admissible_shards(v):
+    return queue.admissible_shards(v.tasks(), v.shards(), 100_000_000)
+
+
+@query("tasks shards", "SELECT shard_index, slot, task_id, priority, est_raycasts FROM (SELECT *, CAST(row_number() OVER (PARTITION BY shard_index ORDER BY priority DESC, est_raycasts DESC, task_id) AS INTEGER) AS slot FROM tasks JOIN shards USING (shard_index) WHERE tasks.state = 'pending' AND attempts < max_attempts AND shards.state = 'online')")
+def claim_lpt(v):
+    return queue.claimable(v.tasks(), v.shards(), 100_000_000)
+
+
+@query("tasks shards", "SELECT task_id, section_id, window_index, attempts + 1 AS attempts, true AS affinity_hit FROM tasks JOIN shards USING (shard_index) WHERE tasks.state = 'pending' AND shards.state = 'online' AND section_id = 1 AND window_index = 2 ORDER BY est_raycasts DESC, task_id LIMIT 1")
+def claim_affinity(v):
+    out = queue.claim(v.tasks(), v.shards(), 100_000_000, "run", "me", F.to_timestamp(F.lit("2024-01-01 00:00:00")), section=1, window=2)[1]
+    return out.select("task_id", "section_id", "window_index", "attempts", "affinity_hit")
+
+
+@query("tasks", "SELECT task_id, CASE WHEN x THEN CASE WHEN attempts >= max_attempts THEN 'failed' ELSE 'pending' END ELSE state END AS state, CASE WHEN NOT x THEN worker_id END AS worker_id, CASE WHEN x THEN 'lease expired on ' || worker_id END AS last_error FROM (SELECT *, state = 'running' AND lease_expires_at < TIMESTAMP '1997-01-01 00:00:00' AS x FROM tasks)")
+def reap_expired(v):
+    return queue.reap_expired(v.tasks(), F.to_timestamp(F.lit("1997-01-01 00:00:00"))).select("task_id", "state", "worker_id", "last_error")
+
+
+@query("tasks", "SELECT task_id, state, priority, est_raycasts FROM tasks WHERE state <> 'done' ORDER BY priority DESC, est_raycasts DESC, task_id LIMIT 20")
+def outstanding_top20(v):
+    return v.tasks().where("state <> 'done'").orderBy(F.desc("priority"), F.desc("est_raycasts"), "task_id").limit(20).select("task_id", "state", "priority", "est_raycasts")
+
+
+# --- topology and space -----------------------------------------------------------------------------------------------------
+
+
+@query("hilbert", "SELECT CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, CAST(d AS BIGINT) AS d FROM hilbert")
+def hilbert_index(v):
+    c = v.spark.range(128 * 128).select((F.col("id") % 128).cast("int").alias("x"), F.expr("cast(id div 128 AS int)").alias("y"))
+    return c.withColumn("d", geo.hilbert_index(F.col("x"), F.col("y")))
+
+
+_SECTION = "CAST(floor(y / 1000) * 128 + floor(x / 1000) AS INTEGER)"
+
+
+@query("waypoints", f"SELECT id, {_SECTION} AS section_id, {_SECTION} % 128 AS grid_col, CAST({_SECTION} // 128 AS INTEGER) AS grid_row FROM waypoints")
+def section_assignment(v):
+    s = v.waypoints().withColumn("section_id", geo.section_id(F.col("x"), F.col("y"), 0.0, 0.0, 1000.0))
+    return s.select("id", "section_id", geo.section_column(F.col("section_id")).alias("grid_col"), geo.section_row(F.col("section_id")).alias("grid_row"))
+
+
+@query("waypoints", f"SELECT {_SECTION} AS section_id, count(*) AS edge_count, CAST(sum(id % 50) AS BIGINT) AS sample_count FROM waypoints GROUP BY 1")
+def section_weights(v):
+    s = v.waypoints().select(geo.section_id(F.col("x"), F.col("y"), 0.0, 0.0, 1000.0).alias("section_id"), (F.col("id") % 50).alias("sample_count"))
+    return topology.section_weights(s)
+
+
+@query("waypoints", "SELECT floor(min(x) / 1000) * 1000 AS origin_x, floor(min(y) / 1000) * 1000 AS origin_y, CAST(floor((max(x) - floor(min(x) / 1000) * 1000) / 1000) + 1 AS INTEGER) AS cols, CAST(floor((max(y) - floor(min(y) / 1000) * 1000) / 1000) + 1 AS INTEGER) AS rows FROM waypoints")
+def grid_extent(v):
+    return topology.grid_extent(v.waypoints(), 1000.0)
+
+
+@query("sections", "SELECT shard_index, count(*) AS sections, CAST(sum(sample_count) AS BIGINT) AS samples, round(100.0::DOUBLE * sum(sample_count) / sum(sum(sample_count)) OVER (), 2) AS pct, round(sum(sample_count) / avg(sum(sample_count)) OVER (), 4) AS load_vs_mean FROM sections GROUP BY shard_index")
+def shard_balance(v):
+    return topology.shard_balance(v.sections())
+
+
+@query("sections", "SELECT round(max(l) / avg(l), 6) AS imbalance FROM (SELECT sum(sample_count) AS l FROM sections GROUP BY shard_index) WHERE l > 0")
+def write_imbalance(v):
+    return topology.write_imbalance(v.sections())
+
+
+@query("sections", "SELECT count(*) AS pairs, count(*) FILTER (a.shard_index = b.shard_index) AS same, round(COALESCE(count(*) FILTER (a.shard_index = b.shard_index)::DOUBLE / nullif(count(*), 0), 1), 6) AS contiguity FROM sections a JOIN sections b ON (b.grid_col = a.grid_col + 1 AND b.grid_row = a.grid_row) OR (b.grid_col = a.grid_col AND b.grid_row = a.grid_row + 1)")
+def contiguity(v):
+    return topology.contiguity(v.sections())
+
+
+@query()
+def balanced_cut(v):
+    return topology.cut_sections(v.sections(), 5)
+
+
+@query("edge_shards", "SELECT shard_index, count(*) AS edge_count, string_agg(CAST(edge_id AS VARCHAR), ',' ORDER BY CAST(edge_id AS VARCHAR)) AS edges FROM edge_shards WHERE edge_id % 17 = 0 GROUP BY shard_index")
+def route_plan(v):
+    e = v.edge_shards()
+    return topology.route_plan(e.where("edge_id % 17 = 0").select("edge_id"), e.select("edge_id", "shard_index"))
+
+
+@query("edge_shards", "SELECT shards_touched, count(*) AS routes, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct FROM (SELECT seed, count(DISTINCT shard_index) AS shards_touched FROM (SELECT rn AS seed FROM (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) - 1 AS rn, count(*) OVER () AS n FROM edge_shards) WHERE rn % greatest(1, n // 40) = 0 ORDER BY rn LIMIT 40) s JOIN (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) - 1 AS rn, shard_index FROM edge_shards) r ON r.rn >= seed AND r.rn < seed + 12 GROUP BY seed) GROUP BY shards_touched")
+def route_locality(v):
+    return topology.route_locality(v.edge_shards(), 40, 12)
+
+
+@query("waypoints", "SELECT * FROM waypoints WHERE x BETWEEN 500 AND 2500 AND y BETWEEN 1000 AND 9000")
+def bbox_points(v):
+    return v.waypoints().where(geo.in_box(F.col("x"), F.col("y"), 2500, 1000, 500, 9000))
+
+
+@query("edges nodes", "SELECT a, b FROM edges WHERE a IN (SELECT id FROM nodes WHERE x BETWEEN 10 AND 70) AND b IN (SELECT id FROM nodes WHERE x BETWEEN 10 AND 70)")
+def endpoints_semi(v):
+    inside = v.nodes().where("x BETWEEN 10 AND 70").select("id")
+    return v.edges().join(inside.select(F.col("id").alias("a")), "a", "left_semi").join(inside.select(F.col("id").alias("b")), "b", "left_semi")
+
+
+@query("waypoints", "SELECT id, x, y, round(sqrt((x - 2500.0) * (x - 2500.0) + (y - 11000.0) * (y - 11000.0)), 6) AS dist FROM waypoints ORDER BY dist, id LIMIT 20")
+def knn_waypoints(v):
+    return spatial.nearest(v.waypoints(), 2500.0, 11000.0, 20)
+
+
+@query("waypoints trees", "SELECT id, tree_id, round(sqrt((w.x - t.x) * (w.x - t.x) + (w.y - t.y) * (w.y - t.y)), 6) AS dist FROM waypoints w JOIN trees t ON (w.x - t.x) * (w.x - t.x) + (w.y - t.y) * (w.y - t.y) <= 2500")
+def distance_join(v):
+    j = spatial.within(v.waypoints(), v.trees().drop("shade_norm"), 50.0)
+    return j.select("id", "tree_id", F.round(geo.distance(F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y")), 6).alias("dist"))
+
+
+# --- graph ------------------------------------------------------------------------------------------------------------------
+
+
+@query("edges", "SELECT a, b FROM edges")
+def edge_dedup(v):
+    return v.edges()
+
+
+@query("edges", "SELECT a AS node, b AS other FROM edges UNION ALL SELECT b, a FROM edges")
+def edge_adjacency(v):
+    return spatial.neighbours(v.edges())
+
+
+@query("edges", "SELECT node, count(*) AS degree FROM (SELECT a AS node FROM edges UNION ALL SELECT b FROM edges) GROUP BY node")
+def node_degrees(v):
+    return graph.degrees(v.edges())
+
+
+_LENGTHS = "l AS (SELECT a, b, round(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2), 6) AS length, p.x AS ax, p.y AS ay, q.x AS bx, q.y AS b_y FROM edges JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b)"
+_SYM = "s AS (SELECT a, b, length FROM l UNION ALL SELECT b, a, length FROM l)"
+
+
+@query()
+def redundant_edges(v):
+    return graph.redundant_edges(graph.edge_lengths(v.edges(), v.nodes()).select("a", "b", "length"))
+
+
+ORACLES["redundant_edges"] = with_views("edges nodes", "").rstrip() + f", {_LENGTHS}, {_SYM} SELECT DISTINCT l.a, l.b FROM l JOIN s p ON p.a = l.a JOIN s q ON q.a = p.b AND q.b = l.b WHERE p.length + q.length <= l.length + 0.1"
+
+
+@query()
+def sample_generation(v):
+    return graph.sample_points(graph.edge_lengths(v.edges(), v.nodes()), 2.0).withColumn("distance_from_start", F.round("distance_from_start", 3))
+
+
+ORACLES["sample_generation"] = with_views("edges nodes", "").rstrip() + f", {_LENGTHS}, g AS (SELECT *, greatest(1, CAST(round_even(length / 2.0, 0) AS INTEGER)) AS n FROM l), e AS (SELECT *, CAST(unnest(range(n)) AS INTEGER) AS sequence_index FROM g), t AS (SELECT *, CASE WHEN n > 1 THEN sequence_index / (n - 1) ELSE 0.0 END AS t FROM e) SELECT a, b, sequence_index, round(t * length, 3) AS distance_from_start, round(ax + (bx - ax) * t, 6) AS x, round(ay + (b_y - ay) * t, 6) AS y FROM t"
+
+
+@query("nodes", "SELECT r.id, arg_min(c.id, (round((c.x - mx) ** 2 + (c.y - my) ** 2, 6), c.id)) AS representative FROM (WITH RECURSIVE link AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON a.id <> b.id AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 64), reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a) SELECT a AS id, min(b) AS root FROM reach GROUP BY a) r JOIN (WITH RECURSIVE link AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON a.id <> b.id AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 64), reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a) SELECT id, x, y, root, avg(x) OVER (PARTITION BY root) AS mx, avg(y) OVER (PARTITION BY root) AS my FROM (SELECT a AS id, min(b) AS root FROM reach GROUP BY a) JOIN nodes USING (id)) c ON c.root = r.root GROUP BY r.id")
+def decluster(v):
+    return graph.decluster(v.nodes(), 8.0)
+
+
+@query()
+def path5(v):
+    few = v.edges().where("(a * 7 + b * 3) % 41 = 0")
+    return graph.simple_paths(few, graph.degrees(few).orderBy("node").select("node").limit(20), 4)
+
+
+@query()
+def kmeans_blocks(v):
+    return graph.kmeans_blocks(v.waypoints(), 20, 10)
+
+
+@query("", "SELECT DISTINCT cx + i AS cx, cy + j AS cy FROM (SELECT DISTINCT l_suppkey % 60 AS cx, l_partkey % 40 AS cy FROM lineitem WHERE l_orderkey % 97 = 0), (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j)")
+def dilated_cells(v):
+    cells = v.table("lineitem").where("l_orderkey % 97 = 0").select((F.col("l_suppkey") % 60).alias("cx"), (F.col("l_partkey") % 40).alias("cy")).distinct()
+    return graph.dilate(cells)
+
+
+@query("", "SELECT cx, cy, CAST(least(cx + 1, 30 - cx, cy + 1, 20 - cy, greatest(abs(cx - 12), abs(cy - 9))) AS INTEGER) AS dist FROM (SELECT a.i AS cx, b.i AS cy FROM range(30) a(i), range(20) b(i)) WHERE NOT (cx = 12 AND cy = 9)")
+def raster_distance(v):
+    cells = v.spark.range(600).select((F.col("id") % 30).alias("cx"), F.expr("id div 30").alias("cy")).where("NOT (cx = 12 AND cy = 9)")
+    return graph.distance_transform(cells, 32)
+
+
+@query("", "SELECT a.i AS ax, b.i AS ay, a.i + dx AS bx, b.i + dy AS by FROM range(30) a(i), range(20) b(i), (VALUES (1, 0), (0, 1), (1, 1), (1, -1)) o(dx, dy) WHERE (a.i * 7 + b.i * 5) % 3 > 0 AND ((a.i + dx) * 7 + (b.i + dy) * 5) % 3 > 0 AND a.i + dx < 30 AND b.i + dy BETWEEN 0 AND 19")
+def pixel_graph(v):
+    return graph.pixel_graph(v.spark.range(600).select((F.col("id") % 30).alias("cx"), F.expr("id div 30").alias("cy")).where("(cx * 7 + cy * 5) % 3 > 0"))
+
+
+# --- integrity --------------------------------------------------------------------------------------------------------------
+
+
+def _owned(v):
+    return v.table("customer").select(F.col("c_custkey").alias("edge_id"))
+
+
+@query("rollup", "SELECT 'sunlit_above_samples' AS check_name, count(*) FILTER (sunlit_sum > sample_count) AS violations FROM rollup UNION ALL SELECT 'negative_sunlit', count(*) FILTER (sunlit_sum < 0) FROM rollup UNION ALL SELECT 'no_samples', count(*) FILTER (sample_count <= 0) FROM rollup UNION ALL SELECT 'null_key', count(*) FILTER (edge_id IS NULL OR datetime IS NULL) FROM rollup UNION ALL SELECT 'owned_edge_without_rows', count(*) FROM customer WHERE c_custkey NOT IN (SELECT edge_id FROM rollup)")
+def integrity_checks(v):
+    return integrity.violations(exposure.edge_rollup(v.samples()), _owned(v))
+
+
+@query("rollup", "SELECT c_custkey AS edge_id FROM customer WHERE c_custkey NOT IN (SELECT edge_id FROM rollup)")
+def owned_without_rows(v):
+    return integrity.owned_without_rows(_owned(v), exposure.edge_rollup(v.samples()).select("edge_id"))
+
+
+@query("tasks sections", "SELECT section_id, CAST(sim_date AS VARCHAR) AS sim_date, window_index, actual, expected, actual - expected AS delta FROM (SELECT section_id, sim_date, window_index, sample_count // 30 AS expected, count(*) AS actual FROM tasks JOIN sections USING (section_id) GROUP BY section_id, sim_date, window_index, sample_count) WHERE actual <> expected")
+def leaf_sizes(v):
+    return _texts(integrity.leaf_sizes(v.tasks(), v.sections().select("section_id", F.expr("sample_count div 30").alias("sample_count")), 1), "sim_date")
+
+
+@query("tasks", "SELECT section_id, count(*) AS leaves, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT section_id, sim_date, window_index, count(*) AS n FROM tasks GROUP BY ALL) GROUP BY section_id")
+def leaf_inventory(v):
+    return integrity.leaf_inventory(v.tasks())
+
+
+# --- capacity -----------------------------------------------------------------------------------------------------------------
+
+_T = "45.0::DOUBLE / {k} + greatest(7886872800.0::DOUBLE / ({w} * (295759.35::DOUBLE * {k})), 7886872800.0::DOUBLE / ({s} * least(12, greatest(1, {w} // {s}) * 2) * (200000.0::DOUBLE * {k}))) + (7886872800.0::DOUBLE / (12000000.0::DOUBLE * {k}) + 144720000.0::DOUBLE / (600000.0::DOUBLE * {k})) / {s} + 30.0::DOUBLE / {k}"
+_SHAPES = f"WITH g AS (SELECT w, s, greatest(1, CAST(floor(w * 0.9::DOUBLE) AS BIGINT)) AS lw, greatest(1, s - 1) AS ls FROM range(1, 201) a(w), range(1, 41) b(s)), shapes AS (SELECT w AS workers, s AS shards, w * 8 + s * 16 + 12 AS vcpu, {_T.format(w='w', s='s', k='1.0::DOUBLE')} AS nominal, {_T.format(w='w', s='s', k='0.85::DOUBLE')} AS pessimistic, {_T.format(w='lw', s='ls', k='0.85::DOUBLE')} AS failure, s > 1 AND ls * least(12, greatest(1, w // ls) * 2) * 200000.0::DOUBLE / (w * 295759.35::DOUBLE) - 1 >= 0.1 AS survives, least(12, greatest(1, w // s) * 2) >= 12 AS saturated FROM g) "
+
+
+@query("", _SHAPES + "SELECT workers, shards, vcpu, round(nominal, 3) AS nominal, round(1 - failure / 900, 6) AS slack FROM shapes WHERE greatest(nominal, pessimistic, failure) <= 900 AND survives AND saturated ORDER BY vcpu, failure, workers, shards LIMIT 1")
+def derive_shape(v):
+    return capacity.derive_shape(capacity.shapes(v.spark)).select("workers", "shards", "vcpu", F.round("nominal", 3).alias("nominal"), F.round("slack", 6).alias("slack"))
+
+
+@query("", _SHAPES + "SELECT vcpu, round(nominal, 3) AS nominal, workers, shards FROM (SELECT *, min(nominal) OVER (ORDER BY vcpu ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f FROM (SELECT vcpu, min(nominal) AS nominal, arg_min(workers, (nominal, workers, shards)) AS workers, arg_min(shards, (nominal, workers, shards)) AS shards FROM shapes GROUP BY vcpu)) WHERE f IS NULL OR nominal < f - 1e-9")
+def pareto_frontier(v):
+    return capacity.pareto_frontier(capacity.shapes(v.spark)).select("vcpu", F.round("nominal", 3).alias("nominal"), "workers", "shards")
+
+
+@query("", _SHAPES + "SELECT count(*) FILTER (greatest(nominal, pessimistic, failure) <= 900) AS deadlines, count(*) FILTER (greatest(nominal, pessimistic, failure) <= 900 AND survives AND saturated) AS passing FROM shapes")
+def feasible_shapes(v):
+    return capacity.shapes(v.spark).agg(F.count_if("deadlines_ok").alias("deadlines"), F.count_if("passes").alias("passing"))
+
+
+@query("", _SHAPES + "SELECT workers, min(shards) AS shards FROM shapes WHERE shards * least(12, greatest(1, workers // shards) * 2) * 200000.0::DOUBLE >= workers * 295759.35::DOUBLE GROUP BY workers")
+def balanced_shards(v):
+    return capacity.balanced_shards(capacity.shapes(v.spark))
