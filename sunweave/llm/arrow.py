@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str | Callable[[pa.RecordBatch], pa.Array], most: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the column's bytes stay under most, unless one row alone has more."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        values = column(batch) if callable(column) else batch.column(column)
+        sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if total and total + n > most:
@@ -25,3 +29,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; null becomes empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def settle() -> None:
+    """Gives memory that this worker no longer uses back to the system; the next task may be another operator's."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def each_row(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows with large values one at a time, so that only one of them is held as Python objects.
+
+    Frees what the worker keeps for other operators, and has Arrow give freed memory back to the system.
+    """
+    from sunweave.llm.tokens import forget
+
+    forget()
+    settle()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+    settle()

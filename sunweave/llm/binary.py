@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import slices, utf8
+from sunweave.llm.arrow import settle, slices, utf8
 from sunweave.llm.tokens import default_path, load, word_encoder
 from sunweave.sources.shared import new_path
 
@@ -99,6 +99,7 @@ def write_token_files(docs: DataFrame, model: str, end_id: int | None = 2, kind:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = model if os.path.isabs(model) else default_path(model)
+        settle()
         encoder = word_encoder(vocabulary, kind)
         largest = max(load(vocabulary).get_vocab_size() - 1, end_id or 0)
         width = 2 if largest < 1 << 16 else 4

@@ -19,10 +19,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import utf8
+from sunweave.llm.arrow import each_row, utf8
 from sunweave.sources.shared import written
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 24 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -159,10 +159,9 @@ def ask(blocks: DataFrame, send: Callable[[pa.Table], Sent], answer: Callable[[l
     told = replies is not None
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                sent = send(open_block(row["data"]), *([row["replies"] or []] if told else []))
-                yield pa.RecordBatch.from_pydict({"range": pa.array([k for k, _ in sent], pa.int32()), "block": pa.array([row["block"]] * len(sent), pa.string()), "sent": pa.array([x for _, x in sent], pa.binary())})
+        for row in each_row(batches):
+            sent = send(open_block(row["data"]), *([row["replies"] or []] if told else []))
+            yield pa.RecordBatch.from_pydict({"range": pa.array([k for k, _ in sent], pa.int32()), "block": pa.array([row["block"]] * len(sent), pa.string()), "sent": pa.array([x for _, x in sent], pa.binary())})
 
     def answers(table: pa.Table) -> pa.Table:
         out = answer(table.column("sent").to_pylist())

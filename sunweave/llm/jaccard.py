@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunweave.llm import blocks as B
+from sunweave.llm.arrow import each_row
 from sunweave.operators.components import connected_components
 from sunweave.sources.shared import written
 
@@ -96,30 +97,29 @@ def _shared_sets(docs: DataFrame, n: int, percent: int, text: str, key: str) ->
     replies = B.ask(blocks, _send(n, text, ranges, bits), _answer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                table = B.open_block(row["data"])
-                told = np.sort(np.concatenate([*(B.unsqueeze_sorted(x) for x in row["replies"] or []), np.zeros(0, np.uint64)]))
-                tops, scale = told >> np.uint64(6), told & np.uint64(63)
-                sets = _sets(table, n, text)
-                digests, prefixes, lists = [], [], []
-                for s in sets:
-                    mine = s >> np.uint64(64 - bits)
-                    at = np.minimum(np.searchsorted(tops, mine), max(0, len(tops) - 1))
-                    good = tops[at] == mine if len(tops) else np.zeros(len(s), bool)
-                    k = int(good.sum())
-                    if not len(s) or 100 * k < percent * len(s):
-                        digests.append(None), prefixes.append(None), lists.append(None)
-                        continue
-                    order = np.lexsort((s[good], scale[at[good]]))
-                    digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    prefixes.append(len(s) - -(-percent * len(s) // 100) + 1 - (len(s) - k))
-                    lists.append(s[good][order].view(np.int64))
-                for a in range(0, len(sets), 500):
-                    part = slice(a, a + 500)
-                    yield pa.RecordBatch.from_pydict(
-                        {key: table.column(key).combine_chunks()[part], "size": pa.array([len(s) for s in sets[part]], pa.int64()), "digest": pa.array(digests[part], pa.binary()), "prefix": pa.array(prefixes[part], pa.int32()), "shared": pa.array(lists[part], pa.list_(pa.int64()))}
-                    )
+        for row in each_row(batches):
+            table = B.open_block(row["data"])
+            told = np.sort(np.concatenate([*(B.unsqueeze_sorted(x) for x in row["replies"] or []), np.zeros(0, np.uint64)]))
+            tops, scale = told >> np.uint64(6), told & np.uint64(63)
+            sets = _sets(table, n, text)
+            digests, prefixes, lists = [], [], []
+            for s in sets:
+                mine = s >> np.uint64(64 - bits)
+                at = np.minimum(np.searchsorted(tops, mine), max(0, len(tops) - 1))
+                good = tops[at] == mine if len(tops) else np.zeros(len(s), bool)
+                k = int(good.sum())
+                if not len(s) or 100 * k < percent * len(s):
+                    digests.append(None), prefixes.append(None), lists.append(None)
+                    continue
+                order = np.lexsort((s[good], scale[at[good]]))
+                digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                prefixes.append(len(s) - -(-percent * len(s) // 100) + 1 - (len(s) - k))
+                lists.append(s[good][order].view(np.int64))
+            for a in range(0, len(sets), 500):
+                part = slice(a, a + 500)
+                yield pa.RecordBatch.from_pydict(
+                    {key: table.column(key).combine_chunks()[part], "size": pa.array([len(s) for s in sets[part]], pa.int64()), "digest": pa.array(digests[part], pa.binary()), "prefix": pa.array(prefixes[part], pa.int32()), "shared": pa.array(lists[part], pa.list_(pa.int64()))}
+                )
 
     kind = docs.schema[key].dataType.simpleString()
     found = blocks.select("block", "data").join(replies, "block", "left").mapInArrow(run, f"`{key}` {kind}, size long, digest binary, prefix int, shared array<long>")

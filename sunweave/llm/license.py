@@ -14,6 +14,8 @@ an empty table gives an empty table; further columns are left out.
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +70,14 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: Frac
     # A unit has at most one distinct bigram less than words; repeated ones only lower the number, so that no upper bound
     # holds for words alone but the exact one is tested on the bigrams.
     lines = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    firsts = sorted({p for name in templates for p in _needed([r[2] for r in rows if r[0] == name], num, den)})
+    # A text without any of these words, in letters of either case, has no unit that matches.
+    words = _key_words({name: [r[2] for r in rows if r[0] == name] for name in templates}, num, den)
+    # As an element of an array the lowered text is made once and not for each word.
+    long = [w for w in words if len(w) > 4]
+    short = "(?i)(?:^|[^a-zA-Z0-9])(?:" + "|".join(w for w in words if len(w) <= 4) + ")(?:$|[^a-zA-Z0-9])"
+    has_long = F.exists(F.array(F.lower("text")), lambda low: reduce(or_, [F.contains(low, F.lit(w)) for w in long], F.lit(False)))
+    lines = lines.where(has_long | F.col("text").rlike(short) if len(long) < len(words) else has_long)
     unit = lambda name, parts: F.transform(parts, lambda u, i: F.struct(F.lit(name).alias("unit"), i.alias("unit_no"), u.alias("u")))
     blocks = F.split("text", r"\n[\x20\x09-\x0D]*\n")
     units = F.concat(
@@ -81,7 +91,6 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: Frac
     least = min(-(-num * n // (2 * den - num)) for n in sizes)
     u = lines.select("key", F.inline(units)).where(F.length("u") >= 2 * least + 1)
     u = u.withColumn("u", F.trim(F.regexp_replace(F.translate("u", UPPER, LOWER), "[^a-z0-9]+", " ")))
-    firsts = sorted({p for name in templates for p in _needed([r[2] for r in rows if r[0] == name], num, den)})
     u = u.where(F.concat(F.lit(" "), F.col("u"), F.lit(" ")).rlike(" (?:" + "|".join(firsts) + ") "))
     u = u.withColumn("w", F.split("u", " ")).where(F.size("w") - 1 >= least)
     pairs = F.array_distinct(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b)))
@@ -95,6 +104,25 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: Frac
     return found.select(F.col("key").alias(key), "unit", "unit_no", "template", "n_common", "n_bigrams", "n_template", dice.alias("dice"))
 
 
+def _key_words(pairs: dict[str, list[str]], num: int, den: int) -> list[str]:
+    """A few words of which every matching unit has one: those of more bigrams of each template than may be missing.
+
+    Words already taken for other templates come first, then long ones by how many bigrams they add.
+    """
+    taken: set[str] = set()
+    for name in sorted(pairs, key=lambda n: (len(pairs[n]), n)):
+        own = {p: set(p.split()) for p in pairs[name]}
+        need = len(own) - -(-num * len(own) // (2 * den - num)) + 1
+        while sum(bool(w & taken) for w in own.values()) < need:
+            gain: dict[str, int] = {}
+            for w in own.values():
+                if not w & taken:
+                    for x in w:
+                        gain[x] = gain.get(x, 0) + 1
+            taken.add(max(gain, key=lambda x: (min(len(x), 7), gain[x], x)))
+    return sorted(w for w in taken if not any(x != w and x in w for x in taken))
+
+
 def _needed(pairs: list[str], num: int, den: int) -> list[str]:
     """Bigrams of a template of which every unit that reaches the threshold has one: all but as many as may be missing.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import slices, utf8
+from sunweave.llm.arrow import settle, slices, utf8
 from sunweave.llm.tokens import default_path, word_encoder
 from sunweave.sources.shared import written
 
@@ -39,6 +39,7 @@ def cut_pieces(docs: DataFrame, model: str, end_id: int = 1, capacity: int = CAP
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         encoder = word_encoder(model if os.path.isabs(model) else default_path(model), kind)
         for part in slices(batches, "text", BATCH_BYTES):
             index, piece, start, length, crc, ids = [], [], [], [], [], []

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import slices, utf8
+from sunweave.llm.arrow import settle, slices, utf8
 
 BATCH_BYTES = 4 << 20
 SYMBOLS = b"#*$%&|<>"
@@ -93,14 +93,17 @@ def _mask() -> Column:
 
 def ledger(docs: DataFrame, text: str = "text", key: str = "doc_id", attach: bool = False) -> DataFrame:
     """(key, measurements, failed): failed has bit i set where RULES[i] fails. attach: a struct ``row`` of all columns."""
-    columns = [F.col(key).alias("key"), F.col(text).alias("text")] + ([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if attach else [])
-    rows = docs.select(*columns)
+    own = F.struct(*[docs[c] for c in docs.columns]).alias("row") if attach else F.col(text).alias("text")
+    rows = docs.select(F.col(key).alias("key"), own)
     kept = [f for f in rows.schema if f.name != "text"]
+    at = docs.columns.index(text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + "".join(f", {m} long" for m in MEASURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", BATCH_BYTES):
-            found = list(zip(*map(measure, utf8(part.column("text"))), strict=True))
+        settle()
+        of = (lambda b: b.column("row").field(at)) if attach else (lambda b: b.column("text"))
+        for part in slices(batches, of, BATCH_BYTES):
+            found = list(zip(*map(measure, utf8(of(part))), strict=True))
             yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + [pa.array(x, pa.int64()) for x in found], names=[*(f.name for f in kept), *MEASURES])
 
     out = rows.mapInArrow(run, schema).withColumn("failed", _mask())

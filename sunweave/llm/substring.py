@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from sunweave.llm import blocks as B
+from sunweave.llm.arrow import each_row
 
 WINDOW = 20
 _LAST = np.iinfo(np.int64).max
@@ -175,18 +176,17 @@ def dedup_digests(docs: DataFrame, window: int = WINDOW, text: str = "text", key
     later = _earlier_passages(blocks, window, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                table = B.open_block(row["data"])
-                words, starts, gone = _removed(table, row["replies"] or [], window, key)
-                n_removed, digests = [], []
-                for w, a, b in zip(words, starts[:-1], starts[1:], strict=True):
-                    out = gone[a:b]
-                    n = int(out.sum())
-                    kept = w if not n else [x for x, g in zip(w, out.tolist(), strict=True) if not g]
-                    n_removed.append(n)
-                    digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-                yield pa.RecordBatch.from_pydict({key: table.column(key).combine_chunks(), "n_words": pa.array(np.diff(starts)), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
+        for row in each_row(batches):
+            table = B.open_block(row["data"])
+            words, starts, gone = _removed(table, row["replies"] or [], window, key)
+            n_removed, digests = [], []
+            for w, a, b in zip(words, starts[:-1], starts[1:], strict=True):
+                out = gone[a:b]
+                n = int(out.sum())
+                kept = w if not n else [x for x, g in zip(w, out.tolist(), strict=True) if not g]
+                n_removed.append(n)
+                digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+            yield pa.RecordBatch.from_pydict({key: table.column(key).combine_chunks(), "n_words": pa.array(np.diff(starts)), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 
     kind = docs.schema[key].dataType.simpleString()
     return blocks.select("block", "data").join(later, "block", "left").mapInArrow(run, f"`{key}` {kind}, n_words long, n_removed long, kept_sha256 string")
@@ -212,21 +212,20 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, text: str = "text", key:
     later = _earlier_passages(blocks, window, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                table = B.open_block(row["data"])
-                _, starts, gone = _removed(table, row["replies"] or [], window, key)
-                texts, keep = table.column(text).to_pylist(), []
-                for i, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
-                    if gone[a:b].any():
-                        texts[i] = cut_text(texts[i], gone[a:b].tolist())
-                        if not texts[i]:
-                            continue
-                    keep.append(i)
-                table = table.set_column(table.schema.get_field_index(text), text, pa.array(texts, table.schema.field(text).type))
-                if "n_chars" in table.column_names:
-                    table = table.set_column(table.schema.get_field_index("n_chars"), "n_chars", pc.cast(pc.utf8_length(table.column(text)), table.schema.field("n_chars").type))
-                yield from table.take(pa.array(keep, pa.int64())).to_batches()
+        for row in each_row(batches):
+            table = B.open_block(row["data"])
+            _, starts, gone = _removed(table, row["replies"] or [], window, key)
+            texts, keep = table.column(text).to_pylist(), []
+            for i, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
+                if gone[a:b].any():
+                    texts[i] = cut_text(texts[i], gone[a:b].tolist())
+                    if not texts[i]:
+                        continue
+                keep.append(i)
+            table = table.set_column(table.schema.get_field_index(text), text, pa.array(texts, table.schema.field(text).type))
+            if "n_chars" in table.column_names:
+                table = table.set_column(table.schema.get_field_index("n_chars"), "n_chars", pc.cast(pc.utf8_length(table.column(text)), table.schema.field("n_chars").type))
+            yield from table.take(pa.array(keep, pa.int64())).to_batches()
 
     schema = docs.select(*columns).schema
     return blocks.select("block", "data").join(later, "block", "left").mapInArrow(run, schema).select(*docs.columns)

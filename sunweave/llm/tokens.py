@@ -13,6 +13,7 @@ import os
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -121,40 +122,91 @@ class WordMemory:
 
     ``parts`` cuts a text into keys whose ids joined are those of the whole text, or gives None where it can't; such
     texts go through the library whole. Two generations of words: used ones move to the new, the old goes when it's full.
+    New words go through the library many at a time: words of vocabularies that drop white space around a sign that is
+    a token of its own, words with the space before them one after another, as only the first token of each has a space.
     """
 
-    def __init__(self, path: str, parts: Callable[[bytes], list[bytes] | None], most: int = 250_000):
-        self.tokenizer, self.parts, self.most = load(path), parts, most
+    def __init__(self, path: str, parts: Callable[[bytes], list[bytes] | None], spaced: bool, most: int = 200_000):
+        self.tokenizer, self.parts, self.spaced, self.most = load(path), parts, spaced, most
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-
-    def library(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = self.tokenizer.get_vocab_size()
+        if spaced:
+            self.leads = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        else:
+            mark = self.tokenizer.encode("~", add_special_tokens=False).ids
+            self.leads = np.arange(size) == mark[0] if len(mark) == 1 else None
+
+    def library(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Remembers the words' ids."""
+        if self.spaced:
+            many = [w for w in words if w[:1] == b" " and b"<|" not in w]
+        else:
+            many = [w for w in words if b"~" not in w and b"<|" not in w] if self.leads is not None else []
+        for i in range(0, len(many), 500):
+            part = many[i : i + 500]
+            text = b"".join(part) if self.spaced else b" ~ ".join(part)
+            data = self.library(text.decode())
+            at = (4 * np.flatnonzero(self.leads[np.frombuffer(data, "<u4")])).tolist()
+            starts, ends = (at, [*at[1:], len(data)]) if self.spaced else ([0, *(x + 4 for x in at)], [*at, len(data)])
+            if len(starts) != len(part):
+                raise ValueError("the words' ids can't be told apart")
+            self.new.update(zip(part, [data[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
+        rest = [w for w in words if w not in self.new]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
+            self.new[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         keys = [self.parts(x) for x in texts]
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
-        words = set().union(*(k for k in keys if k is not None)) - self.new.keys()
-        for word in words & self.old.keys():
-            self.new[word] = self.old[word]
-        missing = list(words - self.old.keys())
-        for i in range(0, len(missing), 20_000):
-            part = missing[i : i + 20_000]
-            self.new.update(zip(part, self.library([w.decode() for w in part]), strict=True))
-        get = self.new.__getitem__
-        return [b"".join(map(get, k)) if k is not None else self.library([x.decode()])[0] for k, x in zip(keys, texts, strict=True)]
+        get = self.new.get
+        found = [list(map(get, k)) if k is not None else None for k in keys]
+        gaps = [[i for i, ids in enumerate(f) if ids is None] if f is not None else () for f in found]
+        missing = {k[i] for k, g in zip(keys, gaps, strict=True) for i in g}
+        if missing:
+            self._learn(self._from_old(missing))
+        for k, f, g in zip(keys, found, gaps, strict=True):
+            for i in g:
+                f[i] = self.new[k[i]]
+        return [b"".join(f) if f is not None else self.library(x.decode()) for f, x in zip(found, texts, strict=True)]
+
+    def _from_old(self, words: set[bytes]) -> list[bytes]:
+        """Moves words of the old generation to the new; the others. Letters and a comma or stop fall apart between them."""
+        missing, ends = set(), []
+        for word in words:
+            if (ids := self.old.get(word)) is not None:
+                self.new[word] = ids
+            elif word[-1:] in (b",", b".") and word[:-1].strip(b" ").decode().isalpha():
+                ends.append(word)
+                for part in (word[:-1], word[-1:]):
+                    if part not in self.new and part not in words:
+                        missing.add(part)
+            else:
+                missing.add(word)
+        if ends:
+            self._learn([w for w in missing if w not in self.new])
+            for word in ends:
+                for part in (word[:-1], word[-1:]):
+                    if part not in self.new:
+                        self.new[part] = self.old.get(part) or self.library(part.decode())
+                self.new[word] = self.new[word[:-1]] + self.new[word[-1:]]
+            return []
+        return list(missing)
 
 
 def by_white_space(data: bytes) -> list[bytes]:
-    """For vocabularies that drop white space: the words between ASCII white space."""
-    return data.split()
+    """For vocabularies that drop white space and case: the words between ASCII white space, A-Z lowered."""
+    return (data if b"<|" in data else data.lower()).split()
 
 
-#: White space other than single spaces and line feeds between words, the mark below, or the start of a special token.
-_IRREGULAR = regex.compile(
-    rb"[\x00\t\r\x0b\x0c\x1c-\x1f]|[ \n][ \n]|^[ \n]|[ \n]$|<\||\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
-)
+#: White space other than single spaces and line feeds between words, and the mark below.
+_IRREGULAR = regex.compile(rb"[\x00\t\r\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: Bytes of which none begins what _IRREGULAR finds.
+_PLAIN = bytes(set(range(256)) - {0x00, 0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3})
 
 
 def by_leading_space(data: bytes) -> list[bytes] | None:
@@ -165,11 +217,23 @@ def by_leading_space(data: bytes) -> list[bytes] | None:
     """
     if not data:
         return []
-    if _IRREGULAR.search(data):
+    if data[0] in b" \n" or data[-1] in b" \n" or any(x in data for x in (b"  ", b"\n\n", b" \n", b"\n ", b"<|")):
+        return None
+    if data.translate(None, _PLAIN) and _IRREGULAR.search(data):
         return None
     return data.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").split(b"\0")
 
 
+_encoders: dict[tuple[str, str], WordMemory] = {}
+
+
 def word_encoder(path: str, kind: str) -> WordMemory:
-    """kind: "words" for vocabularies that drop white space, "bytes" for byte-level ones."""
-    return WordMemory(path, by_white_space if kind == "words" else by_leading_space)
+    """kind: "words" for vocabularies that drop white space, "bytes" for byte-level ones. A worker keeps it for its next tasks."""
+    if (path, kind) not in _encoders:
+        _encoders[path, kind] = WordMemory(path, by_white_space if kind == "words" else by_leading_space, kind == "bytes")
+    return _encoders[path, kind]
+
+
+def forget() -> None:
+    """Frees the words that this worker remembers, for work that needs the memory."""
+    _encoders.clear()
