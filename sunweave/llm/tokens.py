@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,90 +118,85 @@ def load(path: str):
     return tokenizer
 
 
+#: A word of Latin-1 letters, with the space before it, and ASCII signs after it; no normalisation but that of case changes such letters.
+_LETTERS_SIGNS = regex.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _as_signs() -> dict[int, str]:
+    """The printable sign that byte-level vocabularies show each byte as: itself, or the next from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [x for x in range(256) if x not in shown]
+    return {x: chr(x) for x in shown} | {x: chr(256 + i) for i, x in enumerate(hidden)}
+
+
 class WordMemory:
     """Ids (little-endian unsigned 32-bit) of texts, encoded by words that a bounded memory keeps.
 
-    ``parts`` cuts a text into keys whose ids joined are those of the whole text, or gives None where it can't; such
-    texts go through the library whole. Two generations of words: used ones move to the new, the old goes when it's full.
-    New words go through the library many at a time: words of vocabularies that drop white space around a sign that is
-    a token of its own, words with the space before them one after another, as only the first token of each has a space.
+    ``parts`` cuts a batch of texts into words whose ids joined are those of the whole text, and tells which texts it
+    can't cut; those go through the library whole. Each word of a batch is looked up once, however often it occurs. Two
+    generations of words: used ones move to the new, the old goes when it's full. A new word of letters, and the signs
+    after it, are pieces of the vocabulary's pre-tokenizer, and the library's model encodes them as such; words of any
+    other kind go through the whole library.
     """
 
-    def __init__(self, path: str, parts: Callable[[bytes], list[bytes] | None], spaced: bool, most: int = 200_000):
-        self.tokenizer, self.parts, self.spaced, self.most = load(path), parts, spaced, most
+    def __init__(self, path: str, parts: Callable[[list[bytes]], tuple[pa.ListArray, list[int]]], lower: bool, most: int = 200_000):
+        self.tokenizer, self.parts, self.lower, self.most = load(path), parts, lower, most
+        self.model, self.signs = self.tokenizer.model, _as_signs()
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        size = self.tokenizer.get_vocab_size()
-        if spaced:
-            self.leads = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        else:
-            mark = self.tokenizer.encode("~", add_special_tokens=False).ids
-            self.leads = np.arange(size) == mark[0] if len(mark) == 1 else None
 
     def library(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece of the pre-tokenizer."""
+        shown = (piece.lower() if self.lower else piece).encode().decode("latin-1").translate(self.signs)
+        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
+
     def _learn(self, words: list[bytes]) -> None:
         """Remembers the words' ids."""
-        if self.spaced:
-            many = [w for w in words if w[:1] == b" " and b"<|" not in w]
-        else:
-            many = [w for w in words if b"~" not in w and b"<|" not in w] if self.leads is not None else []
-        for i in range(0, len(many), 500):
-            part = many[i : i + 500]
-            text = b"".join(part) if self.spaced else b" ~ ".join(part)
-            data = self.library(text.decode())
-            at = (4 * np.flatnonzero(self.leads[np.frombuffer(data, "<u4")])).tolist()
-            starts, ends = (at, [*at[1:], len(data)]) if self.spaced else ([0, *(x + 4 for x in at)], [*at, len(data)])
-            if len(starts) != len(part):
-                raise ValueError("the words' ids can't be told apart")
-            self.new.update(zip(part, [data[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
-        rest = [w for w in words if w not in self.new]
+        rest, tails = [], {"": b""}
+        for word in words:
+            if (ids := self.old.get(word)) is not None:
+                self.new[word] = ids
+            elif found := _LETTERS_SIGNS.fullmatch(word.decode()):
+                letters, tail = found.groups()
+                if tail not in tails:
+                    tails[tail] = self._piece(tail)
+                self.new[word] = self._piece(letters) + tails[tail]
+            else:
+                rest.append(word)
         for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
             self.new[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        keys = [self.parts(x) for x in texts]
+        lists, whole = self.parts(texts)
+        coded = lists.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
-        get = self.new.get
-        found = [list(map(get, k)) if k is not None else None for k in keys]
-        gaps = [[i for i, ids in enumerate(f) if ids is None] if f is not None else () for f in found]
-        missing = {k[i] for k, g in zip(keys, gaps, strict=True) for i in g}
-        if missing:
-            self._learn(self._from_old(missing))
-        for k, f, g in zip(keys, found, gaps, strict=True):
-            for i in g:
-                f[i] = self.new[k[i]]
-        return [b"".join(f) if f is not None else self.library(x.decode()) for f, x in zip(found, texts, strict=True)]
-
-    def _from_old(self, words: set[bytes]) -> list[bytes]:
-        """Moves words of the old generation to the new; the others. Letters and a comma or stop fall apart between them."""
-        missing, ends = set(), []
-        for word in words:
-            if (ids := self.old.get(word)) is not None:
-                self.new[word] = ids
-            elif word[-1:] in (b",", b".") and word[:-1].strip(b" ").decode().isalpha():
-                ends.append(word)
-                for part in (word[:-1], word[-1:]):
-                    if part not in self.new and part not in words:
-                        missing.add(part)
-            else:
-                missing.add(word)
-        if ends:
-            self._learn([w for w in missing if w not in self.new])
-            for word in ends:
-                for part in (word[:-1], word[-1:]):
-                    if part not in self.new:
-                        self.new[part] = self.old.get(part) or self.library(part.decode())
-                self.new[word] = self.new[word[:-1]] + self.new[word[-1:]]
-            return []
-        return list(missing)
-
-
-def by_white_space(data: bytes) -> list[bytes]:
+        ids = list(map(self.new.get, words))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        self._learn([words[i] for i in gaps])
+        for i in gaps:
+            ids[i] = self.new[words[i]]
+        # The words' ids in one array, and of each place in the texts its word's stretch of them.
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy()
+        ends = np.cumsum(sizes[codes])
+        out = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - ends + sizes[codes], sizes[codes])]
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        result = [out[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        for i in whole:
+            result[i] = self.library(texts[i].decode())
+        return result
+
+
+def by_white_space(texts: list[bytes]) -> tuple[pa.ListArray, list[int]]:
     """For vocabularies that drop white space and case: the words between ASCII white space, A-Z lowered."""
-    return (data if b"<|" in data else data.lower()).split()
+    lowered = [x if b"<|" in x else x.lower() for x in texts]
+    return pc.ascii_split_whitespace(pa.array(lowered, pa.binary()).cast(pa.string())), []
 
 
 #: White space other than single spaces and line feeds between words, and the mark below.
@@ -209,19 +205,22 @@ _IRREGULAR = regex.compile(rb"[\x00\t\r\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9
 _PLAIN = bytes(set(range(256)) - {0x00, 0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3})
 
 
-def by_leading_space(data: bytes) -> list[bytes] | None:
-    """For byte-level vocabularies: words with the space before them, and line feeds alone; None for other white space.
+def _regular(data: bytes) -> bool:
+    """Whether all white space is single spaces and line feeds between words."""
+    if data[:1] in (b" ", b"\n") or data[-1:] in (b" ", b"\n") or any(x in data for x in (b"  ", b"\n\n", b" \n", b"\n ", b"<|")):
+        return False
+    return not (data.translate(None, _PLAIN) and _IRREGULAR.search(data))
+
+
+def by_leading_space(texts: list[bytes]) -> tuple[pa.ListArray, list[int]]:
+    """For byte-level vocabularies: words with the space before them, and line feeds alone; not texts with other white space.
 
     The pre-tokenizer's pattern never takes a space or line feed to what stands before it, and a single one of them
     between words goes to the next word or stands alone, so that such a text falls apart exactly here.
     """
-    if not data:
-        return []
-    if data[0] in b" \n" or data[-1] in b" \n" or any(x in data for x in (b"  ", b"\n\n", b" \n", b"\n ", b"<|")):
-        return None
-    if data.translate(None, _PLAIN) and _IRREGULAR.search(data):
-        return None
-    return data.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").split(b"\0")
+    regular = [_regular(x) for x in texts]
+    marked = [x.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0") if good else b"" for x, good in zip(texts, regular, strict=True)]
+    return pc.split_pattern(pa.array(marked, pa.binary()), "\0"), [i for i, good in enumerate(regular) if not good]
 
 
 _encoders: dict[tuple[str, str], WordMemory] = {}
@@ -230,7 +229,7 @@ _encoders: dict[tuple[str, str], WordMemory] = {}
 def word_encoder(path: str, kind: str) -> WordMemory:
     """kind: "words" for vocabularies that drop white space, "bytes" for byte-level ones. A worker keeps it for its next tasks."""
     if (path, kind) not in _encoders:
-        _encoders[path, kind] = WordMemory(path, by_white_space if kind == "words" else by_leading_space, kind == "bytes")
+        _encoders[path, kind] = WordMemory(path, by_white_space if kind == "words" else by_leading_space, kind == "words")
     return _encoders[path, kind]
 
 
