@@ -31,6 +31,8 @@ from sunweave.sources.shared import new_path
 BATCH_BYTES = 4 << 20
 #: Bytes of text for each shard, about.
 SHARD_BYTES = 32 << 20
+#: Characters of a text in a bound between shards.
+BOUND_CHARS = 64
 _MANIFEST = "shard long, ids string, offsets string, keys string, width int, n_docs long, n_ids long"
 
 
@@ -94,7 +96,8 @@ def write_token_files(docs: DataFrame, model: str, end_id: int | None = 2, kind:
     path = path or new_path(spark, "tokens")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    ordered = rows.repartitionByRange(max(1, -(-size // SHARD_BYTES)), F.col("key").asc_nulls_first(), F.col("text").asc_nulls_first())
+    # Bounds are drawn by how texts begin, which is in the order of the texts, so that no sample of whole texts goes to the driver.
+    ordered = rows.repartitionByRange(max(1, -(-size // SHARD_BYTES)), F.col("key").asc_nulls_first(), F.substring("text", 1, BOUND_CHARS).asc_nulls_first())
     ordered = ordered.sortWithinPartitions(F.col("key").asc_nulls_first(), F.col("text").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
