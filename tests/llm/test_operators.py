@@ -412,6 +412,18 @@ def test_word_memory_evicts(texts):
             assert np.frombuffer(memory.encode([t.encode()])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
+def test_word_memory_awkward_signs(name, kind):
+    signs = ["a", "É", "é", "Ñ", "'", "'s", "'re", " ", "\n", "  ", "\t", "1", ",", ".", "***", "<|", "<|endoftext|>", "|>", "ß", "İ", "ΑΣ", "e\u0301", "\u0301", "\xa0", "\u2003", "日本", "🙂", "\x00", "\x1c", "ª", "×", "_", "ÿ", "ﬁ", "\u212a"]
+    rng = random.Random(11)
+    every = ["".join(rng.choices(signs, k=rng.randrange(14))) for _ in range(4000)]
+    memory, tokenizer = tokens.word_encoder(tokens.default_path(name), kind), library(name)
+    for at in range(0, len(every), 300):
+        part = every[at : at + 300]
+        got = [np.frombuffer(x, "<u4").tolist() for x in memory.encode([x.encode() for x in part])]
+        assert got == [tokenizer.encode(x, add_special_tokens=False).ids for x in part]
+
+
 # --- 10 -----------------------------------------------------------------------------------------------------------------
 
 
