@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,14 +120,54 @@ def bridges(edges: DataFrame, nodes: DataFrame, reach: float = 10.0, turn: float
     return pairs.groupBy("node").agg(F.min(F.struct("dist", "to")).alias("b")).select("node", "b.to", "b.dist")
 
 
+def _first_paths(others: int):
+    """For rows sorted by (node, path): of each node the paths that are the first to avoid some set of so many other nodes."""
+
+    def blocked(path: list, kept: list, free: int) -> bool:
+        """Whether no set of free nodes outside path meets all kept paths."""
+        if not kept:
+            return False
+        return free == 0 or all(x in path or blocked(path, [k for k in kept if x not in k], free - 1) for x in kept[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, kept, full = None, [], False
+        for batch in batches:
+            nodes, paths = [], []
+            for n, path in zip(batch.column("node").to_pylist(), batch.column("path").to_pylist(), strict=True):
+                if n != node:
+                    node, kept, full = n, [], False
+                if full or blocked(path, kept, others):
+                    continue
+                kept.append(path)
+                full = blocked([], kept, others)
+                nodes.append(n), paths.append(path)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, batch.schema.field("node").type), pa.array(paths, batch.schema.field("path").type)], names=["node", "path"])
+
+    return run
+
+
 def simple_paths(edges: DataFrame, starts: DataFrame, hops: int) -> DataFrame:
-    """(start, path): for each start the first simple path of hops edges, in order of node ids; level by level, a bounded number."""
+    """(start, path): for each start the first simple path of hops edges, in order of node ids.
+
+    Built from its end: a path that comes to a node has been at a known number of others, s. Of the node's ways on, only
+    those count that are the first to avoid some s nodes; of ways of h nodes these are (h + s over h) at most, so that a
+    level has a bounded number of rows for each edge, and no path is left out that could be the first.
+    """
     n = neighbours(edges)
-    paths = starts.select(F.col("node").alias("start"), F.array("node").alias("path"))
-    for _ in range(hops):
-        step = paths.withColumn("node", F.element_at("path", -1)).join(n, "node").where(~F.array_contains("path", F.col("other")))
-        paths = step.select("start", F.concat("path", F.array("other")).alias("path"))
-    return paths.groupBy("start").agg(F.min("path").alias("path"))
+    ways = None
+    for h in range(1, hops + 1):
+        if ways is None:
+            ways = n.select("node", F.array("other").alias("path"))
+        else:
+            on = ways.select(F.col("node").alias("other"), F.col("path").alias("rest"))
+            ways = n.join(on, "other").where(~F.array_contains("rest", F.col("node"))).select("node", F.concat(F.array("other"), "rest").alias("path"))
+        # A node's ways are thinned where they are made, then together, so that one of many edges makes no large task.
+        schema = ways.schema
+        thin = lambda df: df.sortWithinPartitions("node", "path").mapInArrow(_first_paths(hops - h), schema)  # noqa: B023, E731
+        ways = written(thin(thin(ways).repartition("node")), "ways")
+    first = ways.groupBy("node").agg(F.min("path").alias("path"))
+    found = starts.select(F.col("node").alias("start")).distinct().join(first, F.col("start") == F.col("node"))
+    return found.select("start", F.concat(F.array("start"), "path").alias("path"))
 
 
 def kmeans_blocks(points: DataFrame, k: int, rounds: int) -> DataFrame:

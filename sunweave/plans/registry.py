@@ -286,7 +286,7 @@ def sun_day(v):
 def box_shadows(v):
     from sunweave.sources.files import make_ephemeris
 
-    sun = make_ephemeris(v.spark, 2026, 40.7826, -73.9656, -5).where("doy = 172 AND minute % 180 = 0").select((F.to_timestamp_ntz(F.lit("2026-06-21 00:00:00")) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"), F.lit(0))).alias("datetime"), "azimuth", "elevation")
+    sun = make_ephemeris(v.spark, 2026, 40.7826, -73.9656, -5).where("doy = 172 AND minute % 3 = 0").select((F.to_timestamp_ntz(F.lit("2026-06-21 00:00:00")) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"), F.lit(0))).alias("datetime"), "azimuth", "elevation")
     samples = v.waypoints().select(F.col("id").alias("sample_point_id"), "x", "y", F.lit(-112.0).alias("z"))
     boxes = v.trees().select("x", "y", "shade_norm").select(F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + 20).alias("x2"), (F.col("y") + 20).alias("y2"), (F.lit(-112.0) + 60 * F.col("shade_norm")).alias("top"))
     return exposure.occluded_facts(samples, sun, boxes, reach=700.0)
@@ -395,6 +395,12 @@ def route_plan(v):
     return topology.route_plan(e.where("edge_id % 17 = 0").select("edge_id"), e.select("edge_id", "shard_index"))
 
 
+@query()
+def route_plan_whole(v):
+    e = v.edge_shards()
+    return topology.route_plan(e.select("edge_id"), e.select("edge_id", "shard_index"))
+
+
 @query("edge_shards", "SELECT shards_touched, count(*) AS routes, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct FROM (SELECT seed, count(DISTINCT shard_index) AS shards_touched FROM (SELECT rn AS seed FROM (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) - 1 AS rn, count(*) OVER () AS n FROM edge_shards) WHERE rn % greatest(1, n // 40) = 0 ORDER BY rn LIMIT 40) s JOIN (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) - 1 AS rn, shard_index FROM edge_shards) r ON r.rn >= seed AND r.rn < seed + 12 GROUP BY seed) GROUP BY shards_touched")
 def route_locality(v):
     return topology.route_locality(v.edge_shards(), 40, 12)
@@ -467,13 +473,13 @@ def decluster(v):
 
 @query()
 def path5(v):
-    few = v.edges().where("(a * 7 + b * 3) % 41 = 0")
-    return graph.simple_paths(few, graph.degrees(few).orderBy("node").select("node").limit(20), 4)
+    edges = v.street_edges()
+    return graph.simple_paths(edges, graph.degrees(edges).select("node"), 4)
 
 
 @query()
 def kmeans_blocks(v):
-    return graph.kmeans_blocks(v.waypoints(), 20, 10)
+    return graph.kmeans_blocks(v.waypoints(), 20, 20)
 
 
 @query("", "SELECT DISTINCT cx + i AS cx, cy + j AS cy FROM (SELECT DISTINCT l_suppkey % 60 AS cx, l_partkey % 40 AS cy FROM lineitem WHERE l_orderkey % 97 = 0), (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j)")
@@ -482,6 +488,11 @@ def dilated_cells(v):
     return graph.dilate(cells)
 
 
+@query()
+def dilated_cells_whole(v):
+    return graph.dilate(v.table("lineitem").select(F.col("l_suppkey").alias("cx"), F.col("l_partkey").alias("cy")).distinct())
+
+
 @query("", "SELECT cx, cy, CAST(least(cx + 1, 30 - cx, cy + 1, 20 - cy, greatest(abs(cx - 12), abs(cy - 9))) AS INTEGER) AS dist FROM (SELECT a.i AS cx, b.i AS cy FROM range(30) a(i), range(20) b(i)) WHERE NOT (cx = 12 AND cy = 9)")
 def raster_distance(v):
     cells = v.spark.range(600).select((F.col("id") % 30).alias("cx"), F.expr("id div 30").alias("cy")).where("NOT (cx = 12 AND cy = 9)")

@@ -75,6 +75,12 @@ class Views:
 
         return edge_set(self.table("lineitem").select((F.col("l_suppkey") % 100).alias("a"), (F.col("l_partkey") % 100).alias("b")), "a", "b")
 
+    def street_edges(self) -> DataFrame:
+        """Distinct undirected (a, b), a < b, of all pairs of whole keys."""
+        from sunweave.operators.spatial import edge_set
+
+        return edge_set(self.table("lineitem"), "l_suppkey", "l_partkey")
+
     def nodes(self) -> DataFrame:
         return self.spark.range(100).select("id", ((F.col("id") * 37) % 101).cast("double").alias("x"), ((F.col("id") * 53) % 89).cast("double").alias("y"))
 
