@@ -7,9 +7,10 @@ the one before it kept. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sunweave.llm import jaccard, mix, packing, quality, substring
-from sunweave.sources.shared import written
+from sunweave.sources.shared import one_of_repeated, row_key, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,10 +20,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles (similarity 0.8 or more) the one with the smallest id."""
-    groups = jaccard.similar_groups(docs, n=5, percent=80)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    """Of each group of rows linked by five-word shingles (similarity 0.8 or more) the one with the smallest id.
+
+    Rows are told apart by all their columns: a null id comes after all others, so that a row without an id stays where no
+    row with one is like it; of repeated rows one stays, of other rows of one id those that are the first of their groups.
+    """
+    rows = docs.withColumn("_row", row_key(docs))
+    groups = jaccard.similar_groups(rows, n=5, percent=80, key="_row")
+    groups = written(groups.select("_row", "component_id"), "groups")
+    ids = rows.select(F.col("_row"), "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = groups.distinct().join(ids, "_row").groupBy("component_id").agg(F.min(order)["_row"].alias("_row"))
+    kept = rows.join(first.select("_row"), "_row", "left_semi")
+    return one_of_repeated(kept, groups, "_row").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunweave.sources.shared import written
+from sunweave.sources.shared import one_of_repeated, row_key, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -92,18 +92,19 @@ def _number(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
 
 
-def document_sizes(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+def document_sizes(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
-    return docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
+    return docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), *carry)
 
 
-def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", key: str = "doc_id", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) and, to cut texts, the place in the shard and its quota.
 
     ``passes`` is how often all words of the document are taken, ``extra`` of ``blocks`` blocks from ``first`` are taken
-    once more; ``start`` is the document's first word in its shard. ``selected`` tells which blocks those are.
+    once more; ``start`` is the document's first word in its shard. ``selected`` tells which blocks those are. Columns to
+    carry along order rows of equal ids and sizes.
     """
-    sizes = written(document_sizes(docs, text, key, source), "sizes")
+    sizes = written(document_sizes(docs, text, key, source, carry), "sizes")
     total = sizes.agg(F.sum("size").alias("n")).first()["n"] or 0
     shards = max(1, -(-total // spec.shard_words))
     targets = source_targets(sizes, spec).withColumn("_group", F.lit(0))
@@ -124,11 +125,11 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", key: str
     parts = parts.withColumn("first", F.when(F.col("blocks") > 0, first % F.greatest(F.col("blocks"), F.lit(1))).otherwise(0))
     parts = parts.join(small.select("t_source", F.col("rank").alias("t_rank")), F.col("rank") == F.col("t_rank")).drop("t_rank", "shard_size", "shard_quota", "quota", "q")
     parts = written(parts.withColumnRenamed("shard", "t_shard"), "parts")
-    before = Window.partitionBy("source", "shard").orderBy("h", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("source", "shard").orderBy("h", F.col("doc_id").asc_nulls_first(), "size", *carry).rowsBetween(Window.unboundedPreceding, 0)
     placed = placed.withColumn("start", F.sum("size").over(before) - F.col("size"))
     out = placed.join(parts, same & (F.col("shard") == F.col("t_shard"))).drop("t_source", "t_shard", "h")
     taken = _words_before(spec, F.col("start") + F.col("size")) - _words_before(spec, F.col("start"))
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "shard", "start", "passes", "extra", "blocks", "first")
+    return out.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "shard", "start", "passes", "extra", "blocks", "first", *carry)
 
 
 def _picked(block: Column) -> Column:
@@ -151,10 +152,14 @@ def _words_before(spec: MixSpec, word: Column) -> Column:
 def take(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     """The mix as documents: whole rows as often as they have passes, then a row with the words taken once more.
 
-    Texts of partly taken documents are their words joined by one space; whole ones stay as they are. Ids must be unique.
+    Texts of partly taken documents are their words joined by one space; whole ones stay as they are. Rows meet their part
+    of the plan by a key of all their columns, so that null and equal ids are taken like others. Of repeated rows one meets
+    the parts of all, which gives what each would give.
     """
-    plan = mix(docs, spec).where("taken > 0").select("doc_id", F.col("size").alias("_size"), "taken", "start", "passes", "extra", "blocks", "first")
-    rows = docs.join(plan, "doc_id")
+    docs_columns, docs = docs.columns, docs.withColumn("_row", row_key(docs))
+    plan = mix(docs, spec, carry=("_row",)).where("taken > 0").select("_row", F.col("size").alias("_size"), "taken", "start", "passes", "extra", "blocks", "first")
+    plan = written(plan, "plan")
+    rows = one_of_repeated(docs, plan, "_row").join(plan, "_row")
     rows = rows.withColumn("_more", F.col("taken") - F.col("passes") * F.col("_size"))
     rows = rows.withColumn("_copy", F.explode(F.expr("sequence(1, cast(passes AS int) + 1)")))
     rows = rows.where((F.col("_copy") <= F.col("passes")) | (F.col("_more") > 0))
@@ -163,7 +168,7 @@ def take(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(some))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return rows.select(*docs_columns)
 
 
 ORACLE = r"""

@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _written: list[tuple[str, object]] = []
 
@@ -55,3 +56,17 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     relation = again._jdf.queryExecution().analyzed().relation().location()
     _written.append((path, spark._jvm.java.lang.ref.WeakReference(relation)))
     return again
+
+
+def row_key(df: DataFrame) -> Column:
+    """128 bits of hashes of all columns, nulls told apart by place: equal for repeated rows only. Maps can't be hashed."""
+    every = [*(F.col(f"`{c}`") for c in df.columns), *(F.col(f"`{c}`").isNull() for c in df.columns)]
+    return F.concat_ws("-", *(F.hex(F.xxhash64(F.lit(i), *every)) for i in (1, 2)))
+
+
+def one_of_repeated(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """df with one of the rows of each key that keys has more than once; only those rows are dealt out by key."""
+    many = written(keys.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key), "repeated")
+    if many.isEmpty():
+        return df
+    return df.join(many, key, "left_anti").unionByName(df.join(many, key, "left_semi").dropDuplicates([key]))
