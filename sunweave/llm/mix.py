@@ -6,8 +6,10 @@ in the same way. Within a shard the documents stand in a seeded order, their wor
 and a quota of q from n blocks means q div n passes over all of them plus q mod n blocks at equal distances from a seeded
 start, so that a document's share follows from its place by arithmetic: no block is ever made a row.
 
-Shards hold about ``shard_words`` words, so that a hot source has many of them and no task orders a whole source; only
-one row for each source, and three for each shard of one source, ever meet in one task.
+Shards hold about ``shard_words`` words of one source, so that a hot source has many of them and no task orders a whole
+source, while a small source has one: each shard is many blocks, and what its short last block lacks is little of its
+target, however large the whole is. Only one row for each source, and three for each shard of one source, ever meet in
+one task.
 
 Defined results: a null text has size 0 and takes nothing; a null source is a source, last in order; a null id is ordered
 as an empty one; rows with equal ids stand side by side by size and share equally nothing but their place; sources
@@ -106,14 +108,16 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", key: str
     """
     sizes = written(document_sizes(docs, text, key, source, carry), "sizes")
     total = sizes.agg(F.sum("size").alias("n")).first()["n"] or 0
-    shards = max(1, -(-total // spec.shard_words))
     targets = source_targets(sizes, spec).withColumn("_group", F.lit(0))
     targets = targets.withColumn("seats", F.lit(int(total * spec.share_percent / 100 / spec.block + 0.5)).cast("long"))
     targets = written(apportion(targets, ["_group"], "rank", "target", "seats", "quota").drop("_group", "seats"), "targets")
     h = _hash(spec, F.col("doc_id"))
-    placed = sizes.withColumn("h", h).withColumn("shard", _number(F.col("h")) % shards)
-    placed = placed.withColumn("h", F.substring("h", 9, 24))
     same = F.col("source").eqNullSafe(F.col("t_source"))
+    # Only sources of more than one shard are told, at most one for each shard_words of the whole input.
+    several = targets.where(F.col("source_size") > spec.shard_words).select(F.col("source").alias("t_source"), F.ceil(F.col("source_size") / spec.shard_words).cast("long").alias("shards"))
+    placed = sizes.join(F.broadcast(several), same, "left").withColumn("h", h)
+    placed = placed.withColumn("shard", _number(F.col("h")) % F.coalesce("shards", F.lit(1).cast("long"))).drop("t_source", "shards")
+    placed = placed.withColumn("h", F.substring("h", 9, 24))
     small = targets.select(F.col("source").alias("t_source"), "rank", "source_size", "target", "quota")
     parts = placed.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")).join(small, same).drop("source", "t_source")
     parts = apportion(parts, ["rank"], "shard", "shard_size", "quota", "shard_quota")

@@ -76,3 +76,17 @@ def test_source_mix_repeated_rows_in_part(spark, rows):
     for r in mix.take(docs, spec).collect():
         taken[r.doc_id] += len(r.text.split())
     assert taken == +plan and taken[9] <= 2 * 15 * 60
+
+
+def test_mix_small_sources_reach_their_targets(spark):
+    rng = random.Random(6)
+    sized = [("large", 400, 100), ("middle", 40, 60), ("small", 15, 60), (None, 12, 60)]
+    docs = [(s, prose(rng, n)) for s, k, n in sized for _ in range(k)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, (s, t) in enumerate(docs)], SCHEMA)
+    taken, target, shards = Counter(), {}, {}
+    for r in mix.mix(docs, mix.MixSpec(block=16, shard_words=1000)).collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        shards.setdefault(r.source, set()).add(r.shard)
+    assert all(abs(taken[s] - target[s]) <= 0.03 * target[s] for s in target), (taken, target)
+    assert {s: len(x) for s, x in shards.items()} == {"large": 40, "middle": 3, "small": 1, None: 1}
