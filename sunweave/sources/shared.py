@@ -1,7 +1,8 @@
 """Tables written between the steps of a job, in the folder all executors share.
 
 A written table cuts lineage, so that losing an executor costs one task's work and not the whole plan. The folder is
-the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests, notebooks) a local one is made.
+the one the cluster names in ``spark.checkpoint.dir``; only where that is unset and the executors are threads of the
+driver (tests, notebooks) a local one is made, and a cluster without one is an error.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session, without a trailing slash."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that the executors of {master} share")
         where = "file://" + tempfile.mkdtemp(prefix="sunweave-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -53,11 +57,16 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     again = spark.read.schema(df.schema).parquet(path)
-    relation = again._jdf.queryExecution().analyzed().relation().location()
-    _written.append((path, spark._jvm.java.lang.ref.WeakReference(relation)))
+    held_by(again, path)
     return again
 
 
+def held_by(table: DataFrame, path: str) -> None:
+    """Has path deleted when no plan that reads the written table is left; for files that such a table names."""
+    relation = table._jdf.queryExecution().analyzed().relation().location()
+    _written.append((path, table.sparkSession._jvm.java.lang.ref.WeakReference(relation)))
+
+
 def row_key(df: DataFrame) -> Column:
     """128 bits of hashes of all columns, nulls told apart by place: equal for repeated rows only. Maps can't be hashed."""
     every = [*(F.col(f"`{c}`") for c in df.columns), *(F.col(f"`{c}`").isNull() for c in df.columns)]
