@@ -9,15 +9,20 @@ UTF-8) for each message, with its place: results stand after the last call of th
 
 Statuses: of a call "ok", "unknown_tool", "invalid_arguments", "duplicate_id", "missing_dependency" or "cycle", with
 "+no_result" where none came; of a result "ok", "orphan" (no earlier call of that id) or "duplicate_result" (all but the
-first by turn); of other turns "ok". Defined results: a null text is null content, a null role "unknown"; text of an
-assistant or tool turn that isn't such a JSON object is ordinary content; a null conversation id is one conversation; a
-null turn comes first; repeated rows are repeated messages; an empty table gives an empty table; further columns are
-left out.
+first by turn); of other turns "ok". A call is "missing_dependency" if it, or one it depends on, names an id that no call
+has, else "cycle" if no order puts it after all it names. Defined results: a null text is null content, a null role
+"unknown"; text of an assistant or tool turn that isn't such a JSON object is ordinary content, and so is JSON with numbers
+that no double holds (NaN, Infinity, 1e999), with half a surrogate pair, or nested more than MAX_DEPTH deep; arguments
+given as text that isn't such JSON stay text. A null conversation id is one conversation; a null turn comes first; repeated
+rows are repeated messages; ill-formed UTF-8 is mended first; long texts are taken whole, in batches of bounded bytes; an
+empty table gives an empty table; further columns are left out.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
+import math
 from collections.abc import Iterator
 from typing import Any
 
@@ -25,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import slices
+from sunweave.llm.arrow import slices, strings
 from sunweave.sources.shared import written
 
 BATCH_BYTES = 8 << 20
+#: Levels of nesting in a turn's JSON.
+MAX_DEPTH = 100
 
 # Example tools and the schemas of their arguments.
 TOOLS: dict[str, dict] = {
@@ -42,13 +49,44 @@ def canonical(value: Any) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def parse_json(text: str) -> Any:
+    """The value of a JSON text; ValueError also for what can't be written again as canonical UTF-8 JSON."""
+
+    def no_number(name: str) -> float:
+        raise ValueError(name)
+
+    try:
+        value = json.loads(text, parse_constant=no_number)
+    except RecursionError as e:
+        raise ValueError("nested too deep") from e
+    level = [value]
+    for _ in range(MAX_DEPTH):
+        below: list = []
+        for v in level:
+            if isinstance(v, dict):
+                below += [*v.keys(), *v.values()]
+            elif isinstance(v, list):
+                below += v
+            elif isinstance(v, str):
+                v.encode()  # UnicodeEncodeError is a ValueError
+            elif isinstance(v, float) and not math.isfinite(v):
+                raise ValueError("a number beyond doubles")
+        if not below:
+            return value
+        level = below
+    raise ValueError("nested too deep")
+
+
+def is_reference(value: Any) -> bool:
+    return isinstance(value, dict) and set(value) == {"$ref"} and isinstance(value["$ref"], str)
+
+
 def references(value: Any) -> set[str]:
     """Ids named as {"$ref": id} anywhere in a value."""
-    if isinstance(value, dict):
-        if set(value) == {"$ref"} and isinstance(value["$ref"], str):
-            return {value["$ref"]}
-        return set().union(*map(references, value.values()))
-    return set().union(*map(references, value)) if isinstance(value, list) else set()
+    if is_reference(value):
+        return {value["$ref"]}
+    inside = value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
+    return set().union(*map(references, inside))
 
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
@@ -56,7 +94,7 @@ _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null":
 
 def valid(value: Any, schema: dict) -> bool:
     """Whether the value satisfies a JSON schema of the keywords below; a reference stands for any value."""
-    if isinstance(value, dict) and set(value) == {"$ref"}:
+    if is_reference(value):
         return True
     kind = schema.get("type")
     if kind in ("integer", "number"):
@@ -86,8 +124,8 @@ def parse_turn(role: str | None, text: str | None, tools: dict[str, dict]) -> li
     if role not in ("assistant", "tool") or not text or not text.lstrip().startswith("{"):
         return [plain]
     try:
-        value = json.loads(text)
-    except (ValueError, RecursionError):
+        value = parse_json(text)
+    except ValueError:
         return [plain]
     if role == "tool" and isinstance(value.get("tool_call_id"), str):
         return [{"kind": "result", "index": 0, "id": value["tool_call_id"], "json": canonical({"content": value.get("content"), "role": "tool", "tool_call_id": value["tool_call_id"]})}]
@@ -98,16 +136,18 @@ def parse_turn(role: str | None, text: str | None, tools: dict[str, dict]) -> li
     for i, c in enumerate(calls):
         arguments = c.get("arguments")
         if isinstance(arguments, str):
-            try:
-                arguments = json.loads(arguments)
-            except (ValueError, RecursionError):
-                pass
+            with contextlib.suppress(ValueError):
+                arguments = parse_json(arguments)
         state = "unknown_tool" if c["name"] not in tools else "ok" if valid(arguments, tools[c["name"]]) else "invalid_arguments"
         body = {"content": value.get("content") if i == 0 else None, "role": "assistant", "tool_call": {"arguments": arguments, "id": c["id"], "name": c["name"]}}
         out.append({"kind": "call", "index": i, "id": c["id"], "state": state, "refs": sorted(references(arguments)), "json": canonical(body)})
     return out
 
 
+def _texts(column: pa.Array) -> list[str | None]:
+    return [x if good else None for x, good in zip(strings(column).to_pylist(), column.is_valid().to_pylist(), strict=True)]
+
+
 _PARTS = "conv_id {}, turn {}, kind string, index int, id string, state string, refs array<string>, json string"
 
 
@@ -119,7 +159,8 @@ def messages(turns: DataFrame, tools: dict[str, dict] = TOOLS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", BATCH_BYTES):
             schema = pa.schema([("conv_id", b.column("conv_id").type), ("turn", b.column("turn").type), ("kind", pa.string()), ("index", pa.int32()), ("id", pa.string()), ("state", pa.string()), ("refs", pa.list_(pa.string())), ("json", pa.string())])
-            out = [m | {"conv_id": r["conv_id"], "turn": r["turn"]} for r in b.to_pylist() for m in parse_turn(r["role"], r["text"], tools)]
+            columns = [b.column("conv_id").to_pylist(), b.column("turn").to_pylist(), *(_texts(b.column(c)) for c in ("role", "text"))]
+            out = [m | {"conv_id": c, "turn": t} for c, t, role, text in zip(*columns, strict=True) for m in parse_turn(role, text, tools)]
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return rows.mapInArrow(run, _PARTS.format(*types))
@@ -155,24 +196,29 @@ def format_chat(turns: DataFrame, tools: dict[str, dict] = TOOLS) -> DataFrame:
 
 
 def _levels(first: DataFrame) -> DataFrame:
-    """(conv_id, id, level, problem): 0 for calls that name no other, else one more than the highest they name."""
+    """(conv_id, id, level, problem): 0 for calls that name no other, else one more than the highest they name.
+
+    A round of joins for each level. Calls of which one is missing, or that depend on such, and cycles have no level.
+    """
     edges = first.select("conv_id", "id", F.explode(F.array_distinct("refs")).alias("on"))
     done = first.where(F.size("refs") == 0).select("conv_id", "id", F.lit(0).alias("level"))
     if edges.isEmpty():
         return done.withColumn("problem", F.lit(None).cast("string"))
     edges, done = written(edges, "references"), written(done, "levels")
     wanted = written(edges.groupBy("conv_id", "id").agg(F.count("*").alias("n")), "wanted")
-    known = first.select(F.col("conv_id").alias("k_conv"), F.col("id").alias("k_id"))
-    gone = edges.join(known, F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("on") == F.col("k_id")), "left_anti").select("conv_id", "id").distinct()
+    named = lambda df, c, n: df.select(F.col("conv_id").alias(f"{n}_conv"), F.col(c).alias(f"{n}_id"), *[x for x in df.columns if x not in ("conv_id", c)])
+    at = lambda c, n: F.col("conv_id").eqNullSafe(F.col(f"{n}_conv")) & (F.col(c) == F.col(f"{n}_id"))
     n = -1
     while (now := done.count()) != n:
         n = now
-        d = done.select(F.col("conv_id").alias("d_conv"), F.col("id").alias("d_id"), "level")
-        ready = edges.join(d, F.col("conv_id").eqNullSafe(F.col("d_conv")) & (F.col("on") == F.col("d_id"))).groupBy("conv_id", "id").agg(F.count("*").alias("have"), (F.max("level") + 1).alias("level"))
-        w = wanted.select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id"), "n")
-        ready = ready.join(w, F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("id") == F.col("w_id"))).where("have = n").select("conv_id", "id", "level")
+        ready = edges.join(named(done, "id", "d"), at("on", "d")).groupBy("conv_id", "id").agg(F.count("*").alias("have"), (F.max("level") + 1).alias("level"))
+        ready = ready.join(named(wanted, "id", "w"), at("id", "w")).where("have = n").select("conv_id", "id", "level")
         done = written(done.where("level = 0").unionByName(ready), "levels")
-    d = done.select(F.col("conv_id").alias("d_conv"), F.col("id").alias("d_id"), "level")
-    g = gone.select(F.col("conv_id").alias("g_conv"), F.col("id").alias("g_id"))
-    out = first.select("conv_id", "id").join(d, F.col("conv_id").eqNullSafe(F.col("d_conv")) & (F.col("id") == F.col("d_id")), "left").join(g, F.col("conv_id").eqNullSafe(F.col("g_conv")) & (F.col("id") == F.col("g_id")), "left")
+    gone = written(edges.join(named(first.select("conv_id", "id"), "id", "k"), at("on", "k"), "left_anti").select("conv_id", "id").distinct(), "missing")
+    n = -1
+    while (now := gone.count()) != n:
+        n = now
+        after = edges.join(named(gone, "id", "g"), at("on", "g"), "left_semi").select("conv_id", "id")
+        gone = written(gone.unionByName(after).distinct(), "missing")
+    out = first.select("conv_id", "id").join(named(done, "id", "d"), at("id", "d"), "left").join(named(gone, "id", "g"), at("id", "g"), "left")
     return out.select("conv_id", "id", "level", F.when(F.col("level").isNotNull(), F.lit(None)).when(F.col("g_id").isNotNull(), "missing_dependency").otherwise("cycle").cast("string").alias("problem"))

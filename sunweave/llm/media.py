@@ -5,13 +5,19 @@ binary column: an Aho-Corasick automaton over all magic bytes locates candidates
 then confirms structure and length, so that chance hits in other data fall away. What starts at byte 0 gives the value's
 true type, whatever was declared; the others are carved as embedded media with offset and length.
 
+A candidate costs what its validator reads of it: terminators that a format looks for (end of a PDF) are found once for
+each value and bisected, compressed data is fed in small parts and never copied, and pages of a stream aren't candidates.
+
 Defined results: null media is treated as empty; nothing found gives the type "unknown"; of several formats at one place
-the first in FORMATS order counts; embedded media inside an embedded one are listed too; an empty table gives an empty
-table; repeated rows each get a row; further columns are left out.
+the first in FORMATS order counts; embedded media inside an embedded one are listed too; values of any length are taken
+whole, one of them at least in a batch; ill-formed UTF-8 in a text is mended before it is stored; a null key stays null; an
+empty table gives an empty table; repeated rows each get a row; further columns, whatever their names, are left out.
+``carve`` joins by key and needs unique ones.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import struct
 import zlib
@@ -44,6 +50,28 @@ def pad(data: bytes, unit: int = UNIT) -> bytes:
 # --- validators: length of the media at a place of the data, or 0 ---------------------------------------------------------
 
 
+class Marks:
+    """Where byte strings stand in a value, each looked for once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.found = data, {}
+
+    def __call__(self, mark: bytes) -> list[int]:
+        if mark not in self.found:
+            places, at = [], self.data.find(mark)
+            while at >= 0:
+                places.append(at)
+                at = self.data.find(mark, at + len(mark))
+            self.found[mark] = places
+        return self.found[mark]
+
+    def between(self, mark: bytes, low: int, high: int) -> list[int]:
+        """The first and the last place within [low, high), if any."""
+        places = self(mark)
+        a, b = bisect.bisect_left(places, low), bisect.bisect_left(places, high)
+        return [places[a], places[b - 1]] if a < b else []
+
+
 def _riff_chunks(d: bytes, at: int) -> tuple[int, dict[bytes, tuple[int, int]]]:
     if len(d) < at + 12:
         return 0, {}
@@ -60,26 +88,26 @@ def _riff_chunks(d: bytes, at: int) -> tuple[int, dict[bytes, tuple[int, int]]]:
     return (end - at if p == end else 0), found
 
 
-def _wave(d: bytes, at: int) -> int:
+def _wave(d: bytes, at: int, marks: Marks) -> int:
     n, chunks = _riff_chunks(d, at) if d[at + 8 : at + 12] == b"WAVE" else (0, {})
     return n if b"fmt " in chunks and chunks[b"fmt "][1] >= 16 and b"data" in chunks else 0
 
 
-def _webp(d: bytes, at: int) -> int:
+def _webp(d: bytes, at: int, marks: Marks) -> int:
     n, chunks = _riff_chunks(d, at) if d[at + 8 : at + 12] == b"WEBP" else (0, {})
     return n if chunks.keys() & {b"VP8 ", b"VP8L", b"VP8X"} else 0
 
 
-def _avi(d: bytes, at: int) -> int:
+def _avi(d: bytes, at: int, marks: Marks) -> int:
     n, chunks = _riff_chunks(d, at) if d[at + 8 : at + 12] == b"AVI " else (0, {})
     return n if b"LIST" in chunks else 0
 
 
-def _png(d: bytes, at: int) -> int:
+def _png(d: bytes, at: int, marks: Marks) -> int:
     p, first = at + 8, True
     while p + 12 <= len(d):
         n, name = struct.unpack_from(">I4s", d, p)
-        if p + 12 + n > len(d) or first != (name == b"IHDR") or zlib.crc32(d[p + 4 : p + 8 + n]) != struct.unpack_from(">I", d, p + 8 + n)[0]:
+        if p + 12 + n > len(d) or first != (name == b"IHDR" and n == 13) or zlib.crc32(d[p + 4 : p + 8 + n]) != struct.unpack_from(">I", d, p + 8 + n)[0]:
             return 0
         p, first = p + 12 + n, False
         if name == b"IEND":
@@ -87,7 +115,7 @@ def _png(d: bytes, at: int) -> int:
     return 0
 
 
-def _gif(d: bytes, at: int) -> int:
+def _gif(d: bytes, at: int, marks: Marks) -> int:
     if len(d) < at + 13:
         return 0
     width, height, flags = struct.unpack_from("<HHB", d, at + 6)
@@ -110,7 +138,7 @@ def _gif(d: bytes, at: int) -> int:
     return 0
 
 
-def _jpeg(d: bytes, at: int) -> int:
+def _jpeg(d: bytes, at: int, marks: Marks) -> int:
     p, frame = at + 2, False
     while p + 4 <= len(d) and d[p] == 0xFF:
         mark = d[p + 1]
@@ -133,7 +161,7 @@ def _jpeg(d: bytes, at: int) -> int:
     return 0
 
 
-def _bmp(d: bytes, at: int) -> int:
+def _bmp(d: bytes, at: int, marks: Marks) -> int:
     if len(d) < at + 30:
         return 0
     size, zero, offset, header, width, height, planes, bits = struct.unpack_from("<IIIIiiHH", d, at + 2)
@@ -141,28 +169,81 @@ def _bmp(d: bytes, at: int) -> int:
     return size if good and 14 + header <= offset < size <= len(d) - at else 0
 
 
-def _flac(d: bytes, at: int) -> int:
-    p, last, first = at + 4, False, True
+def _crc_table(bits: int, polynomial: int) -> list[int]:
+    table = []
+    for x in range(256):
+        x <<= bits - 8
+        for _ in range(8):
+            x = x << 1 ^ (polynomial if x >> bits - 1 else 0)
+            x &= (1 << bits) - 1
+        table.append(x)
+    return table
+
+
+_CRC8, _CRC16 = _crc_table(8, 0x07), _crc_table(16, 0x8005)
+
+
+def _flac_header(d: bytes, at: int) -> tuple[int, int]:
+    """(bytes, samples) of a frame header at a place, (0, 0) if there is none that its checksum confirms."""
+    if len(d) < at + 6 or d[at] != 0xFF or d[at + 1] & 0xFE != 0xF8 or d[at + 3] & 1 or d[at + 2] >> 4 == 0 or d[at + 2] & 15 == 15:
+        return 0, 0
+    lead = d[at + 4]
+    p = at + 5 + (0 if lead < 0x80 else max(0, 8 - (lead ^ 0xFF).bit_length() - 1))
+    size, rate = d[at + 2] >> 4, d[at + 2] & 15
+    wide = {6: 1, 7: 2}.get(size, 0)
+    samples = 192 if size == 1 else 144 << size if size < 6 else 1 << size if size > 7 else int.from_bytes(d[p : p + wide], "big") + 1
+    p += wide + {12: 1, 13: 2, 14: 2}.get(rate, 0)
+    crc = 0
+    for x in d[at:p]:
+        crc = _CRC8[crc ^ x]
+    return (p + 1 - at, samples) if p < len(d) and d[p] == crc else (0, 0)
+
+
+def _flac(d: bytes, at: int, marks: Marks) -> int:
+    """Blocks of metadata, then frames whose checksums hold, until all samples are there or no other frame follows."""
+    p, last, first, total = at + 4, False, True, 0
     while not last and p + 4 <= len(d):
         last, kind, n = bool(d[p] & 128), d[p] & 127, int.from_bytes(d[p + 1 : p + 4], "big")
         if first and (kind, n) != (0, 34) or kind == 127 or p + 4 + n > len(d):
             return 0
+        if first:
+            total = int.from_bytes(d[p + 17 : p + 22], "big") & (1 << 36) - 1
         p, first = p + 4 + n, False
-    return len(d) - at if last else 0
+    if not last:
+        return 0
+    seen = 0
+    while not total or seen < total:
+        n, samples = _flac_header(d, p)
+        if not n:
+            break
+        crc, end = 0, 0
+        for q in range(p, len(d)):
+            crc = (crc & 0xFF) << 8 ^ _CRC16[crc >> 8 ^ d[q]]
+            # A frame ends where its checksum comes out even and another frame, or nothing more of this stream, follows.
+            if not crc and q >= p + n + 2 and (total and seen + samples >= total or q + 1 == len(d) or _flac_header(d, q + 1)[0]):
+                end = q + 1
+                break
+        if not end:
+            break
+        p, seen = end, seen + samples
+    return p - at if not total or seen >= total else 0
 
 
-def _ogg(d: bytes, at: int) -> int:
+def _ogg(d: bytes, at: int, marks: Marks) -> int:
+    """From the page that begins a stream to the one that ends it, or the last whole one."""
     p, end = at, False
+    if len(d) < at + 27 or not d[at + 5] & 2:
+        return 0
     while not end and d[p : p + 4] == b"OggS" and p + 27 <= len(d) and d[p + 4] == 0:
         segments = d[p + 26]
         n = 27 + segments + sum(d[p + 27 : p + 27 + segments])
         if p + n > len(d):
-            return 0
+            break
         end, p = bool(d[p + 5] & 4), p + n
     return p - at
 
 
-def _mp4(d: bytes, at: int) -> int:
+def _mp4(d: bytes, at: int, marks: Marks) -> int:
     p, kinds = at, set()
     while p + 8 <= len(d):
         n, name = struct.unpack_from(">I4s", d, p)
@@ -174,26 +255,33 @@ def _mp4(d: bytes, at: int) -> int:
     return p - at if kinds & {b"moov", b"mdat", b"meta", b"moof"} else 0
 
 
-def _pdf(d: bytes, at: int) -> int:
-    end = d.find(b"%%EOF", at)
-    return end + 5 - at if end > 0 and d[at + 5 : at + 6].isdigit() and b"startxref" in d[at:end] else 0
+def _pdf(d: bytes, at: int, marks: Marks) -> int:
+    """Up to the last end mark before another file begins; an updated file has several."""
+    if not d[at + 5 : at + 6].isdigit():
+        return 0
+    later = marks.between(b"%PDF-", at + 5, len(d))
+    ends = marks.between(b"%%EOF", at, later[0] if later else len(d))
+    return ends[1] + 5 - at if ends and marks.between(b"startxref", at, ends[1]) else 0
 
 
-def _gzip(d: bytes, at: int) -> int:
+def _gzip(d: bytes, at: int, marks: Marks) -> int:
     if len(d) < at + 18 or d[at + 3] & 0xE0:
         return 0
+    box, view, p = zlib.decompressobj(31), memoryview(d), at
     try:
-        box = zlib.decompressobj(31)
-        box.decompress(d[at:], 1 << 16)
-        while not box.eof and box.unconsumed_tail:
-            box.decompress(box.unconsumed_tail, 1 << 16)
-        return len(d) - at - len(box.unused_data) if box.eof else 0
+        while p < len(d) and not box.eof:
+            part = bytes(view[p : p + 4096])
+            p += len(part)
+            while part and not box.eof:
+                box.decompress(part, 1 << 16)
+                part = box.unconsumed_tail
+        return p - at - len(box.unused_data) if box.eof else 0
     except zlib.error:
         return 0
 
 
 # Magic bytes, the place of the magic within the media, and the type's name.
-FORMATS: tuple[tuple[bytes, int, str, Callable[[bytes, int], int]], ...] = (
+FORMATS: tuple[tuple[bytes, int, str, Callable[[bytes, int, Marks], int]], ...] = (
     (b"\x89PNG\r\n\x1a\n", 0, "image/png", _png),
     (b"\xff\xd8\xff", 0, "image/jpeg", _jpeg),
     (b"GIF87a", 0, "image/gif", _gif),
@@ -225,10 +313,11 @@ def automaton() -> ahocorasick.Automaton:
 def sniff_value(data: bytes, searcher: ahocorasick.Automaton) -> list[tuple[int, int, str]]:
     """(offset, length, type) of all confirmed media, by offset."""
     found: dict[int, tuple[int, int, str]] = {}
+    marks = Marks(data)
     for last, (n, which) in searcher.iter(data.decode("latin-1")):
         for i in which:
             at = last + 1 - n - FORMATS[i][1]
-            if at >= 0 and at not in found and (size := FORMATS[i][3](data, at)):
+            if at >= 0 and at not in found and (size := FORMATS[i][3](data, at, marks)):
                 found[at] = (at, size, FORMATS[i][2])
     return [found[at] for at in sorted(found)]
 

@@ -29,7 +29,7 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_documents(spark, sf_dir), "word_bpe_49k.json", end_id=1, capacity=4096, kind="words")
+    return packing.pack(_documents(spark, sf_dir), "word_bpe_49k.json", end_id=1, capacity=4096)
 
 
 def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,12 +40,33 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_digests(_documents(spark, sf_dir))
 
 
+def _tool_turns(turns: DataFrame) -> DataFrame:
+    """All turns, at three times their number, and for each of the assistant's a turn of two calls and a result.
+
+    The conversations have no tool calls of their own; these, by arithmetic on the conversation's id and the turn, have all
+    that the operator tells apart: results that answer, come again or answer nothing, arguments that break their schema,
+    calls in chains, in cycles and after missing ones.
+    """
+    t, case = F.col("turn"), F.pmod("conv_id", F.lit(7))
+    name = lambda letter, n: F.concat(F.lit(letter), n.cast("string"))
+    on = F.when(case == 3, name("c", t)).when(case == 4, name("c", t.bitwiseXOR(F.lit(2)))).when(case == 5, F.lit("gone")).when((case == 6) & (t > 1), name("c", t - 2)).otherwise(name("s", t))
+    search = F.struct(name("s", t).alias("id"), F.lit("search").alias("name"), F.to_json(F.struct(F.col("text").alias("query"), F.pmod(F.length("text"), F.lit(120)).alias("top_k"))).alias("arguments"))
+    count = F.struct(name("c", t).alias("id"), F.lit("calculator").alias("name"), F.to_json(F.struct(F.struct(on.alias("$ref")).alias("expression"))).alias("arguments"))
+    answer = F.pmod("conv_id", F.lit(5))
+    of = F.when(answer == 0, F.lit("zz")).when(answer == 1, name("c", t)).when(answer == 2, F.lit("s1")).otherwise(name("s", t))
+    call = F.to_json(F.struct(F.array(search, count).alias("tool_calls")))
+    result = F.to_json(F.struct(of.alias("tool_call_id"), F.col("text").alias("content")))
+    asked = turns.where("role = 'assistant'")
+    at = lambda df, n, role, text: df.select("conv_id", (t * 3 + n).alias("turn"), role.alias("role"), text.alias("text"))
+    return at(turns, 0, F.col("role"), F.col("text")).unionByName(at(asked, 1, F.col("role"), call)).unionByName(at(asked, 2, F.lit("tool"), result))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_chat(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chat.format_chat(_tool_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
 
 def op8_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binary.write_token_files(_documents(spark, sf_dir), "byte_bpe_50k.json", end_id=2, kind="bytes").digests()
+    return binary.write_token_files(_documents(spark, sf_dir), "byte_bpe_50k.json", end_id=2).digests()
 
 
 def op9_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,5 +126,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+_OP7 = r"""
+WITH t AS (SELECT conv_id, turn, role, text, conv_id % 7 AS case_, conv_id % 5 AS answer FROM conversations),
+a AS (SELECT *, length(text) % 120 AS top_k FROM t WHERE role = 'assistant'),
+plain AS (SELECT conv_id, turn * 3 AS turn, 'text' AS kind, turn * 3 AS place_turn, 0 AS place_level, 0 AS place_index, 0 AS place_part, CAST(NULL AS VARCHAR) AS call_id, 'ok' AS status,
+                 '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":"' || role || '"}' AS json FROM t),
+s AS (SELECT conv_id, turn, 's' || turn AS id, 0 AS index, 0 AS level, CASE WHEN top_k BETWEEN 1 AND 100 THEN 'ok' ELSE 'invalid_arguments' END AS state,
+             '{"content":null,"role":"assistant","tool_call":{"arguments":{"query":' || CAST(to_json(text) AS VARCHAR) || ',"top_k":' || top_k || '},"id":"s' || turn || '","name":"search"}}' AS json FROM a),
+dep AS (SELECT *, CASE case_ WHEN 3 THEN 'c' || turn WHEN 4 THEN 'c' || xor(turn, 2) WHEN 5 THEN 'gone' WHEN 6 THEN CASE WHEN turn > 1 THEN 'c' || (turn - 2) ELSE 's1' END ELSE 's' || turn END AS on_ FROM a),
+chain AS (SELECT d.*, EXISTS (SELECT 1 FROM a o WHERE o.conv_id = d.conv_id AND (on_ = 's' || o.turn OR on_ = 'c' || o.turn)) AS known,
+                 case_ = 6 AND (SELECT count(*) FROM a o WHERE o.conv_id = d.conv_id AND o.turn <= d.turn AND o.turn % 2 = 1) = (d.turn + 1) // 2 AND d.turn % 2 = 1 AS whole FROM dep d),
+c AS (SELECT conv_id, turn, 'c' || turn AS id, 1 AS index, CASE WHEN case_ = 6 THEN CASE WHEN whole THEN (turn + 1) // 2 ELSE 0 END WHEN case_ IN (3, 4, 5) THEN 0 ELSE 1 END AS level,
+             CASE WHEN case_ IN (4, 5) AND NOT known OR case_ = 6 AND NOT whole THEN 'missing_dependency' WHEN case_ IN (3, 4) THEN 'cycle' ELSE 'ok' END AS state,
+             '{"content":null,"role":"assistant","tool_call":{"arguments":{"expression":{"$ref":"' || on_ || '"}},"id":"c' || turn || '","name":"calculator"}}' AS json FROM chain),
+calls AS (SELECT * FROM s UNION ALL SELECT * FROM c),
+r AS (SELECT conv_id, turn, CASE answer WHEN 0 THEN 'zz' WHEN 1 THEN 'c' || turn WHEN 2 THEN 's1' ELSE 's' || turn END AS id, text FROM a),
+given AS (SELECT conv_id, id, min(turn) AS first FROM r GROUP BY ALL)
+SELECT * FROM plain
+UNION ALL SELECT conv_id, turn * 3 + 1, 'call', turn * 3 + 1, level, index, 0, id, state || CASE WHEN first IS NULL THEN '+no_result' ELSE '' END, json FROM calls LEFT JOIN given USING (conv_id, id)
+UNION ALL SELECT r.conv_id, r.turn * 3 + 2, 'result', CASE WHEN calls.id IS NULL OR calls.turn > r.turn THEN r.turn * 3 + 2 ELSE calls.turn * 3 + 1 END, CASE WHEN calls.id IS NULL OR calls.turn > r.turn THEN 0 ELSE level END,
+                 CASE WHEN calls.id IS NULL OR calls.turn > r.turn THEN 0 ELSE index END, 1, r.id, CASE WHEN calls.id IS NULL OR calls.turn > r.turn THEN 'orphan' WHEN first < r.turn THEN 'duplicate_result' ELSE 'ok' END,
+                 '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":"tool","tool_call_id":"' || r.id || '"}'
+FROM r JOIN given USING (conv_id, id) LEFT JOIN calls ON calls.conv_id = r.conv_id AND calls.id = r.id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mix.ORACLE, "op3_jaccard": _OP3, "op5_license": license.oracle(), "op6_substring": _OP6, "op10_quality": _OP10}
+    return {"op1_mix": mix.ORACLE, "op3_jaccard": _OP3, "op5_license": license.oracle(), "op6_substring": _OP6, "op7_chat": _OP7, "op10_quality": _OP10}
