@@ -26,9 +26,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | Callable[[pa.RecordB
             yield batch.slice(start)
 
 
+def strings(column: pa.Array) -> pa.Array:
+    """Texts without nulls, which become empty; of ill-formed UTF-8 each wrong sequence becomes U+FFFD."""
+    column = pc.fill_null(column, "")
+    try:
+        column.validate(full=True)
+    except pa.ArrowInvalid:
+        column = pa.array([x.decode(errors="replace") for x in column.cast(pa.binary()).to_pylist()], column.type)
+    return column
+
+
 def utf8(column: pa.Array) -> list[bytes]:
-    """Texts as UTF-8 bytes; null becomes empty."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+    """Texts as well-formed UTF-8 bytes; null becomes empty."""
+    return strings(column).cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 def settle() -> None:

@@ -12,6 +12,7 @@ keys are ordered by their texts; an empty table gives no shards; further columns
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -24,9 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import settle, slices, utf8
-from sunweave.llm.tokens import default_path, load, word_encoder
-from sunweave.sources.shared import new_path
+from sunweave.llm.arrow import settle, slices, strings
+from sunweave.llm.tokens import default_path, word_encoder
+from sunweave.sources.shared import held_by, new_path, written
 
 BATCH_BYTES = 4 << 20
 #: Bytes of text for each shard, about.
@@ -44,10 +45,11 @@ def _file_system(uri: str):
 
 @dataclass
 class TokenFiles:
-    """Written shards: manifest rows in order, each with the ids and documents before it."""
+    """Written shards: manifest rows in order, each with the ids before it, and the same as a table."""
 
     spark: SparkSession
     shards: list[dict]
+    manifest: DataFrame
 
     def read(self, key: str = "doc_id", kind: str = "bigint") -> DataFrame:
         """(key, start, n_tokens, ids) of each document, read back from the files, a task for each shard."""
@@ -62,10 +64,7 @@ class TokenFiles:
         schema = f"`{key}` {kind}, start long, n_tokens long, {last}"
         if not self.shards:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.createDataFrame(
-            [(s["base"], s["ids"], s["offsets"], s["keys"], s["width"], s["n_docs"], s["n_ids"]) for s in self.shards],
-            "base long, ids string, offsets string, keys string, width int, n_docs long, n_ids long",
-        ).repartition(len(self.shards))
+        rows = self.manifest.repartition(len(self.shards))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -90,10 +89,15 @@ def mapped(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def write_token_files(docs: DataFrame, model: str, end_id: int | None = 2, kind: str = "bytes", path: str | None = None, text: str = "text", key: str = "doc_id") -> TokenFiles:
-    """Encodes whole texts and writes them in ascending key order; end_id is appended to each document."""
+def write_token_files(docs: DataFrame, model: str, end_id: int | None = 2, kind: str | None = None, path: str | None = None, text: str = "text", key: str = "doc_id") -> TokenFiles:
+    """Encodes whole texts and writes them in ascending key order; end_id is appended to each document.
+
+    kind: what the vocabulary is expected to be, see ``word_encoder``. Files under a path of the caller's stay; those in the
+    shared folder go when neither the result nor a plan that reads them is left.
+    """
     spark = docs.sparkSession
-    path = path or new_path(spark, "tokens")
+    own = path is None
+    path = new_path(spark, "tokens") if own else path
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     # Bounds are drawn by how texts begin, which is in the order of the texts, so that no sample of whole texts goes to the driver.
@@ -104,32 +108,30 @@ def write_token_files(docs: DataFrame, model: str, end_id: int | None = 2, kind:
         vocabulary = model if os.path.isabs(model) else default_path(model)
         settle()
         encoder = word_encoder(vocabulary, kind)
-        largest = max(load(vocabulary).get_vocab_size() - 1, end_id or 0)
+        largest = max(encoder.tokenizer.get_vocab_size() - 1, end_id or 0)
         width = 2 if largest < 1 << 16 else 4
         shard = TaskContext.get().partitionId()
         name = f"{path}/shard-{shard:06d}-{uuid.uuid4().hex[:8]}"
         fs, base = _file_system(name)
-        keys, lengths, n_ids = [], [], 0
+        keys, lengths = [], []
         fs.create_dir(base.rpartition("/")[0], recursive=True)
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         with fs.open_output_stream(f"{base}.ids") as out:
             for part in slices(batches, "text", BATCH_BYTES):
-                for ids in encoder.encode(utf8(part.column("text"))):
-                    flat = np.frombuffer(ids + end, "<u4")
-                    out.write(flat.astype(f"<u{width}").tobytes())
-                    lengths.append(len(flat))
-                    n_ids += len(flat)
+                ids, bounds = encoder.encode_column(strings(part.column("text")), end_id)
+                out.write(ids.astype(f"<u{width}").tobytes())
+                lengths.append(np.diff(bounds))
                 keys.append(part.column("key"))
         if not lengths:
             fs.delete_file(f"{base}.ids")
             return
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype("<u8")
         with fs.open_output_stream(f"{base}.offsets") as out:
-            out.write(np.concatenate([[0], np.cumsum(lengths)]).astype("<u8").tobytes())
+            out.write(offsets.tobytes())
         table = pa.table({"key": pa.chunked_array(keys)})
         with fs.open_output_stream(f"{base}.keys") as out, pa.ipc.new_stream(out, table.schema) as writer:
             writer.write_table(table)
         yield pa.RecordBatch.from_pylist(
-            [{"shard": shard, "ids": f"{name}.ids", "offsets": f"{name}.offsets", "keys": f"{name}.keys", "width": width, "n_docs": len(lengths), "n_ids": n_ids}],
+            [{"shard": shard, "ids": f"{name}.ids", "offsets": f"{name}.offsets", "keys": f"{name}.keys", "width": width, "n_docs": len(offsets) - 1, "n_ids": int(offsets[-1])}],
             pa.schema([("shard", pa.int64()), ("ids", pa.string()), ("offsets", pa.string()), ("keys", pa.string()), ("width", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]),
         )
 
@@ -140,7 +142,8 @@ def write_token_files(docs: DataFrame, model: str, end_id: int | None = 2, kind:
     if shards:
         fs, at = _file_system(path)
         with fs.open_output_stream(f"{at}/manifest.json") as out:
-            import json
-
             out.write(json.dumps(shards, indent=1).encode())
-    return TokenFiles(spark, shards)
+    manifest = written(spark.createDataFrame([tuple(s.values()) for s in shards], f"{_MANIFEST}, base long").coalesce(1), "manifest")
+    if own:
+        held_by(manifest, path)
+    return TokenFiles(spark, shards, manifest)

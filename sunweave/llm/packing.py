@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import settle, slices, utf8
+from sunweave.llm.arrow import settle, slices, strings
 from sunweave.llm.tokens import default_path, word_encoder
 from sunweave.sources.shared import written
 
@@ -32,26 +32,25 @@ BATCH_BYTES = 4 << 20
 PART_ROWS = 50_000
 
 
-def cut_pieces(docs: DataFrame, model: str, end_id: int = 1, capacity: int = CAPACITY, kind: str = "words", with_ids: bool = False, text: str = "text", key: str = "doc_id") -> DataFrame:
+def cut_pieces(docs: DataFrame, model: str, end_id: int = 1, capacity: int = CAPACITY, kind: str | None = None, with_ids: bool = False, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, piece, start, length, ids_crc32[, ids]): each document's ids and its end id, in pieces of the capacity."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     type_ = rows.schema["key"].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
         encoder = word_encoder(model if os.path.isabs(model) else default_path(model), kind)
         for part in slices(batches, "text", BATCH_BYTES):
-            index, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, data in enumerate(encoder.encode(utf8(part.column("text")))):
-                data += end
-                for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                    own = data[at : at + 4 * capacity]
-                    index.append(i), piece.append(k), start.append(at // 4), length.append(len(own) // 4), crc.append(zlib.crc32(own))
-                    if with_ids:
-                        ids.append(own)
-            columns = {key: part.column("key").take(pa.array(index, pa.int64())), "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
-            yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(ids, pa.binary())} if with_ids else {}))
+            flat, bounds = encoder.encode_column(strings(part.column("text")), end_id)
+            pieces = -(-np.diff(bounds) // capacity)
+            index = np.repeat(np.arange(len(pieces)), pieces)
+            piece = np.arange(len(index)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            first = bounds[index] + piece * capacity
+            stop = np.minimum(first + capacity, bounds[index + 1])
+            data = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
+            spans = [data[4 * a : 4 * b] for a, b in zip(first.tolist(), stop.tolist(), strict=True)]
+            columns = {key: part.column("key").take(pa.array(index)), "piece": pa.array(piece, pa.int32()), "start": pa.array(piece * capacity, pa.int64()), "length": pa.array(stop - first), "ids_crc32": pa.array(map(zlib.crc32, spans), pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(map(bytes, spans), pa.binary())} if with_ids else {}))
 
     return rows.mapInArrow(run, f"`{key}` {type_}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
@@ -175,6 +174,6 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return rows.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, model: str, end_id: int = 1, capacity: int = CAPACITY, kind: str = "words", text: str = "text", key: str = "doc_id") -> DataFrame:
+def pack(docs: DataFrame, model: str, end_id: int = 1, capacity: int = CAPACITY, kind: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
     return place(written(cut_pieces(docs, model, end_id, capacity, kind, text=text, key=key), "pieces"), capacity)

@@ -9,7 +9,9 @@ an empty table gives an empty table; further columns, whatever their names, are
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -118,8 +120,52 @@ def load(path: str):
     return tokenizer
 
 
-#: A word of Latin-1 letters, with the space before it, and ASCII signs after it; no normalisation but that of case changes such letters.
-_LETTERS_SIGNS = regex.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Latin-1 letters, which no normalisation but that of case changes where nothing but ASCII signs stands beside them.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+#: ASCII signs but the apostrophe, with which pre-tokenizers begin suffixes.
+_SIGNS = r"[!-&(-/:-@\[-`{-~]"
+#: What byte-level pre-tokenizers may cut or join elsewhere than before single spaces and around single line feeds.
+_IRREGULAR = r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\x00\x01\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+# What a definition holds of the two kinds of vocabularies that are known to fall apart by words.
+_FORMS: dict[str, dict] = {
+    "bytes": {
+        "normalizer": None,
+        "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+        "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+    },
+    "words": {
+        "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        "pre_tokenizer": {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        },
+        "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+    },
+}
+
+
+def vocabulary_form(path: str) -> tuple[str | None, list[str]]:
+    """("bytes", "words" or None, added strings): how texts fall apart, None unless the definition is one that is known.
+
+    Added strings must be looked for in the text as it is, without regard to what stands beside them.
+    """
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    added = d.get("added_tokens") or []
+    if any(t.get("normalized") or t.get("lstrip") or t.get("rstrip") or t.get("single_word") or not t["content"] for t in added):
+        return None, []
+    model = {k: v for k, v in d["model"].items() if k not in ("vocab", "merges")}
+    has = {"normalizer": d.get("normalizer"), "pre_tokenizer": d.get("pre_tokenizer"), "model": model}
+    return next((name for name, form in _FORMS.items() if form == has), None), [t["content"] for t in added]
+
+
+def _strings(column: pa.Array) -> list[str]:
+    """A string column as a list, made at once and not value by value."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def _as_signs() -> dict[int, str]:
@@ -130,106 +176,115 @@ def _as_signs() -> dict[int, str]:
 
 
 class WordMemory:
-    """Ids (little-endian unsigned 32-bit) of texts, encoded by words that a bounded memory keeps.
+    """Ids of texts, encoded by words that a bounded memory keeps.
 
-    ``parts`` cuts a batch of texts into words whose ids joined are those of the whole text, and tells which texts it
-    can't cut; those go through the library whole. Each word of a batch is looked up once, however often it occurs. Two
-    generations of words: used ones move to the new, the old goes when it's full. A new word of letters, and the signs
-    after it, are pieces of the vocabulary's pre-tokenizer, and the library's model encodes them as such; words of any
-    other kind go through the whole library.
+    A batch of texts is cut into words whose ids joined are those of the whole text; texts that can't be cut so, and all
+    texts of a vocabulary whose definition isn't known, go through the library whole. Each distinct word of a batch is
+    looked up once. A word of Latin letters, and the signs after it, are pieces of the pre-tokenizer, and the library's
+    model encodes them as such; words of any other kind go through the whole library. Two generations of words: used ones
+    move to the new, the old goes when it's full.
     """
 
-    def __init__(self, path: str, parts: Callable[[list[bytes]], tuple[pa.ListArray, list[int]]], lower: bool, most: int = 200_000):
-        self.tokenizer, self.parts, self.lower, self.most = load(path), parts, lower, most
-        self.model, self.signs = self.tokenizer.model, _as_signs()
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def library(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of one piece of the pre-tokenizer."""
-        shown = (piece.lower() if self.lower else piece).encode().decode("latin-1").translate(self.signs)
-        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Remembers the words' ids."""
-        rest, tails = [], {"": b""}
-        for word in words:
-            if (ids := self.old.get(word)) is not None:
-                self.new[word] = ids
-            elif found := _LETTERS_SIGNS.fullmatch(word.decode()):
-                letters, tail = found.groups()
-                if tail not in tails:
-                    tails[tail] = self._piece(tail)
-                self.new[word] = self._piece(letters) + tails[tail]
-            else:
-                rest.append(word)
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            self.new[w] = array("I", e.ids).tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        lists, whole = self.parts(texts)
-        coded = lists.values.dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
+    def __init__(self, path: str, kind: str | None = None, most: int = 200_000):
+        self.tokenizer, self.most = load(path), most
+        form, added = vocabulary_form(path)
+        self.form = form if kind in (None, form) else None
+        self.model, self.signs, self.tails = self.tokenizer.model, _as_signs(), {"": b""}
+        stop = "|".join(re.escape(x) for x in added)
+        self.whole = {"bytes": _IRREGULAR + f"|{stop}" * bool(stop), "words": f"(?i){stop}" if stop else ""}.get(self.form or "", "")
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _shown(self, piece: str) -> str:
+        return piece.replace(" ", "Ġ") if piece.isascii() else piece.encode().decode("latin-1").translate(self.signs)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of the pre-tokenizer."""
+        tokenize, shown = self.model.tokenize, self._shown
+        return [array("I", [x.id for x in tokenize(shown(p))]).tobytes() for p in pieces]
+
+    def _cut(self, texts: pa.Array) -> pa.ListArray:
+        """Words of each text; for byte-level vocabularies \\1 marks those that no space stands before."""
+        if self.form == "words":
+            return pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        return pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise("\x01", texts, ""), "\n", " \n \x01"), " ")
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words as _cut gives them."""
+        if self.form == "bytes":
+            marked, feed = pc.starts_with(words, "\x01"), pc.equal(words, "\n")
+            words = pc.if_else(marked, pc.utf8_ltrim(words, "\x01"), pc.if_else(feed, words, pc.binary_join_element_wise(" ", words, "")))
+        parts = pc.extract_regex(words, rf"\A(?P<w> ?{_LETTERS})(?P<t>{_SIGNS}*)\z")
+        letters, other = parts.field("w"), parts.is_null()
+        if self.form == "words":
+            letters = pc.utf8_lower(letters)
+        units = pc.if_else(other, words, letters).dictionary_encode()
+        tails = pc.if_else(other, "", parts.field("t")).dictionary_encode()
+        keys = _strings(units.dictionary)
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
-        ids = list(map(self.new.get, words))
-        gaps = [i for i, x in enumerate(ids) if x is None]
-        self._learn([words[i] for i in gaps])
-        for i in gaps:
-            ids[i] = self.new[words[i]]
-        # The words' ids in one array, and of each place in the texts its word's stretch of them.
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
-        ends = np.cumsum(sizes[codes])
-        out = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - ends + sizes[codes], sizes[codes])]
-        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
-        result = [out[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        for i in whole:
-            result[i] = self.library(texts[i].decode())
-        return result
-
-
-def by_white_space(texts: list[bytes]) -> tuple[pa.ListArray, list[int]]:
-    """For vocabularies that drop white space and case: the words between ASCII white space, A-Z lowered."""
-    lowered = [x if b"<|" in x else x.lower() for x in texts]
-    return pc.ascii_split_whitespace(pa.array(lowered, pa.binary()).cast(pa.string())), []
-
-
-#: White space other than single spaces and line feeds between words, and the mark below.
-_IRREGULAR = regex.compile(rb"[\x00\t\r\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-#: Bytes of which none begins what _IRREGULAR finds.
-_PLAIN = bytes(set(range(256)) - {0x00, 0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3})
-
-
-def _regular(data: bytes) -> bool:
-    """Whether all white space is single spaces and line feeds between words."""
-    if data[:1] in (b" ", b"\n") or data[-1:] in (b" ", b"\n") or any(x in data for x in (b"  ", b"\n\n", b" \n", b"\n ", b"<|")):
-        return False
-    return not (data.translate(None, _PLAIN) and _IRREGULAR.search(data))
-
-
-def by_leading_space(texts: list[bytes]) -> tuple[pa.ListArray, list[int]]:
-    """For byte-level vocabularies: words with the space before them, and line feeds alone; not texts with other white space.
-
-    The pre-tokenizer's pattern never takes a space or line feed to what stands before it, and a single one of them
-    between words goes to the next word or stands alone, so that such a text falls apart exactly here.
-    """
-    regular = [_regular(x) for x in texts]
-    marked = [x.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0") if good else b"" for x, good in zip(texts, regular, strict=True)]
-    return pc.split_pattern(pa.array(marked, pa.binary()), "\0"), [i for i, good in enumerate(regular) if not good]
+        new, old = self.new, self.old
+        found = list(map(new.get, keys))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        if gaps:
+            there = [old.get(keys[i]) for i in gaps] if old else [None] * len(gaps)
+            plain = pc.match_substring_regex(units.dictionary, rf"\A ?{_LETTERS}\z").to_numpy(zero_copy_only=False)[gaps].tolist()
+            for way, fits in ((self._pieces, True), (self._library, False)):
+                own = [i for i, x, p in zip(gaps, there, plain, strict=True) if x is None and p == fits]
+                for i, ids in zip(own, way([keys[i] for i in own]), strict=True):
+                    found[i] = ids
+            for i, x in zip(gaps, there, strict=True):
+                if x is not None:
+                    found[i] = x
+            new.update(zip([keys[i] for i in gaps], [found[i] for i in gaps], strict=True))
+        for t in (every := _strings(tails.dictionary)):
+            if t not in self.tails:
+                self.tails[t] = self._pieces([t])[0]
+        ends = pa.array([self.tails[t] for t in every], pa.large_binary())
+        if len(self.tails) > self.most:
+            self.tails = {"": b""}
+        return pc.binary_join_element_wise(pa.array(found, pa.large_binary()).take(units.indices), ends.take(tails.indices), pa.scalar(b"", pa.large_binary()))
+
+    def encode_column(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): text i of a string column without nulls has ids[bounds[i]:bounds[i + 1]], end_id the last."""
+        whole = pc.match_substring_regex(texts, self.whole) if self.whole else pa.array([self.form is None] * len(texts), pa.bool_())
+        lists = self._cut(pc.if_else(whole, "", texts) if self.form else pa.array([""] * len(texts)))
+        coded = lists.values.dictionary_encode()
+        ids = self._ids(coded.dictionary).take(coded.indices) if self.form else pa.array([], pa.large_binary())
+        places = np.frombuffer(ids.buffers()[1], "<i8")[: len(ids) + 1] // 4 if len(ids) else np.zeros(1, np.int64)
+        flat = np.frombuffer(ids.buffers()[2], "<u4")[: places[-1]] if len(ids) and places[-1] else np.zeros(0, "<u4")
+        bounds = places[lists.offsets.to_numpy()] if self.form else np.zeros(len(texts) + 1, np.int64)
+        at = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if len(at):
+            own = dict(zip(at.tolist(), (np.frombuffer(x, "<u4") for x in self._library(texts.take(pa.array(at)).to_pylist())), strict=True))
+            sizes = np.diff(bounds)
+            sizes[at] = [len(own[i]) for i in at.tolist()]
+            flat = np.concatenate([np.zeros(0, "<u4"), *(own.get(i, flat[a:b]) for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)))])
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+        if end_id is not None:
+            flat = np.insert(flat, bounds[1:], end_id)
+            bounds = bounds + np.arange(len(bounds))
+        return flat, bounds
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        flat, bounds = self.encode_column(pa.array(texts, pa.binary()).cast(pa.string()))
+        return [flat[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
 
+_encoders: dict[tuple[str, str | None], WordMemory] = {}
 
-_encoders: dict[tuple[str, str], WordMemory] = {}
 
+def word_encoder(path: str, kind: str | None = None) -> WordMemory:
+    """kind: what the vocabulary's definition is expected to be; of another one, texts go through the library whole.
 
-def word_encoder(path: str, kind: str) -> WordMemory:
-    """kind: "words" for vocabularies that drop white space, "bytes" for byte-level ones. A worker keeps it for its next tasks."""
+    A worker keeps the encoder for its next tasks.
+    """
     if (path, kind) not in _encoders:
-        _encoders[path, kind] = WordMemory(path, by_white_space if kind == "words" else by_leading_space, kind == "words")
+        _encoders[path, kind] = WordMemory(path, kind)
     return _encoders[path, kind]
 
 
