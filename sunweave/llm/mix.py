@@ -8,12 +8,14 @@ start, so that a document's share follows from its place by arithmetic: no block
 
 Shards hold about ``shard_words`` words of one source, so that a hot source has many of them and no task orders a whole
 source, while a small source has one: each shard is many blocks, and what its short last block lacks is little of its
-target, however large the whole is. Only one row for each source, and three for each shard of one source, ever meet in
-one task.
+target, however large the whole is. Sources, and the shards of one, are ranked and summed by ranges: no task sees all of them.
+A shard's quota stops at the words it has times the most a source may give; as its last block counts as whole, at most one
+block's words for each shard go missing so.
 
 Defined results: a null text has size 0 and takes nothing; a null source is a source, last in order; a null id is ordered
 as an empty one; rows with equal ids stand side by side by size and share equally nothing but their place; sources
-without words have target 0; an empty table gives an empty table; further columns are left out.
+without words have target 0; texts of any length are counted whole; ties of quotients go by source, then shard; an empty
+table gives an empty table; further columns, whatever their names, are left out (``take`` keeps them).
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sunweave.operators.prefix import running
 from sunweave.sources.shared import one_of_repeated, row_key, written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,20 +52,19 @@ def source_targets(sizes: DataFrame, spec: MixSpec) -> DataFrame:
 
     Sorted by cap over weight, the sources at their caps are a prefix, so that running sums replace repeated resharing.
     """
-    everything = Window.partitionBy()
     s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    s = s.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    s = s.withColumn("weight", F.element_at(F.array(*map(F.lit, spec.weights)), (F.col("rank") - 1) % len(spec.weights) + 1))
+    s = running(s, [F.col("source").asc_nulls_last()], "rank").withColumn("rank", (F.col("rank") + 1).cast("long"))
+    s = s.withColumn("weight", F.element_at(F.array(*map(F.lit, spec.weights)), (F.pmod(F.col("rank") - 1, F.lit(len(spec.weights))) + 1).cast("int")))
     s = s.withColumn("cap", F.col("source_size") * spec.most)
-    before = Window.orderBy(F.col("cap").cast("double") / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("words", F.sum("source_size").over(everything) * spec.share_percent)
-    s = s.withColumn("w_left", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    s = s.withColumn("t_left", F.col("words") - 100 * F.coalesce(F.sum("cap").over(before), F.lit(0)))
-    s = s.withColumn("capped", _big(F.col("cap") * 100) * _big(F.col("w_left")) <= _big(F.col("weight")) * _big(F.col("t_left")))
-    s = s.withColumn("t_free", F.col("words") - 100 * F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0)).over(everything))
-    s = s.withColumn("w_free", F.sum(F.when(F.col("capped"), 0).otherwise(F.col("weight"))).over(everything))
-    free = (F.col("weight") * F.col("t_free")).cast("double") / (100 * F.col("w_free")).cast("double")
-    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(free)
+    s = written(running(s, [F.col("cap").cast("double") / F.col("weight"), F.col("rank").asc()], sums={"w_before": "weight", "c_before": "cap"}), "sources")
+    all_ = s.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n"), F.coalesce(F.sum("weight"), F.lit(0)).alias("w")).first()
+    words = F.lit(all_["n"] * spec.share_percent).cast("long")
+    left = words - 100 * F.col("c_before")
+    capped = _big(F.col("cap") * 100) * _big(F.lit(all_["w"]) - F.col("w_before")) <= _big(F.col("weight")) * _big(left)
+    s = s.withColumn("capped", capped)
+    free = s.agg(F.coalesce(F.sum(F.when(F.col("capped"), F.col("cap"))), F.lit(0)).alias("c"), F.coalesce(F.sum(F.when(~F.col("capped"), F.col("weight"))), F.lit(0)).alias("w")).first()
+    share = (F.col("weight") * (words - 100 * free["c"])).cast("double") / F.lit(100 * max(1, free["w"])).cast("double")
+    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(share)
     return s.select("source", "rank", "source_size", "weight", target.alias("target"))
 
 
@@ -70,20 +72,21 @@ def apportion(parties: DataFrame, group: list[str], order: str, votes: str, seat
     """Adds the seats of each party by highest quotients votes / (2 s - 1); equal quotients go by order.
 
     With V votes for N seats and m parties, the last quotient lies between those that V / (N + m + 1) and V / (N - m - 1)
-    would end at, so that about three candidate seats a party decide.
+    would end at, so that about three candidate seats a party decide. Their ranks come from one order over all groups, from
+    which each group's first is taken, so that no group meets in a task. Group columns aren't null.
     """
-    g = Window.partitionBy(*group)
-    p = parties.withColumn("_m", F.count("*").over(g) + 1).withColumn("_all", F.sum(F.col(votes).cast("double")).over(g))
+    sums = parties.groupBy(*group).agg((F.count("*") + 1).alias("_m"), F.sum(F.col(votes).cast("double")).alias("_all"))
     at = lambda n: F.when(F.col("_all") > 0, F.floor(F.col(votes) * n / F.col("_all") + 0.5)).otherwise(0).cast("long")
+    p = parties.join(sums, group)
     p = p.withColumn("_low", F.greatest(F.lit(0).cast("long"), at(F.col(seats) - F.col("_m"))))
-    p = p.withColumn("_high", F.greatest(F.col("_low"), at(F.col(seats) + F.col("_m"))))
-    p = p.withColumn("_open", F.col(seats) - F.sum("_low").over(g))
-    each = p.withColumn("_seat", F.explode(F.expr("CASE WHEN _high > _low THEN sequence(_low + 1, _high) ELSE array(cast(null AS bigint)) END")))
-    quotient = F.col(votes) / (2 * F.col("_seat") - 1)
-    won = F.row_number().over(g.orderBy(quotient.desc_nulls_last(), order)) <= F.col("_open")
-    each = each.withColumn("_won", F.when(F.col("_seat").isNotNull() & won, 1).otherwise(0))
-    keep = [c for c in parties.columns]
-    return each.groupBy(*keep, "_low").agg(F.sum("_won").alias("_more")).select(*keep, (F.col("_low") + F.col("_more")).alias(out))
+    p = written(p.withColumn("_high", F.greatest(F.col("_low"), at(F.col(seats) + F.col("_m")))).drop("_m", "_all"), "parties")
+    each = p.select(*group, order, F.col(votes).alias("_votes"), F.explode(F.expr("sequence(_low + 1, greatest(_low + 1, _high))")).alias("_seat"), "_high").where("_seat <= _high")
+    quotient = (F.col("_votes") / (2 * F.col("_seat") - 1)).desc_nulls_last()
+    ranked = written(running(each, [*map(F.col, group), quotient, F.col(order)], "_rank").select(*group, order, "_rank"), "quotients")
+    first = ranked.groupBy(*group).agg(F.min("_rank").alias("_first"))
+    first = p.groupBy(*group).agg((F.max(seats) - F.sum("_low")).alias("_open")).join(first, group)
+    won = ranked.join(first, group).where(F.col("_rank") - F.col("_first") < F.col("_open")).groupBy(*group, order).agg(F.count("*").alias("_won"))
+    return p.join(won, [*group, order], "left").select(*parties.columns, (F.col("_low") + F.coalesce("_won", F.lit(0))).alias(out))
 
 
 def _hash(spec: MixSpec, c: Column) -> Column:
@@ -108,9 +111,9 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", key: str
     """
     sizes = written(document_sizes(docs, text, key, source, carry), "sizes")
     total = sizes.agg(F.sum("size").alias("n")).first()["n"] or 0
-    targets = source_targets(sizes, spec).withColumn("_group", F.lit(0))
+    targets = source_targets(sizes, spec).withColumn("all", F.lit(0))
     targets = targets.withColumn("seats", F.lit(int(total * spec.share_percent / 100 / spec.block + 0.5)).cast("long"))
-    targets = written(apportion(targets, ["_group"], "rank", "target", "seats", "quota").drop("_group", "seats"), "targets")
+    targets = written(apportion(targets, ["all"], "rank", "target", "seats", "quota").drop("all", "seats"), "targets")
     h = _hash(spec, F.col("doc_id"))
     same = F.col("source").eqNullSafe(F.col("t_source"))
     # Only sources of more than one shard are told, at most one for each shard_words of the whole input.
@@ -158,21 +161,21 @@ def take(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
 
     Texts of partly taken documents are their words joined by one space; whole ones stay as they are. Rows meet their part
     of the plan by a key of all their columns, so that null and equal ids are taken like others. Of repeated rows one meets
-    the parts of all, which gives what each would give.
+    the parts of all, which gives what each would give. All columns travel in a struct, so that their names can't clash.
     """
-    docs_columns, docs = docs.columns, docs.withColumn("_row", row_key(docs))
-    plan = mix(docs, spec, carry=("_row",)).where("taken > 0").select("_row", F.col("size").alias("_size"), "taken", "start", "passes", "extra", "blocks", "first")
-    plan = written(plan, "plan")
-    rows = one_of_repeated(docs, plan, "_row").join(plan, "_row")
-    rows = rows.withColumn("_more", F.col("taken") - F.col("passes") * F.col("_size"))
-    rows = rows.withColumn("_copy", F.explode(F.expr("sequence(1, cast(passes AS int) + 1)")))
-    rows = rows.where((F.col("_copy") <= F.col("passes")) | (F.col("_more") > 0))
-    some = F.array_join(F.filter(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)), lambda w, i: selected(F.floor((F.col("start") + i) / spec.block).cast("long"))), " ")
-    whole = (F.col("_copy") <= F.col("passes")) | (F.col("_more") == F.col("_size"))
-    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(some))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs_columns)
+    same = row_key(docs)
+    plan = mix(docs.select("doc_id", "source", "text", same.alias("row")), spec, carry=("row",))
+    plan = written(plan.where("taken > 0").drop("doc_id", "source", "source_size", "target", "shard"), "plan")
+    rows = docs.select(same.alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = one_of_repeated(rows, plan, "row").join(plan, "row")
+    rows = rows.withColumn("more", F.col("taken") - F.col("passes") * F.col("size"))
+    rows = rows.withColumn("copy", F.explode(F.expr("sequence(1, cast(passes AS int) + 1)")))
+    rows = rows.where((F.col("copy") <= F.col("passes")) | (F.col("more") > 0))
+    some = F.array_join(F.filter(F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0)), lambda w, i: selected(F.floor((F.col("start") + i) / spec.block).cast("long"))), " ")
+    whole = (F.col("copy") <= F.col("passes")) | (F.col("more") == F.col("size"))
+    rows = rows.select("doc", F.when(whole, F.col("doc.text")).otherwise(some).alias("text"))
+    own = {"text": F.col("text")} | ({"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return rows.select(*[own.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 
 ORACLE = r"""
@@ -190,12 +193,12 @@ quot AS (SELECT rank, row_number() OVER (ORDER BY target / (2 * s - 1) DESC, ran
          FROM (SELECT rank, target, unnest(range(1, CAST(floor(target / 128) AS BIGINT) + 3 + (SELECT count(*) FROM src4))) AS s FROM src4 WHERE target > 0)),
 quota AS (SELECT rank, count(*) AS quota FROM quot, seats WHERE place <= n GROUP BY rank),
 src AS (SELECT src4.*, COALESCE(quota, 0) AS quota FROM src4 LEFT JOIN quota USING (rank)),
-nsh AS (SELECT greatest(1, CAST(ceil(total / 1000000) AS BIGINT)) AS n FROM tot),
-placed AS (SELECT sizes.*, h, CAST('0x' || substr(h, 1, 8) AS BIGINT) % n AS shard
-           FROM (SELECT *, md5('mix-1:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM sizes) sizes, nsh),
+nsh AS (SELECT source, greatest(1, CAST(ceil(source_size / 1000000) AS BIGINT)) AS n FROM src0),
+placed AS (SELECT sizes.*, CAST('0x' || substr(h, 1, 8) AS BIGINT) % n AS shard
+           FROM (SELECT *, md5('mix-1:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM sizes) sizes JOIN nsh ON nsh.source IS NOT DISTINCT FROM sizes.source),
 shard0 AS (SELECT rank, shard, sum(size) AS shard_size FROM placed JOIN src ON placed.source IS NOT DISTINCT FROM src.source GROUP BY rank, shard),
 squot AS (SELECT rank, shard, row_number() OVER (PARTITION BY rank ORDER BY shard_size / (2 * s - 1) DESC, shard) AS place
-          FROM (SELECT shard0.*, unnest(range(1, CAST(floor(2 * shard_size / 128) AS BIGINT) + 3 + (SELECT n FROM nsh))) AS s FROM shard0 WHERE shard_size > 0)),
+          FROM (SELECT shard0.*, unnest(range(1, CAST(floor(2 * shard_size / 128) AS BIGINT) + 3 + (SELECT max(n) FROM nsh))) AS s FROM shard0 WHERE shard_size > 0)),
 squota AS (SELECT squot.rank, shard, count(*) AS q FROM squot JOIN src ON squot.rank = src.rank WHERE place <= quota GROUP BY squot.rank, shard),
 parts AS (SELECT rank, shard, blocks, q // greatest(blocks, 1) AS passes, q % greatest(blocks, 1) AS extra,
                  CAST('0x' || substr(md5('mix-1:' || rank || '/' || shard), 1, 8) AS BIGINT) % greatest(blocks, 1) AS first
