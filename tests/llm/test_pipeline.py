@@ -1,12 +1,18 @@
 """Stages of the pipeline on rows with null and equal ids, against brute force."""
 
 import random
+import re
+import zlib
 from collections import Counter
 
+import numpy as np
+
 import pytest
 
 import corpus_pipeline
-from sunweave.llm import mix
+from pyspark.sql import functions as F
+
+from sunweave.llm import mix, tokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -90,3 +96,102 @@ def test_mix_small_sources_reach_their_targets(spark):
         shards.setdefault(r.source, set()).add(r.shard)
     assert all(abs(taken[s] - target[s]) <= 0.03 * target[s] for s in target), (taken, target)
     assert {s: len(x) for s, x in shards.items()} == {"large": 40, "middle": 3, "small": 1, None: 1}
+
+
+# --- the whole ----------------------------------------------------------------------------------------------------------
+
+#: Names that operators use inside.
+CLASHES = ("start", "first", "blocks", "taken", "passes", "extra", "size", "row", "doc", "_row", "more", "copy", "key", "plan", "component_id", "digest", "failed", "n_words", "range")
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def good(t):
+    w = words(t)
+    often = {k for k, n in Counter(zip(w, w[1:], w[2:])).items() if n > 1}
+    marked = {j + o for j in range(len(w) - 2) if tuple(w[j : j + 3]) in often for o in range(3)}
+    lines = [x for x in (t or "").split("\n") if words(x)]
+    chars = sum(map(len, w))
+    bad = (len(w) < 50, 100 * len(marked) > 50 * len(w), chars < 2 * len(w), chars > 20 * len(w), 10 * len(re.findall(r"[#*$%&|<>]", t or "")) > len(w), 100 * (len(lines) - len(set(lines))) > 30 * len(lines))
+    return not any(bad)
+
+
+def without_repeats(rows, window=20):
+    """(doc_id, kept words) of documents of which something is left, or nothing was there."""
+    first = {}
+    rank = lambda i: (i is None, i or 0)
+    for i, t in rows:
+        w = words(t)
+        for s in range(len(w) - window + 1):
+            k = tuple(w[s : s + window])
+            first[k] = min(first.get(k, (rank(i), s)), (rank(i), s))
+    out = Counter()
+    for i, t in rows:
+        w = words(t)
+        gone = set()
+        for s in range(len(w) - window + 1):
+            if first[tuple(w[s : s + window])] < (rank(i), s):
+                gone.update(range(s, s + window))
+        if not w or len(gone) < len(w):
+            out[i, tuple(x for k, x in enumerate(w) if k not in gone)] += 1
+    return out
+
+
+@pytest.fixture(scope="module")
+def documents(spark, tmp_path_factory):
+    """Documents of the smallest scale with null and equal ids, null and empty texts, and clashing names."""
+    path = str(tmp_path_factory.mktemp("sf"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 17 == 3, None).when(F.col("doc_id") % 19 == 4, 7).otherwise(F.col("doc_id")))
+    docs = docs.withColumn("text", F.when(F.length("text") % 23 == 1, None).when(F.length("text") % 29 == 1, "").otherwise(F.col("text")))
+    docs = docs.withColumn("source", F.when(F.length("text") % 5 == 0, None).otherwise(F.col("source")))
+    docs = docs.unionByName(docs.where("doc_id % 11 = 1"))
+    docs.select("*", *[F.lit("x").alias(c) for c in CLASHES]).write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+def test_stages_against_brute_force(spark, documents):
+    names = ["doc_id", "text", "source"]
+    docs = spark.read.parquet(f"{documents}/documents.parquet")
+    columns = docs.columns
+    every = lambda df: [tuple(r) for r in df.select(*names).collect()]
+    before, results = every(docs), []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, documents)
+        assert docs.columns == columns or name == corpus_pipeline.STAGES[-1][0]
+        docs = corpus_pipeline.written(docs, name)
+        results.append(docs)
+    kept = [r for r in before if good(r[1])]
+    assert Counter(every(results[0])) == Counter(kept)
+    single = firsts(kept)
+    assert Counter(every(results[1])) == single
+    assert Counter((i, tuple(words(t))) for i, t, _ in every(results[2])) == without_repeats([(i, t) for i, t, _ in single.elements()])
+    plan, taken = Counter(), Counter()
+    for r in mix.mix(results[2]).collect():
+        plan[r.doc_id, r.source] += r.taken
+    for i, t, s in every(results[3]):
+        taken[i, s] += len(words(t))
+    assert taken == +plan
+    tokenizer, want = tokens.load(tokens.default_path("word_bpe_49k.json")), Counter()
+    for i, t, _ in every(results[3]):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), 4096):
+            want[i, k // 4096, zlib.crc32(np.array(ids[k : k + 4096], "<u4").tobytes())] += 1
+    got = results[4].collect()
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in got) == want
+    ends = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 4096
+    again = corpus_pipeline.run(spark, documents)
+    pick = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(map(tuple, again.select(*pick).collect())) == Counter(map(tuple, results[4].select(*pick).collect()))
+
+
+def test_stages_on_an_empty_table(spark, documents):
+    docs = spark.read.parquet(f"{documents}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, documents).collect() == []
