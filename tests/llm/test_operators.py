@@ -269,14 +269,17 @@ def test_plan_uses_every_piece_once():
 
 def test_license(spark):
     t = license.TEMPLATES
-    texts = [(1, "Foo bar.\nReleased under the MIT license!\nmore"), (2, t["MIT"].replace("TORT", "X")), (3, None), (4, ""), (5, "nothing here to see at all, and more"), (6, "A title\n\n" + t["Apache-2.0-header"][:250] + "\n" + t["Apache-2.0-header"][251:]), (6, "x\n\n\ny z"), (7, "Released under the MIT License. " * 3), (1, "Foo bar.\nReleased under the MIT license!\nmore")]
+    readme = "\n\n".join(["word other " * 40] * 3 + [t["MIT"].replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")] + ["more prose here " * 30])
+    texts = [(1, "Foo bar.\nReleased under the MIT license!\nmore"), (2, t["MIT"].replace("TORT", "X")), (3, None), (4, ""), (5, "nothing here to see at all, and more"), (6, "A title\n\n" + t["Apache-2.0-header"][:250] + "\n" + t["Apache-2.0-header"][251:]), (6, "x\n\n\ny z"), (7, "Released under the MIT License. " * 3), (1, "Foo bar.\nReleased under the MIT license!\nmore"), (None, "Licensed under the MIT License."), (None, "Released under the MIT License."), (8, "Released under the MIT License."), (8, "Licensed under CC BY 4.0."), (9, readme), (10, "Some line about this. Released under the MIT License. And so on it goes")]
     pairs = {n: {f"{a} {b}" for a, b in zip(license.normal_words(x), license.normal_words(x)[1:])} for n, x in t.items()}
     want = set()
     for i, text in texts:
         if text is None:
             continue
         parts = re.split(r"\n[\x20\x09-\x0D]*\n", text)
-        units = [("line", k, u) for k, u in enumerate(text.split("\n"))] + [("paragraph", k, u) for k, u in enumerate(parts) if "\n" in u.strip(" \r\t")] + ([("text", 0, text)] if len(parts) > 1 else [])
+        units = [("line", k, u) for k, u in enumerate(text.split("\n"))] + [(f"run{n}", k, "\n".join(parts[k : k + n])) for n in range(2, 6) for k in range(len(parts) - n + 1)]
+        units += [("sentence", k, u) for k, u in enumerate(x for line in text.split("\n") for split in [re.split(r"[.!?]+[\x20\x09]+", line)] if len(split) > 1 for x in split)]
+        units += [("paragraph", k, u) for k, u in enumerate(parts) if "\n" in u.strip(" \r\t")] + ([("text", 0, text)] if len(parts) > 1 else [])
         for kind, k, u in units:
             w = license.normal_words(u)
             p = {f"{a} {b}" for a, b in zip(w, w[1:])}
@@ -284,8 +287,12 @@ def test_license(spark):
                 if p and 2 * len(p & q) >= 0.8 * (len(p) + len(q)):
                     want.add((i, kind, k, name, len(p & q), len(p)))
     got = license.scan(frame(spark, texts)).collect()
-    assert sorted((r.doc_id, r.unit, r.unit_no, r.template, r.n_common, r.n_bigrams) for r in got) == sorted(want)
-    assert {2, 6, 1, 7} <= {r.doc_id for r in got}
+    assert Counter((r.doc_id, r.unit, r.unit_no, r.template, r.n_common, r.n_bigrams) for r in got) == Counter(want)
+    assert {2, 6, 1, 7, 8, 9, 10, None} <= {r.doc_id for r in got} and {"run3"} <= {r.unit for r in got if r.doc_id == 9 and r.template == "MIT"}
+    assert all(r.dice <= 1 for r in got)
+    assert license.scan(frame(spark, texts).limit(0)).collect() == []
+    many = license.scan(frame(spark, [(1, "x. y\n\n" * 100_000 + "Released under the MIT License."), (2, "permission " * 300_000)])).collect()
+    assert {r.doc_id for r in many} == {1}
 
 
 # --- 6 ----------------------------------------------------------------------------------------------------------------
