@@ -198,27 +198,28 @@ def format_chat(turns: DataFrame, tools: dict[str, dict] = TOOLS) -> DataFrame:
 def _levels(first: DataFrame) -> DataFrame:
     """(conv_id, id, level, problem): 0 for calls that name no other, else one more than the highest they name.
 
-    A round of joins for each level. Calls of which one is missing, or that depend on such, and cycles have no level.
+    A round of joins for each level, over the calls that name one of the level below. Calls of which one is missing, or that
+    depend on such, and cycles have no level.
     """
     edges = first.select("conv_id", "id", F.explode(F.array_distinct("refs")).alias("on"))
-    done = first.where(F.size("refs") == 0).select("conv_id", "id", F.lit(0).alias("level"))
+    new = first.where(F.size("refs") == 0).select("conv_id", "id", F.lit(0).alias("level"))
     if edges.isEmpty():
-        return done.withColumn("problem", F.lit(None).cast("string"))
-    edges, done = written(edges, "references"), written(done, "levels")
-    wanted = written(edges.groupBy("conv_id", "id").agg(F.count("*").alias("n")), "wanted")
+        return new.withColumn("problem", F.lit(None).cast("string"))
+    edges, new = written(edges, "references"), written(new, "levels")
     named = lambda df, c, n: df.select(F.col("conv_id").alias(f"{n}_conv"), F.col(c).alias(f"{n}_id"), *[x for x in df.columns if x not in ("conv_id", c)])
     at = lambda c, n: F.col("conv_id").eqNullSafe(F.col(f"{n}_conv")) & (F.col(c) == F.col(f"{n}_id"))
-    n = -1
-    while (now := done.count()) != n:
-        n = now
-        ready = edges.join(named(done, "id", "d"), at("on", "d")).groupBy("conv_id", "id").agg(F.count("*").alias("have"), (F.max("level") + 1).alias("level"))
-        ready = ready.join(named(wanted, "id", "w"), at("id", "w")).where("have = n").select("conv_id", "id", "level")
-        done = written(done.where("level = 0").unionByName(ready), "levels")
-    gone = written(edges.join(named(first.select("conv_id", "id"), "id", "k"), at("on", "k"), "left_anti").select("conv_id", "id").distinct(), "missing")
-    n = -1
-    while (now := gone.count()) != n:
-        n = now
-        after = edges.join(named(gone, "id", "g"), at("on", "g"), "left_semi").select("conv_id", "id")
-        gone = written(gone.unionByName(after).distinct(), "missing")
+    done = new
+    while not new.isEmpty():
+        near = edges.join(named(new.select("conv_id", "id"), "id", "d"), at("on", "d"), "left_semi").select("conv_id", "id").distinct()
+        open_ = edges.join(named(near, "id", "n"), at("id", "n"), "left_semi").join(named(done, "id", "d"), at("on", "d"), "left")
+        ready = open_.groupBy("conv_id", "id").agg(F.count("*").alias("n"), F.count("level").alias("have"), (F.max("level") + 1).alias("level"))
+        new = written(ready.where("have = n").select("conv_id", "id", "level"), "levels")
+        done = written(done.unionByName(new), "levels")
+    new = written(edges.join(named(first.select("conv_id", "id"), "id", "k"), at("on", "k"), "left_anti").select("conv_id", "id").distinct(), "missing")
+    gone = new
+    while not new.isEmpty():
+        after = edges.join(named(new, "id", "g"), at("on", "g"), "left_semi").select("conv_id", "id").distinct()
+        new = written(after.join(named(gone, "id", "g"), at("id", "g"), "left_anti"), "missing")
+        gone = written(gone.unionByName(new), "missing")
     out = first.select("conv_id", "id").join(named(done, "id", "d"), at("id", "d"), "left").join(named(gone, "id", "g"), at("id", "g"), "left")
     return out.select("conv_id", "id", "level", F.when(F.col("level").isNotNull(), F.lit(None)).when(F.col("g_id").isNotNull(), "missing_dependency").otherwise("cycle").cast("string").alias("problem"))

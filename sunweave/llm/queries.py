@@ -49,7 +49,7 @@ def _tool_turns(turns: DataFrame) -> DataFrame:
     """
     t, case = F.col("turn"), F.pmod("conv_id", F.lit(7))
     name = lambda letter, n: F.concat(F.lit(letter), n.cast("string"))
-    on = F.when(case == 3, name("c", t)).when(case == 4, name("c", t.bitwiseXOR(F.lit(2)))).when(case == 5, F.lit("gone")).when((case == 6) & (t > 1), name("c", t - 2)).otherwise(name("s", t))
+    on = F.when(case == 3, name("c", t)).when(case == 4, name("c", t.bitwiseXOR(F.lit(2)))).when(case == 5, F.lit("gone")).when((case == 6) & (t % 8 > 1), name("c", t - 2)).otherwise(name("s", t))
     search = F.struct(name("s", t).alias("id"), F.lit("search").alias("name"), F.to_json(F.struct(F.col("text").alias("query"), F.pmod(F.length("text"), F.lit(120)).alias("top_k"))).alias("arguments"))
     count = F.struct(name("c", t).alias("id"), F.lit("calculator").alias("name"), F.to_json(F.struct(F.struct(on.alias("$ref")).alias("expression"))).alias("arguments"))
     answer = F.pmod("conv_id", F.lit(5))
@@ -133,10 +133,10 @@ plain AS (SELECT conv_id, turn * 3 AS turn, 'text' AS kind, turn * 3 AS place_tu
                  '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":"' || role || '"}' AS json FROM t),
 s AS (SELECT conv_id, turn, 's' || turn AS id, 0 AS index, 0 AS level, CASE WHEN top_k BETWEEN 1 AND 100 THEN 'ok' ELSE 'invalid_arguments' END AS state,
              '{"content":null,"role":"assistant","tool_call":{"arguments":{"query":' || CAST(to_json(text) AS VARCHAR) || ',"top_k":' || top_k || '},"id":"s' || turn || '","name":"search"}}' AS json FROM a),
-dep AS (SELECT *, CASE case_ WHEN 3 THEN 'c' || turn WHEN 4 THEN 'c' || xor(turn, 2) WHEN 5 THEN 'gone' WHEN 6 THEN CASE WHEN turn > 1 THEN 'c' || (turn - 2) ELSE 's1' END ELSE 's' || turn END AS on_ FROM a),
+dep AS (SELECT *, CASE case_ WHEN 3 THEN 'c' || turn WHEN 4 THEN 'c' || xor(turn, 2) WHEN 5 THEN 'gone' WHEN 6 THEN CASE WHEN turn % 8 > 1 THEN 'c' || (turn - 2) ELSE 's' || turn END ELSE 's' || turn END AS on_, turn % 8 // 2 AS above FROM a),
 chain AS (SELECT d.*, EXISTS (SELECT 1 FROM a o WHERE o.conv_id = d.conv_id AND (on_ = 's' || o.turn OR on_ = 'c' || o.turn)) AS known,
-                 case_ = 6 AND (SELECT count(*) FROM a o WHERE o.conv_id = d.conv_id AND o.turn <= d.turn AND o.turn % 2 = 1) = (d.turn + 1) // 2 AND d.turn % 2 = 1 AS whole FROM dep d),
-c AS (SELECT conv_id, turn, 'c' || turn AS id, 1 AS index, CASE WHEN case_ = 6 THEN CASE WHEN whole THEN (turn + 1) // 2 ELSE 0 END WHEN case_ IN (3, 4, 5) THEN 0 ELSE 1 END AS level,
+                 case_ = 6 AND (SELECT count(*) FROM a o WHERE o.conv_id = d.conv_id AND o.turn BETWEEN d.turn - 2 * above AND d.turn AND (d.turn - o.turn) % 2 = 0) = above + 1 AS whole FROM dep d),
+c AS (SELECT conv_id, turn, 'c' || turn AS id, 1 AS index, CASE WHEN case_ = 6 THEN CASE WHEN whole THEN above + 1 ELSE 0 END WHEN case_ IN (3, 4, 5) THEN 0 ELSE 1 END AS level,
              CASE WHEN case_ IN (4, 5) AND NOT known OR case_ = 6 AND NOT whole THEN 'missing_dependency' WHEN case_ IN (3, 4) THEN 'cycle' ELSE 'ok' END AS state,
              '{"content":null,"role":"assistant","tool_call":{"arguments":{"expression":{"$ref":"' || on_ || '"}},"id":"c' || turn || '","name":"calculator"}}' AS json FROM chain),
 calls AS (SELECT * FROM s UNION ALL SELECT * FROM c),
