@@ -53,3 +53,43 @@ def turn_degrees(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy:
     ux, uy, vx, vy = ax - bx, ay - by, cx - bx, cy - by
     cosine = (ux * vx + uy * vy) / F.nullif(F.sqrt(ux * ux + uy * uy) * F.sqrt(vx * vx + vy * vy), F.lit(0.0))
     return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+
+
+def turn_degrees_3d(a: list[Column], b: list[Column], c: list[Column]) -> Column:
+    """The angle at b between the ways to a and to c in space; 180 is straight on. Each is a list of coordinates."""
+    u, v = ([p - q for p, q in zip(x, b, strict=True)] for x in (a, c))
+    dot = lambda p, q: sum((i * j for i, j in zip(p, q, strict=True)), F.lit(0.0))
+    cosine = dot(u, v) / F.nullif(F.sqrt(dot(u, u)) * F.sqrt(dot(v, v)), F.lit(0.0))
+    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+
+
+def distance_3d(a: list[Column], b: list[Column]) -> Column:
+    return F.sqrt(sum(((p - q) ** 2 for p, q in zip(a, b, strict=True)), F.lit(0.0)))
+
+
+def in_box_3d(x: Column, y: Column, z: Column, one: tuple[float, float, float], two: tuple[float, float, float], pad: float = 0.0) -> Column:
+    """Inside the box that two corners span, widened by pad at all sides, borders included."""
+    between = [c.between(min(p, q) - pad, max(p, q) + pad) for c, p, q in zip((x, y, z), one, two, strict=True)]
+    return between[0] & between[1] & between[2]
+
+
+def lerp(a: Column, b: Column, t: Column) -> Column:
+    return a + (b - a) * t
+
+
+def in_triangle(px: Column, py: Column, corners: list[tuple[Column, Column]]) -> Column:
+    """Whether a place has no negative barycentric coordinate in a triangle, whichever way round its corners go."""
+    side = lambda p, q: (q[0] - p[0]) * (py - p[1]) - (q[1] - p[1]) * (px - p[0])
+    s = [side(corners[i], corners[(i + 1) % 3]) for i in range(3)]
+    return (F.least(*s) >= 0) | (F.greatest(*s) <= 0)
+
+
+def section_centre(section: Column, origin_x: float, origin_y: float, size: float) -> Column:
+    """struct(x, y) of the middle of a section."""
+    return F.struct((origin_x + (section_column(section) + 0.5) * size).alias("x"), (origin_y + (section_row(section) + 0.5) * size).alias("y"))
+
+
+def section_bounds(section: Column, origin_x: float, origin_y: float, size: float, halo: float = 0.0) -> Column:
+    """struct(x1, y1, x2, y2) of a section, widened by a halo."""
+    x, y = origin_x + section_column(section) * size, origin_y + section_row(section) * size
+    return F.struct((x - halo).alias("x1"), (y - halo).alias("y1"), (x + size + halo).alias("x2"), (y + size + halo).alias("y2"))

@@ -59,6 +59,11 @@ def leaf_name(section: Column, day: Column, window: Column) -> Column:
     return F.format_string("exposure_s%s_%s_w%s", section.cast("string"), F.date_format(day, "yyyyMMdd"), window.cast("string"))
 
 
+def section_parent_name(section: Column) -> Column:
+    """The name of all leaves of a section together."""
+    return F.format_string("exposure_s%s", section.cast("string"))
+
+
 def nearest_date(day: Column, dates: list) -> Column:
     """The listed date with the fewest days to the given one, the first on ties; without a list day 1 or 15 of its month."""
     if not dates:

@@ -102,9 +102,50 @@ def path_fractions(path_points: DataFrame, fractions: list[float]) -> DataFrame:
     w = Window.partitionBy("path_id").orderBy("position")
     rows = path_points.withColumn("nx", F.lead("x").over(w)).withColumn("ny", F.lead("y").over(w))
     rows = rows.withColumn("leg", F.coalesce(F.sqrt((F.col("nx") - F.col("x")) ** 2 + (F.col("ny") - F.col("y")) ** 2), F.lit(0.0)))
-    rows = rows.withColumn("upto", F.sum("leg").over(w)).withColumn("total", F.sum("leg").over(Window.partitionBy("path_id")))
+    rows = rows.withColumn("upto", F.sum("leg").over(w)).withColumn("from", F.coalesce(F.lag("upto").over(w), F.lit(0.0)))
+    rows = rows.withColumn("total", F.max("upto").over(Window.partitionBy("path_id")))
     rows = rows.withColumn("t", F.explode(F.array(*map(F.lit, fractions)))).withColumn("at", F.col("t") * F.col("total"))
-    rows = rows.where("nx IS NOT NULL AND at >= upto - leg AND at <= upto")
-    part = F.when(F.col("leg") > 0, (F.col("at") - F.col("upto") + F.col("leg")) / F.col("leg")).otherwise(0.0)
+    rows = rows.where("nx IS NOT NULL AND at >= `from` AND at <= upto")
+    part = F.when(F.col("leg") > 0, (F.col("at") - F.col("from")) / F.col("leg")).otherwise(0.0)
     place = F.min(F.struct("position", (F.col("x") + (F.col("nx") - F.col("x")) * part).alias("px"), (F.col("y") + (F.col("ny") - F.col("y")) * part).alias("py")))
     return rows.groupBy("path_id", "t").agg(place.alias("p")).select("path_id", "t", F.round("p.px", 6).alias("x"), F.round("p.py", 6).alias("y"))
+
+
+def points_along(path_points: DataFrame, spacing: float) -> DataFrame:
+    """(path_id, sequence_index, x, y): max(1, length / spacing rounded half to even) places, the ends included.
+
+    A leg lists the places that may lie on it and keeps those from its start up to, but not at, its end; the last point of
+    a path has the last place, and the only one of a path without length.
+    """
+    w = Window.partitionBy("path_id").orderBy("position")
+    rows = path_points.withColumn("nx", F.lead("x").over(w)).withColumn("ny", F.lead("y").over(w))
+    rows = rows.withColumn("leg", F.coalesce(F.sqrt((F.col("nx") - F.col("x")) ** 2 + (F.col("ny") - F.col("y")) ** 2), F.lit(0.0)))
+    rows = rows.withColumn("end", F.sum("leg").over(w)).withColumn("start", F.coalesce(F.lag("end").over(w), F.lit(0.0)))
+    rows = rows.withColumn("total", F.max("end").over(Window.partitionBy("path_id")))
+    rows = rows.withColumn("n", F.greatest(F.lit(1), F.rint(F.col("total") / max(0.01, spacing)).cast("int")))
+    n, total = F.col("n"), F.col("total")
+    about = lambda c, round_: round_(F.col(c) / total * (n - 1)).cast("int")
+    near = F.sequence(F.greatest(F.lit(0), about("start", F.floor) - 1), F.least(n - 1, about("end", F.ceil) + 1))
+    last = F.col("nx").isNull()
+    whole = F.when(last, F.when((n > 1) | (total == 0), F.array(n - 1))).when(F.col("leg") > 0, near)
+    rows = rows.withColumn("sequence_index", F.explode(whole))
+    i = F.col("sequence_index")
+    at = F.when(n > 1, i / (n - 1)).otherwise(0.0) * total
+    rows = rows.where(last | (at >= F.col("start")) & (at < F.col("end")) & ((i < n - 1) | (n == 1)))
+    part = F.when(last, 0.0).otherwise((at - F.col("start")) / F.col("leg"))
+    place = lambda k: F.round(F.col(k) + F.coalesce((F.col("n" + k) - F.col(k)) * part, F.lit(0.0)), 6).alias(k)
+    return rows.select("path_id", "sequence_index", place("x"), place("y"))
+
+
+def block_extents(blocks: DataFrame) -> DataFrame:
+    """(block, n, min_x, min_y, max_x, max_y, cx, cy) of points with their block: size, box and centre of each."""
+    box = [f(c).alias(f"{n}_{c}") for n, f in (("min", F.min), ("max", F.max)) for c in ("x", "y")]
+    return blocks.groupBy("block").agg(F.count("*").alias("n"), *box, F.round(F.avg("x"), 6).alias("cx"), F.round(F.avg("y"), 6).alias("cy"))
+
+
+def month_hour_document(profile: DataFrame) -> DataFrame:
+    """The profile as one nested JSON text: months, in each the hours with their counts and percentage (24 by 12 at most)."""
+    entry = F.struct("sunlit_count", "total_count", "percentage")
+    months = profile.groupBy("month").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("hour").cast("string"), entry)))).alias("hours"))
+    lines = months.select(F.concat(F.lit('"'), F.col("month").cast("string"), F.lit('":'), F.to_json("hours")).alias("line"))
+    return lines.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list("line")), ","), F.lit("}")).alias("document"))

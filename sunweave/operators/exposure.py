@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunweave.functions import solar
-from sunweave.functions.timegrid import snap_timestep
+from sunweave.functions.spatial import in_box
+from sunweave.functions.timegrid import snap_timestep, window_index
+from sunweave.operators import analytics
 
 RUN = ("request_id",)
 
@@ -16,14 +21,45 @@ def edge_rollup(facts: DataFrame, keys: tuple[str, ...] = ("section_id", "edge_i
     return facts.groupBy(*keys).agg(F.count_if("is_sunlit").alias("sunlit_sum"), F.count("*").alias("sample_count"))
 
 
+def rollup_sections(facts: DataFrame, points: DataFrame, sections: list[int] | None = None) -> DataFrame:
+    """The rollup of stored facts (section_id, sample_point_id, datetime, is_sunlit), which get their edge from the points.
+
+    Named sections become a predicate on the facts, which prunes whole leaves; sections no point belongs to raise.
+    """
+    if sections is not None:
+        known = {r["section_id"] for r in points.where(F.col("section_id").isin(sections)).select("section_id").distinct().collect()}
+        if missing := sorted(set(sections) - known):
+            raise ValueError(f"sections without samples: {missing}")
+        facts = facts.where(F.col("section_id").isin(sections))
+    edges = points.select("sample_point_id", "edge_id")
+    return edge_rollup(facts.select("section_id", "sample_point_id", "datetime", "is_sunlit").join(edges, "sample_point_id"))
+
+
+def samples_per_edge(points: DataFrame) -> DataFrame:
+    return points.groupBy("edge_id").agg(F.count("*").alias("sample_count"))
+
+
 def append_missing(rollup: DataFrame, existing: DataFrame, keys: tuple[str, ...] = ("edge_id", "datetime")) -> DataFrame:
     """The rows of rollup that existing has none for (insert if absent)."""
     return rollup.join(existing, list(keys), "left_anti")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """New rows replace those of equal keys; both must have the same columns and unique keys."""
-    return existing.join(new, keys, "left_anti").unionByName(new)
+    """New rows replace those of equal keys, null ones included; both must have the same columns and unique keys."""
+    n = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return existing.join(n, same, "left_anti").unionByName(new)
+
+
+def cleared(facts: DataFrame, points: DataFrame, by: str, dates: list, box: tuple[float, float, float, float]) -> DataFrame:
+    """facts without those of the dates whose sample point or edge (by) has a point in the box; borders are inside.
+
+    points: (by, x, y). What stays is the complement, so that a fact with a null key or time stays.
+    """
+    inside = points.where(in_box(F.col("x"), F.col("y"), *box)).select(by).distinct()
+    old = F.coalesce(F.to_date("datetime").isin([F.lit(d) for d in dates]), F.lit(False))
+    hit = facts.where(old).join(inside, by, "left_anti")
+    return facts.where(~old).unionByName(hit.select(*facts.columns))
 
 
 def edge_profile(points: DataFrame, facts: DataFrame, edge: object, at: Column, reverse: bool = False) -> DataFrame:
@@ -41,16 +77,21 @@ def timed_walk(requests: DataFrame, points: DataFrame, facts: DataFrame) -> Data
     """One row for each sample that a request's walk meets a fact at, with the step it arrives in.
 
     requests: (request_id, edge_id, entry_time, reverse, speed). The arrival decides the step, so that the join is an
-    equality on a computed timestamp: a moving as-of join without any range condition.
+    equality on a computed timestamp: a moving as-of join without any range condition. Where the facts lie in leaves, the
+    section of the point and the date and window of the arrival are keys too: equal ids of two sections don't mix, and the
+    scan leaves out the leaves that no request comes to.
     """
     shape = points.groupBy("edge_id").agg(F.max("distance_from_start").alias("edge_length_m"), F.count("*").alias("n_points"))
     r = requests.withColumn("speed", F.when(F.col("speed") > 0, F.col("speed")).otherwise(F.raise_error(F.lit("speed must be positive")).cast("double")))
-    walk = r.join(shape, "edge_id").join(points.select("edge_id", "sample_point_id", "distance_from_start"), "edge_id")
+    section = ["section_id"] if {"section_id"} <= set(points.columns) & set(facts.columns) else []
+    walk = r.join(shape, "edge_id").join(points.select("edge_id", "sample_point_id", "distance_from_start", *section), "edge_id")
     travelled = F.when(F.col("reverse"), F.col("edge_length_m") - F.col("distance_from_start")).otherwise(F.col("distance_from_start"))
     micros = F.round(travelled / F.col("speed") * 1_000_000).cast("long")
     arrival = F.timestamp_micros(F.unix_micros(F.col("entry_time").cast("timestamp")) + micros).cast("timestamp_ntz")
     walk = walk.withColumn("travelled_m", travelled).withColumn("datetime", snap_timestep(arrival))
-    return walk.join(facts.select("sample_point_id", "datetime", "is_sunlit"), ["sample_point_id", "datetime"], "left")
+    leaf = {c: v for c, v in {"sim_date": F.to_date("datetime"), "window_index": window_index(F.col("datetime"))}.items() if c in facts.columns}
+    keys = ["sample_point_id", "datetime", *section, *leaf]
+    return walk.withColumns(leaf).join(facts.select(*keys, "is_sunlit"), keys, "left").drop(*section, *leaf)
 
 
 def sun_runs(lit: DataFrame, partition: tuple[str, ...] = RUN, order: tuple[str, ...] = ("travelled_m", "sample_point_id")) -> DataFrame:
@@ -64,22 +105,24 @@ def sun_runs(lit: DataFrame, partition: tuple[str, ...] = RUN, order: tuple[str,
 def directional_cost(requests: DataFrame, points: DataFrame, facts: DataFrame) -> DataFrame:
     """Cost of walking edges in a direction from an entry time, a row for each request whose edge has samples.
 
-    samples counts those with a fact; without any, the seconds are 0 and pct_sun, entered and exited null.
+    samples counts those with a fact; without any, the seconds are 0 and pct_sun, entered and exited null. One pass over
+    the facts: in the order of each walk, what came before tells where a stretch or a step begins, and both aggregations
+    keep the partitioning of that window.
     """
     timed = timed_walk(requests, points, facts)
-    lit = timed.where("is_sunlit IS NOT NULL")
-    spacing = F.col("edge_length_m") / F.greatest(F.col("n_points") - 1, F.lit(1))
-    runs = sun_runs(lit).where("is_sunlit").groupBy(F.col("request_id").alias("run_request")).agg(F.max(F.struct(F.col("to_m") - F.col("from_m"))).alias("best"))
-    ends = F.struct("travelled_m", "sample_point_id")
     known = F.col("is_sunlit").isNotNull()
-    cost = timed.groupBy("request_id", "edge_id", "reverse", "speed", "edge_length_m", "n_points").agg(
-        F.count("is_sunlit").alias("samples"),
-        F.count_if("is_sunlit").alias("lit"),
-        F.min_by(F.col("is_sunlit"), F.when(known, ends)).alias("entered_in_sun"),
-        F.max_by(F.col("is_sunlit"), F.when(known, ends)).alias("exited_in_sun"),
-        F.count_distinct(F.when(known, F.col("datetime"))).alias("timesteps_spanned"),
-    )
-    cost = cost.join(runs, F.col("request_id") == F.col("run_request"), "left")
+    before = Window.partitionBy("request_id").orderBy("travelled_m", "sample_point_id").rowsBetween(Window.unboundedPreceding, -1)
+    turn = known & ~F.col("is_sunlit").eqNullSafe(F.last("is_sunlit", ignorenulls=True).over(before))
+    step = known & ~F.col("datetime").eqNullSafe(F.last(F.when(known, F.col("datetime")), ignorenulls=True).over(before))
+    rows = timed.select("*", turn.cast("int").alias("turn"), step.cast("int").alias("step"))
+    rows = rows.withColumn("run", F.sum("turn").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    end = F.when(known, F.struct("travelled_m", "sample_point_id", "is_sunlit"))
+    lit = F.when(F.col("is_sunlit"), F.col("travelled_m"))
+    request = ["request_id", "edge_id", "reverse", "speed", "edge_length_m", "n_points"]
+    runs = rows.groupBy(*request, "run").agg(F.count("is_sunlit").alias("samples"), F.count_if("is_sunlit").alias("lit"), F.min(end).alias("first"), F.max(end).alias("last"), F.sum("step").alias("steps"), (F.max(lit) - F.min(lit)).alias("length"))
+    sums = [F.sum(c).alias(c) for c in ("samples", "lit", "steps")]
+    cost = runs.groupBy(*request).agg(*sums, F.min("first")["is_sunlit"].alias("entered_in_sun"), F.max("last")["is_sunlit"].alias("exited_in_sun"), F.max("length").alias("best"))
+    spacing = F.col("edge_length_m") / F.greatest(F.col("n_points") - 1, F.lit(1))
     sun, all_ = F.col("lit"), F.col("samples")
     return cost.select(
         "request_id", "edge_id", "reverse", "samples", "edge_length_m",
@@ -88,8 +131,8 @@ def directional_cost(requests: DataFrame, points: DataFrame, facts: DataFrame) -
         F.round((all_ - sun) * spacing / F.col("speed"), 6).alias("shade_seconds"),
         F.round(F.lit(100).cast("decimal(20,0)") * sun / F.nullif(all_, F.lit(0)), 2).cast("double").alias("pct_sun"),
         "entered_in_sun", "exited_in_sun",
-        F.round(F.coalesce(F.col("best.col1") + spacing, F.lit(0.0)), 6).alias("longest_sun_run_m"),
-        "timesteps_spanned",
+        F.round(F.coalesce(F.col("best") + spacing, F.lit(0.0)), 6).alias("longest_sun_run_m"),
+        F.col("steps").alias("timesteps_spanned"),
     )
 
 
@@ -98,38 +141,103 @@ def step_facts(points: DataFrame, steps: DataFrame, lit: Column) -> DataFrame:
     return points.crossJoin(F.broadcast(steps)).withColumn("is_sunlit", lit)
 
 
+def _rays(samples: DataFrame, live: DataFrame, cell: float, reach: float, lift: float, top: Column) -> DataFrame:
+    """Rays of each sample to each sun, with the cells of places a cell apart along them: (.., cx, cy).
+
+    Any place of a ray lies within half a cell of one of these, so that a caster entered half a cell around its box meets
+    the ray by an equality on cells. A ray ends where it rises above the highest caster, and at reach.
+    """
+    a = F.radians("azimuth")
+    suns = F.broadcast(live.select("datetime", F.sin(a).alias("dx"), F.cos(a).alias("dy"), F.tan(F.radians("elevation")).alias("rise")))
+    rays = samples.select("sample_point_id", "x", "y", (F.col("z") + lift).alias("z")).crossJoin(suns)
+    far = F.least(F.lit(float(reach)), F.when(F.col("rise") > 0, F.greatest(F.lit(0.0), (top - F.col("z")) / F.col("rise"))).otherwise(F.lit(float(reach))))
+    places = F.transform(F.sequence(F.lit(0), F.ceil(far / cell).cast("int")), lambda i: F.struct(F.floor((F.col("x") + i * cell * F.col("dx")) / cell).alias("cx"), F.floor((F.col("y") + i * cell * F.col("dy")) / cell).alias("cy")))
+    return rays.select("*", F.inline(F.array_distinct(places)))
+
+
+def _in_cells(casters: DataFrame, cell: float, x1: Column, y1: Column, x2: Column, y2: Column) -> DataFrame:
+    """Casters with each cell that their box, widened by half a cell, meets."""
+    c = lambda v: F.floor(v / cell)
+    half = cell / 2
+    cells = F.transform(F.sequence(c(x1 - half), c(x2 + half)), lambda i: F.transform(F.sequence(c(y1 - half), c(y2 + half)), lambda j: F.struct(i.alias("cx"), j.alias("cy"))))
+    return casters.select("*", F.inline(F.flatten(cells)))
+
+
+def _facts_without(samples: DataFrame, sun: DataFrame, shaded: DataFrame) -> DataFrame:
+    every = samples.select("sample_point_id").crossJoin(F.broadcast(sun.select("datetime", solar.below_guard(F.col("elevation")).alias("dark"))))
+    out = every.join(shaded.withColumn("shaded", F.lit(True)), ["sample_point_id", "datetime"], "left")
+    return out.select("sample_point_id", "datetime", (F.col("shaded").isNull() & ~F.col("dark")).alias("is_sunlit"))
+
+
 def occluded_facts(samples: DataFrame, sun: DataFrame, casters: DataFrame, cell: float = 250.0, reach: float = 2286.0, lift: float = 3.0) -> DataFrame:
     """Facts (sample_point_id, datetime, is_sunlit) by box casters: a ray to the sun that hits none is lit.
 
-    samples: (sample_point_id, x, y, z); sun: (datetime, azimuth, elevation), of bounded number; casters: axis-parallel
-    boxes (x1, y1, x2, y2, top). Nothing farther than reach can shade a sample above the guard. Casters are entered in
-    all cells from which their shadow band can start, so that rays and casters meet by an equality on cells.
+    samples: (sample_point_id, x, y, z); sun: (datetime, azimuth, elevation), the steps of a day or of a few (a year of
+    minutes is half a million rows, whatever the data); casters: axis-parallel boxes (x1, y1, x2, y2, top). Nothing farther
+    than reach can shade a sample above the guard.
     """
-    near = F.transform(F.sequence(F.floor((F.col("x1") - reach) / cell), F.floor((F.col("x2") + reach) / cell)), lambda i: F.transform(F.sequence(F.floor((F.col("y1") - reach) / cell), F.floor((F.col("y2") + reach) / cell)), lambda j: F.struct(i.alias("cx"), j.alias("cy"))))
-    boxes = casters.select("x1", "y1", "x2", "y2", "top", F.inline(F.flatten(near)))
-    s = samples.select("sample_point_id", "x", "y", (F.col("z") + lift).alias("z"), F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
     live = sun.where(~solar.below_guard(F.col("elevation")))
-    a = F.radians("azimuth")
-    rays = s.join(boxes, ["cx", "cy"]).crossJoin(F.broadcast(live.select("datetime", F.sin(a).alias("dx"), F.cos(a).alias("dy"), F.tan(F.radians("elevation")).alias("rise"))))
+    top = casters.agg(F.max("top").alias("t")).first()["t"]
+    boxes = _in_cells(casters.select("x1", "y1", "x2", "y2", "top"), cell, *map(F.col, ("x1", "y1", "x2", "y2")))
+    rays = _rays(samples, live, cell, reach, lift, F.lit(top).cast("double")).join(boxes, ["cx", "cy"])
     # Slab test of the level ray; the box shades where the ray is still below its top when it enters.
     span = lambda p, d, lo, hi: (F.when(F.abs(d) < 1e-12, F.when((p >= lo) & (p <= hi), F.lit(0.0)).otherwise(F.lit(1e18))).otherwise(F.least((lo - p) / d, (hi - p) / d)), F.when(F.abs(d) < 1e-12, F.when((p >= lo) & (p <= hi), F.lit(1e18)).otherwise(F.lit(-1e18))).otherwise(F.greatest((lo - p) / d, (hi - p) / d)))
     ex, fx = span(F.col("x"), F.col("dx"), F.col("x1"), F.col("x2"))
     ey, fy = span(F.col("y"), F.col("dy"), F.col("y1"), F.col("y2"))
     enter = F.greatest(ex, ey, F.lit(0.0))
     hit = (enter <= F.least(fx, fy)) & (enter <= reach) & (F.col("z") + enter * F.col("rise") < F.col("top"))
-    shaded = rays.where(hit).select("sample_point_id", "datetime").distinct().withColumn("shaded", F.lit(True))
-    every = samples.select("sample_point_id").crossJoin(F.broadcast(sun.select("datetime", solar.below_guard(F.col("elevation")).alias("dark"))))
-    return every.join(shaded, ["sample_point_id", "datetime"], "left").select("sample_point_id", "datetime", (F.col("shaded").isNull() & ~F.col("dark")).alias("is_sunlit"))
+    return _facts_without(samples, sun, rays.where(hit).select("sample_point_id", "datetime").distinct())
+
+
+def mesh_facts(samples: DataFrame, sun: DataFrame, triangles: DataFrame, cell: float = 250.0, reach: float = 2286.0, lift: float = 3.0) -> DataFrame:
+    """Facts like ``occluded_facts`` by the triangles of a mesh (x1, y1, z1 to x3, y3, z3), both sides of which shade.
+
+    The ray from (x, y, z + lift) along (dx, dy, rise) for each metre of ground meets a triangle's plane at the ground
+    distance t, and the triangle where the plane's barycentric coordinates are not negative.
+    """
+    live = sun.where(~solar.below_guard(F.col("elevation")))
+    top = triangles.agg(F.max(F.greatest("z1", "z2", "z3")).alias("t")).first()["t"]
+    low, high = (lambda k: F.least(*[k + i for i in "123"])), (lambda k: F.greatest(*[k + i for i in "123"]))
+    corners = [F.col(k + i) for i in "123" for k in "xyz"]
+    meshes = _in_cells(triangles.select(*corners), cell, low("x"), low("y"), high("x"), high("y"))
+    rays = _rays(samples, live, cell, reach, lift, F.lit(top).cast("double")).join(meshes, ["cx", "cy"])
+    v = lambda a, b: tuple(a_ - b_ for a_, b_ in zip(a, b, strict=True))
+    cross = lambda a, b: (a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
+    dot = lambda a, b: a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
+    one, two, three = (tuple(F.col(k + i) for k in "xyz") for i in "123")
+    way, start = (F.col("dx"), F.col("dy"), F.col("rise")), (F.col("x"), F.col("y"), F.col("z"))
+    e1, e2, s = v(two, one), v(three, one), v(start, one)
+    p, q = cross(way, e2), cross(s, e1)
+    rays = rays.withColumn("det", dot(e1, p)).where(F.abs("det") > 1e-12)
+    a, b, t = dot(s, p) / F.col("det"), dot(way, q) / F.col("det"), dot(e2, q) / F.col("det")
+    hit = (a >= 0) & (b >= 0) & (a + b <= 1) & (t >= 0) & (t <= reach)
+    return _facts_without(samples, sun, rays.where(hit).select("sample_point_id", "datetime").distinct())
+
+
+def lit_along_paths(path_points: DataFrame, azimuth: float, elevation: float, casters: DataFrame, spacing: float = 2.0, ground: float = 0.0) -> DataFrame:
+    """(path_id, n, lit): samples along each path, the ends included, and how many of them a sun lights up.
+
+    path_points: (path_id, position, x, y); casters as for ``occluded_facts``. Below the guard none is lit.
+    """
+    samples = analytics.points_along(path_points, spacing)
+    key = F.struct("path_id", "sequence_index")
+    at = samples.select(key.alias("sample_point_id"), "x", "y", F.lit(ground).alias("z"))
+    sun = path_points.sparkSession.createDataFrame([(0, float(azimuth), float(elevation))], "datetime int, azimuth double, elevation double")
+    facts = occluded_facts(at, sun, casters)
+    return facts.groupBy(F.col("sample_point_id.path_id").alias("path_id")).agg(F.count("*").alias("n"), F.count_if("is_sunlit").alias("lit"))
 
 
 def pack_words(facts: DataFrame, keys: list[str], step: str = "k", width: int = 60) -> DataFrame:
-    """Bits of lit steps, in words of width steps: bit k of word w is step w * width + k."""
-    bit = F.when(F.col("is_sunlit"), F.shiftleft(F.lit(1).cast("long"), 0) * F.pow(F.lit(2.0), F.col(step) % width).cast("long")).otherwise(0)
-    return facts.groupBy(*keys, F.floor(F.col(step) / width).cast("int").alias("word")).agg(F.sum(bit).cast("long").alias("bits"), F.count("*").alias("steps"))
+    """(keys, word, bits, present): bit k of word w is step w * width + k, lit and there at all.
+
+    Missing steps stay missing, and a step told twice is lit if any telling is; width is 62 at most.
+    """
+    bit = F.expr(f"shiftleft(1L, cast({step} % {width} AS int))")
+    return facts.groupBy(*keys, F.floor(F.col(step) / width).cast("int").alias("word")).agg(F.bit_or(F.when(F.col("is_sunlit"), bit).otherwise(F.lit(0).cast("long"))).alias("bits"), F.bit_or(bit).alias("present"))
 
 
 def unpack_words(packed: DataFrame, keys: list[str], step: str = "k", width: int = 60) -> DataFrame:
-    rows = packed.withColumn("_k", F.explode(F.sequence(F.lit(0), (F.col("steps") - 1).cast("int"))))
+    rows = packed.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).where(F.getbit("present", "_k") == 1)
     return rows.select(*keys, (F.col("word") * width + F.col("_k")).alias(step), (F.getbit("bits", "_k") == 1).alias("is_sunlit"))
 
 

@@ -2,32 +2,54 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunweave.functions.spatial import turn_degrees
+from sunweave.functions.spatial import turn_degrees, turn_degrees_3d
 from sunweave.operators.components import connected_components
+from sunweave.operators.greedy import first_come
+from sunweave.operators.prefix import running
 from sunweave.operators.spatial import edge_set, neighbours, within
 from sunweave.sources.shared import written
 
 EIGHT = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]
 
 
+def _z(nodes: DataFrame) -> DataFrame:
+    return nodes if "z" in nodes.columns else nodes.withColumn("z", F.lit(0.0))
+
+
+def _at(nodes: DataFrame, name: str) -> DataFrame:
+    """Nodes as (name, namex, namey, namez)."""
+    return _z(nodes).select(F.col("id").alias(name), *[F.col(c).alias(name + c) for c in "xyz"])
+
+
+def _apart(a: str, b: str) -> Column:
+    """Distance in space of two places with such column prefixes."""
+    return F.sqrt(sum(((F.col(a + c) - F.col(b + c)) ** 2 for c in "xyz"), F.lit(0.0)))
+
+
+def _near(nodes: DataFrame, others: DataFrame, radius: float) -> DataFrame:
+    """Pairs of nodes and others at most radius apart in space, in both directions but for a node and itself, with dist."""
+    o = _z(others).select(F.col("id").alias("other"), "x", "y", F.col("z").alias("r_z"))
+    d = F.sqrt((F.col("x") - F.col("r_x")) ** 2 + (F.col("y") - F.col("r_y")) ** 2 + (F.col("z") - F.col("r_z")) ** 2)
+    return within(_z(nodes), o, radius).where("id <> other").withColumn("dist", d).where(F.col("dist") <= radius)
+
+
 def decluster(nodes: DataFrame, radius: float) -> DataFrame:
-    """(id, representative): nodes linked at strictly less than radius share the member nearest their centroid.
+    """(id, representative): nodes linked at strictly less than radius in space share the member nearest their centroid.
 
-    Ties go to the smallest id (a defined order instead of that of the input). nodes: (id, x, y).
+    Ties go to the smallest id (a defined order instead of that of the input). nodes: (id, x, y) and, if there is one, z.
     """
-    other = nodes.select(F.col("id").alias("other"), "x", "y")
-    d2 = (F.col("x") - F.col("r_x")) ** 2 + (F.col("y") - F.col("r_y")) ** 2
-    links = within(nodes, other, radius).where((F.col("id") < F.col("other")) & (d2 < radius * radius)).select(F.col("id").alias("src"), F.col("other").alias("dst"))
+    links = _near(nodes, nodes, radius).where((F.col("id") < F.col("other")) & (F.col("dist") < radius)).select(F.col("id").alias("src"), F.col("other").alias("dst"))
     root = connected_components(written(links, "links"))
-    of = nodes.join(root, F.col("id") == F.col("node"), "left").select("id", "x", "y", F.coalesce("root", "id").alias("root"))
-    centre = of.groupBy("root").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
-    d = F.round((F.col("x") - F.col("mx")) ** 2 + (F.col("y") - F.col("my")) ** 2, 6)
+    of = _z(nodes).join(root, F.col("id") == F.col("node"), "left").select("id", "x", "y", "z", F.coalesce("root", "id").alias("root"))
+    centre = of.groupBy("root").agg(*[F.avg(c).alias("m" + c) for c in "xyz"])
+    d = F.round(sum(((F.col(c) - F.col("m" + c)) ** 2 for c in "xyz"), F.lit(0.0)), 6)
     best = of.join(centre, "root").groupBy("root").agg(F.min(F.struct(d.alias("d"), "id"))["id"].alias("representative"))
     return of.join(best, "root").select("id", "representative")
 
@@ -38,19 +60,41 @@ def rewrite_edges(edges: DataFrame, mapping: DataFrame) -> DataFrame:
     return edge_set(edges.select("a", "b").join(a, "a").join(b, "b"), "ra", "rb")
 
 
+def merge_near(nodes: DataFrame, edges: DataFrame, radius: float = 2.5) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) after each node, in order of ids, took in the later ones left within less than radius.
+
+    A taker's place becomes the mean of its group; it keeps its id. Takers are those that no taker before them is near to,
+    and every other node goes to the first taker it is near to. Loops go; repeated edges stay for ``edge_set``.
+    """
+    pairs = written(_near(nodes, nodes, radius).where((F.col("id") < F.col("other")) & (F.col("dist") < radius)).select(F.col("id").alias("a"), F.col("other").alias("b")), "near")
+    takers = written(first_come(nodes, pairs), "takers")
+    taken = pairs.join(takers.select(F.col("id").alias("a")), "a", "left_semi").join(takers.select(F.col("id").alias("b")), "b", "left_anti")
+    of = takers.select("id", F.col("id").alias("taker")).unionByName(taken.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("taker")))
+    of = written(of, "taken")
+    merged = _z(nodes).join(of, "id").groupBy(F.col("taker").alias("id")).agg(*[F.round(F.avg(c), 9).alias(c) for c in "xyz"])
+    to = lambda k: of.select(F.col("id").alias(k), F.col("taker").alias("t" + k))
+    moved = edges.select("a", "b").join(to("a"), "a").join(to("b"), "b").where("ta <> tb")
+    return merged, moved.select(F.col("ta").alias("a"), F.col("tb").alias("b"))
+
+
 def edge_lengths(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    n = lambda k: nodes.select(F.col("id").alias(k), F.col("x").alias(k + "x"), F.col("y").alias(k + "y"))
-    j = edges.join(n("a"), "a").join(n("b"), "b")
-    return j.withColumn("length", F.round(F.sqrt((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2), 6))
+    """Edges with their ends (ax to bz), length in space and line as WKT."""
+    j = edges.join(_at(nodes, "a"), "a").join(_at(nodes, "b"), "b").withColumn("length", F.round(_apart("a", "b"), 6))
+    return j.withColumn("line", F.format_string("LINESTRING Z (%s %s %s, %s %s %s)", *[F.col(k + c).cast("string") for k in "ab" for c in "xyz"]))
+
+
+def unsampled(edges: DataFrame, samples: DataFrame) -> DataFrame:
+    """Edges (edge_id, ...) that have no sample yet."""
+    return edges.join(samples.select("edge_id").distinct(), "edge_id", "left_anti")
 
 
 def sample_points(edges: DataFrame, spacing: float) -> DataFrame:
-    """Points along each edge: max(1, length / spacing rounded half to even) of them, the ends included. Needs ax to by and length."""
+    """Points along each edge: max(1, length / spacing rounded half to even) of them, the ends included. Needs ax to bz and length."""
     n = F.greatest(F.lit(1), F.rint(F.col("length") / max(0.01, spacing)).cast("int"))
     rows = edges.withColumn("n", n).withColumn("sequence_index", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     t = F.when(F.col("n") > 1, F.col("sequence_index") / (F.col("n") - 1)).otherwise(0.0)
     lerp = lambda k: F.round(F.col("a" + k) + (F.col("b" + k) - F.col("a" + k)) * t, 6).alias(k)
-    return rows.select("a", "b", "sequence_index", (t * F.col("length")).alias("distance_from_start"), lerp("x"), lerp("y"))
+    return rows.select("a", "b", "sequence_index", (t * F.col("length")).alias("distance_from_start"), lerp("x"), lerp("y"), lerp("z"))
 
 
 def redundant_edges(edges: DataFrame, slack: float = 0.1) -> DataFrame:
@@ -73,11 +117,32 @@ def without_short(edges: DataFrame, least: float = 1.0) -> DataFrame:
 def reindexed(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes with an edge, numbered from 0 by id, and the edges in these numbers."""
     used = nodes.join(neighbours(edges).select(F.col("node").alias("id")).distinct(), "id", "left_semi")
-    numbered = used.withColumn("index", F.row_number().over(Window.orderBy("id")) - 1)
+    numbered = written(running(used, [F.col("id")], "index"), "numbered")
     a, b = (numbered.select(F.col("id").alias(k), F.col("index").alias("i" + k)) for k in ("a", "b"))
     return numbered, edges.join(a, "a").join(b, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
 
 
+def without_short_cycles(edges: DataFrame, nodes: DataFrame, most: int = 10) -> DataFrame:
+    """Edges (a, b) without the longest of each cycle of three to most edges; equal lengths go by (a, b).
+
+    Thinning every such cycle, with its chords, to its minimum spanning tree removes exactly the edges between whose ends
+    a way of two to most - 1 shorter edges leads. Shorter ways are followed from both ends at once, half of the hops each,
+    so that an edge sees its surroundings only.
+    """
+    e = written(edge_lengths(edge_set(edges, "a", "b"), nodes).select("a", "b", F.struct(F.round("length", 6).alias("l"), "a", "b").alias("o")), "edges")
+    both = written(e.select(F.col("a").alias("from"), F.col("b").alias("to"), F.col("o").alias("step")).unionByName(e.select(F.col("b").alias("from"), F.col("a").alias("to"), F.col("o").alias("step"))), "steps")
+
+    def reached(end: str, hops: int) -> DataFrame:
+        seen = e.select("o", F.col(end).alias("at"))
+        for _ in range(hops):
+            on = seen.join(both, (F.col("at") == F.col("from")) & (F.col("step") < F.col("o"))).select("o", F.col("to").alias("at"))
+            seen = written(seen.unionByName(on).distinct(), "reached")
+        return seen
+
+    long = reached("a", most // 2).join(reached("b", most - 1 - most // 2), ["o", "at"], "left_semi").select("o").distinct()
+    return e.join(long, "o", "left_anti").select("a", "b")
+
+
 def straight_nodes(edges: DataFrame, nodes: DataFrame, least: float = 165.0) -> DataFrame:
     """(node, p, q): nodes of degree two whose edges go straight on, with their neighbours p < q."""
     two = neighbours(edges).groupBy("node").agg(F.count("*").alias("d"), F.min("other").alias("p"), F.max("other").alias("q")).where("d = 2 AND p <> q")
@@ -100,24 +165,111 @@ def dissolve_straight(edges: DataFrame, nodes: DataFrame, least: float = 165.0)
         edges = written(edge_set(rest.unionByName(go.select(F.col("p").alias("a"), F.col("q").alias("b"))), "a", "b"), "edges")
 
 
-def spurs(edges: DataFrame) -> DataFrame:
-    """(node, other): dead ends at crossings, the ones that pruning takes."""
+def _ends(edges: DataFrame) -> DataFrame:
+    """(node, other): dead ends with their only neighbour."""
+    return neighbours(edges).join(degrees(edges).where("degree = 1").select("node"), "node", "left_semi")
+
+
+def _ahead(edges: DataFrame, nodes: DataFrame, reach: float) -> DataFrame:
+    """(node, other, to, dist, turn): nodes within reach of each dead end and the degrees it would turn to them."""
+    ends = _ends(edges).join(_at(nodes, "node"), "node").join(_at(nodes, "other"), "other")
+    ends = ends.withColumnsRenamed({"nodex": "x", "nodey": "y", "nodez": "z"}).withColumn("id", F.col("node"))
+    pairs = _near(ends.withColumnRenamed("other", "from"), nodes, reach).where("from <> other")
+    turn = 180 - turn_degrees_3d([F.col("other" + c) for c in "xyz"], [F.col(c) for c in "xyz"], [F.col("r_" + c) for c in "xyz"])
+    return pairs.select("node", F.col("from").alias("other"), F.col("other").alias("to"), F.round("dist", 6).alias("dist"), F.round(turn, 6).alias("turn"))
+
+
+def spurs(edges: DataFrame, nodes: DataFrame | None = None, turn: float = 75.0, reach: float = 5.0, ahead: float = 32.0) -> DataFrame:
+    """(node, other): dead ends that pruning takes: at crossings, and after a sharp turn with nothing ahead.
+
+    The second kind, which needs the nodes, hangs on a node of degree two, turns there by more than turn degrees, and has no
+    node within reach that lies less than ahead degrees off its way.
+    """
+    ends = _ends(edges).join(degrees(edges).select(F.col("node").alias("other"), "degree"), "other")
+    crossing = ends.where("degree > 2").select("node", "other")
+    if nodes is None:
+        return crossing
+    bent = ends.where("degree = 2").select("node", "other").join(neighbours(edges).select(F.col("node").alias("other"), F.col("other").alias("next")), "other").where("next <> node")
+    bent = bent.join(_at(nodes, "node"), "node").join(_at(nodes, "other"), "other").join(_at(nodes, "next"), "next")
+    angle = 180 - turn_degrees_3d(*[[F.col(k + c) for c in "xyz"] for k in ("node", "other", "next")])
+    forward = _ahead(edges, nodes, reach).where(F.col("turn") < ahead).select("node").distinct()
+    return crossing.unionByName(bent.where(angle > turn).select("node", "other").join(forward, "node", "left_anti"))
+
+
+def pruned(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges without those of spurs."""
+    gone = spurs(edges, nodes).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return edge_set(edges, "a", "b").join(gone, ["a", "b"], "left_anti")
+
+
+def attach_isolated(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): each node without an edge joined to the nearest other of at most one; ties go to the smallest id.
+
+    All choose at once, by the degrees before. The search widens by doubling its radius until every node has a partner.
+    """
     d = degrees(edges)
-    ends = neighbours(edges).join(d.where("degree = 1").select("node"), "node")
-    return ends.join(d.where("degree > 2").select(F.col("node").alias("other")), "other").select("node", "other")
+    single = written(_z(nodes).join(d.where("degree > 1").select(F.col("node").alias("id")), "id", "left_anti").select("id", "x", "y", "z"), "single")
+    open_ = written(single.join(d.select(F.col("node").alias("id")), "id", "left_anti"), "open")
+    if single.count() < 2 or open_.isEmpty():
+        return edges.select("a", "b").limit(0)
+    box = single.agg(*[f(c).alias(n + c) for c in "xyz" for n, f in (("low", F.min), ("high", F.max))]).first()
+    span = math.dist([box["low" + c] for c in "xyz"], [box["high" + c] for c in "xyz"])
+    radius, found = max(span / 1024, 1e-6), None
+    while True:
+        best = written(_near(open_, single, radius).groupBy("id").agg(F.min(F.struct("dist", "other"))["other"].alias("to")), "partners")
+        found = best if found is None else written(found.unionByName(best), "partners")
+        open_ = written(open_.join(best.select("id"), "id", "left_anti"), "open")
+        if open_.isEmpty():
+            return edge_set(found, "id", "to")
+        radius *= 2
 
 
 def bridges(edges: DataFrame, nodes: DataFrame, reach: float = 10.0, turn: float = 40.0) -> DataFrame:
-    """(node, to, dist): the nearest node ahead of each dead end, within reach and turn, that it has no edge to yet."""
-    d = degrees(edges).where("degree = 1").select("node")
-    ends = neighbours(edges).join(d, "node")
-    at = lambda k, **n: nodes.select(F.col("id").alias(k), F.col("x").alias(n.get("x", k + "x")), F.col("y").alias(n.get("y", k + "y")))
-    ends = ends.join(at("node", x="x", y="y"), "node").join(at("other"), "other")
-    pairs = within(ends, nodes.select(F.col("id").alias("to"), "x", "y"), reach).where("node <> to AND other <> to")
-    ahead = 180 - turn_degrees(F.col("otherx"), F.col("othery"), F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y"))
-    pairs = pairs.where(ahead <= turn).withColumn("dist", F.round(F.sqrt((F.col("x") - F.col("r_x")) ** 2 + (F.col("y") - F.col("r_y")) ** 2), 6))
-    pairs = pairs.join(neighbours(edges).select("node", F.col("other").alias("to")), ["node", "to"], "left_anti")
-    return pairs.groupBy("node").agg(F.min(F.struct("dist", "to")).alias("b")).select("node", "b.to", "b.dist")
+    """(node, to, dist): the node ahead of each dead end that it is joined to, within reach and turn, with no edge to it yet.
+
+    Candidates are taken nearest first, then by (node, to): one for each dead end, and none that joins two dead ends again
+    the other way round.
+    """
+    there = neighbours(edges).select("node", F.col("other").alias("to"))
+    c = written(_ahead(edges, nodes, reach).where(F.col("turn") <= turn).join(there, ["node", "to"], "left_anti").select("node", "to", "dist"), "candidates")
+    order = lambda p: F.struct(F.col(p + "dist"), F.col(p + "node"), F.col(p + "to"))
+    one = c.select(*[F.col(x).alias("l_" + x) for x in c.columns])
+    two = c.select(*[F.col(x).alias("r_" + x) for x in c.columns])
+    key = lambda p: F.struct(F.col(p + "node").alias("node"), F.col(p + "to").alias("to"))
+    again = one.join(two, (F.col("l_node") == F.col("r_to")) & (F.col("l_to") == F.col("r_node")))
+    same = one.join(two, F.col("l_node") == F.col("r_node"))
+    blocks = same.unionByName(again).where(order("l_") < order("r_")).select(key("l_").alias("a"), key("r_").alias("b"))
+    taken = first_come(c.select(key("").alias("id")), blocks).select("id.node", "id.to")
+    return c.join(taken, ["node", "to"]).select("node", "to", "dist")
+
+
+def closed_bends(edges: DataFrame, nodes: DataFrame, bend: float = 135.0, reach: float = 15.0) -> DataFrame:
+    """(a, b): sharp bends joined to the nearest crossing or other sharp bend less than reach away.
+
+    Bends are nodes of degree two with an angle below bend, in order of ids; one that an earlier bend was joined to has
+    three edges then and is passed over. A partner it has an edge to already closes nothing.
+    """
+    two = neighbours(edges).groupBy("node").agg(F.count("*").alias("d"), F.min("other").alias("p"), F.max("other").alias("q"))
+    at = two.where("d = 2").join(_at(nodes, "node"), "node").join(_at(nodes, "p"), "p").join(_at(nodes, "q"), "q")
+    angle = turn_degrees_3d(*[[F.col(k + c) for c in "xyz"] for k in ("p", "node", "q")])
+    bends = written(at.where(angle < bend).select(F.col("node").alias("id"), "p", "q"), "bends")
+    targets = bends.select("id").unionByName(two.where("d > 2").select(F.col("node").alias("id")))
+    place = _z(nodes).select("id", "x", "y", "z")
+    near = _near(bends.join(place, "id"), targets.join(place, "id"), reach).where((F.col("dist") < reach) & (F.col("other") != F.col("p")) & (F.col("other") != F.col("q")))
+    choice = written(near.groupBy("id").agg(F.min(F.struct(F.round("dist", 6).alias("d"), "other"))["other"].alias("to")), "choices")
+    before = choice.where("id < to").join(choice.select(F.col("id").alias("to")), "to", "left_semi").select(F.col("id").alias("a"), F.col("to").alias("b"))
+    act = first_come(choice, before)
+    return edge_set(choice.join(act, "id"), "id", "to")
+
+
+def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges after isolated nodes were attached, spurs pruned twice, dead ends bridged and bends closed."""
+    edges = written(edge_set(edges.select("a", "b").unionByName(attach_isolated(edges, nodes)), "a", "b"), "edges")
+    for _ in range(2):
+        edges = written(pruned(edges, nodes), "edges")
+    more = bridges(edges, nodes).select(F.col("node").alias("a"), F.col("to").alias("b"))
+    edges = written(edge_set(edges.unionByName(more), "a", "b"), "edges")
+    return edge_set(edges.unionByName(closed_bends(edges, nodes)), "a", "b")
 
 
 def _first_paths(others: int):
@@ -171,23 +323,30 @@ def simple_paths(edges: DataFrame, starts: DataFrame, hops: int) -> DataFrame:
 
 
 def kmeans_blocks(points: DataFrame, k: int, rounds: int) -> DataFrame:
-    """(id, block): Lloyd's rounds from k seeds spread over the ids; an empty block keeps its centre.
+    """(id, block): Lloyd's rounds from k seeds, the points that come first by hash.
 
-    Only the k centres, a bounded number, travel between rounds.
+    An empty block starts anew at a point drawn by hashing with the round and the block. Only the k centres, a bounded
+    number, travel between rounds, one job a round.
     """
-    seeds = points.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(k).select("x", "y").collect()
-    centres = [(r["x"], r["y"]) for r in seeds]
+    first = lambda n, of: [(r["x"], r["y"]) for r in points.select("x", "y", "id", F.xxhash64("id", F.lit(of)).alias("h")).orderBy("h", "id").limit(n).collect()]
+    centres = first(k, 0)
 
     def nearest_centre(df: DataFrame) -> DataFrame:
         each = F.array(*[F.struct(((F.col("x") - x) ** 2 + (F.col("y") - y) ** 2).alias("d"), F.lit(i).alias("i")) for i, (x, y) in enumerate(centres)])
         return df.withColumn("block", F.array_min(each)["i"])
 
-    for _ in range(rounds if centres else 0):
+    for turn in range(rounds if centres else 0):
         means = {r["block"]: (r["x"], r["y"]) for r in nearest_centre(points).groupBy("block").agg(F.avg("x").alias("x"), F.avg("y").alias("y")).collect()}
-        centres = [means.get(i, c) for i, c in enumerate(centres)]
+        centres = [means.get(i) or first(1, 1 + turn * k + i)[0] for i in range(len(centres))]
     return nearest_centre(points).select("id", "block") if centres else points.select("id", F.lit(0).alias("block"))
 
 
+def block_edges(edges: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(block, a, b): edges both of whose ends are in one block."""
+    of = lambda k: blocks.select(F.col("id").alias(k), F.col("block").alias("b" + k))
+    return edges.join(of("a"), "a").join(of("b"), "b").where("ba = bb").select(F.col("ba").alias("block"), "a", "b")
+
+
 # --- rasters: sparse tables of cells (cx, cy) -------------------------------------------------------------------------------
 
 
@@ -206,29 +365,47 @@ def rasterise(triangles: DataFrame, size: float = 1.0) -> DataFrame:
     return cells.where((F.least(*s) >= 0) | (F.greatest(*s) <= 0)).select("cx", "cy").distinct()
 
 
-def dilate(cells: DataFrame) -> DataFrame:
-    return _offsets(cells, [(0, 0), *EIGHT]).select(F.col("nx").alias("cx"), F.col("ny").alias("cy")).distinct()
+def dilate(cells: DataFrame, width: int, height: int, times: int = 2) -> DataFrame:
+    """Cells (cx, cy) of a grid grown so many times by all eight neighbours; the grid's outermost cells stay as they are."""
+    inner = F.col("nx").between(1, width - 2) & F.col("ny").between(1, height - 2)
+    here = cells.select("cx", "cy").distinct()
+    for _ in range(times):
+        grown = _offsets(here, EIGHT).where(inner).select(F.col("nx").alias("cx"), F.col("ny").alias("cy"))
+        here = here.unionByName(grown).distinct()
+    return here
 
 
-def distance_transform(cells: DataFrame, most: int) -> DataFrame:
-    """(cx, cy, dist): steps to the nearest empty cell over eight neighbours, peeled layer by layer (most bounds them)."""
-    left, out = cells.select("cx", "cy"), None
-    for layer in range(1, most + 1):
-        full = left.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"))
-        inner = _offsets(left, EIGHT).join(full, ["nx", "ny"]).groupBy("cx", "cy").agg(F.count("*").alias("k")).where("k = 8").select("cx", "cy")
-        inner = written(inner, "layer") if layer < most else inner.limit(0)
-        rim = left.join(inner, ["cx", "cy"], "left_anti").select("cx", "cy", F.lit(layer).alias("dist"))
-        out = rim if out is None else out.unionByName(rim)
-        if inner.isEmpty():
-            break
-        left = inner
-    return out
+def distance_transform(cells: DataFrame, width: int, height: int) -> DataFrame:
+    """(cx, cy, dist): steps over eight neighbours to the nearest empty cell of the grid; what is outside counts as nothing.
 
-
-def ridges(distances: DataFrame) -> DataFrame:
-    """Cells without a neighbour that is farther from the border."""
+    A cell is more than r steps away from any if the square of half-width r around it, cut to the grid, is full. How many
+    full cells a square has is known from the sums at its four corners, so that the largest r is bisected, for all cells at
+    once, in as many joins as the grid's size has bits. dist is null where the grid has no empty cell at all.
+    """
+    spark = cells.sparkSession
+    here = cells.where(F.col("cx").between(0, width - 1) & F.col("cy").between(0, height - 1)).select(F.col("cx").cast("long"), F.col("cy").cast("long")).distinct()
+    grid = spark.range(width * height).select((F.col("id") % width).alias("cx"), F.expr(f"id div {width}").alias("cy"))
+    sums = grid.join(here.withColumn("full", F.lit(1)), ["cx", "cy"], "left")
+    sums = sums.withColumn("n", F.sum(F.coalesce("full", F.lit(0))).over(Window.partitionBy("cy").orderBy("cx")))
+    sums = written(sums.withColumn("n", F.sum("n").over(Window.partitionBy("cx").orderBy("cy"))).select("cx", "cy", "n", F.col("full").isNotNull().alias("full")), "sums")
+    out = sums.where("full").select("cx", "cy", F.lit(0).alias("r"))
+    corner = sums.select(F.col("cx").alias("x"), F.col("cy").alias("y"), "n")
+    for bit in reversed(range(max(width, height).bit_length())):
+        r = F.col("r") + (1 << bit)
+        x1, x2, y1, y2 = F.greatest(F.lit(0), F.col("cx") - r), F.least(F.lit(width - 1), F.col("cx") + r), F.greatest(F.lit(0), F.col("cy") - r), F.least(F.lit(height - 1), F.col("cy") + r)
+        at = lambda x, y, sign: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.lit(sign).alias("sign"))
+        area = (x2 - x1 + 1) * (y2 - y1 + 1)
+        each = out.select("cx", "cy", "r", area.alias("area"), F.inline(F.array(at(x2, y2, 1), at(x1 - 1, y2, -1), at(x2, y1 - 1, -1), at(x1 - 1, y1 - 1, 1))))
+        n = each.join(corner, ["x", "y"], "left").groupBy("cx", "cy", "r", "area").agg(F.sum(F.col("sign") * F.coalesce("n", F.lit(0))).alias("n"))
+        out = n.select("cx", "cy", F.when(F.col("n") == F.col("area"), F.col("r") + (1 << bit)).otherwise(F.col("r")).alias("r"))
+    return out.select("cx", "cy", F.when(F.col("r") < max(width, height), F.col("r") + 1).cast("int").alias("dist"))
+
+
+def ridges(distances: DataFrame, width: int, height: int) -> DataFrame:
+    """Cells inside the grid's border without a neighbour that is farther from an empty cell."""
     d = distances.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("dist").alias("near"))
-    top = _offsets(distances, EIGHT).join(d, ["nx", "ny"], "left").groupBy("cx", "cy", "dist").agg(F.max("near").alias("top"))
+    inside = distances.where(F.col("cx").between(1, width - 2) & F.col("cy").between(1, height - 2))
+    top = _offsets(inside, EIGHT).join(d, ["nx", "ny"], "left").groupBy("cx", "cy", "dist").agg(F.max("near").alias("top"))
     return top.where("top IS NULL OR top <= dist").select("cx", "cy")
 
 

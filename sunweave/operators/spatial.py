@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sunweave.sources.shared import written
+
 
 def within(left: DataFrame, right: DataFrame, radius: float, x: str = "x", y: str = "y") -> DataFrame:
     """Pairs with right's point at most radius from left's (inclusive), right's place as r_x and r_y.
@@ -26,6 +28,40 @@ def nearest(points: DataFrame, px: float, py: float, k: int, key: str = "id") ->
     return points.withColumn("dist", F.round(d, 6)).orderBy("dist", key).limit(k)
 
 
+def around(points: DataFrame, px: float, py: float, radius: float) -> DataFrame:
+    """Points at most radius from a place on the plane; the square around it reaches the scan's statistics."""
+    near = points.where(F.col("x").between(px - radius, px + radius) & F.col("y").between(py - radius, py + radius))
+    return near.where((F.col("x") - px) * (F.col("x") - px) + (F.col("y") - py) * (F.col("y") - py) <= radius * radius)
+
+
+def connectors(ends: DataFrame, waypoints: DataFrame, radius: float = 250.0) -> DataFrame:
+    """(a, b): each end (id, x, y, z) with its nearest waypoint in space, ties to the smallest id; none without waypoints.
+
+    The search goes on with twice the radius for ends that had no waypoint within it.
+    """
+    left, found = written(ends.select("id", "x", "y", "z"), "ends"), None
+    if waypoints.isEmpty():
+        return ends.select(F.col("id").alias("a"), F.lit(None).alias("b")).limit(0)
+    w = waypoints.select(F.col("id").alias("b"), "x", "y", F.col("z").alias("r_z"))
+    while not left.isEmpty():
+        dist = F.sqrt((F.col("x") - F.col("r_x")) ** 2 + (F.col("y") - F.col("r_y")) ** 2 + (F.col("z") - F.col("r_z")) ** 2)
+        pairs = within(left, w, radius).withColumn("d", dist)
+        best = pairs.groupBy("id").agg(F.min(F.struct("d", "b")).alias("m"))
+        # A waypoint farther than radius in space may not be the nearest yet.
+        best = written(best.where(F.col("m.d") <= radius).select(F.col("id").alias("a"), F.col("m.b").alias("b")), "connectors")
+        found = best if found is None else written(found.unionByName(best), "connectors")
+        left = written(left.join(best.select(F.col("a").alias("id")), "id", "left_anti"), "ends")
+        radius *= 2
+    return found if found is not None else ends.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+
+
+def edge_between(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """pairs (a, b) with the columns of the edge between both, whichever way either names its ends; without one they go."""
+    rest = [c for c in edges.columns if c not in ("a", "b")]
+    keyed = edges.select(F.least("a", "b").alias("_u"), F.greatest("a", "b").alias("_v"), *rest).dropDuplicates(["_u", "_v"])
+    return pairs.join(keyed, (F.least("a", "b") == F.col("_u")) & (F.greatest("a", "b") == F.col("_v"))).drop("_u", "_v")
+
+
 def range_windows(rows: DataFrame, starts: DataFrame, rank: str, start: str, length: int) -> DataFrame:
     """Joins each start with the rows of ranks [start, start + length): a range join by listing its ranks."""
     each = starts.withColumn(rank, F.explode(F.sequence(F.col(start), F.col(start) + length - 1)))

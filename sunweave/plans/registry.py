@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunweave.functions import solar, spatial as geo, timegrid
-from sunweave.operators import analytics, capacity, exposure, graph, integrity, queue, spatial, topology
+from sunweave.operators import analytics, capacity, exposure, graph, integrity, queue, report, topology
+from sunweave.operators import spatial as joins
 from sunweave.plans.views import DAY, Views, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,40 +108,71 @@ ORACLES["directional_cost_rev"] = _walked("true", _COST)
 ORACLES["longest_run"] = _walked("false", " SELECT edge_id AS request_id, is_sunlit, run, from_m, to_m, samples FROM runs")
 
 
-@query("points grid_facts", "SELECT edge_id, sample_point_id, CAST(0 AS INTEGER) AS word, CAST(sum(CASE WHEN is_sunlit THEN 1::BIGINT << k ELSE 0 END) AS BIGINT) AS bits, count(*) AS steps FROM grid_facts GROUP BY ALL")
+_PACKED = "SELECT edge_id, sample_point_id, CAST(k // 60 AS INTEGER) AS word, bit_or(CASE WHEN is_sunlit THEN 1::BIGINT << (k % 60) ELSE 0 END) AS bits, bit_or(1::BIGINT << (k % 60)) AS present FROM day_facts GROUP BY ALL"
+_SAMPLE = ["edge_id", "sample_point_id"]
+
+
+@query("points day_facts", _PACKED)
 def pack_day(v):
-    return exposure.pack_words(v.grid_facts(), ["edge_id", "sample_point_id"])
+    return exposure.pack_words(v.day_facts(), _SAMPLE)
 
 
-@query("points grid_facts", "SELECT edge_id, sample_point_id, k, is_sunlit FROM grid_facts")
+@query("points day_facts", "SELECT edge_id, sample_point_id, k, is_sunlit FROM day_facts")
 def unpack_day(v):
-    return exposure.unpack_words(exposure.pack_words(v.grid_facts(), ["edge_id", "sample_point_id"]), ["edge_id", "sample_point_id"])
+    return exposure.unpack_words(exposure.pack_words(v.day_facts(), _SAMPLE), _SAMPLE)
 
 
 @query("", "SELECT * FROM (VALUES ('left', 0::BIGINT), ('right', 0::BIGINT)) t(side, rows)")
 def exposure_bijection(v):
-    facts = v.grid_facts().select("edge_id", "sample_point_id", "k", "is_sunlit")
-    again = exposure.unpack_words(exposure.pack_words(facts, ["edge_id", "sample_point_id"]), ["edge_id", "sample_point_id"])
+    facts = v.day_facts()
+    again = exposure.unpack_words(exposure.pack_words(facts, _SAMPLE), _SAMPLE).select(*facts.columns)
     return integrity.differences(facts, again)
 
 
-@query("grid_facts", "SELECT edge_id, CAST(sum(bit_count(bits)) AS BIGINT) AS lit FROM (SELECT edge_id, sample_point_id, CAST(sum(CASE WHEN is_sunlit THEN 1::BIGINT << k ELSE 0 END) AS BIGINT) AS bits FROM grid_facts GROUP BY ALL) GROUP BY edge_id")
+@query("points day_facts", f"SELECT edge_id, CAST(sum(bit_count(bits)) AS BIGINT) AS lit FROM ({_PACKED}) GROUP BY edge_id")
 def popcount_total(v):
-    return exposure.pack_words(v.grid_facts(), ["edge_id", "sample_point_id"]).groupBy("edge_id").agg(F.sum(F.bit_count("bits")).alias("lit"))
+    return exposure.pack_words(v.day_facts(), _SAMPLE).groupBy("edge_id").agg(F.sum(F.bit_count("bits")).alias("lit"))
 
 
-@query("points trees", "SELECT sample_point_id, edge_id, least(round(COALESCE(s, 0), 6), 1) AS tree_value FROM (SELECT sample_point_id, edge_id, x, y, (SELECT sum(shade_norm) FROM trees t WHERE (t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y) <= 3600) AS s FROM (SELECT *, CAST(sample_point_id * 7919 % 5000 AS DOUBLE) AS x, CAST(sample_point_id * 104729 % 22000 AS DOUBLE) AS y FROM points) p)")
-def tree_shade(v):
-    return exposure.tree_values(_placed_points(v), v.trees(), 60.0)
+@query("points grid_facts", "SELECT section_id, edge_id, datetime, count(*) FILTER (is_sunlit) AS sunlit_sum, count(*) AS sample_count FROM grid_facts GROUP BY ALL")
+def section_rollup(v):
+    facts = v.grid_facts().select("section_id", "sample_point_id", "datetime", "is_sunlit")
+    return exposure.rollup_sections(facts, v.points())
+
+
+@query("points grid_facts", "SELECT section_id, edge_id, datetime, count(*) FILTER (is_sunlit) AS sunlit_sum, count(*) AS sample_count FROM grid_facts WHERE section_id IN (1, 4) GROUP BY ALL")
+def section_rollup_some(v):
+    facts = v.grid_facts().select("section_id", "sample_point_id", "datetime", "is_sunlit")
+    return exposure.rollup_sections(facts, v.points(), [1, 4])
+
+
+@query("points", "SELECT edge_id, count(*) AS sample_count FROM points GROUP BY edge_id")
+def edge_samples(v):
+    return exposure.samples_per_edge(v.points())
 
 
-def _placed_points(v):
-    return v.points().select("*", ((F.col("sample_point_id") * 7919) % 5000).cast("double").alias("x"), ((F.col("sample_point_id") * 104729) % 22000).cast("double").alias("y"))
+_BOX, _CLEARED = "x BETWEEN 500 AND 2500 AND y BETWEEN 1000 AND 9000", "CAST(datetime AS DATE) IN (DATE '2024-01-03', DATE '2024-01-05')"
+_CLEAR = ([date(2024, 1, 3), date(2024, 1, 5)], (2500.0, 1000.0, 500.0, 9000.0))
+
+
+@query("samples points placed_points", f"SELECT * FROM samples WHERE NOT ({_CLEARED} AND sample_point_id IN (SELECT sample_point_id FROM placed_points WHERE {_BOX}))")
+def cleared_facts(v):
+    return exposure.cleared(v.samples(), v.placed_points(), "sample_point_id", *_CLEAR)
+
+
+@query("rollup points placed_points", f"SELECT * FROM rollup WHERE NOT ({_CLEARED} AND edge_id IN (SELECT edge_id FROM placed_points WHERE {_BOX}))")
+def cleared_rollup(v):
+    return exposure.cleared(exposure.edge_rollup(v.samples()), v.placed_points(), "edge_id", *_CLEAR)
+
+
+@query("points trees", "SELECT sample_point_id, edge_id, least(round(COALESCE(s, 0), 6), 1) AS tree_value FROM (SELECT sample_point_id, edge_id, x, y, (SELECT sum(shade_norm) FROM trees t WHERE (t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y) <= 3600) AS s FROM (SELECT *, CAST(sample_point_id * 7919 % 5000 AS DOUBLE) AS x, CAST(sample_point_id * 104729 % 22000 AS DOUBLE) AS y FROM points) p)")
+def tree_shade(v):
+    return exposure.tree_values(v.placed_points(), v.trees(), 60.0)
 
 
 @query("points trees", "SELECT edge_id, round(sum(least(round(COALESCE(s, 0), 6), 1)), 4) AS total_tree_value FROM (SELECT edge_id, (SELECT sum(shade_norm) FROM trees t WHERE (t.x - p.x) * (t.x - p.x) + (t.y - p.y) * (t.y - p.y) <= 3600) AS s FROM (SELECT *, CAST(sample_point_id * 7919 % 5000 AS DOUBLE) AS x, CAST(sample_point_id * 104729 % 22000 AS DOUBLE) AS y FROM points) p) GROUP BY edge_id")
 def edge_tree_value(v):
-    return exposure.tree_values(_placed_points(v), v.trees(), 60.0).groupBy("edge_id").agg(F.round(F.sum("tree_value"), 4).alias("total_tree_value"))
+    return exposure.tree_values(v.placed_points(), v.trees(), 60.0).groupBy("edge_id").agg(F.round(F.sum("tree_value"), 4).alias("total_tree_value"))
 
 
 # --- analytics ----------------------------------------------------------------------------------------------------------
@@ -219,6 +251,22 @@ def path_lengths(v):
     return analytics.path_lengths(p)
 
 
+_LEGS = "legs AS (SELECT path_id, position, x, y, nx, ny, leg, COALESCE(lag(stop) OVER w, 0) AS start, stop, max(stop) FILTER (nx IS NOT NULL) OVER (PARTITION BY path_id) AS total FROM (SELECT *, sum(leg) OVER w AS stop FROM (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny, COALESCE(sqrt((lead(x) OVER w - x) ** 2 + (lead(y) OVER w - y) ** 2), 0) AS leg FROM route_points WINDOW w AS (PARTITION BY path_id ORDER BY position)) WINDOW w AS (PARTITION BY path_id ORDER BY position)) WINDOW w AS (PARTITION BY path_id ORDER BY position))"
+
+
+@query()
+def path_fractions(v):
+    return analytics.path_fractions(v.route_points(), [0.0, 0.3, 0.5, 1.0])
+
+
+ORACLES["path_fractions"] = with_views("points route_points", "").rstrip() + f", {_LEGS}, f AS (SELECT path_id, t, min((position, round(x + (nx - x) * CASE WHEN leg > 0 THEN (t * total - start) / leg ELSE 0 END, 6), round(y + (ny - y) * CASE WHEN leg > 0 THEN (t * total - start) / leg ELSE 0 END, 6))) AS p FROM legs, (VALUES (0.0::DOUBLE), (0.3::DOUBLE), (0.5::DOUBLE), (1.0::DOUBLE)) q(t) WHERE nx IS NOT NULL AND t * total >= start AND t * total <= stop GROUP BY ALL) SELECT path_id, t, struct_extract(p, 2) AS x, struct_extract(p, 3) AS y FROM f"
+
+
+@query("points route_points", "SELECT path_id, greatest(1, CAST(round_even(sum(leg) / 100, 0) AS INTEGER)) AS n FROM (SELECT path_id, COALESCE(sqrt((lead(x) OVER w - x) ** 2 + (lead(y) OVER w - y) ** 2), 0) AS leg FROM route_points WINDOW w AS (PARTITION BY path_id ORDER BY position)) GROUP BY path_id")
+def path_samples(v):
+    return analytics.points_along(v.route_points(), 100.0).groupBy("path_id").agg(F.count("*").cast("int").alias("n"))
+
+
 @query("samples", "SELECT count(*) AS rows, min(datetime) AS first, max(datetime) AS last, count(DISTINCT edge_id) AS edges FROM samples")
 def fact_summary(v):
     return integrity.summary(v.samples())
@@ -275,21 +323,74 @@ def task_estimates(v):
     return rows.select("section_id", "doy", "w", (F.col("sample_count") * F.greatest(F.lit(1), solar.live_steps(F.col("doy"), 180 + 180 * F.col("w"), 360 + 180 * F.col("w")))).alias("est_raycasts"))
 
 
-@query()
-def sun_day(v):
+def _sun(v):
     from sunweave.sources.files import make_ephemeris
 
-    return make_ephemeris(v.spark, 2026, 40.7826, -73.9656, -5).where("doy = 172")
+    return make_ephemeris(v.spark, 2026, 40.7826, -73.9656, -5)
+
+
+_SUN = """
+WITH m AS (SELECT CAST(i // 1440 + 1 AS INTEGER) AS doy, CAST(i % 1440 AS INTEGER) AS minute FROM range(365 * 1440) t(i)),
+g AS (SELECT *, 2 * pi() / 365 * (doy - 1 + (minute / 60.0::DOUBLE - 12) / 24) AS g FROM m),
+e AS (SELECT *, 229.18::DOUBLE * (0.000075::DOUBLE + 0.001868::DOUBLE * cos(g) - 0.032077::DOUBLE * sin(g) - 0.014615::DOUBLE * cos(2 * g) - 0.040849::DOUBLE * sin(2 * g)) AS eq,
+        0.006918::DOUBLE - 0.399912::DOUBLE * cos(g) + 0.070257::DOUBLE * sin(g) - 0.006758::DOUBLE * cos(2 * g) + 0.000907::DOUBLE * sin(2 * g) - 0.002697::DOUBLE * cos(3 * g) + 0.00148::DOUBLE * sin(3 * g) AS d FROM g),
+h AS (SELECT *, radians((minute + eq - 4 * 73.9656::DOUBLE + 300) / 4 - 180) AS h, radians(40.7826::DOUBLE) AS phi FROM e)
+SELECT 2026 AS year, doy, minute, round(degrees(atan2(sin(h), cos(h) * sin(phi) - tan(d) * cos(phi))) + 180, 6) % 360 AS azimuth, round(degrees(asin(greatest(-1, least(1, sin(phi) * sin(d) + cos(phi) * cos(d) * cos(h))))), 6) AS elevation FROM h"""
+
+
+@query("", _SUN)
+def sun_year(v):
+    s = _sun(v)
+    return s.select("year", "doy", "minute", (F.round("azimuth", 6) % 360).alias("azimuth"), F.round("elevation", 6).alias("elevation"))
+
+
+@query("", "WITH e AS (SELECT (doy - 1) * 1440 + minute AS i, azimuth AS a, elevation AS h FROM (" + _SUN + ")) SELECT event_id, round((e.a + ((f.a - e.a + 540 + 360) % 360 - 180) * p + 720) % 360, 4) AS azimuth, round(e.h + (f.h - e.h) * p, 4) AS elevation FROM (SELECT event_id, (dayofyear(ts) - 1) * 1440 + hour(ts) * 60 + minute(ts) AS i, extract('microsecond' FROM ts) / 60000000.0::DOUBLE AS p FROM events) t JOIN e ON e.i = least(t.i, 525599) JOIN e f ON f.i = (least(t.i, 525599) + 1) % 525600")
+def sun_at_events(v):
+    s = _sun(v).select("doy", "minute", (F.round("azimuth", 6) % 360).alias("azimuth"), F.round("elevation", 6).alias("elevation"))
+    out = solar.ephemeris_at(v.table("events").select("event_id", F.col("ts").alias("datetime")), s)
+    return out.select("event_id", F.round("azimuth", 4).alias("azimuth"), F.round("elevation", 4).alias("elevation"))
+
+
+@query("", "SELECT event_id, h, CAST(h / 24 AS DOUBLE) AS progress, (h - 6) * 15 AS rough, h >= 5 AND h < 19 AS daytime, lpad(CAST(floor(h) AS INTEGER)::VARCHAR, 2, '0') || ':' || lpad(CAST(floor((h - floor(h)) * 60) AS INTEGER)::VARCHAR, 2, '0') AS clock FROM (SELECT event_id, (event_id % 97) / 4.0::DOUBLE - 24 * floor((event_id % 97) / 96) AS h FROM events)")
+def day_times(v):
+    raw = (F.col("event_id") % 97) / 4.0
+    h = solar.wrapped_hour(raw)
+    return v.table("events").select("event_id", h.alias("h"), solar.day_progress(raw).alias("progress"), solar.rough_elevation(h).alias("rough"), solar.is_daytime(raw).alias("daytime"), solar.clock(raw).alias("clock"))
+
+
+def _day_steps(v):
+    """All three-minute steps of midsummer's day."""
+    at = F.to_timestamp_ntz(F.lit("2026-06-21 00:00:00")) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"), F.lit(0))
+    return _sun(v).where("doy = 172 AND minute % 3 = 0").select(at.alias("datetime"), "azimuth", "elevation")
+
+
+def _ground(v):
+    return v.waypoints().select(F.col("id").alias("sample_point_id"), "x", "y", F.lit(-112.0).alias("z"))
+
+
+def _boxes(v):
+    x, y = F.col("x"), F.col("y")
+    return v.trees().select(x.alias("x1"), y.alias("y1"), (x + 20).alias("x2"), (y + 20).alias("y2"), (F.lit(-112.0) + 60 * F.col("shade_norm")).alias("top"))
 
 
 @query()
 def box_shadows(v):
-    from sunweave.sources.files import make_ephemeris
+    return exposure.occluded_facts(_ground(v), _day_steps(v), _boxes(v), reach=700.0)
 
-    sun = make_ephemeris(v.spark, 2026, 40.7826, -73.9656, -5).where("doy = 172 AND minute % 3 = 0").select((F.to_timestamp_ntz(F.lit("2026-06-21 00:00:00")) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"), F.lit(0))).alias("datetime"), "azimuth", "elevation")
-    samples = v.waypoints().select(F.col("id").alias("sample_point_id"), "x", "y", F.lit(-112.0).alias("z"))
-    boxes = v.trees().select("x", "y", "shade_norm").select(F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + 20).alias("x2"), (F.col("y") + 20).alias("y2"), (F.lit(-112.0) + 60 * F.col("shade_norm")).alias("top"))
-    return exposure.occluded_facts(samples, sun, boxes, reach=700.0)
+
+@query()
+def mesh_shadows(v):
+    """Of each tree's box the two upright triangles of its diagonal."""
+    b = _boxes(v)
+    corner = lambda x, y, z, i: [F.col(x).alias(f"x{i}"), F.col(y).alias(f"y{i}"), (F.col("top") if z else F.lit(-112.0)).alias(f"z{i}")]
+    one = b.select(*corner("x1", "y1", 0, 1), *corner("x2", "y2", 0, 2), *corner("x2", "y2", 1, 3))
+    two = b.select(*corner("x1", "y1", 0, 1), *corner("x1", "y1", 1, 2), *corner("x2", "y2", 1, 3))
+    return exposure.mesh_facts(_ground(v), _day_steps(v), one.unionByName(two), reach=700.0)
+
+
+@query()
+def lit_paths(v):
+    return exposure.lit_along_paths(v.route_points(), 135.0, 40.0, _boxes(v).withColumn("top", F.col("top") + 112), 50.0)
 
 
 # --- queue ------------------------------------------------------------------------------------------------------------------
@@ -297,14 +398,21 @@ def box_shadows(v):
 _PCT = "CAST(round(CAST(100 * done AS DECIMAL(38, 12)) / nullif(total, 0), 2) AS DOUBLE) AS pct_done"
 
 
-@query("tasks", f"SELECT *, {_PCT} FROM (SELECT run_id, count(*) AS total, count(*) FILTER (state = 'pending') AS pending, count(*) FILTER (state = 'running') AS running, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'failed') AS failed, count(DISTINCT worker_id) FILTER (state = 'running') AS active_workers, CAST(COALESCE(sum(est_raycasts) FILTER (state = 'done'), 0) AS BIGINT) AS raycasts_done, CAST(sum(est_raycasts) AS BIGINT) AS raycasts_total FROM tasks GROUP BY run_id)")
+_NOW = "TIMESTAMP '1997-01-01 00:00:00'"
+
+
+def _now():
+    return F.to_timestamp(F.lit("1997-01-01 00:00:00"))
+
+
+@query("tasks", f"SELECT * EXCLUDE (hits), {_PCT}, CAST(round(CAST(100 * hits AS DECIMAL(38, 12)) / nullif(done, 0), 1) AS DOUBLE) AS pct_affinity_hit FROM (SELECT run_id, count(*) AS total, count(*) FILTER (state = 'pending') AS pending, count(*) FILTER (state = 'running') AS running, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'failed') AS failed, count(DISTINCT worker_id) FILTER (state = 'running') AS active_workers, CAST(COALESCE(sum(rows_written), 0) AS BIGINT) AS rows_written, CAST(COALESCE(sum(est_raycasts) FILTER (state = 'done'), 0) AS BIGINT) AS raycasts_done, CAST(sum(est_raycasts) AS BIGINT) AS raycasts_total, round(avg(epoch(finished_at - started_at)) FILTER (state = 'done'), 2) AS avg_task_seconds, count(*) FILTER (state = 'done' AND affinity_hit) AS hits FROM tasks GROUP BY run_id)")
 def run_progress(v):
     return queue.run_progress(v.tasks())
 
 
-@query("tasks", f"SELECT *, {_PCT} FROM (SELECT shard_index, count(*) AS total, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'running') AS running FROM tasks GROUP BY shard_index)")
+@query("tasks shards runs", "SELECT t.*, max_tasks_per_shard AS admission_cap, state AS shard_state, CAST(round(CAST(100 * done AS DECIMAL(38, 12)) / nullif(total, 0), 1) AS DOUBLE) AS pct_done FROM (SELECT run_id, shard_index, count(*) AS total, count(*) FILTER (state = 'running') AS running, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'pending') AS pending, count(*) FILTER (state = 'failed') AS failed, CAST(COALESCE(sum(rows_written), 0) AS BIGINT) AS rows_written FROM tasks GROUP BY ALL) t JOIN runs USING (run_id) LEFT JOIN shards USING (shard_index)")
 def shard_progress(v):
-    return queue.shard_progress(v.tasks())
+    return queue.shard_progress(v.tasks(), v.shards(), v.runs())
 
 
 @query("tasks", "SELECT run_id, task_id, section_id, state, attempts FROM tasks WHERE state <> 'done'")
@@ -312,27 +420,99 @@ def run_gaps(v):
     return queue.run_gaps(v.tasks())
 
 
+_FREE = "free AS (SELECT shard_index, COALESCE(n, 0) AS running, max_tasks_per_shard - COALESCE(n, 0) AS free FROM (SELECT * FROM shards, runs) s LEFT JOIN (SELECT shard_index, count(*) AS n FROM tasks WHERE state = 'running' GROUP BY 1) USING (shard_index) WHERE s.state = 'online' AND max_tasks_per_shard > COALESCE(n, 0))"
+
 
+def _queue_sql(rest: str) -> str:
+    return with_views("tasks shards runs", "").rstrip() + f", {_FREE} {rest}"
 
-@query("tasks shards", "SELECT * FROM (SELECT shard_index, COALESCE(n, 0) AS running, 100000000 - COALESCE(n, 0) AS free FROM shards LEFT JOIN (SELECT shard_index, count(*) AS n FROM tasks WHERE state = 'running' GROUP BY 1) USING (shard_index) WHERE state = 'online') WHERE free > 0")
+
+@query()
 def admissible_shards(v):
-    return queue.admissible_shards(v.tasks(), v.shards(), 100_000_000)
+    return queue.admissible_shards(v.tasks(), v.shards(), v.runs(), "run")
+
+
+ORACLES["admissible_shards"] = _queue_sql("SELECT shard_index, running, CAST(free AS BIGINT) AS free FROM free")
 
 
-@query("tasks shards", "SELECT shard_index, slot, task_id, priority, est_raycasts FROM (SELECT *, CAST(row_number() OVER (PARTITION BY shard_index ORDER BY priority DESC, est_raycasts DESC, task_id) AS INTEGER) AS slot FROM tasks JOIN shards USING (shard_index) WHERE tasks.state = 'pending' AND attempts < max_attempts AND shards.state = 'online')")
+@query()
 def claim_lpt(v):
-    return queue.claimable(v.tasks(), v.shards(), 100_000_000)
+    return queue.claimable(v.tasks(), v.shards(), v.runs(), "run")
+
+
+ORACLES["claim_lpt"] = _queue_sql("SELECT * FROM (SELECT shard_index, CAST(row_number() OVER (PARTITION BY shard_index ORDER BY priority DESC, est_raycasts DESC, task_id) AS INTEGER) AS slot, task_id, priority, est_raycasts FROM tasks WHERE state = 'pending' AND run_id = 'run') JOIN (SELECT shard_index, free FROM free) USING (shard_index) WHERE slot <= free").replace("SELECT * FROM (SELECT shard_index, CAST", "SELECT shard_index, slot, task_id, priority, est_raycasts FROM (SELECT shard_index, CAST")
 
+_CLAIMED = ("task_id", "section_id", "window_index", "attempts", "worker_id", "affinity_hit")
 
-@query("tasks shards", "SELECT task_id, section_id, window_index, attempts + 1 AS attempts, true AS affinity_hit FROM tasks JOIN shards USING (shard_index) WHERE tasks.state = 'pending' AND shards.state = 'online' AND section_id = 1 AND window_index = 2 ORDER BY est_raycasts DESC, task_id LIMIT 1")
+
+def _claims(v, **hint):
+    tasks, mine = queue.claim(v.tasks(), v.shards(), v.runs(), "run", "me", _now(), **hint)
+    return mine.select(*_CLAIMED, F.unix_timestamp("lease_expires_at").alias("lease_until"), (F.unix_timestamp("started_at") == F.unix_timestamp(_now())).alias("starts_now"))
+
+
+def _claim_sql(where: str, hit: str, order: str) -> str:
+    return _queue_sql(f"SELECT task_id, section_id, window_index, attempts + 1 AS attempts, 'me' AS worker_id, {hit} AS affinity_hit, CAST(epoch({_NOW}) AS BIGINT) + 120 AS lease_until, true AS starts_now FROM tasks WHERE state = 'pending' AND run_id = 'run' AND shard_index IN (SELECT shard_index FROM free) {where} ORDER BY {order} LIMIT 1")
+
+
+@query()
+def claim_next(v):
+    return _claims(v)
+
+
+@query()
 def claim_affinity(v):
-    out = queue.claim(v.tasks(), v.shards(), 100_000_000, "run", "me", F.to_timestamp(F.lit("2024-01-01 00:00:00")), section=1, window=2)[1]
-    return out.select("task_id", "section_id", "window_index", "attempts", "affinity_hit")
+    return _claims(v, section=1, window=2)
+
+
+@query()
+def claim_affinity_missed(v):
+    return _claims(v, section=-1, window=2)
+
+
+ORACLES["claim_next"] = _claim_sql("", "false", "priority DESC, est_raycasts DESC, task_id")
+ORACLES["claim_affinity"] = _queue_sql(f"SELECT task_id, section_id, window_index, attempts + 1 AS attempts, 'me' AS worker_id, section_id = 1 AND window_index = 2 AS affinity_hit, CAST(epoch({_NOW}) AS BIGINT) + 120 AS lease_until, true AS starts_now FROM tasks WHERE state = 'pending' AND run_id = 'run' AND shard_index IN (SELECT shard_index FROM free) ORDER BY section_id = 1 AND window_index = 2 DESC, CASE WHEN section_id = 1 AND window_index = 2 THEN 0 ELSE priority END DESC, est_raycasts DESC, task_id LIMIT 1")
+ORACLES["claim_affinity_missed"] = ORACLES["claim_next"]
+
 
+def _reports(v, **columns):
+    """Every fifth task's report, half of them by a worker that doesn't hold it."""
+    worker = F.when(F.col("task_id") % 10 == 0, F.coalesce("worker_id", F.lit("w0"))).otherwise("impostor")
+    return v.tasks().where("task_id % 5 = 0").select("task_id", worker.alias("worker_id"), *[c.alias(n) for n, c in columns.items()])
 
-@query("tasks", "SELECT task_id, CASE WHEN x THEN CASE WHEN attempts >= max_attempts THEN 'failed' ELSE 'pending' END ELSE state END AS state, CASE WHEN NOT x THEN worker_id END AS worker_id, CASE WHEN x THEN 'lease expired on ' || worker_id END AS last_error FROM (SELECT *, state = 'running' AND lease_expires_at < TIMESTAMP '1997-01-01 00:00:00' AS x FROM tasks)")
+
+_HELD = "(task_id % 10 = 0 AND state = 'running')"
+
+
+def _beats(v):
+    return _reports(v).withColumn("raycasts_done", F.lit(None).cast("long"))
+
+
+@query("tasks", f"SELECT task_id, CASE WHEN task_id % 10 = 0 THEN COALESCE(worker_id, 'w0') ELSE 'impostor' END AS worker_id, {_HELD} AS ok FROM tasks WHERE task_id % 5 = 0")
+def heartbeat_fencing(v):
+    return queue.heartbeat(v.tasks(), _beats(v), _now())[1]
+
+
+@query("tasks", f"SELECT task_id, CASE WHEN {_HELD} THEN CAST(epoch({_NOW}) AS BIGINT) + 120 ELSE COALESCE(CAST(epoch(lease_expires_at) AS BIGINT), -1) END AS lease_until FROM tasks")
+def heartbeat_leases(v):
+    return queue.heartbeat(v.tasks(), _beats(v), _now())[0].select("task_id", F.coalesce(F.unix_timestamp("lease_expires_at"), F.lit(-1)).alias("lease_until"))
+
+
+@query("tasks", f"SELECT task_id, CASE WHEN {_HELD} THEN 'done' ELSE state END AS state, CASE WHEN {_HELD} THEN 7 ELSE COALESCE(rows_written, -1) END AS rows_written, lease_expires_at IS NULL OR {_HELD} AS no_lease, CASE WHEN {_HELD} THEN CAST(epoch({_NOW}) AS BIGINT) ELSE COALESCE(CAST(epoch(finished_at) AS BIGINT), -1) END AS finished FROM tasks")
+def complete_tasks(v):
+    after = queue.complete(v.tasks(), _beats(v).withColumn("rows_written", F.lit(7).cast("long")), _now())[0]
+    return after.select("task_id", "state", F.coalesce("rows_written", F.lit(-1)).alias("rows_written"), F.col("lease_expires_at").isNull().alias("no_lease"), F.coalesce(F.unix_timestamp("finished_at"), F.lit(-1)).alias("finished"))
+
+
+@query("tasks", f"SELECT task_id, CASE WHEN {_HELD} THEN CASE WHEN attempts >= max_attempts THEN 'failed' ELSE 'pending' END ELSE state END AS state, CASE WHEN NOT {_HELD} THEN worker_id END AS worker_id, CASE WHEN {_HELD} THEN 'lost ' || task_id ELSE last_error END AS last_error, COALESCE(CASE WHEN {_HELD} THEN CASE WHEN attempts >= max_attempts THEN CAST(epoch({_NOW}) AS BIGINT) END ELSE CAST(epoch(finished_at) AS BIGINT) END, -1) AS finished FROM tasks")
+def fail_tasks(v):
+    error = F.concat(F.lit("lost "), F.col("task_id").cast("string"))
+    after = queue.fail(v.tasks(), _reports(v, error=error), _now())[0]
+    return after.select("task_id", "state", "worker_id", "last_error", F.coalesce(F.unix_timestamp("finished_at"), F.lit(-1)).alias("finished"))
+
+
+@query("tasks", f"SELECT task_id, CASE WHEN x THEN CASE WHEN attempts >= max_attempts THEN 'failed' ELSE 'pending' END ELSE state END AS state, CASE WHEN NOT x THEN worker_id END AS worker_id, CASE WHEN x THEN 'lease expired (last heartbeat ' || COALESCE(strftime(heartbeat_at, '%Y-%m-%d %H:%M:%S'), 'never') || ', worker ' || worker_id || ')' ELSE last_error END AS last_error, COALESCE(CAST(epoch(finished_at) AS BIGINT), -1) AS finished FROM (SELECT *, state = 'running' AND lease_expires_at < {_NOW} AS x FROM tasks)")
 def reap_expired(v):
-    return queue.reap_expired(v.tasks(), F.to_timestamp(F.lit("1997-01-01 00:00:00"))).select("task_id", "state", "worker_id", "last_error")
+    return queue.reap_expired(v.tasks(), _now(), "run").select("task_id", "state", "worker_id", "last_error", F.coalesce(F.unix_timestamp("finished_at"), F.lit(-1)).alias("finished"))
 
 
 @query("tasks", "SELECT task_id, state, priority, est_raycasts FROM tasks WHERE state <> 'done' ORDER BY priority DESC, est_raycasts DESC, task_id LIMIT 20")
@@ -340,6 +520,51 @@ def outstanding_top20(v):
     return v.tasks().where("state <> 'done'").orderBy(F.desc("priority"), F.desc("est_raycasts"), "task_id").limit(20).select("task_id", "state", "priority", "est_raycasts")
 
 
+@query("tasks", "SELECT task_id, shard_index, section_id, window_index, state, attempts, left(COALESCE(last_error, ''), 70) AS error FROM tasks WHERE state <> 'done' ORDER BY state, shard_index, sim_date, section_id, task_id LIMIT 20")
+def outstanding_report(v):
+    return queue.outstanding(v.tasks())
+
+
+@query("tasks", "SELECT task_id, worker_id, section_id, window_index, attempts, CAST(epoch(started_at) AS BIGINT) AS started FROM tasks WHERE state = 'running' ORDER BY started_at, task_id LIMIT 12")
+def oldest_running(v):
+    return queue.oldest_running(v.tasks()).select("task_id", "worker_id", "section_id", "window_index", "attempts", F.unix_timestamp("started_at").alias("started"))
+
+
+@query("tasks", "SELECT task_id, section_id, attempts, last_error AS error FROM tasks WHERE state = 'failed' ORDER BY finished_at DESC, task_id LIMIT 8")
+def recent_failures(v):
+    return queue.recent_failures(v.tasks())
+
+
+@query("tasks", "SELECT task_id, section_id, window_index, est_raycasts FROM tasks ORDER BY est_raycasts DESC, task_id LIMIT 5")
+def dearest_tasks(v):
+    return queue.dearest(v.tasks())
+
+
+@query("tasks", "SELECT min(est_raycasts) AS least, max(est_raycasts) AS greatest, round(CAST(max(est_raycasts) AS DOUBLE) / min(est_raycasts), 2) AS spread FROM tasks")
+def cost_spread(v):
+    return queue.cost_spread(v.tasks())
+
+
+@query("tasks", "SELECT run_id, workers, rows, raycasts, wall AS wall_seconds, round(rows / wall, 3) AS rows_per_second, round(rows / wall / greatest(1, workers), 3) AS rows_per_worker, round(raycasts / wall, 3) AS raycasts_per_second, CAST(round(CAST(100 * raycasts AS DECIMAL(38, 12)) / greatest(1, rows), 1) AS DOUBLE) AS raycast_pct FROM (SELECT run_id, count(DISTINCT worker_id) AS workers, CAST(sum(rows_written) AS BIGINT) AS rows, CAST(sum(est_raycasts) AS BIGINT) AS raycasts, CAST(epoch(max(finished_at) - min(started_at)) AS DOUBLE) AS wall FROM tasks WHERE state = 'done' GROUP BY run_id) WHERE wall > 0")
+def throughput_report(v):
+    return queue.throughput(v.tasks()).drop("first_start", "last_finish")
+
+
+@query("shards", "SELECT COALESCE(s.shard_index, n.shard_index) AS shard_index, COALESCE(n.host, s.host) AS host, CASE WHEN n.shard_index IS NULL THEN s.port ELSE 5432 END AS port, CASE WHEN n.shard_index IS NULL THEN s.dbname ELSE 'shard_' || n.shard_index END AS dbname, COALESCE(state, 'online') AS state, COALESCE(n.vcpu, s.vcpu, -1) AS vcpu, COALESCE(s.ram_gb, -1) AS ram_gb, n.shard_index IS NOT NULL AS seen FROM shards s FULL JOIN (SELECT n_nationkey AS shard_index, lower(n_name) AS host, CASE WHEN n_nationkey % 2 = 0 THEN 32 END AS vcpu FROM nation WHERE n_nationkey BETWEEN 2 AND 9) n ON n.shard_index = s.shard_index")
+def registered_shards(v):
+    k = F.col("n_nationkey")
+    new = v.table("nation").where(k.between(2, 9)).select(k.alias("shard_index"), F.lower("n_name").alias("host"), F.lit(None).cast("int").alias("port"), F.lit(None).cast("string").alias("dbname"), F.when(k % 2 == 0, 32).alias("vcpu"), F.lit(None).cast("int").alias("ram_gb"))
+    out = queue.register_shards(v.shards(), new, _now())
+    return out.select("shard_index", "host", "port", "dbname", "state", F.coalesce("vcpu", F.lit(-1)).alias("vcpu"), F.coalesce("ram_gb", F.lit(-1)).alias("ram_gb"), F.col("last_seen_at").isNotNull().alias("seen"))
+
+
+@query("tasks", "SELECT task_id, section_id, window_index, state FROM tasks UNION ALL SELECT 1000000000 + task_id, section_id, 0, 'pending' FROM tasks t WHERE task_id % 7 = 0 AND NOT EXISTS (SELECT 1 FROM tasks o WHERE o.section_id = t.section_id AND o.sim_date = t.sim_date AND o.window_index = 0)")
+def inserted_tasks(v):
+    t = v.tasks()
+    new = t.where("task_id % 7 = 0").withColumns({"task_id": F.col("task_id") + 1_000_000_000, "window_index": F.lit(0), "state": F.lit("pending")})
+    return queue.insert_tasks(t, new).select("task_id", "section_id", "window_index", "state")
+
+
 # --- topology and space -----------------------------------------------------------------------------------------------------
 
 
@@ -389,42 +614,110 @@ def balanced_cut(v):
     return topology.cut_sections(v.sections(), 5)
 
 
-@query("edge_shards", "SELECT shard_index, count(*) AS edge_count, string_agg(CAST(edge_id AS VARCHAR), ',' ORDER BY CAST(edge_id AS VARCHAR)) AS edges FROM edge_shards WHERE edge_id % 17 = 0 GROUP BY shard_index")
-def route_plan(v):
-    e = v.edge_shards()
-    return topology.route_plan(e.where("edge_id % 17 = 0").select("edge_id"), e.select("edge_id", "shard_index"))
+# The least cap by dynamic programming over the cuts, then as far as the cap allows, again and again.
+ORACLES["balanced_cut"] = with_views("sections hilbert", "").rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + """
+, o AS (SELECT section_id, sample_count AS w, row_number() OVER (ORDER BY d, section_id) AS i FROM sections JOIN hilbert ON x = grid_col AND y = grid_row WHERE sample_count > 0),
+p AS (SELECT 0 AS i, 0 AS s UNION ALL SELECT i, sum(w) OVER (ORDER BY i) FROM o),
+b1 AS (SELECT i, s AS c FROM p), b2 AS (SELECT p.i, min(greatest(c, p.s - q.s)) AS c FROM p JOIN p q ON q.i <= p.i JOIN b1 ON b1.i = q.i GROUP BY p.i),
+b3 AS (SELECT p.i, min(greatest(c, p.s - q.s)) AS c FROM p JOIN p q ON q.i <= p.i JOIN b2 ON b2.i = q.i GROUP BY p.i), b4 AS (SELECT p.i, min(greatest(c, p.s - q.s)) AS c FROM p JOIN p q ON q.i <= p.i JOIN b3 ON b3.i = q.i GROUP BY p.i),
+b5 AS (SELECT p.i, min(greatest(c, p.s - q.s)) AS c FROM p JOIN p q ON q.i <= p.i JOIN b4 ON b4.i = q.i GROUP BY p.i), cap AS (SELECT arg_max(c, i) AS c FROM b5),
+walk(start, run) AS (SELECT CAST(0 AS BIGINT), 0 UNION ALL SELECT n.i, run + 1 FROM walk JOIN (SELECT a.i AS f, max(z.i) AS i FROM p a JOIN p z ON z.i > a.i AND z.s - a.s <= (SELECT c FROM cap) GROUP BY a.i) n ON n.f = walk.start WHERE n.i < (SELECT max(i) FROM p))
+SELECT section_id, (SELECT max(run) FROM walk WHERE start < o.i) AS shard_index FROM o"""
 
 
-@query()
-def route_plan_whole(v):
-    e = v.edge_shards()
-    return topology.route_plan(e.select("edge_id"), e.select("edge_id", "shard_index"))
+def _routing(v):
+    sections = v.edge_shards().select("edge_id", F.col("shard_index").alias("section_id"), (F.col("shard_index") % 5).alias("shard_index"))
+    return topology.edge_routing(sections.select("edge_id", "section_id"), sections.select("section_id", "shard_index").distinct(), v.shards())
+
+
+_ROUTING = "SELECT edge_id, edge_shards.shard_index AS section_id, edge_shards.shard_index % 5 AS shard_index, host, port, dbname, state AS shard_state FROM edge_shards LEFT JOIN shards ON shards.shard_index = edge_shards.shard_index % 5"
+
+
+@query("edge_shards shards", _ROUTING)
+def edge_routing(v):
+    return _routing(v)
+
+
+@query("edge_shards shards", f"SELECT shard_index, host, port, dbname, count(*) AS edge_count, string_agg(CAST(edge_id AS VARCHAR), ',' ORDER BY edge_id) AS edges FROM ({_ROUTING}) GROUP BY ALL")
+def route_plan(v):
+    plan = topology.route_plan(v.edge_shards().select("edge_id"), _routing(v).select("edge_id", "shard_index", "host", "port", "dbname"))
+    return plan.select("shard_index", "host", "port", "dbname", "edge_count", F.array_join(F.transform("edge_ids", lambda e: e.cast("string")), ",").alias("edges"))
 
 
-@query("edge_shards", "SELECT shards_touched, count(*) AS routes, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct FROM (SELECT seed, count(DISTINCT shard_index) AS shards_touched FROM (SELECT rn AS seed FROM (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) - 1 AS rn, count(*) OVER () AS n FROM edge_shards) WHERE rn % greatest(1, n // 40) = 0 ORDER BY rn LIMIT 40) s JOIN (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) - 1 AS rn, shard_index FROM edge_shards) r ON r.rn >= seed AND r.rn < seed + 12 GROUP BY seed) GROUP BY shards_touched")
+@query("edge_shards", "SELECT shards_touched, count(*) AS routes, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct FROM (SELECT seed, count(DISTINCT shard_index) AS shards_touched FROM (SELECT rn AS seed FROM (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) AS rn, count(*) OVER () AS n FROM edge_shards) WHERE rn % greatest(1, n // 40) = 0 ORDER BY rn LIMIT 40) s JOIN (SELECT row_number() OVER (ORDER BY hilbert_index, edge_id) AS rn, shard_index FROM edge_shards) r ON r.rn >= seed AND r.rn < seed + 12 GROUP BY seed) GROUP BY shards_touched")
 def route_locality(v):
     return topology.route_locality(v.edge_shards(), 40, 12)
 
 
+_MIDDLE = "CAST(floor((ay + b_y) / 2 / 1000) * 128 + floor((ax + bx) / 2 / 1000) AS INTEGER)"
+
+
+@query("streets points", f"SELECT s.edge_id, {_MIDDLE} AS section_id, COALESCE(n, 0) AS sample_count FROM streets s LEFT JOIN (SELECT edge_id, count(*) AS n FROM points GROUP BY 1) USING (edge_id)")
+def edge_sections(v):
+    return topology.edge_sections(v.streets(), v.points(), 0.0, 0.0, 1000.0)
+
+
+@query("streets points sections hilbert", f"SELECT w.section_id, edge_count, samples AS sample_count, w.section_id % 128 AS grid_col, CAST(w.section_id // 128 AS INTEGER) AS grid_row, (w.section_id % 128 + 0.5::DOUBLE) * 1000 AS centre_x, (w.section_id // 128 + 0.5::DOUBLE) * 1000 AS centre_y, CAST(d AS BIGINT) AS hilbert_index, COALESCE(o.shard_index, -1) AS shard_index FROM (SELECT {_MIDDLE} AS section_id, count(*) AS edge_count, CAST(sum(COALESCE(n, 0)) AS BIGINT) AS samples FROM streets LEFT JOIN (SELECT edge_id, count(*) AS n FROM points GROUP BY 1) USING (edge_id) GROUP BY 1) w JOIN hilbert ON x = w.section_id % 128 AND y = w.section_id // 128 LEFT JOIN sections o ON o.section_id = w.section_id")
+def rebuilt_sections(v):
+    out = topology.rebuilt_sections(topology.edge_sections(v.streets(), v.points(), 0.0, 0.0, 1000.0), v.sections(), 0.0, 0.0, 1000.0)
+    return out.withColumn("shard_index", F.coalesce("shard_index", F.lit(-1)))
+
+
+@query("waypoints", "SELECT floor(min(x) / 1000) * 1000 AS origin_x, floor(min(y) / 1000) * 1000 AS origin_y, CAST(floor((max(x) - floor(min(x) / 1000) * 1000) / 1000) + 1 AS INTEGER) AS cols, CAST(floor((max(y) - floor(min(y) / 1000) * 1000) / 1000) + 1 AS INTEGER) AS rows, 1000.0::DOUBLE AS size FROM waypoints")
+def grid_upsert(v):
+    old = v.spark.createDataFrame([(0.0, 0.0, 1, 1, 1000.0)], "origin_x double, origin_y double, cols int, rows int, size double")
+    return topology.grid_upsert(old, v.waypoints(), 1000.0)
+
+
+@query("waypoints", "SELECT id, x, y FROM waypoints WHERE (x - 2500) * (x - 2500) + (y - 11000) * (y - 11000) <= 1500 * 1500")
+def radius_search(v):
+    return joins.around(v.waypoints(), 2500.0, 11000.0, 1500.0)
+
+
+@query("trees waypoints", "SELECT tree_id AS a, arg_min(id, (sqrt((t.x - w.x) * (t.x - w.x) + (t.y - w.y) * (t.y - w.y)), id)) AS b FROM trees t, waypoints w GROUP BY tree_id")
+def nearest_waypoint(v):
+    flat = lambda df, k: df.select(F.col(k).alias("id"), "x", "y", F.lit(0.0).alias("z"))
+    return joins.connectors(flat(v.trees(), "tree_id"), flat(v.waypoints(), "id"), 100.0)
+
+
+@query("edges", "SELECT p.a, p.b, e.a * 1000000 + e.b AS edge_id FROM (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem) p JOIN edges e ON (e.a = p.a AND e.b = p.b) OR (e.a = p.b AND e.b = p.a)")
+def edge_lookup(v):
+    pairs = v.table("lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
+    return joins.edge_between(pairs, v.edges().withColumn("edge_id", F.col("a") * 1_000_000 + F.col("b")))
+
+
+@query("waypoints trees", "SELECT k AS id, CASE WHEN w.id IS NOT NULL THEN 'waypoints' ELSE 'trees' END AS \"table\", COALESCE(w.x, t.x) AS x, COALESCE(w.y, t.y) AS y FROM (SELECT DISTINCT o_custkey * 2 AS k FROM orders) LEFT JOIN waypoints w ON w.id = k LEFT JOIN trees t ON tree_id = k WHERE w.id IS NOT NULL OR tree_id IS NOT NULL")
+def first_match(v):
+    keys = v.table("orders").select((F.col("o_custkey") * 2).alias("id"))
+    return integrity.first_match(keys, {"waypoints": v.waypoints(), "trees": v.trees().select(F.col("tree_id").alias("id"), "x", "y")})
+
+
+@query("", "SELECT c_custkey, u, regexp_matches(regexp_replace(lower(u), '[{}-]', '', 'g'), '^[0-9a-f]{32}$') AS valid FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN md5(CAST(c_custkey AS VARCHAR)) WHEN 1 THEN '{' || upper(md5(CAST(c_custkey AS VARCHAR))) || '}' ELSE 'x' || md5(CAST(c_custkey AS VARCHAR)) END AS u FROM customer)")
+def uuid_filter(v):
+    h, k = F.md5(F.col("c_custkey").cast("string").cast("binary")), F.col("c_custkey") % 3
+    rows = v.table("customer").select("c_custkey", F.when(k == 0, h).when(k == 1, F.concat(F.lit("{"), F.upper(h), F.lit("}"))).otherwise(F.concat(F.lit("x"), h)).alias("u"))
+    return rows.withColumn("valid", integrity.valid_uuid(F.col("u")))
+
+
 @query("waypoints", "SELECT * FROM waypoints WHERE x BETWEEN 500 AND 2500 AND y BETWEEN 1000 AND 9000")
 def bbox_points(v):
     return v.waypoints().where(geo.in_box(F.col("x"), F.col("y"), 2500, 1000, 500, 9000))
 
 
-@query("edges nodes", "SELECT a, b FROM edges WHERE a IN (SELECT id FROM nodes WHERE x BETWEEN 10 AND 70) AND b IN (SELECT id FROM nodes WHERE x BETWEEN 10 AND 70)")
+@query("edges nodes", "SELECT a, b FROM edges WHERE a IN (SELECT id FROM nodes WHERE x BETWEEN 500 AND 3500) AND b IN (SELECT id FROM nodes WHERE x BETWEEN 500 AND 3500)")
 def endpoints_semi(v):
-    inside = v.nodes().where("x BETWEEN 10 AND 70").select("id")
+    inside = v.nodes().where("x BETWEEN 500 AND 3500").select("id")
     return v.edges().join(inside.select(F.col("id").alias("a")), "a", "left_semi").join(inside.select(F.col("id").alias("b")), "b", "left_semi")
 
 
 @query("waypoints", "SELECT id, x, y, round(sqrt((x - 2500.0) * (x - 2500.0) + (y - 11000.0) * (y - 11000.0)), 6) AS dist FROM waypoints ORDER BY dist, id LIMIT 20")
 def knn_waypoints(v):
-    return spatial.nearest(v.waypoints(), 2500.0, 11000.0, 20)
+    return joins.nearest(v.waypoints(), 2500.0, 11000.0, 20)
 
 
 @query("waypoints trees", "SELECT id, tree_id, round(sqrt((w.x - t.x) * (w.x - t.x) + (w.y - t.y) * (w.y - t.y)), 6) AS dist FROM waypoints w JOIN trees t ON (w.x - t.x) * (w.x - t.x) + (w.y - t.y) * (w.y - t.y) <= 2500")
 def distance_join(v):
-    j = spatial.within(v.waypoints(), v.trees().drop("shade_norm"), 50.0)
+    j = joins.within(v.waypoints(), v.trees().drop("shade_norm"), 50.0)
     return j.select("id", "tree_id", F.round(geo.distance(F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y")), 6).alias("dist"))
 
 
@@ -438,7 +731,7 @@ def edge_dedup(v):
 
 @query("edges", "SELECT a AS node, b AS other FROM edges UNION ALL SELECT b, a FROM edges")
 def edge_adjacency(v):
-    return spatial.neighbours(v.edges())
+    return joins.neighbours(v.edges())
 
 
 @query("edges", "SELECT node, count(*) AS degree FROM (SELECT a AS node FROM edges UNION ALL SELECT b FROM edges) GROUP BY node")
@@ -446,34 +739,134 @@ def node_degrees(v):
     return graph.degrees(v.edges())
 
 
-_LENGTHS = "l AS (SELECT a, b, round(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2), 6) AS length, p.x AS ax, p.y AS ay, q.x AS bx, q.y AS b_y FROM edges JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b)"
+_LENGTHS = "l AS (SELECT a, b, round(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2), 6) AS length, p.x AS ax, p.y AS ay, p.z AS az, q.x AS bx, q.y AS b_y, q.z AS bz FROM edges JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b)"
 _SYM = "s AS (SELECT a, b, length FROM l UNION ALL SELECT b, a, length FROM l)"
 
 
+def _graph_sql(rest: str) -> str:
+    return with_views("edges nodes", "").rstrip() + f", {_LENGTHS}, {rest}"
+
+
+@query()
+def edge_lengths(v):
+    return graph.edge_lengths(v.edges(), v.nodes()).select("a", "b", "length")
+
+
+ORACLES["edge_lengths"] = _graph_sql("x AS (SELECT 1) SELECT a, b, length FROM l")
+
+
 @query()
 def redundant_edges(v):
-    return graph.redundant_edges(graph.edge_lengths(v.edges(), v.nodes()).select("a", "b", "length"))
+    return graph.redundant_edges(graph.edge_lengths(v.edges(), v.nodes()).select("a", "b", "length"), 5.0)
 
 
-ORACLES["redundant_edges"] = with_views("edges nodes", "").rstrip() + f", {_LENGTHS}, {_SYM} SELECT DISTINCT l.a, l.b FROM l JOIN s p ON p.a = l.a JOIN s q ON q.a = p.b AND q.b = l.b WHERE p.length + q.length <= l.length + 0.1"
+ORACLES["redundant_edges"] = _graph_sql(f"{_SYM} SELECT DISTINCT l.a, l.b FROM l JOIN s p ON p.a = l.a JOIN s q ON q.a = p.b AND q.b = l.b WHERE p.length + q.length <= l.length + 5.0")
 
 
 @query()
 def sample_generation(v):
-    return graph.sample_points(graph.edge_lengths(v.edges(), v.nodes()), 2.0).withColumn("distance_from_start", F.round("distance_from_start", 3))
+    return graph.sample_points(graph.edge_lengths(v.edges(), v.nodes()), 1000.0).withColumn("distance_from_start", F.round("distance_from_start", 3))
+
 
+ORACLES["sample_generation"] = _graph_sql("g AS (SELECT *, greatest(1, CAST(round_even(length / 1000.0, 0) AS INTEGER)) AS n FROM l), e AS (SELECT *, CAST(unnest(range(n)) AS INTEGER) AS sequence_index FROM g), t AS (SELECT *, CASE WHEN n > 1 THEN sequence_index / (n - 1) ELSE 0.0 END AS t FROM e) SELECT a, b, sequence_index, round(t * length, 3) AS distance_from_start, round(ax + (bx - ax) * t, 6) AS x, round(ay + (b_y - ay) * t, 6) AS y, round(az + (bz - az) * t, 6) AS z FROM t")
 
-ORACLES["sample_generation"] = with_views("edges nodes", "").rstrip() + f", {_LENGTHS}, g AS (SELECT *, greatest(1, CAST(round_even(length / 2.0, 0) AS INTEGER)) AS n FROM l), e AS (SELECT *, CAST(unnest(range(n)) AS INTEGER) AS sequence_index FROM g), t AS (SELECT *, CASE WHEN n > 1 THEN sequence_index / (n - 1) ELSE 0.0 END AS t FROM e) SELECT a, b, sequence_index, round(t * length, 3) AS distance_from_start, round(ax + (bx - ax) * t, 6) AS x, round(ay + (b_y - ay) * t, 6) AS y FROM t"
+_REACH = "(WITH RECURSIVE link AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON a.id <> b.id AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 < 6400), reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a) SELECT a AS id, min(b) AS root FROM reach GROUP BY a)"
+_GROUPED = f"roots AS MATERIALIZED {_REACH}, placed AS (SELECT id, x, y, z, root, avg(x) OVER r AS mx, avg(y) OVER r AS my, avg(z) OVER r AS mz FROM roots JOIN nodes USING (id) WINDOW r AS (PARTITION BY root)), best AS (SELECT root, arg_min(id, (round((x - mx) ** 2 + (y - my) ** 2 + (z - mz) ** 2, 6), id)) AS representative FROM placed GROUP BY root)"
 
 
-@query("nodes", "SELECT r.id, arg_min(c.id, (round((c.x - mx) ** 2 + (c.y - my) ** 2, 6), c.id)) AS representative FROM (WITH RECURSIVE link AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON a.id <> b.id AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 64), reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a) SELECT a AS id, min(b) AS root FROM reach GROUP BY a) r JOIN (WITH RECURSIVE link AS (SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON a.id <> b.id AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 64), reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a) SELECT id, x, y, root, avg(x) OVER (PARTITION BY root) AS mx, avg(y) OVER (PARTITION BY root) AS my FROM (SELECT a AS id, min(b) AS root FROM reach GROUP BY a) JOIN nodes USING (id)) c ON c.root = r.root GROUP BY r.id")
+@query()
 def decluster(v):
-    return graph.decluster(v.nodes(), 8.0)
+    return graph.decluster(v.nodes(), 80.0)
+
+
+ORACLES["decluster"] = with_views("nodes", "").rstrip() + f", {_GROUPED} SELECT id, representative FROM roots JOIN best USING (root)"
+
+
+@query()
+def rewritten_edges(v):
+    return graph.rewrite_edges(v.edges(), graph.decluster(v.nodes(), 80.0))
+
+
+ORACLES["rewritten_edges"] = with_views("edges nodes", "").rstrip() + f", {_GROUPED}, m AS (SELECT id, representative FROM roots JOIN best USING (root)) SELECT DISTINCT least(p.representative, q.representative) AS a, greatest(p.representative, q.representative) AS b FROM edges JOIN m p ON p.id = a JOIN m q ON q.id = b WHERE p.representative <> q.representative"
+
+
+@query()
+def short_edges_removed(v):
+    return graph.without_short(graph.edge_lengths(v.edges(), v.nodes()), 2000.0).select("a", "b")
+
+
+ORACLES["short_edges_removed"] = _graph_sql("x AS (SELECT 1) SELECT a, b FROM l WHERE length >= 2000")
+
+
+@query()
+def reindexed_nodes(v):
+    numbered, _ = graph.reindexed(v.nodes(), v.edges().where("a % 2 = 0"))
+    return numbered.select("id", "index")
+
+
+@query()
+def reindexed_edges(v):
+    return graph.reindexed(v.nodes(), v.edges().where("a % 2 = 0"))[1]
+
+
+_INDEX = "i AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS index FROM nodes WHERE id IN (SELECT a FROM edges WHERE a % 2 = 0 UNION SELECT b FROM edges WHERE a % 2 = 0))"
+ORACLES["reindexed_nodes"] = with_views("edges nodes", "").rstrip() + f", {_INDEX} SELECT id, index FROM i"
+ORACLES["reindexed_edges"] = with_views("edges nodes", "").rstrip() + f", {_INDEX} SELECT p.index AS a, q.index AS b FROM edges JOIN i p ON p.id = a JOIN i q ON q.id = b WHERE a % 2 = 0"
+
+
+def _street_graph(v):
+    """(edges, nodes) of streets from each customer's place to that of another with the next key of three, a forest of chains."""
+    k = F.col("c_custkey")
+    edges = v.table("customer").select(k.alias("a"), (k + 3).alias("b")).where("a % 7 <> 0")
+    return edges.join(v.table("customer").select(k.alias("b")), "b", "left_semi").select("a", "b"), v.waypoints()
+
+
+@query()
+def merged_nodes(v):
+    nodes, edges = graph.merge_near(v.nodes(), v.edges(), 100.0)
+    return nodes.select("id", *[F.round(c, 6).alias(c) for c in "xyz"])
+
+
+@query()
+def short_cycles_removed(v):
+    edges, nodes = _street_graph(v)
+    more = v.table("customer").select(F.col("c_custkey").alias("a"), (F.col("c_custkey") + 6).alias("b")).join(nodes.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b")
+    return graph.without_short_cycles(edges.unionByName(more), nodes, 6)
+
+
+@query()
+def spur_ends(v):
+    return graph.spurs(*_street_graph(v))
+
+
+@query()
+def dead_end_bridges(v):
+    return graph.bridges(*_street_graph(v), 900.0, 40.0)
+
+
+@query()
+def closed_bends(v):
+    return graph.closed_bends(*_street_graph(v), 135.0, 600.0)
+
+
+@query()
+def isolated_attached(v):
+    return graph.attach_isolated(*_street_graph(v))
+
+
+@query()
+def connected_graph(v):
+    return graph.connected(*_street_graph(v))
+
+
+@query()
+def dissolved_edges(v):
+    return graph.dissolve_straight(*_street_graph(v))
 
 
 @query()
 def path5(v):
-    edges = v.street_edges()
+    edges = v.edges()
     return graph.simple_paths(edges, graph.degrees(edges).select("node"), 4)
 
 
@@ -482,26 +875,55 @@ def kmeans_blocks(v):
     return graph.kmeans_blocks(v.waypoints(), 20, 20)
 
 
-@query("", "SELECT DISTINCT cx + i AS cx, cy + j AS cy FROM (SELECT DISTINCT l_suppkey % 60 AS cx, l_partkey % 40 AS cy FROM lineitem WHERE l_orderkey % 97 = 0), (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j)")
+@query("waypoints", "SELECT id % 20 AS block, count(*) AS n, min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y, round(avg(x), 6) AS cx, round(avg(y), 6) AS cy FROM waypoints GROUP BY 1")
+def block_extents(v):
+    return analytics.block_extents(v.waypoints().withColumn("block", F.col("id") % 20))
+
+
+@query("edges nodes", "SELECT a % 7 AS block, a, b FROM edges WHERE a % 7 = b % 7")
+def block_edges(v):
+    return graph.block_edges(v.edges(), v.nodes().select("id", (F.col("id") % 7).alias("block")))
+
+
+# --- rasters ----------------------------------------------------------------------------------------------------------------
+
+_GROWN = "SELECT cx, cy FROM {0} UNION SELECT cx + i, cy + j FROM {0}, (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j), grid_size WHERE cx + i BETWEEN 1 AND w - 2 AND cy + j BETWEEN 1 AND h - 2"
+
+
+@query("cells grid_size", f"SELECT * FROM (WITH once AS ({_GROWN.format('cells')}) {_GROWN.format('once')})")
 def dilated_cells(v):
-    cells = v.table("lineitem").where("l_orderkey % 97 = 0").select((F.col("l_suppkey") % 60).alias("cx"), (F.col("l_partkey") % 40).alias("cy")).distinct()
-    return graph.dilate(cells)
+    return graph.dilate(v.cells(), *v.grid_size(), 2)
 
 
-@query()
-def dilated_cells_whole(v):
-    return graph.dilate(v.table("lineitem").select(F.col("l_suppkey").alias("cx"), F.col("l_partkey").alias("cy")).distinct())
+_SQUARES = "d AS (SELECT cx, cy, CASE " + " ".join(f"WHEN n{r} < (least(cx + {r}, w - 1) - greatest(cx - {r}, 0) + 1) * (least(cy + {r}, h - 1) - greatest(cy - {r}, 0) + 1) THEN {r}" for r in range(1, 7)) + " END AS dist FROM (SELECT c.cx, c.cy, w, h, " + ", ".join(f"count(*) FILTER (abs(i) <= {r} AND abs(j) <= {r}) AS n{r}" for r in range(1, 7)) + " FROM cells c, grid_size, (SELECT unnest(range(-6, 7)) AS i) a, (SELECT unnest(range(-6, 7)) AS j) b JOIN cells o ON o.cx = c.cx + i AND o.cy = c.cy + j GROUP BY c.cx, c.cy, w, h))"
 
 
-@query("", "SELECT cx, cy, CAST(least(cx + 1, 30 - cx, cy + 1, 20 - cy, greatest(abs(cx - 12), abs(cy - 9))) AS INTEGER) AS dist FROM (SELECT a.i AS cx, b.i AS cy FROM range(30) a(i), range(20) b(i)) WHERE NOT (cx = 12 AND cy = 9)")
+@query()
 def raster_distance(v):
-    cells = v.spark.range(600).select((F.col("id") % 30).alias("cx"), F.expr("id div 30").alias("cy")).where("NOT (cx = 12 AND cy = 9)")
-    return graph.distance_transform(cells, 32)
+    return graph.distance_transform(v.cells(), *v.grid_size())
+
+
+@query()
+def raster_ridges(v):
+    return graph.ridges(graph.distance_transform(v.cells(), *v.grid_size()), *v.grid_size())
 
 
-@query("", "SELECT a.i AS ax, b.i AS ay, a.i + dx AS bx, b.i + dy AS by FROM range(30) a(i), range(20) b(i), (VALUES (1, 0), (0, 1), (1, 1), (1, -1)) o(dx, dy) WHERE (a.i * 7 + b.i * 5) % 3 > 0 AND ((a.i + dx) * 7 + (b.i + dy) * 5) % 3 > 0 AND a.i + dx < 30 AND b.i + dy BETWEEN 0 AND 19")
+ORACLES["raster_distance"] = with_views("cells grid_size", "").rstrip() + f", {_SQUARES} SELECT cx, cy, dist FROM d"
+ORACLES["raster_ridges"] = with_views("cells grid_size", "").rstrip() + f", {_SQUARES} SELECT d.cx, d.cy FROM d, grid_size WHERE d.cx BETWEEN 1 AND w - 2 AND d.cy BETWEEN 1 AND h - 2 AND NOT EXISTS (SELECT 1 FROM d o WHERE o.cx BETWEEN d.cx - 1 AND d.cx + 1 AND o.cy BETWEEN d.cy - 1 AND d.cy + 1 AND o.dist > d.dist)"
+
+
+@query("cells", "SELECT c.cx AS ax, c.cy AS ay, o.cx AS bx, o.cy AS by FROM cells c JOIN cells o ON (o.cx = c.cx + 1 AND o.cy BETWEEN c.cy - 1 AND c.cy + 1) OR (o.cx = c.cx AND o.cy = c.cy + 1)")
 def pixel_graph(v):
-    return graph.pixel_graph(v.spark.range(600).select((F.col("id") % 30).alias("cx"), F.expr("id div 30").alias("cy")).where("(cx * 7 + cy * 5) % 3 > 0"))
+    return graph.pixel_graph(v.cells())
+
+
+def _triangles(v):
+    return v.streets().select(*[(F.col(n) / 50).alias(m) for n, m in (("ax", "x1"), ("ay", "y1"), ("bx", "x2"), ("by", "y2"))], ((F.col("ax") + 700) / 50).alias("x3"), ((F.col("ay") + 300) / 50).alias("y3"))
+
+
+@query("streets", "SELECT DISTINCT cx, cy FROM (SELECT *, CAST(unnest(range(CAST(floor(least(x1, x2, x3)) AS BIGINT), CAST(floor(greatest(x1, x2, x3)) AS BIGINT) + 1)) AS BIGINT) AS cx FROM (SELECT ax / 50 AS x1, ay / 50 AS y1, bx / 50 AS x2, b_y / 50 AS y2, (ax + 700) / 50 AS x3, (ay + 300) / 50 AS y3 FROM streets)) t, LATERAL (SELECT unnest(range(CAST(floor(least(y1, y2, y3)) AS BIGINT), CAST(floor(greatest(y1, y2, y3)) AS BIGINT) + 1)) AS cy) r, LATERAL (SELECT (x2 - x1) * (cy + 0.5::DOUBLE - y1) - (y2 - y1) * (cx + 0.5::DOUBLE - x1) AS s1, (x3 - x2) * (cy + 0.5::DOUBLE - y2) - (y3 - y2) * (cx + 0.5::DOUBLE - x2) AS s2, (x1 - x3) * (cy + 0.5::DOUBLE - y3) - (y1 - y3) * (cx + 0.5::DOUBLE - x3) AS s3) q WHERE least(s1, s2, s3) >= 0 OR greatest(s1, s2, s3) <= 0")
+def rasterised_cells(v):
+    return graph.rasterise(_triangles(v))
 
 
 # --- integrity --------------------------------------------------------------------------------------------------------------
@@ -521,9 +943,34 @@ def owned_without_rows(v):
     return integrity.owned_without_rows(_owned(v), exposure.edge_rollup(v.samples()).select("edge_id"))
 
 
-@query("tasks sections", "SELECT section_id, CAST(sim_date AS VARCHAR) AS sim_date, window_index, actual, expected, actual - expected AS delta FROM (SELECT section_id, sim_date, window_index, sample_count // 30 AS expected, count(*) AS actual FROM tasks JOIN sections USING (section_id) GROUP BY section_id, sim_date, window_index, sample_count) WHERE actual <> expected")
+_LEAVES = "leaf AS (SELECT section_id, sim_date, window_index, count(*) AS actual FROM tasks WHERE state <> 'running' GROUP BY ALL), due AS (SELECT DISTINCT section_id, sim_date, window_index FROM tasks)"
+
+
+@query()
 def leaf_sizes(v):
-    return _texts(integrity.leaf_sizes(v.tasks(), v.sections().select("section_id", F.expr("sample_count div 30").alias("sample_count")), 1), "sim_date")
+    t = v.tasks()
+    out = integrity.leaf_sizes(t.where("state <> 'running'"), v.sections().select("section_id", F.expr("sample_count div 30").alias("sample_count")), 1, t.select("section_id", "sim_date", "window_index"))
+    return _texts(out, "sim_date")
+
+
+ORACLES["leaf_sizes"] = with_views("tasks sections", "").rstrip() + f", {_LEAVES} SELECT section_id, CAST(sim_date AS VARCHAR) AS sim_date, window_index, COALESCE(actual, 0) AS actual, sample_count // 30 AS expected, COALESCE(actual, 0) - sample_count // 30 AS delta FROM due LEFT JOIN leaf USING (section_id, sim_date, window_index) JOIN sections USING (section_id) WHERE COALESCE(actual, 0) <> sample_count // 30"
+
+
+@query("rollup tasks sections", "SELECT (SELECT count(*) FROM sections) AS sections, (SELECT count(*) FROM (SELECT DISTINCT section_id, sim_date, window_index FROM tasks)) AS leaves, (SELECT count(*) FROM rollup) AS edge_rows, (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT edge_id FROM rollup)) AS violations")
+def shard_summary(v):
+    return integrity.shard_summary(v.sections(), v.tasks(), exposure.edge_rollup(v.samples()), _owned(v))
+
+
+@query("tasks", "SELECT 'attempts' AS check_name, count(*) FILTER (attempts > max_attempts) AS violations FROM tasks UNION ALL SELECT 'finished', count(*) FILTER (state = 'done' AND finished_at < started_at) FROM tasks UNION ALL SELECT 'cheap', count(*) FILTER (est_raycasts < 100000) FROM tasks")
+def check_constraints(v):
+    return integrity.broken(v.tasks(), {"attempts": "attempts <= max_attempts", "finished": "state <> 'done' OR finished_at >= started_at", "cheap": "est_raycasts >= 100000"})
+
+
+@query("tasks", "SELECT DISTINCT 'exposure_s' || section_id || '_' || strftime(sim_date, '%Y%m%d') || '_w' || window_index AS name FROM tasks WHERE state = 'failed' AND (section_id, sim_date, window_index) NOT IN (SELECT (section_id, sim_date, window_index) FROM tasks WHERE state <> 'failed')")
+def orphan_leaves(v):
+    t = v.tasks().withColumn("name", timegrid.leaf_name(F.col("section_id"), F.col("sim_date"), F.col("window_index")))
+    names = t.select("name").unionByName(t.select(F.concat(F.lit("other_"), "name").alias("name"))).distinct()
+    return integrity.orphan_leaves(names, t.where("state <> 'failed'"))
 
 
 @query("tasks", "SELECT section_id, count(*) AS leaves, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT section_id, sim_date, window_index, count(*) AS n FROM tasks GROUP BY ALL) GROUP BY section_id")
@@ -555,3 +1002,44 @@ def feasible_shapes(v):
 @query("", _SHAPES + "SELECT workers, min(shards) AS shards FROM shapes WHERE shards * least(12, greatest(1, workers // shards) * 2) * 200000.0::DOUBLE >= workers * 295759.35::DOUBLE GROUP BY workers")
 def balanced_shards(v):
     return capacity.balanced_shards(capacity.shapes(v.spark))
+
+
+@query("", _SHAPES + "SELECT workers, shards, vcpu, workers * 16 + shards * 128 + 34 AS ram_gb, round(nominal, 3) AS nominal FROM shapes WHERE nominal <= 900 ORDER BY vcpu, workers, shards LIMIT 1")
+def cheapest_nominal(v):
+    return capacity.cheapest_nominal(capacity.shapes(v.spark)).select("workers", "shards", "vcpu", "ram_gb", F.round("nominal", 3).alias("nominal"))
+
+
+_MAP = "greatest(7886872800.0::DOUBLE / (workers * 295759.35::DOUBLE), 7886872800.0::DOUBLE / (shards * least(12, greatest(1, workers // shards) * 2) * 200000.0::DOUBLE))"
+
+
+@query("", _SHAPES + f"SELECT workers, shards, 90 AS floor, CAST(floor({_MAP} - 60) AS INTEGER) AS ceiling, round(greatest(0, ({_MAP} - 180 - 7886872800.0::DOUBLE / (84 * 60 * 6) / 295759.35::DOUBLE) / {_MAP}), 9) AS coverage FROM shapes WHERE {_MAP} >= 60")
+def lease_bounds(v):
+    return capacity.leases(capacity.shapes(v.spark)).where("ceiling >= 0").withColumn("coverage", F.round("coverage", 9))
+
+
+_SWEEP = f"SELECT workers, shards, round(shards * least(12, greatest(1, workers // shards) * 2) * 200000.0::DOUBLE, 3) AS ingest, round({_MAP}, 6) AS map_seconds, round((7886872800.0::DOUBLE / 12000000 + 144720000.0::DOUBLE / 600000) / shards + 30, 6) AS reduce_seconds, round(nominal, 6) AS total_seconds, round(7886872800.0::DOUBLE / 73027 / nominal, 6) AS speedup, CASE WHEN shards * least(12, greatest(1, workers // shards) * 2) * 200000.0::DOUBLE < workers * 295759.35::DOUBLE THEN 'I/O-bound' ELSE 'compute-bound' END AS bound_by FROM shapes"
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 3 if c == "ingest" else 6) for c in ("ingest", "map_seconds", "reduce_seconds", "total_seconds", "speedup")})
+
+
+@query("", _SHAPES + _SWEEP + " WHERE workers = 54 AND shards IN (1, 2, 4, 6, 8, 10, 14, 20, 30)")
+def shard_sweep(v):
+    return _rounded(capacity.shard_sweep(capacity.shapes(v.spark)))
+
+
+@query("", _SHAPES + _SWEEP + " JOIN (SELECT workers AS bw, min(shards) AS bs FROM shapes WHERE shards * least(12, greatest(1, workers // shards) * 2) * 200000.0::DOUBLE >= workers * 295759.35::DOUBLE GROUP BY workers) ON bw = workers AND bs = shards WHERE workers IN (1, 5, 10, 25, 50, 100, 200)")
+def worker_sweep(v):
+    return _rounded(capacity.worker_sweep(capacity.shapes(v.spark)))
+
+
+@query("", "WITH g(t, n) AS (VALUES ('waypoints', 4168), ('edges', 6700), ('sample_points', 365133), ('edge_sections', 6700)), c AS (SELECT * FROM g UNION ALL VALUES ('trees', 1280954), ('tasks', 30240), ('sections', 84), ('shards', 9), ('runs', 1), ('grid', 1)), s AS (SELECT * FROM g UNION ALL VALUES ('exposure_samples', 7886872800 // 9), ('exposure_edges', 144720000 // 9)), a AS (SELECT 'exposure_samples' AS t, 7886872800 AS n UNION ALL VALUES ('exposure_edges', 144720000) UNION ALL SELECT 'geometry', 9 * sum(n) FROM g UNION ALL SELECT 'coordinator', sum(n) FROM c) SELECT place, t AS \"table\", CAST(n AS BIGINT) AS rows FROM (SELECT 'coordinator' AS place, * FROM c UNION ALL SELECT 'shard', * FROM s UNION ALL SELECT 'cluster', * FROM a UNION ALL SELECT 'coordinator', 'total', sum(n) FROM c UNION ALL SELECT 'shard', 'total', sum(n) FROM s UNION ALL SELECT 'cluster', 'total', sum(n) FROM a)")
+def inventory(v):
+    return capacity.inventory(v.spark)
+
+
+@query("", "SELECT n_nationkey, CASE WHEN n < 1000 THEN printf('%.0f', n) WHEN n < 1000000 THEN printf('%.0fK', n / 1000) WHEN n < 1000000000 THEN printf('%.0fM', n / 1000000) ELSE printf('%.0fB', n / 1000000000) END AS human, CASE WHEN s >= 3600 THEN printf('%.2f h', s / 3600) WHEN s >= 60 THEN printf('%dm %04.1fs', CAST(floor(s / 60) AS BIGINT), s - 60 * floor(s / 60)) ELSE printf('%.0f s', s) END AS took FROM (SELECT n_nationkey, 7.0::DOUBLE * pow(3, n_nationkey % 18) AS n, 1.3::DOUBLE * pow(2, n_nationkey % 14) AS s FROM nation)")
+def formatted_numbers(v):
+    k = F.col("n_nationkey")
+    return v.table("nation").select(k, report.human(7.0 * F.pow(F.lit(3.0), k % 18)).alias("human"), report.duration(1.3 * F.pow(F.lit(2.0), k % 14)).alias("took"))

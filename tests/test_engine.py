@@ -10,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sunweave.functions import solar, spatial, timegrid
-from sunweave.operators import analytics, capacity, exposure, graph, integrity, queue, topology
+from sunweave.operators import analytics, capacity, exposure, graph, integrity, queue, report, topology
 from sunweave.operators import spatial as joins
-from sunweave.sources import files
+from sunweave.sources import catalog, config, files
 from sunweave.streaming import exposure as streams
 
 NOON = dt.datetime(2026, 6, 15)
@@ -118,31 +118,88 @@ def tasks(spark):
     return spark.createDataFrame(rows, "task_id long, run_id string, section_id int, window_index int, shard_index int, state string, priority int, est_raycasts long, attempts int, max_attempts int, worker_id string, lease_expires_at timestamp, started_at timestamp, finished_at timestamp, rows_written long, affinity_hit boolean, last_error string").cache()
 
 
+def at(*when):
+    return F.lit(dt.datetime(*when)).cast("timestamp")
+
+
+def reports(spark, *rows, extra=""):
+    return spark.createDataFrame(rows, "task_id long, worker_id string" + extra)
+
+
+RUNS = [("r", 2), ("other", 100)]
+
+
 def test_queue(spark):
     t = tasks(spark)
     shards = spark.createDataFrame([(0, "online"), (1, "online"), (2, "draining")], "shard_index int, state string")
-    now = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp")
-    after, got = queue.claim(t, shards, 2, "r", "w1", now)
+    runs = spark.createDataFrame(RUNS, "run_id string, max_tasks_per_shard int")
+    now = at(2026, 1, 1)
+    with pytest.raises(ValueError, match="does not exist"):
+        queue.claim(t, shards, runs, "nope", "w1", now)
+    after, got = queue.claim(t, shards, runs, "r", "w1", now)
     best = max((r for r in t.collect() if r.shard_index != 2), key=lambda r: (r.est_raycasts, -r.task_id))
     first = got.first()
-    assert first.task_id == best.task_id and first.affinity_hit is None and first.attempts == 1
-    after, got = queue.claim(after, shards, 2, "r", "w2", now, section=9000, window=0)
+    assert first.task_id == best.task_id and first.affinity_hit is False and first.attempts == 1
+    assert (first.lease_expires_at - first.started_at).total_seconds() == 120
+    after, got = queue.claim(after, shards, runs, "r", "w2", now, section=9000, window=0)
     assert got.first().task_id == 0 and got.first().affinity_hit is True
-    after, got = queue.claim(after, shards, 2, "r", "w2", now, section=9002, window=0)
+    after, got = queue.claim(after, shards, runs, "r", "w2", now, section=9002, window=0)
     assert got.first().affinity_hit is False
     after = after.cache()
-    assert {r.shard_index: r.free for r in queue.admissible_shards(after, shards, 2).collect()}.keys() <= {0, 1}
+    assert {r.shard_index: r.free for r in queue.admissible_shards(after, shards, runs, "r").collect()}.keys() <= {0, 1}
+    assert queue.admissible_shards(after, shards, runs, "nope").count() == 0
+    assert {r.shard_index for r in queue.admissible_shards(after, shards, runs, "other").collect()} == {0, 1}
     held = after.where("state = 'running'").first()
-    assert queue.complete(after, held.task_id, "impostor", 5, now).exceptAll(after).count() == 0
-    done = queue.complete(after, held.task_id, held.worker_id, 5, now).where("state = 'done'").first()
-    assert (done.task_id, done.rows_written) == (held.task_id, 5)
-    back = queue.fail(after, held.task_id, held.worker_id, "x" * 5000, now).where(F.col("task_id") == held.task_id).first()
-    assert (back.state, len(back.last_error), back.worker_id) == ("pending", 4000, None)
-    reaped = queue.reap_expired(after, F.lit(dt.datetime(2027, 1, 1)).cast("timestamp"))
-    assert reaped.where("state = 'running'").count() == 0
+    report = ", rows_written long, raycasts_done long"
+    same, answer = queue.complete(after, reports(spark, (held.task_id, "impostor", 5, 1), (99, "w1", 5, 1), extra=report), now)
+    assert same.exceptAll(after).count() == 0 and {(r.task_id, r.ok) for r in answer.collect()} == {(held.task_id, False), (99, False)}
+    done, answer = queue.complete(after, reports(spark, (held.task_id, held.worker_id, 5, 1), extra=report), now)
+    done = done.where("state = 'done'").first()
+    assert (done.task_id, done.rows_written, done.lease_expires_at, answer.first().ok) == (held.task_id, 5, None, True)
+    beaten, answer = queue.heartbeat(after, reports(spark, (held.task_id, held.worker_id, None), extra=", raycasts_done long"), at(2026, 1, 2))
+    assert answer.first().ok and beaten.where(F.col("task_id") == held.task_id).first().lease_expires_at == dt.datetime(2026, 1, 2, 0, 2)
+    failed, _ = queue.fail(after, reports(spark, (held.task_id, held.worker_id, "x" * 5000), extra=", error string"), now)
+    back = failed.where(F.col("task_id") == held.task_id).first()
+    assert (back.state, len(back.last_error), back.worker_id, back.finished_at) == ("pending", 4000, None, None)
+    again, got = queue.claim(failed, shards, runs, "r", "w9", at(2026, 3, 1), section=held.section_id, window=held.window_index)
+    assert got.first().task_id == held.task_id and got.first().started_at == dt.datetime(2026, 1, 1) and got.first().attempts == 2
+    late = at(2027, 1, 1)
+    reaped = queue.reap_expired(after, late)
+    assert reaped.where("state = 'running'").count() == 0 and queue.reap_expired(after, late, "other").where("state = 'running'").count() == 3
+    assert {r.last_error for r in reaped.where("last_error IS NOT NULL").collect()} == {"lease expired (last heartbeat never, worker w1)", "lease expired (last heartbeat never, worker w2)"}
     spent = after.withColumn("attempts", F.lit(2))
-    assert queue.reap_expired(spent, F.lit(dt.datetime(2027, 1, 1)).cast("timestamp")).where("state = 'failed'").count() == 3
+    over = queue.reap_expired(spent, late).where("state = 'failed'").collect()
+    assert len(over) == 3 and {r.finished_at for r in over} == {None}
     assert queue.run_progress(after).first().running == 3
+    after = after.withColumn("sim_date", F.lit(NOON.date()))
+    whole, left = queue.complete_or_outstanding(after, "r", 5)
+    assert not whole and left.count() == 5
+    assert queue.complete_or_outstanding(after.withColumn("state", F.lit("done")), "r")[0] and not queue.complete_or_outstanding(after, "other")[0]
+
+
+def test_claims_stop_at_the_cap(spark):
+    t = tasks(spark)
+    shards = spark.createDataFrame([(0, "online"), (1, "online"), (2, "draining")], "shard_index int, state string")
+    runs = spark.createDataFrame(RUNS, "run_id string, max_tasks_per_shard int")
+    taken = []
+    for i in range(6):
+        t, got = queue.claim(t, shards, runs, "r", f"w{i}", at(2026, 1, 1))
+        t = spark.createDataFrame(t.collect(), t.schema)
+        taken += got.collect()
+    assert len(taken) == 4 and sorted(r.shard_index for r in taken) == [0, 0, 1, 1]
+    lpt = queue.claimable(tasks(spark), shards, runs, "r").collect()
+    assert {r.task_id for r in lpt} == {r.task_id for r in taken}
+
+
+def test_registry_of_shards(spark):
+    kind = "shard_index int, host string, port int, dbname string, state string, vcpu int, ram_gb int, last_seen_at timestamp"
+    old = spark.createDataFrame([(0, "a", 1, "x", "draining", 8, None, None), (1, "b", 2, "y", "online", 8, 64, None)], kind)
+    new = spark.createDataFrame([(0, "c", None, None, None, 32), (2, "d", 9, "z", 4, 4)], "shard_index int, host string, port int, dbname string, vcpu int, ram_gb int")
+    got = {r.shard_index: tuple(r)[1:7] + (r.last_seen_at is not None,) for r in queue.register_shards(old, new, at(2026, 1, 1)).collect()}
+    assert got == {0: ("c", 5432, "shard_0", "draining", 8, 32, True), 1: ("b", 2, "y", "online", 8, 64, False), 2: ("d", 9, "z", "online", 4, 4, True)}
+    assert {r.state for r in queue.set_shard_state(old, 1, "offline").collect()} == {"draining", "offline"}
+    with pytest.raises(ValueError):
+        queue.set_shard_state(old, 1, "gone")
 
 
 def test_pack_round_trip(spark, street):
@@ -150,6 +207,37 @@ def test_pack_round_trip(spark, street):
     k = facts.withColumn("k", F.expr("cast((unix_micros(cast(datetime AS timestamp)) - unix_micros(timestamp'2026-06-15 15:00:00')) / 180000000 AS int)")).select("sample_point_id", "k", "is_sunlit")
     again = exposure.unpack_words(exposure.pack_words(k, ["sample_point_id"]), ["sample_point_id"])
     assert [r["rows"] for r in integrity.differences(k, again).collect()] == [0, 0]
+    rng = random.Random(2)
+    steps = [(i, s, rng.random() < 0.5) for i in range(5) for s in rng.sample(range(360), 90)]
+    gaps = spark.createDataFrame(steps, "id int, k int, is_sunlit boolean")
+    again = exposure.unpack_words(exposure.pack_words(gaps.unionByName(gaps.limit(7)), ["id"]), ["id"])
+    assert sorted(tuple(r) for r in again.collect()) == sorted(steps)
+
+
+def test_upsert_replaces_null_keys(spark):
+    old = spark.createDataFrame([(1, None, 1), (1, "a", 2)], "k int, s string, v int")
+    new = spark.createDataFrame([(1, None, 3)], "k int, s string, v int")
+    twice = exposure.upsert(exposure.upsert(old, new, ["k", "s"]), new, ["k", "s"])
+    assert sorted((r.s or "", r.v) for r in twice.collect()) == [("", 3), ("a", 2)]
+
+
+def test_walk_tells_sections_apart(spark, street):
+    points, facts = street
+    leaf = lambda df, section: df.withColumn("section_id", F.lit(section))
+    other = leaf(facts, 2).withColumn("is_sunlit", F.lit(False))
+    both = leaf(facts, 1).unionByName(other).withColumns({"sim_date": F.to_date("datetime"), "window_index": timegrid.window_index(F.col("datetime"))})
+    ask = request(spark, (1, "e1", NOON.replace(hour=16), False, 0.5))
+    want, got = (exposure.directional_cost(ask, leaf(points, 1), f).collect() for f in (facts, both))
+    assert want == got and len(got) == 1
+
+
+def test_section_rollup_needs_known_sections(spark, street):
+    points, facts = street
+    own = facts.withColumn("section_id", F.lit(1)).drop("edge_id")
+    got = exposure.rollup_sections(own, points.withColumn("section_id", F.lit(1)), [1])
+    assert got.exceptAll(exposure.edge_rollup(own.join(points, "sample_point_id"))).count() == 0 and got.count() == 60
+    with pytest.raises(ValueError, match="without samples"):
+        exposure.rollup_sections(own, points.withColumn("section_id", F.lit(1)), [1, 9])
 
 
 def test_fact_leaves_are_replaced_whole(spark, street, tmp_path):
@@ -165,6 +253,16 @@ def test_fact_leaves_are_replaced_whole(spark, street, tmp_path):
     sizes = spark.createDataFrame([(0, 201), (1, 200)], "section_id int, sample_count int")
     bad = integrity.leaf_sizes(files.read_facts(spark, path), sizes, 60).collect()
     assert [(r.section_id, r.delta) for r in bad] == [(1, 60)]
+    due = spark.createDataFrame([(0, dt.date(2026, 6, 15), 4), (3, dt.date(2026, 6, 15), 0)], "section_id int, sim_date date, window_index int")
+    empty = integrity.leaf_sizes(files.read_facts(spark, path), sizes.unionByName(sizes.limit(1).withColumns({"section_id": F.lit(3)})), 60, due)
+    assert sorted((r.section_id, r.actual, r.expected) for r in empty.collect()) == [(1, 12060, 12000), (3, 0, 12060)]
+    leaves = {r["name"]: r["rows"] for r in catalog.leaves(files.read_facts(spark, path)).collect()}
+    assert leaves == {f"exposure_s{i}_20260615_w4": 201 * 60 for i in (0, 1)}
+    assert catalog.tree_size(spark, path) > 0 == catalog.tree_size(spark, path + "/none")
+    files.delete_leaves(spark, path, [(1, "2026-06-15", 4), (8, "2026-06-15", 4)])
+    assert files.read_facts(spark, path).count() == 201 * 60
+    (tmp_path / "facts" / "_temporary" / "0").mkdir(parents=True)
+    assert len(files.sweep_unfinished(spark, path)) == 1 and files.sweep_unfinished(spark, path) == []
 
 
 def test_files(spark, tmp_path):
@@ -200,7 +298,7 @@ def test_graph(spark):
     cells = graph.rasterise(spark.createDataFrame([(0.0, 0.0, 4.0, 0.0, 0.0, 4.0)], "x1 double, y1 double, x2 double, y2 double, x3 double, y3 double"))
     assert {(r.cx, r.cy) for r in cells.collect()} == {(i, j) for i in range(4) for j in range(4) if i + j + 1 <= 4}
     square = spark.range(25).select((F.col("id") % 5).alias("cx"), F.expr("id div 5").alias("cy"))
-    assert [(r.cx, r.cy) for r in graph.ridges(graph.distance_transform(square, 9)).collect()] == [(2, 2)]
+    assert {(r.cx + 1, r.cy + 1) for r in graph.ridges(graph.distance_transform(square.select(F.col("cx") + 1, F.col("cy") + 1).toDF("cx", "cy"), 7, 7), 7, 7).select(F.col("cx") - 1, F.col("cy") - 1).toDF("cx", "cy").collect()} == {(3, 3)}
     d = {r.id: r.representative for r in graph.decluster(nodes, 10.05).collect()}
     assert set(d.values()) == {2}  # all in one chain; the member nearest the centroid
     assert {r.representative for r in graph.decluster(nodes, 8.0).collect()} == {0, 1, 2, 3, 4, 5}

@@ -34,6 +34,12 @@ def test_query_matches_sql(spark, tables, name):
     assert canonical(df.collect(), df.columns) == canonical(want.fetchall(), names)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_without_sql_runs(spark, name):
+    assert QUERIES[name](spark, SF).count() > 0
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -15,8 +15,8 @@ def tables(spark, tmp_path_factory):
     """(folder, pairs of lineitem): parts 1 to 60 with a few of suppliers 1 to 25, some of them in one order only."""
     rng, folder = random.Random(5), str(tmp_path_factory.mktemp("tables"))
     pairs = sorted({(rng.randint(1, 25), p) for p in range(1, 61) for _ in range(rng.choice([1, 1, 2, 3]))} | {(130, 240), (130, 40)})
-    lines = [(i + 1, s, p) for i, (s, p) in enumerate(pairs)] + [(1, 3, 3)]
-    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_partkey long").write.parquet(f"{folder}/lineitem.parquet")
+    lines = [(i + 1, s, p, 1) for i, (s, p) in enumerate(pairs)] + [(1, 3, 3, 2)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int").write.parquet(f"{folder}/lineitem.parquet")
     spark.createDataFrame([(i,) for i in range(1, 121)], "c_custkey long").write.parquet(f"{folder}/customer.parquet")
     spark.createDataFrame([(i, i % 50 + 1) for i in range(1, 41)], "p_partkey long, p_size int").write.parquet(f"{folder}/part.parquet")
     return folder, [*pairs, (3, 3)]
@@ -57,16 +57,12 @@ def test_path5_starts_everywhere(spark, tables):
     assert got == {n: p for n in near if (p := first_path(near, [n], 4))} and len(got) > 20
 
 
-def test_route_plan_whole(spark, tables):
-    got = {r.shard_index: (r.edge_count, r.edges) for r in QUERIES["route_plan_whole"](spark, tables[0]).collect()}
-    ids = {k: sorted(str(i) for i in range(1, 121) if i % 9 == k) for k in range(9)}
-    assert got == {k: (len(v), ",".join(v)) for k, v in ids.items()}
-
-
-def test_dilated_cells_whole(spark, tables):
-    folder, pairs = tables
-    got = [tuple(r) for r in QUERIES["dilated_cells_whole"](spark, folder).collect()]
-    assert len(got) == len(set(got)) and set(got) == {(s + i, p + j) for s, p in pairs for i in (-1, 0, 1) for j in (-1, 0, 1)}
+def test_route_plan_has_every_edge(spark, tables):
+    spark.createDataFrame([(i, f"R{i}") for i in range(5)], "r_regionkey long, r_name string").write.mode("overwrite").parquet(f"{tables[0]}/region.parquet")
+    got = [(r.shard_index, r.edge_count, r.edges) for r in QUERIES["route_plan"](spark, tables[0]).collect()]
+    ids = {k: [str(i) for i in range(1, 121) if i % 9 % 5 == k] for k in range(5)}
+    assert {k: (n, e) for k, n, e in got} == {k: (len(v), ",".join(v)) for k, v in ids.items()}
+    assert [n for _, n, _ in got] == sorted((n for _, n, _ in got), reverse=True)
 
 
 def test_box_shadows_has_each_step(spark, tables):
