@@ -1,13 +1,17 @@
 """Documents in blocks, and hashes dealt out by ranges: what the operators on shingles and passages share.
 
-A block is a few megabytes of documents in one row, as a compressed Arrow stream in the shared folder. To find out what
-several blocks have in common, each sends its sorted hashes, cut by ranges, as compressed differences (some three bytes
-a hash), and each range answers the blocks with what it found. Blocks and ranges are bounded by bytes; their numbers grow
-with the input, and equal hashes of one block are one entry, so that frequent ones don't make a range large.
+A block is some megabytes of documents in one row, as a compressed Arrow stream of pages in the shared folder; a page, of
+whole documents, is what is decoded at once. To find out what several blocks have in common, each sends its sorted hashes,
+cut by ranges, as compressed differences (some three bytes a hash), and each range answers the blocks with what it found.
+Blocks and ranges grow with the square root of the input, so that the messages between all of them grow in proportion to
+it, up to what fits the memory of a worker (BLOCK_MOST, RANGE_MOST); from there on, at some hundreds of gigabytes with the
+values here, they grow with its square unless both are raised with the memory. Equal hashes of one block are one entry, so
+that frequent ones don't make a range large.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,25 +23,36 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunweave.llm.arrow import each_row, utf8
+from sunweave.llm.arrow import each_row, slices, utf8
 from sunweave.sources.shared import written
 
+#: Bytes of text in a page, and in the blocks of up to a gigabyte; in the ranges of those.
 BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 24 << 20
+BLOCK_MOST = 64 << 20
+RANGE_MOST = 64 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _grown(base: int, most: int, total: int) -> int:
+    """Bytes of a block or range for so many in all."""
+    return min(max(base, most), int(base * math.sqrt(max(1.0, total / (1 << 30)))))
+
+
 def make_blocks(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
     """(block, n_bytes, data): all rows with the named columns; within a block they are sorted by the first of them."""
+    total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    size, page = _grown(BLOCK_BYTES, BLOCK_MOST, total), BLOCK_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count, parts, total = TaskContext.get().partitionId(), 0, [], 0
 
         def row() -> pa.RecordBatch:
-            table = pa.Table.from_batches(parts).sort_by([(columns[0], "ascending")])
+            table = pa.Table.from_batches(parts).sort_by([(columns[0], "ascending")]).combine_chunks()
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(table.combine_chunks())
+                for part in slices(iter(table.to_batches()), text, page):
+                    out.write_batch(part)
             return pa.RecordBatch.from_pydict({"block": [f"{task}-{count}"], "n_bytes": [total], "data": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
         for batch in batches:
@@ -45,11 +60,11 @@ def make_blocks(docs: DataFrame, columns: list[str], text: str = "text") -> Data
             start = 0
             while start < batch.num_rows:
                 base = sizes[start - 1] if start else 0
-                stop = min(max(start + 1, int(np.searchsorted(sizes, base + BLOCK_BYTES - total, "right"))), batch.num_rows)
+                stop = min(max(start + 1, int(np.searchsorted(sizes, base + size - total, "right"))), batch.num_rows)
                 parts.append(batch.slice(start, stop - start))
                 total += int(sizes[stop - 1] - base)
                 start = stop
-                if total >= BLOCK_BYTES or start < batch.num_rows:
+                if total >= size or start < batch.num_rows:
                     yield row()
                     count, parts, total = count + 1, [], 0
         if parts:
@@ -58,14 +73,16 @@ def make_blocks(docs: DataFrame, columns: list[str], text: str = "text") -> Data
     return written(docs.select(*columns).mapInArrow(run, "block string, n_bytes long, data binary"), "blocks")
 
 
-def open_block(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
+def pages(data: bytes) -> Iterator[pa.Table]:
+    """The pages of a block, one at a time; each has whole documents, and their order is that of the block."""
+    for batch in pa.ipc.open_stream(data):
+        yield pa.Table.from_batches([batch])
 
 
 def dimensions(blocks: DataFrame) -> tuple[int, int]:
     """(number of ranges, bits of a hash that are sent): chance hits stay rarer than one in some thousands."""
     total = blocks.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
-    return max(1, -(-total // RANGE_BYTES)), min(58, max(32, int(total // 6 + 1).bit_length() + 13))
+    return max(1, -(-total // _grown(RANGE_BYTES, RANGE_MOST, total))), min(58, max(32, int(total // 6 + 1).bit_length() + 13))
 
 
 # --- hashes -----------------------------------------------------------------------------------------------------------
@@ -115,13 +132,25 @@ def places(starts: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(good)
 
 
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several sorted arrays, and the sum of their counts."""
+    every = np.concatenate([*keys, np.zeros(0, np.uint64)])
+    number = np.concatenate([*counts, np.zeros(0, np.int64)])
+    if len(keys) < 2 or not len(every):
+        return every, number
+    order = np.argsort(every, kind="stable")
+    every, number = every[order], number[order]
+    lead = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    return every[lead], np.add.reduceat(number, lead)
+
+
 # --- compressed columns -------------------------------------------------------------------------------------------------
 
 
 def squeeze(values: np.ndarray) -> bytes:
     """A column of numbers, by bytes of equal weight."""
     flat = np.ascontiguousarray(values)
-    return zstandard.ZstdCompressor(level=1).compress(flat.view(np.uint8).reshape(len(flat), -1).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(flat.view(np.uint8).reshape(len(flat), flat.itemsize).T.tobytes())
 
 
 def unsqueeze(data: bytes, dtype=np.uint64) -> np.ndarray:
@@ -149,18 +178,18 @@ def cuts(tops: np.ndarray, bits: int, ranges: int) -> np.ndarray:
 Sent = list[tuple[int, bytes]]
 
 
-def ask(blocks: DataFrame, send: Callable[[pa.Table], Sent], answer: Callable[[list[bytes]], list[bytes | None]], replies: DataFrame | None = None) -> DataFrame:
+def ask(blocks: DataFrame, send: Callable[[Iterator[pa.Table]], Sent], answer: Callable[[list[bytes]], list[bytes | None]], replies: DataFrame | None = None) -> DataFrame:
     """(block, replies): what the ranges answered each block; blocks without an answer have no row.
 
-    send gets a block (and, if given, its earlier replies) and returns (range, bytes); answer gets the bytes of all blocks
-    for one range and returns an answer for each of them or None.
+    send gets a block's pages (and, if given, its earlier replies) and returns (range, bytes); answer gets the bytes of all
+    blocks for one range and returns an answer for each of them or None.
     """
 
     told = replies is not None
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in each_row(batches):
-            sent = send(open_block(row["data"]), *([row["replies"] or []] if told else []))
+            sent = send(pages(row["data"]), *([row["replies"] or []] if told else []))
             yield pa.RecordBatch.from_pydict({"range": pa.array([k for k, _ in sent], pa.int32()), "block": pa.array([row["block"]] * len(sent), pa.string()), "sent": pa.array([x for _, x in sent], pa.binary())})
 
     def answers(table: pa.Table) -> pa.Table:

@@ -19,7 +19,9 @@ and are needed only between sets that consist of them.
 
 Defined results: a null or empty text has no set and is linked with nothing; a text of fewer than n words is one n-gram;
 a null id is passed on and never smallest; rows with equal ids are separate rows of one document; repeated rows each
-get a row; an empty table gives an empty table; further columns are left out.
+get a row; texts of any length are taken whole; ill-formed UTF-8 is mended first; an empty table gives an empty table;
+further columns, whatever their names, are left out. Clusters of up to GROUP_SETS sets are one group; larger ones are cut
+by size, which finds the same links.
 """
 
 from __future__ import annotations
@@ -59,11 +61,13 @@ def _sets(table: pa.Table, n: int, text: str) -> list[np.ndarray]:
 
 
 def _send(n: int, text: str, ranges: int, bits: int):
-    def send(table: pa.Table) -> B.Sent:
-        sets = _sets(table, n, text)
-        every = np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits)
-        tops, count = np.unique(every, return_counts=True)
-        scale = np.minimum(np.log2(count).astype(np.uint64), np.uint64(15))
+    def send(pages: Iterator[pa.Table]) -> B.Sent:
+        parts = []
+        for table in pages:
+            every = np.concatenate([*_sets(table, n, text), np.zeros(0, np.uint64)]) >> np.uint64(64 - bits)
+            parts.append(np.unique(every, return_counts=True))
+        tops, count = B.merged([t for t, _ in parts], [c for _, c in parts])
+        scale = np.minimum(np.log2(np.maximum(count, 1)).astype(np.uint64), np.uint64(15))
         cut = B.cuts(tops, bits, ranges)
         coded = (tops << np.uint64(4)) | scale
         return [(i, B.squeeze_sorted(coded[a:b])) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
@@ -98,28 +102,28 @@ def _shared_sets(docs: DataFrame, n: int, percent: int, text: str, key: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in each_row(batches):
-            table = B.open_block(row["data"])
             told = np.sort(np.concatenate([*(B.unsqueeze_sorted(x) for x in row["replies"] or []), np.zeros(0, np.uint64)]))
             tops, scale = told >> np.uint64(6), told & np.uint64(63)
-            sets = _sets(table, n, text)
-            digests, prefixes, lists = [], [], []
-            for s in sets:
-                mine = s >> np.uint64(64 - bits)
-                at = np.minimum(np.searchsorted(tops, mine), max(0, len(tops) - 1))
-                good = tops[at] == mine if len(tops) else np.zeros(len(s), bool)
-                k = int(good.sum())
-                if not len(s) or 100 * k < percent * len(s):
-                    digests.append(None), prefixes.append(None), lists.append(None)
-                    continue
-                order = np.lexsort((s[good], scale[at[good]]))
-                digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                prefixes.append(len(s) - -(-percent * len(s) // 100) + 1 - (len(s) - k))
-                lists.append(s[good][order].view(np.int64))
-            for a in range(0, len(sets), 500):
-                part = slice(a, a + 500)
-                yield pa.RecordBatch.from_pydict(
-                    {key: table.column(key).combine_chunks()[part], "size": pa.array([len(s) for s in sets[part]], pa.int64()), "digest": pa.array(digests[part], pa.binary()), "prefix": pa.array(prefixes[part], pa.int32()), "shared": pa.array(lists[part], pa.list_(pa.int64()))}
-                )
+            for table in B.pages(row["data"]):
+                sets = _sets(table, n, text)
+                digests, prefixes, lists = [], [], []
+                for s in sets:
+                    mine = s >> np.uint64(64 - bits)
+                    at = np.minimum(np.searchsorted(tops, mine), max(0, len(tops) - 1))
+                    good = tops[at] == mine if len(tops) else np.zeros(len(s), bool)
+                    k = int(good.sum())
+                    if not len(s) or 100 * k < percent * len(s):
+                        digests.append(None), prefixes.append(None), lists.append(None)
+                        continue
+                    order = np.lexsort((s[good], scale[at[good]]))
+                    digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    prefixes.append(len(s) - -(-percent * len(s) // 100) + 1 - (len(s) - k))
+                    lists.append(s[good][order].view(np.int64))
+                for a in range(0, len(sets), 500):
+                    part = slice(a, a + 500)
+                    yield pa.RecordBatch.from_pydict(
+                        {key: table.column(key).combine_chunks()[part], "size": pa.array([len(s) for s in sets[part]], pa.int64()), "digest": pa.array(digests[part], pa.binary()), "prefix": pa.array(prefixes[part], pa.int32()), "shared": pa.array(lists[part], pa.list_(pa.int64()))}
+                    )
 
     kind = docs.schema[key].dataType.simpleString()
     found = blocks.select("block", "data").join(replies, "block", "left").mapInArrow(run, f"`{key}` {kind}, size long, digest binary, prefix int, shared array<long>")

@@ -5,10 +5,13 @@ import random
 import struct
 import time
 import zlib
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from sunweave.llm import chat, media
+from sunweave.llm import binary, blocks, chat, jaccard, media, packing, quality, substring, tokens
+from tests.llm.test_operators import brute_cut, brute_groups, words_of
 
 # --- 2 ----------------------------------------------------------------------------------------------------------------
 
@@ -123,3 +126,83 @@ def test_chat_levels_against_brute_force(spark):
         want |= {(conv, n): s for n, s in brute_statuses(calls).items()}
     got = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()
     assert {(r.conv_id, r.call_id): (r.status.removesuffix("+no_result"), r.place_level) for r in got} == want
+
+
+# --- 3, 6: blocks of several pages ----------------------------------------------------------------------------------------
+
+
+def passages(n=160):
+    """Documents of which many share passages, in part or whole, within a page, a block and beyond."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(400)}"
+    shared = [[word() for _ in range(rng.choice([18, 25, 60]))] for _ in range(6)]
+    out = []
+    for i in range(n):
+        w = [word() for _ in range(rng.choice([0, 5, 30, 80]))]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = rng.choice(shared)
+        out.append((rng.choice([i, i, 1000 - i, 7, None]), " ".join(w) if i % 13 else (None if i % 2 else "")))
+    return out
+
+
+@pytest.mark.parametrize("block,pages", [(700, 5), (3000, 3), (10**6, 1)])
+def test_blocks_of_pages(spark, monkeypatch, block, pages):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    monkeypatch.setattr(blocks, "_grown", lambda base, most, total: pages * base if base == block else 5000)
+    texts = passages()
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    made = blocks.make_blocks(docs, ["doc_id", "text"])
+    seen = [sum(1 for _ in blocks.pages(bytes(r.data))) for r in made.collect()]
+    assert max(seen) > 1 or pages == 1
+    gone, want = brute_cut(texts, 20), Counter()
+    for (i, t), g in zip(texts, gone):
+        want[i, len(words_of(t)), sum(g)] += 1
+    assert any(sum(g) for g in gone)
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in substring.dedup_digests(docs).collect())
+    assert got == want
+    kept = Counter((r.doc_id, len(words_of(r.text))) for r in substring.dedup_texts(docs).collect())
+    assert kept == Counter((i, len(g) - sum(g)) for (i, _), g in zip(texts, gone) if not g or not all(g))
+    groups = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs, 3, 60).collect())
+    assert groups == brute_groups(texts, 3, 60)
+
+
+def test_ill_formed_texts_are_mended(spark):
+    bad = spark.createDataFrame([(1, bytearray(b"caf\xe9 x " * 60)), (2, bytearray("café x ".encode() * 60)), (3, bytearray(b"\xff"))], "doc_id long, b binary").selectExpr("doc_id", "cast(b AS string) AS text", "'a' AS source")
+    mended = (b"caf\xe9 x " * 60).decode(errors="replace")
+    assert {r.doc_id: r.n_bytes for r in tokens.token_counts(bad, "piece_bpe_32k.model").collect()} == {1: len(mended.encode()), 2: 480, 3: 3}
+    assert {r.doc_id: r.n_words for r in quality.ledger(bad).collect()} == {1: 120, 2: 120, 3: 1}
+    for name, made in (("byte_bpe_50k.json", lambda: binary.write_token_files(bad, "byte_bpe_50k.json", None).digests()), ("word_bpe_49k.json", lambda: packing.pack(bad, "word_bpe_49k.json", 1))):
+        ids = tokens.load(tokens.default_path(name)).encode(mended, add_special_tokens=False).ids
+        got = next(r for r in made().collect() if r.doc_id == 1)
+        assert (got.n_tokens if "n_tokens" in got.asDict() else got.length - 1) == len(ids)
+    assert substring.dedup_texts(bad).count() == 3 and jaccard.similar_groups(bad).count() == 3
+    assert {r.doc_id: r.n_bytes for r in media.features(media.store_texts(bad)).collect()}[3] == 3
+    rows = bad.selectExpr("doc_id AS conv_id", "1 AS turn", "'user' AS role", "text")
+    assert chat.format_chat(rows).count() == 3
+
+
+# --- vocabularies ---------------------------------------------------------------------------------------------------------
+
+
+def test_unknown_vocabularies_go_through_the_library_whole(tmp_path):
+    with open(tokens.default_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        d = json.load(f)
+    d["pre_tokenizer"]["add_prefix_space"] = True
+    own = tmp_path / "own.json"
+    own.write_text(json.dumps(d))
+    assert tokens.vocabulary_form(str(own))[0] is None and tokens.vocabulary_form(tokens.default_path("byte_bpe_50k.json"))[0] == "bytes"
+    encoder, library = tokens.word_encoder(str(own)), tokens.load(str(own))
+    texts = ["Hello there, world\nx", "", "a  b", "<|endoftext|> x"]
+    ids, bounds = encoder.encode_column(pa.array(texts), 2)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    asked = tokens.word_encoder(tokens.default_path("word_bpe_49k.json"), "bytes")
+    assert asked.form is None and asked.encode([b"Hello"])[0] == asked._library(["Hello"])[0]
+
+
+def test_encoder_on_empty_columns():
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        ids, bounds = tokens.word_encoder(tokens.default_path(name)).encode_column(pa.array([], pa.string()), 1)
+        assert ids.tolist() == [] and bounds.tolist() == [0]
+        ids, bounds = tokens.word_encoder(tokens.default_path(name)).encode_column(pa.array(["", ""]), 1)
+        assert ids.tolist() == [1, 1] and bounds.tolist() == [0, 1, 2]
