@@ -7,7 +7,8 @@ shard is written under a name of its own for each attempt, and the manifest name
 so that lost executors and repeated tasks leave at most files that nobody reads.
 
 Defined results: a null text is an empty one (its end id only); documents without a key come first; rows with equal
-keys are ordered by their texts; an empty table gives no shards; further columns are left out.
+keys are ordered by their texts; a text is never cut, so that a very long one makes its shard that much larger; ill-formed
+UTF-8 is mended first; an empty table gives no shards; further columns, whatever their names, are left out.
 """
 
 from __future__ import annotations

@@ -9,9 +9,11 @@ The n-grams have a global order, by rounded document frequency and then hash. It
 2. Equal sets become one class. Of each, the n-grams that come first in the global order (rare ones; as many as may be
    missing, and one) must hit a similar set's; sets that such n-grams connect form a cluster.
 3. A cluster is cut into groups of bounded size, by set size (only neighbouring size classes can be similar) and by
-   hashing; for each pair of groups and each fragment, partial overlaps are counted separately, and summed for each pair
-   of sets. Of the links found only a spanning forest of each group pair leaves the task, so that a large group of near
-   copies makes no quadratic number of rows; no link is left out.
+   hashing; for each group and each fragment, partial overlaps are counted separately, and summed for each pair of sets.
+   Of the links found only a spanning forest of each group leaves the task. A few sets of the cluster are in all of its
+   groups, by which near copies hang together at once. Only the sets outside the largest component so found are then
+   compared with all groups, in the same way: a large cluster of near copies costs in proportion to its sets, and no link
+   between components is left out.
 4. Components of the links, by their smallest id.
 
 n-grams are told apart by 64-bit hashes, sets by 128-bit ones. Nothing is capped: frequent n-grams come last in the order
@@ -20,8 +22,8 @@ and are needed only between sets that consist of them.
 Defined results: a null or empty text has no set and is linked with nothing; a text of fewer than n words is one n-gram;
 a null id is passed on and never smallest; rows with equal ids are separate rows of one document; repeated rows each
 get a row; texts of any length are taken whole; ill-formed UTF-8 is mended first; an empty table gives an empty table;
-further columns, whatever their names, are left out. Clusters of up to GROUP_SETS sets are one group; larger ones are cut
-by size, which finds the same links.
+further columns, whatever their names, are left out. Clusters of up to GROUP_SETS sets are one group; the
+components are the same however clusters are cut.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunweave.llm import blocks as B
@@ -43,6 +45,8 @@ from sunweave.sources.shared import written
 GROUP_SETS = 256
 GROUP_HASHES = 400_000
 FRAGMENTS = 4
+#: Sets of each size class of a large cluster that all its groups compare with.
+PIVOTS = 4
 
 
 def _sets(table: pa.Table, n: int, text: str) -> list[np.ndarray]:
@@ -200,11 +204,37 @@ def _links(percent: int):
     return run
 
 
-def _set_links(some: DataFrame, least: DataFrame, percent: int, key: str) -> DataFrame:
-    """(src, dst) digests: a spanning forest, at least, of all links between different sets.
+def _group_links(some: DataFrame, pairs: DataFrame, percent: int, key: str) -> DataFrame:
+    """(src, dst) digests of a spanning forest of the links within each group of pairs: (d, least, pairs), the class and its groups."""
+    of_lead = (F.col("digest") == F.col("d")) & F.col(key).eqNullSafe(F.col("least"))
+    rows = some.select("digest", key, "size", "shared").join(pairs, of_lead).withColumn("pair", F.explode("pairs"))
+    shift = 64 - (FRAGMENTS - 1).bit_length()
+    cut = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda v: F.struct(v.alias("fragment"), F.filter("shared", lambda h: F.shiftrightunsigned(h, shift) == v).alias("part")))
+    rows = rows.select("pair", "digest", "size", F.inline(cut))
+    partial = rows.repartition("pair", "fragment").sortWithinPartitions("pair", "fragment").mapInArrow(_overlaps, "pair string, m int, digests array<binary>, sizes array<long>, i binary, j binary, n binary")
+    return written(partial.repartition("pair").sortWithinPartitions("pair").mapInArrow(_links(percent), "src binary, dst binary"), "links")
+
+
+def _parts(sets: DataFrame, name: str) -> DataFrame:
+    """(cluster, level, name): into how many groups of bounded size the sets of a level go."""
+    n = sets.groupBy("cluster", "level").agg(F.count("*").alias("n"), F.sum("hashes").alias("h"))
+    return n.select("cluster", "level", F.greatest(F.ceil(F.col("n") / GROUP_SETS), F.ceil(F.col("h") / GROUP_HASHES)).cast("int").alias(name))
+
+
+def _group(parts: str) -> Column:
+    return F.pmod(F.xxhash64("digest"), F.col(parts)).cast("int")
+
+
+def _beside(df: DataFrame) -> DataFrame:
+    """Rows with each level that theirs can have links to, as to."""
+    return df.withColumn("to", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
+
+
+def _set_roots(some: DataFrame, least: DataFrame, percent: int, key: str) -> DataFrame:
+    """(node, root): components of the links between different sets, for the digests of sets that have any.
 
     Of each class only the row with the smallest id brings n-grams along, joined by digest and id, so that copies meet
-    nowhere; all but the last step goes without the long lists.
+    nowhere; all but the counting goes without the long lists.
     """
     lead = least.select(F.col("digest").alias("d"), "least")
     of_lead = (F.col("digest") == F.col("d")) & F.col(key).eqNullSafe(F.col("least"))
@@ -215,27 +245,41 @@ def _set_links(some: DataFrame, least: DataFrame, percent: int, key: str) -> Dat
     cluster = connected_components(near).withColumnRenamed("root", "cluster")
     sets = written(least.join(cluster, F.col("digest") == F.col("node")).select("cluster", "digest", "least", "size", "hashes"), "members")
     weights = sets.groupBy("cluster").agg(F.count("*").alias("c_sets"), F.sum("hashes").alias("c_hashes"))
-    sets = sets.join(weights, "cluster")
-    step = math.log(100 / (percent - 0.1))
     small = (F.col("c_sets") <= GROUP_SETS) & (F.col("c_hashes") <= GROUP_HASHES)
-    sets = sets.withColumn("level", F.when(small, 0).otherwise(F.floor(F.log(F.col("size").cast("double")) / step)).cast("int")).drop("c_sets", "c_hashes")
-    levels = sets.groupBy("cluster", "level").agg(F.count("*").alias("n"), F.sum("hashes").alias("hashes"))
-    levels = written(levels.select("cluster", "level", F.greatest(F.ceil(F.col("n") / GROUP_SETS), F.ceil(F.col("hashes") / GROUP_HASHES)).cast("int").alias("parts")), "levels")
-    beside = lambda d, name: levels.select("cluster", (F.col("level") - d).alias("level"), F.col("parts").alias(name))
-    sets = sets.join(levels, ["cluster", "level"]).join(beside(1, "above"), ["cluster", "level"], "left").join(beside(-1, "below"), ["cluster", "level"], "left")
-    sets = sets.withColumn("g", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-    # The group pairs of a set: within its size level, and with the levels beside it.
-    name = "transform(sequence(0, {n} - 1), x -> concat_ws(':', hex(cluster), {level}, {a}, {b}))"
-    own = name.format(n="parts", level="level || '='", a="least(g, x)", b="greatest(g, x)")
-    up = f"if(above IS NULL, array(), {name.format(n='above', level='level', a='g', b='x')})"
-    down = f"if(below IS NULL, array(), {name.format(n='below', level='(level - 1)', a='x', b='g')})"
-    pairs = sets.select(F.col("digest").alias("d"), "least", F.expr(f"concat({own}, {up}, {down})").alias("pairs"))
-    rows = some.select("digest", key, "size", "shared").join(pairs, of_lead).withColumn("pair", F.explode("pairs"))
-    shift = 64 - (FRAGMENTS - 1).bit_length()
-    cut = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda v: F.struct(v.alias("fragment"), F.filter("shared", lambda h: F.shiftrightunsigned(h, shift) == v).alias("part")))
-    rows = rows.select("pair", "digest", "size", F.inline(cut))
-    partial = rows.repartition("pair", "fragment").sortWithinPartitions("pair", "fragment").mapInArrow(_overlaps, "pair string, m int, digests array<binary>, sizes array<long>, i binary, j binary, n binary")
-    return written(partial.repartition("pair").sortWithinPartitions("pair").mapInArrow(_links(percent), "src binary, dst binary"), "links")
+    large = written(weights.where(~small).select("cluster"), "large")
+    step = math.log(100 / (percent - 0.1))
+    level = F.floor(F.log(F.col("size").cast("double")) / step).cast("int")
+    # Sets of a small cluster are one group; those of a large one are dealt out by size and hash.
+    whole = sets.join(large, "cluster", "left_anti").select(F.col("digest").alias("d"), "least", F.array(F.hex("cluster")).alias("pairs"))
+    if large.isEmpty():
+        return connected_components(_group_links(some, whole, percent, key))
+    sets = written(sets.join(large, "cluster", "left_semi").withColumn("level", level), "large_members")
+    parts = written(_parts(sets, "parts"), "parts")
+    sets = written(sets.join(parts, ["cluster", "level"]).withColumn("g", _group("parts")), "grouped")
+    # Each group has some sets of its level and of those beside it along, by which groups of near copies hang together.
+    drawn = F.array_distinct(F.array(*[f"m{i}" for i in range(PIVOTS)]))
+    pivots = sets.groupBy("cluster", "level").agg(*[F.min(F.struct(F.xxhash64("digest", F.lit(i)).alias("h"), F.struct("digest", "least").alias("s")))["s"].alias(f"m{i}") for i in range(PIVOTS)])
+    pivots = _beside(pivots.select("cluster", "level", F.explode(drawn).alias("s"))).select("cluster", F.col("to").alias("level"), "s.digest", "s.least").join(parts, ["cluster", "level"])
+    name = lambda *c: F.concat_ws(":", F.hex("cluster"), *c)
+    own = sets.select(F.col("digest").alias("d"), "least", name("level", "g").alias("pair"))
+    along = pivots.select(F.col("digest").alias("d"), "least", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("g"), "cluster", "level").select("d", "least", name("level", "g").alias("pair"))
+    each = lambda df: df.distinct().select("d", "least", F.array("pair").alias("pairs"))
+    links = _group_links(some, whole.unionByName(each(own.unionByName(along))), percent, key)
+    root = connected_components(links)
+    # What is left are links out of all but the largest component of a cluster: those sets meet every group.
+    sets = written(sets.join(root, F.col("digest") == F.col("node"), "left").withColumn("root", F.coalesce("root", "digest")).drop("node"), "rooted")
+    most = sets.groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("most"))
+    rest = written(sets.join(most, "cluster").where("root <> most").drop("most", "parts", "g"), "rest")
+    if rest.isEmpty():
+        return root
+    others = written(_parts(rest, "others"), "others")
+    rest = rest.join(others, ["cluster", "level"]).withColumn("o", _group("others"))
+    groups = parts.select("cluster", F.col("level").alias("to"), "parts")
+    out = _beside(rest.select("cluster", "level", "digest", "least", "o")).join(groups, ["cluster", "to"]).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    there = _beside(others).join(sets.select("cluster", F.col("level").alias("to"), "digest", "least", "g"), ["cluster", "to"]).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    met = [df.select(F.col("digest").alias("d"), "least", name("level", "o", "to", "g").alias("pair")) for df in (out, there)]
+    more = _group_links(some, each(met[0].unionByName(met[1])), percent, key)
+    return connected_components(links.unionByName(more))
 
 
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -244,8 +288,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "
     some = sets.where("digest IS NOT NULL")
     least = some.groupBy("digest").agg(F.min(key).alias("least"), F.max("size").alias("size"), F.max(F.size("shared")).alias("hashes"))
     least = written(least, "classes")
-    links = _set_links(some, least, percent, key)
-    root = connected_components(links)
+    root = _set_roots(some, least, percent, key)
     of = least.join(root, F.col("digest") == F.col("node"), "left").select("digest", "least", F.coalesce("root", "digest").alias("root"))
     component = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = of.join(component, "root").select(F.col("digest").alias("d"), "component_id")

@@ -344,7 +344,10 @@ def sniff(rows: DataFrame, media: str = "media", key: str = "doc_id", declared:
 
 
 def carve(rows: DataFrame, found: DataFrame, media: str = "media", key: str = "doc_id") -> DataFrame:
-    """(key, offset, type, bytes) of all media that ``sniff`` confirmed, cut from the values by SQL substrings."""
+    """(key, offset, type, bytes) of all media that ``sniff`` confirmed, cut from the values by SQL substrings.
+
+    Keys must be unique; rows of null keys have no media; an empty table gives none.
+    """
     spans = found.select(key, F.inline("found"))
     return rows.select(key, media).join(spans, key).select(key, "offset", "type", F.expr(f"substring({media}, cast(offset as int) + 1, cast(length as int))").alias("bytes"))
 

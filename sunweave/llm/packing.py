@@ -8,7 +8,9 @@ pieces by their rank within their length; ranks are counted in salted parts, so
 is never ordered in one task.
 
 Defined results: a null text is an empty one, its end id only; a null id stays null; repeated rows and rows with equal
-ids are packed each; an empty table gives an empty table; further columns are left out.
+ids are packed each; texts of any length are encoded whole and cut by ids alone; ill-formed UTF-8 is mended first; pieces
+of equal length are alike to the plan, so that ties only decide which of them takes which place, by hash and then id; an
+empty table gives an empty table; further columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -143,10 +145,15 @@ def _slots(plan: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarra
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Adds sequence_id and offset to pieces with key, piece, start, length and ids_crc32."""
+    """Adds sequence_id and offset to pieces with key, piece, start, length and ids_crc32, the key first.
+
+    Null keys are placed like others; a piece longer than the capacity, or without length, raises.
+    """
     names = pieces.columns
     key = names[0]
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
+    if any(not n or not 0 < n <= capacity for n in counts):
+        raise ValueError(f"pieces must have 1 to {capacity} tokens")
     slots = pieces.sparkSession.sparkContext.broadcast(_slots(make_plan(counts, capacity)))
     total = sum(counts.values())
     salt = F.pmod(F.xxhash64(key, "piece", "start", "ids_crc32"), F.lit(max(1, -(-total // PART_ROWS)))).cast("int")

@@ -5,8 +5,9 @@ A policy is a named, versioned mask of the rules that reject; applying it, or le
 each of them rejects alone, is bit arithmetic over the ledger and doesn't touch the texts again.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Defined results: a null or empty text has no words and fails the base rules; a null
-id stays null; repeated rows each get a row; an empty table gives an empty table; further columns are left out unless
-``attach`` is asked for, which keeps all of them and matches by content, not by name.
+id stays null; repeated rows each get a row; texts of any length are measured whole, in batches of bounded bytes;
+ill-formed UTF-8 is mended first; an empty table gives an empty table, and no rules in an ablation; further columns are left
+out unless ``attach`` is asked for, which keeps all of them in a struct, whatever their names.
 """
 
 from __future__ import annotations

@@ -81,8 +81,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.ablation(quality.ledger(_documents(spark, sf_dir)), quality.PROSE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_mix, op2_media, op3_jaccard, op4_packing, op5_license, op6_substring, op7_chat, op8_binary, op9_counts, op10_quality)
+    named = (op1_mix, op2_media, op3_jaccard, op4_packing, op5_license, op6_substring, op7_chat, op8_binary, op9_counts, op10_quality, quality_ablation)
     return {f.__name__: f for f in named}
 
 
@@ -111,7 +115,7 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - COALESCE(k.n,
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
-_OP10 = rf"""
+_LEDGER = rf"""
 WITH d AS (SELECT doc_id, COALESCE(text, '') AS text, {_WORDS.format("text")} AS w FROM documents),
 l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3))),
@@ -122,8 +126,9 @@ m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_s
       FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
 f AS (SELECT *, CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END) | (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END) | (CASE WHEN word_chars < 2 * n_words THEN 4 ELSE 0 END)
         | (CASE WHEN word_chars > 20 * n_words THEN 8 ELSE 0 END) | (CASE WHEN 10 * n_symbols > n_words THEN 16 ELSE 0 END) | (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 32 ELSE 0 END) AS BIGINT) AS failed FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
 """
+_OP10 = _LEDGER + "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed FROM f"
+_ABLATION = _LEDGER + "SELECT rule, count(*) FILTER ((failed & bit) <> 0) AS n_failed, count(*) FILTER (failed = bit) AS n_only FROM f, (VALUES ('too_few_words', 1), ('repeated_words', 2), ('short_words', 4), ('long_words', 8), ('symbols', 16), ('repeated_lines', 32)) r(rule, bit) GROUP BY rule"
 
 
 _OP7 = r"""
@@ -152,4 +157,4 @@ FROM r JOIN given USING (conv_id, id) LEFT JOIN calls ON calls.conv_id = r.conv_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mix.ORACLE, "op3_jaccard": _OP3, "op5_license": license.oracle(), "op6_substring": _OP6, "op7_chat": _OP7, "op10_quality": _OP10}
+    return {"op1_mix": mix.ORACLE, "op3_jaccard": _OP3, "op5_license": license.oracle(), "op6_substring": _OP6, "op7_chat": _OP7, "op10_quality": _OP10, "quality_ablation": _ABLATION}

@@ -3,8 +3,9 @@
 ``token_counts`` is operator 9: batches balanced by bytes go through the library in an Arrow function that returns
 lengths only; long texts are cut at safe boundaries first.
 
-Defined results: a null or empty text has 0 bytes and 0 tokens; a null id stays null; repeated rows each get a row;
-an empty table gives an empty table; further columns, whatever their names, are left out.
+Defined results: a null or empty text has 0 bytes and 0 tokens; a null id stays null; repeated rows each get a row; long
+texts are counted whole, cut only where the count stays the same; ill-formed UTF-8 is mended first and counted so; an empty
+table gives an empty table; further columns, whatever their names, are left out.
 """
 
 from __future__ import annotations

@@ -206,3 +206,36 @@ def test_encoder_on_empty_columns():
         assert ids.tolist() == [] and bounds.tolist() == [0]
         ids, bounds = tokens.word_encoder(tokens.default_path(name)).encode_column(pa.array(["", ""]), 1)
         assert ids.tolist() == [1, 1] and bounds.tolist() == [0, 1, 2]
+
+
+@pytest.mark.parametrize("pivots", [1, 4])
+def test_large_clusters_that_are_no_group(spark, monkeypatch, pivots):
+    """Chains in which only neighbours are similar, near copies of several bases, and sets that share rare n-grams only."""
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 6)
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
+    rng = random.Random(3)
+    stream = [f"s{i}" for i in range(400)]
+    texts = [stream[3 * i : 3 * i + 60] for i in range(70)]
+    for b in range(3):
+        base = [f"b{b}x{i}" for i in range(50 + 20 * b)] + ["common", "words", "of", "all", "bases"]
+        texts += [[w if rng.random() > 0.015 else f"e{rng.randrange(50)}" for w in base] for _ in range(30)]
+    docs = [(rng.randrange(10_000), " ".join(t)) for t in texts]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_groups(spark.createDataFrame(docs, "doc_id long, text string"), 4, 80).collect())
+    assert got == brute_groups(docs, 4, 80)
+
+
+def test_near_copies_meet_in_few_groups(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 10)
+    rng, seen = random.Random(5), []
+    base = [f"w{i}" for i in range(100)]
+    docs = [(i, " ".join(w if rng.random() > 0.004 else f"e{rng.randrange(30)}" for w in base)) for i in range(400)]
+    count = jaccard._group_links
+
+    def counted(some, pairs, percent, key):
+        seen.append(pairs.selectExpr("explode(pairs) AS p").count())
+        return count(some, pairs, percent, key)
+
+    monkeypatch.setattr(jaccard, "_group_links", counted)
+    got = jaccard.similar_groups(spark.createDataFrame(docs, "doc_id long, text string"), 4, 80)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute_groups(docs, 4, 80)
+    assert sum(seen) < 4 * 400  # all pairs of 40 groups would take 40 * 400
