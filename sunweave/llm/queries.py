@@ -92,6 +92,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _WORDS = r"regexp_extract_all(COALESCE({}, ''), '[^\x20\x09-\x0D]+')"
 
+_LE32 = "unhex(substr({0}, 7, 2) || substr({0}, 5, 2) || substr({0}, 3, 2) || substr({0}, 1, 2))"
+_OP2 = f"""
+WITH t AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc),
+d AS (SELECT doc_id, encode(COALESCE(text, '')) AS b FROM documents),
+p AS (SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, greatest(1, CAST(ceil(octet_length(b) / 192.0) AS BIGINT)) * 192 AS n, b FROM d),
+q AS (SELECT doc_id, n_bytes, n, b || encode(repeat(' ', CAST(n - n_bytes AS INTEGER))) AS payload FROM p),
+m AS (SELECT *, encode('RIFF') || {_LE32.format("printf('%08X', n + 36)")} || encode('WAVEfmt ') || unhex('1000000001000100401F0000401F000001000800') || encode('data') || {_LE32.format("printf('%08X', n)")} || payload AS media FROM q),
+v AS (SELECT *, list_transform(regexp_extract_all(hex(payload), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes FROM m)
+SELECT doc_id, n_bytes, n AS payload_bytes, sha256(payload) AS payload_sha256, CAST(xor(list_reduce(list_prepend(4294967295, bytes[-16:]), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) AS BIGINT) AS tail_crc32,
+       n + 44 AS media_bytes, sha256(media) AS media_sha256,
+       'audio/wav rate=8000 samples=' || n || ' min=' || list_min(bytes) || ' max=' || list_max(bytes) || ' mean=' || CAST(list_sum(bytes) * 1000 // n AS BIGINT) || ' embedded=0' AS feature, 'audio/wav' AS true_type, CAST(0 AS BIGINT) AS n_embedded
+FROM v, t
+"""
+
 _OP3 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
@@ -157,4 +171,4 @@ FROM r JOIN given USING (conv_id, id) LEFT JOIN calls ON calls.conv_id = r.conv_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mix.ORACLE, "op3_jaccard": _OP3, "op5_license": license.oracle(), "op6_substring": _OP6, "op7_chat": _OP7, "op10_quality": _OP10, "quality_ablation": _ABLATION}
+    return {"op1_mix": mix.ORACLE, "op2_media": _OP2, "op3_jaccard": _OP3, "op5_license": license.oracle(), "op6_substring": _OP6, "op7_chat": _OP7, "op10_quality": _OP10, "quality_ablation": _ABLATION}
