@@ -11,10 +11,11 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return F.round(F.lit(100).cast("decimal(20,0)") * part / F.nullif(whole, F.lit(0)), places).cast("double")
 
 
-def network_snapshot(rollup: DataFrame, at: Column) -> DataFrame:
-    """Edges, samples, lit samples and their percentage at one instant."""
+def network_snapshot(rollup: DataFrame, at: Column, sections: DataFrame) -> DataFrame:
+    """Edges, samples, lit samples and their percentage at one instant, and how many shards own a section."""
     s = rollup.where(F.col("datetime") == at)
-    return s.agg(F.count_distinct("edge_id").alias("edges"), F.coalesce(F.sum("sample_count"), F.lit(0)).alias("samples"), F.coalesce(F.sum("sunlit_sum"), F.lit(0)).alias("sunlit")).withColumn("pct_sun", percent(F.col("sunlit"), F.col("samples"), 3))
+    one = s.agg(F.count_distinct("edge_id").alias("edges"), F.coalesce(F.sum("sample_count"), F.lit(0)).alias("samples"), F.coalesce(F.sum("sunlit_sum"), F.lit(0)).alias("sunlit")).withColumn("pct_sun", percent(F.col("sunlit"), F.col("samples"), 3))
+    return one.join(sections.agg(F.count_distinct("shard_index").alias("shards_read")))  # one row each
 
 
 def month_hour_profile(facts: DataFrame) -> DataFrame:

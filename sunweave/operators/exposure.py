@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sunweave.functions import solar
@@ -35,6 +35,35 @@ def rollup_sections(facts: DataFrame, points: DataFrame, sections: list[int] | N
     return edge_rollup(facts.select("section_id", "sample_point_id", "datetime", "is_sunlit").join(edges, "sample_point_id"))
 
 
+def observed_rollup(facts: DataFrame, points: DataFrame, sections: list[int] | None = None) -> tuple[DataFrame, Observation]:
+    """The rollup and, once it has been written, its counts of edges' steps and samples, without another pass."""
+    seen = Observation("rollup")
+    out = rollup_sections(facts, points, sections)
+    return out.observe(seen, F.count("*").alias("edge_steps"), F.sum("sample_count").alias("samples"), F.sum("sunlit_sum").alias("sunlit")), seen
+
+
+def plain_facts(facts: DataFrame) -> DataFrame:
+    """The facts as three columns, whatever they are stored with."""
+    return facts.select("sample_point_id", "datetime", "is_sunlit")
+
+
+def plain_rollup(rollup: DataFrame) -> DataFrame:
+    return rollup.select("edge_id", "datetime", "sunlit_sum")
+
+
+def without_tree_values(points: DataFrame) -> DataFrame:
+    """Samples or edges with their shade of trees reset."""
+    names = [c for c in ("tree_value", "total_tree_value") if c in points.columns]
+    return points.withColumns({c: F.lit(0.0) for c in names})
+
+
+def require_known_edges(requests: DataFrame, points: DataFrame) -> None:
+    """Raises for requests of edges without samples."""
+    unknown = requests.join(points.select("edge_id").distinct(), "edge_id", "left_anti").select("edge_id").limit(5).collect()
+    if unknown:
+        raise ValueError(f"edges without samples, such as {[r['edge_id'] for r in unknown]}")
+
+
 def samples_per_edge(points: DataFrame) -> DataFrame:
     return points.groupBy("edge_id").agg(F.count("*").alias("sample_count"))
 

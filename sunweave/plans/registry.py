@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunweave.functions import solar, spatial as geo, timegrid
+from sunweave.functions import ids, solar, timegrid
+from sunweave.functions import spatial as geo
 from sunweave.operators import analytics, capacity, exposure, graph, integrity, queue, report, topology
 from sunweave.operators import spatial as joins
 from sunweave.plans.views import DAY, Views, with_views
@@ -178,11 +179,11 @@ def edge_tree_value(v):
 # --- analytics ----------------------------------------------------------------------------------------------------------
 
 
-@query("rollup", "SELECT count(DISTINCT edge_id) AS edges, CAST(COALESCE(sum(sample_count), 0) AS BIGINT) AS samples, CAST(COALESCE(sum(sunlit_sum), 0) AS BIGINT) AS sunlit, CAST(round(CAST(100 * sum(sunlit_sum) AS DECIMAL(38, 12)) / nullif(sum(sample_count), 0), 3) AS DOUBLE) AS pct_sun FROM rollup WHERE datetime >= TIMESTAMP '2024-01-10 12:00:00' AND datetime < TIMESTAMP '2024-01-10 13:00:00'")
+@query("rollup sections", "SELECT count(DISTINCT edge_id) AS edges, CAST(COALESCE(sum(sample_count), 0) AS BIGINT) AS samples, CAST(COALESCE(sum(sunlit_sum), 0) AS BIGINT) AS sunlit, CAST(round(CAST(100 * sum(sunlit_sum) AS DECIMAL(38, 12)) / nullif(sum(sample_count), 0), 3) AS DOUBLE) AS pct_sun, (SELECT count(DISTINCT shard_index) FROM sections) AS shards_read FROM rollup WHERE datetime >= TIMESTAMP '2024-01-10 12:00:00' AND datetime < TIMESTAMP '2024-01-10 13:00:00'")
 def network_snapshot(v):
     hour = F.to_timestamp_ntz(F.lit("2024-01-10 12:00:00"))
     r = exposure.edge_rollup(v.samples()).where((F.col("datetime") >= hour) & (F.col("datetime") < F.to_timestamp_ntz(F.lit("2024-01-10 13:00:00"))))
-    return analytics.network_snapshot(r.withColumn("datetime", hour), hour)
+    return analytics.network_snapshot(r.withColumn("datetime", hour), hour, v.sections())
 
 
 _PROFILE = "SELECT month, hour, sunlit_count, total_count, CAST(round(CAST(100 * sunlit_count AS DECIMAL(38, 12)) / nullif(total_count, 0), 2) AS DOUBLE) AS percentage FROM (SELECT CAST(month(datetime) AS INTEGER) AS month, CAST(hour(datetime) AS INTEGER) AS hour, count(*) FILTER (is_sunlit) AS sunlit_count, count(*) AS total_count FROM samples WHERE minute(datetime) = 0 AND hour(datetime) BETWEEN 3 AND 21 GROUP BY ALL)"
@@ -234,6 +235,12 @@ def spike_corrected_rollup(v):
     return analytics.corrected_rollup(exposure.edge_rollup(s), analytics.sunset_spikes(analytics.timestep_counts(s)))
 
 
+@query("samples counts", "SELECT section_id, edge_id, sample_point_id, datetime, CASE WHEN datetime IN (SELECT datetime FROM (SELECT datetime, sunlit, lag(sunlit) OVER (PARTITION BY CAST(datetime AS DATE) ORDER BY datetime) AS b FROM counts WHERE hour(datetime) >= 14) WHERE sunlit > b AND sunlit > 0) THEN false ELSE is_sunlit END AS is_sunlit FROM samples")
+def spike_corrected_facts(v):
+    s = v.samples()
+    return analytics.corrected_facts(s, analytics.sunset_spikes(analytics.timestep_counts(s)))
+
+
 @query("od", "SELECT day_type, hour, round(COALESCE(sum(trips * min_exposure) FILTER (ok) / nullif(sum(trips) FILTER (ok), 0), 0), 4) AS mean_min, round(COALESCE(sum(trips * max_exposure) FILTER (ok) / nullif(sum(trips) FILTER (ok), 0), 0), 4) AS mean_max FROM (SELECT *, trips <> 0 AND min_exposure IS NOT NULL AND max_exposure IS NOT NULL AS ok FROM od) GROUP BY ALL")
 def weighted_od_mean(v):
     return analytics.weighted_od_mean(v.od())
@@ -692,6 +699,16 @@ def first_match(v):
     return integrity.first_match(keys, {"waypoints": v.waypoints(), "trees": v.trees().select(F.col("tree_id").alias("id"), "x", "y")})
 
 
+@query("points", "SELECT sample_point_id, regexp_replace(md5(edge_id || '-' || sequence_index), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') AS id FROM points")
+def sample_uuids(v):
+    return v.points().select("sample_point_id", ids.uuid_of(F.col("edge_id"), F.col("sequence_index")).alias("id"))
+
+
+@query("points trees", "SELECT sample_point_id, edge_id, 0.0::DOUBLE AS tree_value FROM points")
+def reset_tree_values(v):
+    return exposure.without_tree_values(exposure.tree_values(v.placed_points(), v.trees(), 60.0))
+
+
 @query("", "SELECT c_custkey, u, regexp_matches(regexp_replace(lower(u), '[{}-]', '', 'g'), '^[0-9a-f]{32}$') AS valid FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN md5(CAST(c_custkey AS VARCHAR)) WHEN 1 THEN '{' || upper(md5(CAST(c_custkey AS VARCHAR))) || '}' ELSE 'x' || md5(CAST(c_custkey AS VARCHAR)) END AS u FROM customer)")
 def uuid_filter(v):
     h, k = F.md5(F.col("c_custkey").cast("string").cast("binary")), F.col("c_custkey") % 3
@@ -836,7 +853,7 @@ def short_cycles_removed(v):
 
 @query()
 def spur_ends(v):
-    return graph.spurs(*_street_graph(v))
+    return graph.spurs(*_street_graph(v)).select("node", "other")
 
 
 @query()
@@ -885,6 +902,35 @@ def block_edges(v):
     return graph.block_edges(v.edges(), v.nodes().select("id", (F.col("id") % 7).alias("block")))
 
 
+def _angle(a: str, b: str, c: str) -> str:
+    """Degrees at b between the ways to a and c, in SQL over (x, y)."""
+    dot = f"(({a}.x - {b}.x) * ({c}.x - {b}.x) + ({a}.y - {b}.y) * ({c}.y - {b}.y))"
+    size = f"(sqrt(({a}.x - {b}.x) ** 2 + ({a}.y - {b}.y) ** 2) * sqrt(({c}.x - {b}.x) ** 2 + ({c}.y - {b}.y) ** 2))"
+    return f"degrees(acos(greatest(-1, least(1, {dot} / nullif({size}, 0)))))"
+
+
+_STREETS = "e AS (SELECT c_custkey AS a, c_custkey + 3 AS b FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey + 3 IN (SELECT c_custkey FROM customer)), adj AS (SELECT a AS node, b AS other FROM e UNION ALL SELECT b, a FROM e), deg AS (SELECT node, count(*) AS d FROM adj GROUP BY 1)"
+_TAKERS = """
+p AS (SELECT b.id, list(a.id) AS before FROM nodes a JOIN nodes b ON a.id < b.id AND sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) < 100 GROUP BY b.id),
+o AS (SELECT id, before, row_number() OVER (ORDER BY id) AS i FROM nodes LEFT JOIN p USING (id)),
+g(i, takers) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL SELECT o.i, CASE WHEN before IS NOT NULL AND list_has_any(takers, before) THEN takers ELSE list_append(takers, id) END FROM g JOIN o ON o.i = g.i + 1),
+t AS (SELECT unnest(takers) AS taker FROM (SELECT arg_max(takers, i) AS takers FROM g)),
+w AS (SELECT id, CASE WHEN id IN (SELECT taker FROM t) THEN id ELSE (SELECT min(x) FROM (SELECT unnest(before) AS x) WHERE x IN (SELECT taker FROM t)) END AS taker FROM o)
+SELECT w.taker AS id, round(round(avg(x), 9), 6) AS x, round(round(avg(y), 9), 6) AS y, round(round(avg(z), 9), 6) AS z FROM w JOIN nodes USING (id) GROUP BY w.taker"""
+ORACLES["merged_nodes"] = with_views("nodes", "").rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + ", " + _TAKERS
+ORACLES["spur_ends"] = with_views("waypoints", "").rstrip() + f""", {_STREETS}, ends AS (SELECT adj.node, adj.other, o.d FROM adj JOIN deg n ON n.node = adj.node AND n.d = 1 JOIN deg o ON o.node = adj.other)
+SELECT node, other FROM ends WHERE d > 2
+UNION ALL SELECT ends.node, ends.other FROM ends JOIN adj k ON k.node = ends.other AND k.other <> ends.node JOIN waypoints p ON p.id = ends.node JOIN waypoints q ON q.id = ends.other JOIN waypoints r ON r.id = k.other
+WHERE d = 2 AND 180 - {_angle("p", "q", "r")} > 75 AND NOT EXISTS (SELECT 1 FROM waypoints w WHERE w.id NOT IN (ends.node, ends.other) AND (w.x - p.x) ** 2 + (w.y - p.y) ** 2 <= 25 AND 180 - {_angle("q", "p", "w")} < 32)"""
+ORACLES["short_cycles_removed"] = with_views("waypoints", "").rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + f""", {_STREETS}, u AS (SELECT a, b FROM e UNION SELECT c_custkey, c_custkey + 6 FROM customer WHERE c_custkey + 6 IN (SELECT c_custkey FROM customer)),
+s AS (SELECT a, b, (round(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2), 6), a, b) AS o FROM u JOIN waypoints p ON p.id = a JOIN waypoints q ON q.id = b), ways AS (SELECT a AS f, b AS t, o FROM s UNION ALL SELECT b, a, o FROM s),
+r(a, b, o, v, hops) AS (SELECT a, b, o, a, 0 FROM s UNION SELECT r.a, r.b, r.o, t, hops + 1 FROM r JOIN ways ON f = r.v AND ways.o < r.o WHERE hops < 5)
+SELECT a, b FROM s WHERE (a, b) NOT IN (SELECT (a, b) FROM r WHERE v = b)"""
+ORACLES["isolated_attached"] = with_views("waypoints", "").rstrip() + f""", {_STREETS}, single AS (SELECT id, x, y, d FROM waypoints LEFT JOIN deg ON node = id WHERE COALESCE(d, 0) < 2),
+near AS (SELECT p.id, arg_min(q.id, (sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2), q.id)) AS other FROM single p JOIN single q ON p.id <> q.id WHERE p.d IS NULL GROUP BY p.id)
+SELECT DISTINCT least(id, other) AS a, greatest(id, other) AS b FROM near"""
+
+
 # --- rasters ----------------------------------------------------------------------------------------------------------------
 
 _GROWN = "SELECT cx, cy FROM {0} UNION SELECT cx + i, cy + j FROM {0}, (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j), grid_size WHERE cx + i BETWEEN 1 AND w - 2 AND cy + j BETWEEN 1 AND h - 2"

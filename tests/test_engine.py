@@ -231,6 +231,18 @@ def test_walk_tells_sections_apart(spark, street):
     assert want == got and len(got) == 1
 
 
+def test_rollup_is_observed(spark, street):
+    points, facts = street
+    own = facts.withColumn("section_id", F.lit(1)).drop("edge_id")
+    df, seen = exposure.observed_rollup(own, points)
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get["edge_steps"] == 60 and seen.get["samples"] == 201 * 60
+    assert exposure.plain_facts(own).columns == ["sample_point_id", "datetime", "is_sunlit"] and exposure.plain_rollup(df).columns == ["edge_id", "datetime", "sunlit_sum"]
+    exposure.require_known_edges(request(spark, (1, "e1", NOON, False, 0.5)), points)
+    with pytest.raises(ValueError, match="nowhere"):
+        exposure.require_known_edges(request(spark, (1, "nowhere", NOON, False, 0.5)), points)
+
+
 def test_section_rollup_needs_known_sections(spark, street):
     points, facts = street
     own = facts.withColumn("section_id", F.lit(1)).drop("edge_id")
