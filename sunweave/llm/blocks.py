@@ -1,7 +1,8 @@
 """Documents in blocks, and hashes dealt out by ranges: what the operators on shingles and passages share.
 
-A block is some megabytes of documents in one row, as a compressed Arrow stream of pages in the shared folder; a page, of
-whole documents, is what is decoded at once. To find out what several blocks have in common, each sends its sorted hashes,
+A block is some megabytes of documents, as a compressed Arrow stream of pages in a file of the shared folder; a page, of whole
+documents, is what is decoded at once. Tasks are told the files, so that texts are never shuffled; a table names those that
+counted, so that a task that runs again leaves at most a file that nobody reads, until all go. To find out what several blocks have in common, each sends its sorted hashes,
 cut by ranges, as compressed differences (some three bytes a hash), and each range answers the blocks with what it found.
 Blocks and ranges grow with the square root of the input, so that the messages between all of them grow in proportion to
 it, up to what fits the memory of a worker (BLOCK_MOST, RANGE_MOST); from there on, at some hundreds of gigabytes with the
@@ -12,11 +13,13 @@ that frequent ones don't make a range large.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunweave.llm.arrow import each_row, slices, utf8
-from sunweave.sources.shared import written
+from sunweave.sources.shared import held_by, new_path, written
 
 #: Bytes of text in a page, and in the blocks of up to a gigabyte; in the ranges of those.
 BLOCK_BYTES = 4 << 20
@@ -40,20 +43,23 @@ def _grown(base: int, most: int, total: int) -> int:
 
 
 def make_blocks(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
-    """(block, n_bytes, data): all rows with the named columns; within a block they are sorted by the first of them."""
+    """(block, n_bytes, file): all rows with the named columns; within a block they are sorted by the first of them."""
     total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     size, page = _grown(BLOCK_BYTES, BLOCK_MOST, total), BLOCK_BYTES
+    path = new_path(docs.sparkSession, "pages")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count, parts, total = TaskContext.get().partitionId(), 0, [], 0
 
         def row() -> pa.RecordBatch:
             table = pa.Table.from_batches(parts).sort_by([(columns[0], "ascending")]).combine_chunks()
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            file = f"{path}/{task}-{count}-{uuid.uuid4().hex[:8]}.arrow"
+            fs, base = pafs.FileSystem.from_uri(file)
+            fs.create_dir(base.rpartition("/")[0], recursive=True)
+            with fs.open_output_stream(base) as sink, pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 for part in slices(iter(table.to_batches()), text, page):
                     out.write_batch(part)
-            return pa.RecordBatch.from_pydict({"block": [f"{task}-{count}"], "n_bytes": [total], "data": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+            return pa.RecordBatch.from_pydict({"block": [f"{task}-{count}"], "n_bytes": [total], "file": [file]})
 
         for batch in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
@@ -70,13 +76,22 @@ def make_blocks(docs: DataFrame, columns: list[str], text: str = "text") -> Data
         if parts:
             yield row()
 
-    return written(docs.select(*columns).mapInArrow(run, "block string, n_bytes long, data binary"), "blocks")
+    table = written(docs.select(*columns).mapInArrow(run, "block string, n_bytes long, file string"), "blocks")
+    held_by(table, path)
+    return table
 
 
-def pages(data: bytes) -> Iterator[pa.Table]:
+def pages(file: str) -> Iterator[pa.Table]:
     """The pages of a block, one at a time; each has whole documents, and their order is that of the block."""
-    for batch in pa.ipc.open_stream(data):
-        yield pa.Table.from_batches([batch])
+    fs, base = pafs.FileSystem.from_uri(file)
+    with fs.open_input_file(base) as source:
+        for batch in pa.ipc.open_stream(source):
+            yield pa.Table.from_batches([batch])
+
+
+def tasks(blocks: DataFrame) -> int:
+    """Into how many tasks work on blocks goes: one for each, as far as Spark can plan that."""
+    return max(1, min(blocks.count(), 100_000))
 
 
 def dimensions(blocks: DataFrame) -> tuple[int, int]:
@@ -178,18 +193,17 @@ def cuts(tops: np.ndarray, bits: int, ranges: int) -> np.ndarray:
 Sent = list[tuple[int, bytes]]
 
 
-def ask(blocks: DataFrame, send: Callable[[Iterator[pa.Table]], Sent], answer: Callable[[list[bytes]], list[bytes | None]], replies: DataFrame | None = None) -> DataFrame:
-    """(block, replies): what the ranges answered each block; blocks without an answer have no row.
+def ask(blocks: DataFrame, send: Callable[[Iterator[pa.Table]], Sent], answer: Callable[[list[bytes]], list[bytes | None]], replied: DataFrame | None = None) -> DataFrame:
+    """(block, file, replies): every block with what the ranges answered it, in a task for each block.
 
-    send gets a block's pages (and, if given, its earlier replies) and returns (range, bytes); answer gets the bytes of all
-    blocks for one range and returns an answer for each of them or None.
+    send gets a block's pages (and, where replied has them, its earlier replies) and returns (range, bytes); answer gets the
+    bytes of all blocks for one range and returns an answer for each of them or None.
     """
-
-    told = replies is not None
+    n, told = tasks(blocks), replied is not None
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in each_row(batches):
-            sent = send(pages(row["data"]), *([row["replies"] or []] if told else []))
+            sent = send(pages(row["file"]), *([row["replies"]] if told else []))
             yield pa.RecordBatch.from_pydict({"range": pa.array([k for k, _ in sent], pa.int32()), "block": pa.array([row["block"]] * len(sent), pa.string()), "sent": pa.array([x for _, x in sent], pa.binary())})
 
     def answers(table: pa.Table) -> pa.Table:
@@ -197,8 +211,7 @@ def ask(blocks: DataFrame, send: Callable[[Iterator[pa.Table]], Sent], answer: C
         keep = [(b, x) for b, x in zip(table.column("block").to_pylist(), out, strict=True) if x is not None]
         return pa.table({"block": pa.array([b for b, _ in keep], pa.string()), "reply": pa.array([x for _, x in keep], pa.binary())})
 
-    source = blocks.select("block", "data")
-    if told:
-        source = source.join(replies, "block", "left")
+    source = replied if told else blocks.select("block", "file").repartition(n)
     found = source.mapInArrow(ranges, "range int, block string, sent binary").groupBy("range").applyInArrow(answers, "block string, reply binary")
-    return written(found.groupBy("block").agg(F.collect_list("reply").alias("replies")), "replies")
+    every = found.withColumn("file", F.lit(None).cast("string")).unionByName(blocks.select("block", "file", F.lit(None).cast("binary").alias("reply")))
+    return every.repartition(n, "block").groupBy("block").agg(F.max("file").alias("file"), F.collect_list("reply").alias("replies"))

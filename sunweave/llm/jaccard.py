@@ -29,10 +29,13 @@ components are the same however clusters are cut.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from sunweave.llm import blocks as B
 from sunweave.llm.arrow import each_row
 from sunweave.operators.components import connected_components
-from sunweave.sources.shared import written
+from sunweave.sources.shared import held_by, new_path, written
 
 GROUP_SETS = 256
 GROUP_HASHES = 400_000
@@ -95,43 +98,69 @@ def _answer(sent: list[bytes]) -> list[bytes | None]:
     return out
 
 
+_LISTED = pa.schema([("digest", pa.binary()), ("shared", pa.list_(pa.int64()))])
+
+
 def _shared_sets(docs: DataFrame, n: int, percent: int, text: str, key: str) -> DataFrame:
-    """(key, size, digest, prefix, shared): for sets that may have a partner their shared n-grams, first in order first.
+    """(key, size, digest, prefix, hashes, file): for sets that may have a partner, where their shared n-grams are listed.
 
-    digest, prefix (how many of them may have to hit) and shared are null for the others.
+    digest, prefix (how many of the first in order may have to hit), hashes (how many are shared) and file are null for the
+    others. The lists, in the global order, stay in a file a block, from which the few that are needed are read by the tasks
+    that need them, so that lists of copies and of sets without near ones are never shuffled.
     """
     blocks = B.make_blocks(docs, [key, text], text)
     ranges, bits = B.dimensions(blocks)
-    replies = B.ask(blocks, _send(n, text, ranges, bits), _answer)
+    replied = B.ask(blocks, _send(n, text, ranges, bits), _answer)
+    path = new_path(docs.sparkSession, "lists")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in each_row(batches):
-            told = np.sort(np.concatenate([*(B.unsqueeze_sorted(x) for x in row["replies"] or []), np.zeros(0, np.uint64)]))
+            told = np.sort(np.concatenate([*(B.unsqueeze_sorted(x) for x in row["replies"]), np.zeros(0, np.uint64)]))
             tops, scale = told >> np.uint64(6), told & np.uint64(63)
-            for table in B.pages(row["data"]):
-                sets = _sets(table, n, text)
-                digests, prefixes, lists = [], [], []
-                for s in sets:
-                    mine = s >> np.uint64(64 - bits)
-                    at = np.minimum(np.searchsorted(tops, mine), max(0, len(tops) - 1))
-                    good = tops[at] == mine if len(tops) else np.zeros(len(s), bool)
-                    k = int(good.sum())
-                    if not len(s) or 100 * k < percent * len(s):
-                        digests.append(None), prefixes.append(None), lists.append(None)
-                        continue
-                    order = np.lexsort((s[good], scale[at[good]]))
-                    digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    prefixes.append(len(s) - -(-percent * len(s) // 100) + 1 - (len(s) - k))
-                    lists.append(s[good][order].view(np.int64))
-                for a in range(0, len(sets), 500):
-                    part = slice(a, a + 500)
+            file = f"{path}/{row['block']}-{uuid.uuid4().hex[:8]}.arrow"
+            fs, base = pafs.FileSystem.from_uri(file)
+            fs.create_dir(base.rpartition("/")[0], recursive=True)
+            with fs.open_output_stream(base) as sink, pa.ipc.new_stream(sink, _LISTED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for table in B.pages(row["file"]):
+                    sets = _sets(table, n, text)
+                    digests, prefixes, lists = [], [], []
+                    for s in sets:
+                        mine = s >> np.uint64(64 - bits)
+                        at = np.minimum(np.searchsorted(tops, mine), max(0, len(tops) - 1))
+                        good = tops[at] == mine if len(tops) else np.zeros(len(s), bool)
+                        k = int(good.sum())
+                        if not len(s) or 100 * k < percent * len(s):
+                            digests.append(None), prefixes.append(None), lists.append(None)
+                            continue
+                        order = np.lexsort((s[good], scale[at[good]]))
+                        digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                        prefixes.append(len(s) - -(-percent * len(s) // 100) + 1 - (len(s) - k))
+                        lists.append(s[good][order].view(np.int64))
+                    there = [i for i, d in enumerate(digests) if d is not None]
+                    out.write_batch(pa.record_batch([pa.array([digests[i] for i in there], pa.binary()), pa.array([lists[i] for i in there], pa.list_(pa.int64()))], schema=_LISTED))
                     yield pa.RecordBatch.from_pydict(
-                        {key: table.column(key).combine_chunks()[part], "size": pa.array([len(s) for s in sets[part]], pa.int64()), "digest": pa.array(digests[part], pa.binary()), "prefix": pa.array(prefixes[part], pa.int32()), "shared": pa.array(lists[part], pa.list_(pa.int64()))}
-                    )
+                        {
+                            key: table.column(key).combine_chunks(), "size": pa.array([len(s) for s in sets], pa.int64()), "digest": pa.array(digests, pa.binary()), "prefix": pa.array(prefixes, pa.int32()),
+                            "hashes": pa.array([None if x is None else len(x) for x in lists], pa.int32()), "file": pa.array([None if x is None else file for x in digests], pa.string()),
+                        }
+                    )
 
     kind = docs.schema[key].dataType.simpleString()
-    found = blocks.select("block", "data").join(replies, "block", "left").mapInArrow(run, f"`{key}` {kind}, size long, digest binary, prefix int, shared array<long>")
-    return written(found, "sets")
+    sets = written(replied.mapInArrow(run, f"`{key}` {kind}, size long, digest binary, prefix int, hashes int, file string"), "sets")
+    held_by(sets, path)
+    return sets
+
+
+def _listed(file: str, wanted: set[bytes]) -> Iterator[tuple[bytes, np.ndarray]]:
+    """The lists of the wanted digests in a file, each once."""
+    fs, base = pafs.FileSystem.from_uri(file)
+    left = set(wanted)
+    with fs.open_input_file(base) as source:
+        for batch in pa.ipc.open_stream(source):
+            for i in pc.indices_nonzero(pc.is_in(batch.column("digest"), pa.array(list(left), pa.binary()))).to_pylist() if left else ():
+                if (digest := batch.column("digest")[i].as_py()) in left:
+                    left.remove(digest)
+                    yield digest, batch.column("shared")[i].values.to_numpy()
 
 
 def _group_rows(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -204,17 +233,37 @@ def _links(percent: int):
     return run
 
 
-def _group_links(some: DataFrame, pairs: DataFrame, percent: int, key: str) -> DataFrame:
-    """(src, dst) digests of a spanning forest of the links within each group of pairs: (d, least, pairs), the class and its groups."""
-    of_lead = (F.col("digest") == F.col("d")) & F.col(key).eqNullSafe(F.col("least"))
-    rows = some.select("digest", key, "size", "shared").join(pairs, of_lead).withColumn("pair", F.explode("pairs"))
-    shift = 64 - (FRAGMENTS - 1).bit_length()
-    cut = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda v: F.struct(v.alias("fragment"), F.filter("shared", lambda h: F.shiftrightunsigned(h, shift) == v).alias("part")))
-    rows = rows.select("pair", "digest", "size", F.inline(cut))
+def _group_links(leads: DataFrame, pairs: DataFrame, percent: int, n: int) -> DataFrame:
+    """(src, dst) digests of a spanning forest of the links within each group of pairs: (d, pairs), a class and its groups."""
+    shift = np.uint64(64 - (FRAGMENTS - 1).bit_length())
+
+    def cut(table: pa.Table) -> pa.Table:
+        """The lists of one file's classes, cut by the fragments of the order, for each of their groups."""
+        of = {d: (size, groups) for d, size, groups in zip(*(table.column(c).to_pylist() for c in ("digest", "size", "pairs")), strict=True)}
+        rows: list[tuple] = []
+        for digest, shared in _listed(table.column("file")[0].as_py(), set(of)):
+            size, groups = of[digest]
+            fragment = shared.view(np.uint64) >> shift
+            for v in range(FRAGMENTS):
+                part = shared[fragment == v]
+                rows += [(pair, digest, size, v, part) for pair in groups]
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        return pa.table({c: pa.array(x, t) for c, x, t in zip(("pair", "digest", "size", "fragment", "part"), columns, (pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64())), strict=True)})
+
+    rows = leads.select("digest", "size", "file").join(pairs.withColumnRenamed("d", "digest"), "digest")
+    rows = rows.repartition(n, "file").groupBy("file").applyInArrow(cut, "pair string, digest binary, size long, fragment int, part array<long>")
     partial = rows.repartition("pair", "fragment").sortWithinPartitions("pair", "fragment").mapInArrow(_overlaps, "pair string, m int, digests array<binary>, sizes array<long>, i binary, j binary, n binary")
     return written(partial.repartition("pair").sortWithinPartitions("pair").mapInArrow(_links(percent), "src binary, dst binary"), "links")
 
 
+def _heads(table: pa.Table) -> pa.Table:
+    """(digest, h): of one file's classes the n-grams that come first in the order."""
+    prefix = dict(zip(table.column("digest").to_pylist(), table.column("prefix").to_pylist(), strict=True))
+    found = [(d, shared[: prefix[d]]) for d, shared in _listed(table.column("file")[0].as_py(), set(prefix))]
+    digests = pa.array([d for d, _ in found], pa.binary()).take(pa.array(np.repeat(np.arange(len(found)), [len(x) for _, x in found])))
+    return pa.table({"digest": digests, "h": pa.array(np.concatenate([*(x for _, x in found), np.zeros(0, np.int64)]), pa.int64())})
+
+
 def _parts(sets: DataFrame, name: str) -> DataFrame:
     """(cluster, level, name): into how many groups of bounded size the sets of a level go."""
     n = sets.groupBy("cluster", "level").agg(F.count("*").alias("n"), F.sum("hashes").alias("h"))
@@ -230,41 +279,38 @@ def _beside(df: DataFrame) -> DataFrame:
     return df.withColumn("to", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
 
 
-def _set_roots(some: DataFrame, least: DataFrame, percent: int, key: str) -> DataFrame:
+def _set_roots(leads: DataFrame, percent: int, n: int) -> DataFrame:
     """(node, root): components of the links between different sets, for the digests of sets that have any.
 
-    Of each class only the row with the smallest id brings n-grams along, joined by digest and id, so that copies meet
-    nowhere; all but the counting goes without the long lists.
+    leads has a row for each class of equal sets, so that copies meet nowhere; n-grams come from the file it names.
     """
-    lead = least.select(F.col("digest").alias("d"), "least")
-    of_lead = (F.col("digest") == F.col("d")) & F.col(key).eqNullSafe(F.col("least"))
-    heads = some.where("prefix > 0").select("digest", key, F.expr("slice(shared, 1, prefix)").alias("head"))
-    posts = written(heads.join(lead, of_lead).select("digest", F.explode("head").alias("h")), "posts")
+    posts = leads.where("prefix > 0").select("file", "digest", "prefix").repartition(n, "file").groupBy("file").applyInArrow(_heads, "digest binary, h long")
+    posts = written(posts, "posts")
     first = posts.groupBy("h").agg(F.min("digest").alias("lead"), F.max("digest").alias("last")).where("lead <> last")
     near = posts.join(first, "h").where("digest <> lead").select(F.col("digest").alias("src"), F.col("lead").alias("dst")).distinct()
     cluster = connected_components(near).withColumnRenamed("root", "cluster")
-    sets = written(least.join(cluster, F.col("digest") == F.col("node")).select("cluster", "digest", "least", "size", "hashes"), "members")
+    sets = written(leads.join(cluster, F.col("digest") == F.col("node")).select("cluster", "digest", "size", "hashes"), "members")
     weights = sets.groupBy("cluster").agg(F.count("*").alias("c_sets"), F.sum("hashes").alias("c_hashes"))
     small = (F.col("c_sets") <= GROUP_SETS) & (F.col("c_hashes") <= GROUP_HASHES)
     large = written(weights.where(~small).select("cluster"), "large")
     step = math.log(100 / (percent - 0.1))
     level = F.floor(F.log(F.col("size").cast("double")) / step).cast("int")
     # Sets of a small cluster are one group; those of a large one are dealt out by size and hash.
-    whole = sets.join(large, "cluster", "left_anti").select(F.col("digest").alias("d"), "least", F.array(F.hex("cluster")).alias("pairs"))
+    whole = sets.join(large, "cluster", "left_anti").select(F.col("digest").alias("d"), F.array(F.hex("cluster")).alias("pairs"))
     if large.isEmpty():
-        return connected_components(_group_links(some, whole, percent, key))
+        return connected_components(_group_links(leads, whole, percent, n))
     sets = written(sets.join(large, "cluster", "left_semi").withColumn("level", level), "large_members")
     parts = written(_parts(sets, "parts"), "parts")
     sets = written(sets.join(parts, ["cluster", "level"]).withColumn("g", _group("parts")), "grouped")
     # Each group has some sets of its level and of those beside it along, by which groups of near copies hang together.
     drawn = F.array_distinct(F.array(*[f"m{i}" for i in range(PIVOTS)]))
-    pivots = sets.groupBy("cluster", "level").agg(*[F.min(F.struct(F.xxhash64("digest", F.lit(i)).alias("h"), F.struct("digest", "least").alias("s")))["s"].alias(f"m{i}") for i in range(PIVOTS)])
-    pivots = _beside(pivots.select("cluster", "level", F.explode(drawn).alias("s"))).select("cluster", F.col("to").alias("level"), "s.digest", "s.least").join(parts, ["cluster", "level"])
+    pivots = sets.groupBy("cluster", "level").agg(*[F.min(F.struct(F.xxhash64("digest", F.lit(i)).alias("h"), "digest"))["digest"].alias(f"m{i}") for i in range(PIVOTS)])
+    pivots = _beside(pivots.select("cluster", "level", F.explode(drawn).alias("digest"))).select("cluster", F.col("to").alias("level"), "digest").join(parts, ["cluster", "level"])
     name = lambda *c: F.concat_ws(":", F.hex("cluster"), *c)
-    own = sets.select(F.col("digest").alias("d"), "least", name("level", "g").alias("pair"))
-    along = pivots.select(F.col("digest").alias("d"), "least", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("g"), "cluster", "level").select("d", "least", name("level", "g").alias("pair"))
-    each = lambda df: df.distinct().select("d", "least", F.array("pair").alias("pairs"))
-    links = _group_links(some, whole.unionByName(each(own.unionByName(along))), percent, key)
+    own = sets.select(F.col("digest").alias("d"), name("level", "g").alias("pair"))
+    along = pivots.select(F.col("digest").alias("d"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("g"), "cluster", "level").select("d", name("level", "g").alias("pair"))
+    each = lambda df: df.groupBy("d").agg(F.collect_set("pair").alias("pairs"))
+    links = _group_links(leads, whole.unionByName(each(own.unionByName(along))), percent, n)
     root = connected_components(links)
     # What is left are links out of all but the largest component of a cluster: those sets meet every group.
     sets = written(sets.join(root, F.col("digest") == F.col("node"), "left").withColumn("root", F.coalesce("root", "digest")).drop("node"), "rooted")
@@ -275,10 +321,10 @@ def _set_roots(some: DataFrame, least: DataFrame, percent: int, key: str) -> Dat
     others = written(_parts(rest, "others"), "others")
     rest = rest.join(others, ["cluster", "level"]).withColumn("o", _group("others"))
     groups = parts.select("cluster", F.col("level").alias("to"), "parts")
-    out = _beside(rest.select("cluster", "level", "digest", "least", "o")).join(groups, ["cluster", "to"]).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    there = _beside(others).join(sets.select("cluster", F.col("level").alias("to"), "digest", "least", "g"), ["cluster", "to"]).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
-    met = [df.select(F.col("digest").alias("d"), "least", name("level", "o", "to", "g").alias("pair")) for df in (out, there)]
-    more = _group_links(some, each(met[0].unionByName(met[1])), percent, key)
+    out = _beside(rest.select("cluster", "level", "digest", "o")).join(groups, ["cluster", "to"]).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    there = _beside(others).join(sets.select("cluster", F.col("level").alias("to"), "digest", "g"), ["cluster", "to"]).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    met = [df.select(F.col("digest").alias("d"), name("level", "o", "to", "g").alias("pair")) for df in (out, there)]
+    more = _group_links(leads, each(met[0].unionByName(met[1])), percent, n)
     return connected_components(links.unionByName(more))
 
 
@@ -286,9 +332,12 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "
     """(key, n_shingles, component_id): component_id is the smallest id that links of percent similarity reach."""
     sets = _shared_sets(docs, n, percent, text, key)
     some = sets.where("digest IS NOT NULL")
-    least = some.groupBy("digest").agg(F.min(key).alias("least"), F.max("size").alias("size"), F.max(F.size("shared")).alias("hashes"))
-    least = written(least, "classes")
-    root = _set_roots(some, least, percent, key)
+    # Of each class the row with the smallest id, null last, stands for all.
+    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("least"), "file"))
+    least = some.groupBy("digest").agg(first.alias("f"), F.max("size").alias("size"), F.max("hashes").alias("hashes"), F.max("prefix").alias("prefix"))
+    least = written(least.select("digest", "f.least", "f.file", "size", "hashes", "prefix"), "classes")
+    files = least.select("file").distinct().count()
+    root = _set_roots(least, percent, max(1, min(files, 100_000)))
     of = least.join(root, F.col("digest") == F.col("node"), "left").select("digest", "least", F.coalesce("root", "digest").alias("root"))
     component = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = of.join(component, "root").select(F.col("digest").alias("d"), "component_id")

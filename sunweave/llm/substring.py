@@ -215,12 +215,12 @@ def _earlier_passages(blocks: DataFrame, window: int, key: str) -> DataFrame:
 def dedup_digests(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_words, n_removed, kept_sha256), the digest of the kept words joined by one space."""
     blocks = B.make_blocks(docs, [key, text], text)
-    later = _earlier_passages(blocks, window, key)
+    replied = _earlier_passages(blocks, window, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in each_row(batches):
-            told = _told(row["replies"] or [])
-            for table in B.pages(row["data"]):
+            told = _told(row["replies"])
+            for table in B.pages(row["file"]):
                 words, starts, gone = _removed(table, told, window, key)
                 n_removed, digests = [], []
                 for w, a, b in zip(words, starts[:-1], starts[1:], strict=True):
@@ -232,7 +232,7 @@ def dedup_digests(docs: DataFrame, window: int = WINDOW, text: str = "text", key
                 yield pa.RecordBatch.from_pydict({key: table.column(key).combine_chunks(), "n_words": pa.array(np.diff(starts)), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 
     kind = docs.schema[key].dataType.simpleString()
-    return blocks.select("block", "data").join(later, "block", "left").mapInArrow(run, f"`{key}` {kind}, n_words long, n_removed long, kept_sha256 string")
+    return replied.mapInArrow(run, f"`{key}` {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
 _WORD = regex.compile(r"[^\x20\x09-\x0D]+")
@@ -252,12 +252,12 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, text: str = "text", key:
     """All columns of docs, the text without repeated passages; documents of which nothing is left go."""
     columns = [key, *(c for c in docs.columns if c != key)]
     blocks = B.make_blocks(docs, columns, text)
-    later = _earlier_passages(blocks, window, key)
+    replied = _earlier_passages(blocks, window, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in each_row(batches):
-            told = _told(row["replies"] or [])
-            for table in B.pages(row["data"]):
+            told = _told(row["replies"])
+            for table in B.pages(row["file"]):
                 _, starts, gone = _removed(table, told, window, key)
                 column = table.column(text).combine_chunks()
                 if not gone.any():
@@ -276,4 +276,4 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, text: str = "text", key:
                 yield from table.take(pa.array(keep, pa.int64())).to_batches()
 
     schema = docs.select(*columns).schema
-    return blocks.select("block", "data").join(later, "block", "left").mapInArrow(run, schema).select(*docs.columns)
+    return replied.mapInArrow(run, schema).select(*docs.columns)

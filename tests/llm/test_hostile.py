@@ -153,7 +153,7 @@ def test_blocks_of_pages(spark, monkeypatch, block, pages):
     texts = passages()
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
     made = blocks.make_blocks(docs, ["doc_id", "text"])
-    seen = [sum(1 for _ in blocks.pages(bytes(r.data))) for r in made.collect()]
+    seen = [sum(1 for _ in blocks.pages(r.file)) for r in made.collect()]
     assert max(seen) > 1 or pages == 1
     gone, want = brute_cut(texts, 20), Counter()
     for (i, t), g in zip(texts, gone):
@@ -231,9 +231,9 @@ def test_near_copies_meet_in_few_groups(spark, monkeypatch):
     docs = [(i, " ".join(w if rng.random() > 0.004 else f"e{rng.randrange(30)}" for w in base)) for i in range(400)]
     count = jaccard._group_links
 
-    def counted(some, pairs, percent, key):
+    def counted(leads, pairs, percent, n):
         seen.append(pairs.selectExpr("explode(pairs) AS p").count())
-        return count(some, pairs, percent, key)
+        return count(leads, pairs, percent, n)
 
     monkeypatch.setattr(jaccard, "_group_links", counted)
     got = jaccard.similar_groups(spark.createDataFrame(docs, "doc_id long, text string"), 4, 80)
