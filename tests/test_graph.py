@@ -317,3 +317,8 @@ def _cells_broadcast(df):
 def test_edge_tree_values_keep_trees_off_the_driver(spark):
     sums = exposure.tree_values(*_woods(spark), 5.0).groupBy("edge_id").agg(F.sum("tree_value").alias("total"))
     assert not _cells_broadcast(sums) and {r.edge_id: r.total for r in sums.collect()} == {0: 2.25, 1: 0.0, 2: 0.0, 3: 0.0}
+
+
+def test_tree_values_keep_trees_off_the_driver(spark):
+    values = exposure.tree_values(*_woods(spark), 7.0)
+    assert not _cells_broadcast(values) and {r.sample_point_id for r in values.where("tree_value > 0").collect()} == {i for i in range(40) if min(abs(5 * i - 20 * k) for k in range(9)) <= 40**0.5}
