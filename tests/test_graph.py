@@ -322,3 +322,9 @@ def test_edge_tree_values_keep_trees_off_the_driver(spark):
 def test_tree_values_keep_trees_off_the_driver(spark):
     values = exposure.tree_values(*_woods(spark), 7.0)
     assert not _cells_broadcast(values) and {r.sample_point_id for r in values.where("tree_value > 0").collect()} == {i for i in range(40) if min(abs(5 * i - 20 * k) for k in range(9)) <= 40**0.5}
+
+
+def test_distance_join_keeps_places_off_the_driver(spark):
+    places = lambda key: spark.range(50).select(F.col("id").alias(key), (F.col("id") * 7.0).alias("x"), (F.col("id") * 3.0).alias("y"))
+    pairs = joins.within(places("id"), places("other"), 20.0)
+    assert not _cells_broadcast(pairs) and rows(pairs.select("id", "other")) == {(a, b) for a in range(50) for b in range(50) if 58 * (a - b) ** 2 <= 400}
