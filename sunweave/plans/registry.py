@@ -774,7 +774,7 @@ ORACLES["edge_lengths"] = _graph_sql("x AS (SELECT 1) SELECT a, b, length FROM l
 
 @query()
 def redundant_edges(v):
-    return graph.redundant_edges(graph.edge_lengths(v.edges(), v.nodes()).select("a", "b", "length"), 5.0)
+    return graph.redundant_edges(v.edges(), 5.0, v.nodes())
 
 
 ORACLES["redundant_edges"] = _graph_sql(f"{_SYM} SELECT DISTINCT l.a, l.b FROM l JOIN s p ON p.a = l.a JOIN s q ON q.a = p.b AND q.b = l.b WHERE p.length + q.length <= l.length + 5.0")

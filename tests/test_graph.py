@@ -328,3 +328,17 @@ def test_distance_join_keeps_places_off_the_driver(spark):
     places = lambda key: spark.range(50).select(F.col("id").alias(key), (F.col("id") * 7.0).alias("x"), (F.col("id") * 3.0).alias("y"))
     pairs = joins.within(places("id"), places("other"), 20.0)
     assert not _cells_broadcast(pairs) and rows(pairs.select("id", "other")) == {(a, b) for a in range(50) for b in range(50) if 58 * (a - b) ** 2 <= 400}
+
+
+def test_redundant_edges_between_places(spark, monkeypatch):
+    rng = random.Random(4)
+    places = {i: (float(rng.randrange(40)), float(rng.randrange(40)), float(i % 3)) for i in range(70)}
+    pairs = {tuple(sorted(rng.sample(range(70), 2))) for _ in range(600)} | {(0, k) for k in range(1, 70)}
+    edges, nodes = spark.createDataFrame(sorted(pairs), "a long, b long"), spark.createDataFrame([(i, *p) for i, p in places.items()], "id long, x double, y double, z double")
+    by_join = graph.redundant_edges(graph.edge_lengths(edges, nodes).select("a", "b", "length"), 2.0)
+    monkeypatch.setattr(graph, "PAIRS", 50)
+    got = graph.redundant_edges(edges, 2.0, nodes)
+    length = lambda p, q: math.dist(places[p], places[q])
+    near = adjacent(pairs)
+    want = {(a, b) for a, b in pairs if any(length(a, k) + length(k, b) <= length(a, b) + 2 for k in near[a] if k in near[b])}
+    assert rows(got) == rows(by_join) == want and 100 < len(want) < len(pairs)
