@@ -368,3 +368,16 @@ def test_distances_of_blobs(spark, blob):
 def test_distances_make_no_empty_cells(spark):
     far = graph.distance_transform(spark.createDataFrame([(5, 7), (10**8, 10**8)], "cx long, cy long"), 10**9, 10**9)
     assert {tuple(r) for r in far.collect()} == {(5, 7, 1), (10**8, 10**8, 1)}
+
+
+@pytest.mark.parametrize("blob", [(0, 30, 240, 270), (250, 262, 0, 520), (3, 9, 3, 9)])
+def test_dilate_across_tiles(spark, blob):
+    w, h = 300, 520
+    cells, full = _grid(spark, blob[0], w, h, blob)
+    for _ in range(2):
+        full = full | {(x + i, y + j) for x, y in full for i in (-1, 0, 1) for j in (-1, 0, 1) if 1 <= x + i <= w - 2 and 1 <= y + j <= h - 2}
+    got = graph.dilate(cells.unionByName(cells), w, h).collect()
+    assert {tuple(r) for r in got} == full and len(got) == len(full)
+    huge = graph.dilate(spark.createDataFrame([(10**6, 10**6)], "cx long, cy long"), 10**9, 10**9)
+    assert "Join" not in huge._jdf.queryExecution().executedPlan().toString() and huge.count() == 25
+    assert str(huge._jdf.queryExecution().executedPlan().toString()).count("Exchange") == 1
