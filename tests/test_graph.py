@@ -381,3 +381,14 @@ def test_dilate_across_tiles(spark, blob):
     huge = graph.dilate(spark.createDataFrame([(10**6, 10**6)], "cx long, cy long"), 10**9, 10**9)
     assert "Join" not in huge._jdf.queryExecution().executedPlan().toString() and huge.count() == 25
     assert str(huge._jdf.queryExecution().executedPlan().toString()).count("Exchange") == 1
+
+
+@pytest.mark.parametrize("blob", [(0, 30, 240, 270), (250, 262, 0, 520)])
+def test_ridges_across_tiles(spark, blob):
+    w, h = 300, 520
+    cells, _ = _grid(spark, blob[0], w, h, blob)
+    far = graph.distance_transform(cells, w, h)
+    dist = {(r.cx, r.cy): r.dist for r in far.collect()}
+    top = {c for c, d in dist.items() if 0 < c[0] < w - 1 and 0 < c[1] < h - 1 and all(dist.get((c[0] + i, c[1] + j), 0) <= d for i in (-1, 0, 1) for j in (-1, 0, 1))}
+    ridge = graph.ridges(far, w, h)
+    assert rows(ridge) == top and "Join" not in ridge._jdf.queryExecution().executedPlan().toString()
