@@ -415,3 +415,11 @@ def test_bridge_candidates_are_few(spark):
     got = graph.bridges(edges, nodes, 60.0, 40.0)
     assert {(r.node, r.to) for r in got.collect()} == want and len(want) > 80
     assert graph._bridge_candidates(edges, nodes, 60.0, 40.0).count() < len(order) / 5
+
+
+def test_first_links_are_few(spark):
+    edges = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 40)] + [(0, 100), (1, 100), (5, 101)], "a long, b long")
+    links = graph._first_links(joins.neighbours(edges), 4)
+    assert links.groupBy("node").count().agg(F.max("count")).first()[0] <= 4
+    got = {r.start: r.path for r in graph.simple_paths(edges, graph.degrees(edges).select("node"), 4).collect()}
+    assert got[0] == [0, 1, 2, 3, 4] and got[101] == [101, 5, 0, 1, 2] and got[100] == [100, 0, 1, 2, 3] and len(got) == 42
