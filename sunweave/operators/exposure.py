@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sunweave.functions import solar
 from sunweave.functions.spatial import in_box
 from sunweave.functions.timegrid import snap_timestep, window_index
-from sunweave.operators import analytics
+from sunweave.operators import analytics, rays
 
 RUN = ("request_id",)
 
@@ -205,17 +205,10 @@ def occluded_facts(samples: DataFrame, sun: DataFrame, casters: DataFrame, cell:
     minutes is half a million rows, whatever the data); casters: axis-parallel boxes (x1, y1, x2, y2, top). Nothing farther
     than reach can shade a sample above the guard.
     """
-    live = sun.where(~solar.below_guard(F.col("elevation")))
-    top = casters.agg(F.max("top").alias("t")).first()["t"]
-    boxes = _in_cells(casters.select("x1", "y1", "x2", "y2", "top"), cell, *map(F.col, ("x1", "y1", "x2", "y2")))
-    rays = _rays(samples, live, cell, reach, lift, F.lit(top).cast("double")).join(boxes, ["cx", "cy"])
-    # Slab test of the level ray; the box shades where the ray is still below its top when it enters.
-    span = lambda p, d, lo, hi: (F.when(F.abs(d) < 1e-12, F.when((p >= lo) & (p <= hi), F.lit(0.0)).otherwise(F.lit(1e18))).otherwise(F.least((lo - p) / d, (hi - p) / d)), F.when(F.abs(d) < 1e-12, F.when((p >= lo) & (p <= hi), F.lit(1e18)).otherwise(F.lit(-1e18))).otherwise(F.greatest((lo - p) / d, (hi - p) / d)))
-    ex, fx = span(F.col("x"), F.col("dx"), F.col("x1"), F.col("x2"))
-    ey, fy = span(F.col("y"), F.col("dy"), F.col("y1"), F.col("y2"))
-    enter = F.greatest(ex, ey, F.lit(0.0))
-    hit = (enter <= F.least(fx, fy)) & (enter <= reach) & (F.col("z") + enter * F.col("rise") < F.col("top"))
-    return _facts_without(samples, sun, rays.where(hit).select("sample_point_id", "datetime").distinct())
+    # Of boxes over the same ground only the highest counts.
+    boxes = casters.groupBy("x1", "y1", "x2", "y2").agg(F.max("top").alias("top"))
+    outline = [(x, y) for x in ("x1", "x2") for y in ("y1", "y2")]
+    return rays.shadow_facts(samples.withColumn("z", F.col("z") + lift), sun, boxes, outline, F.col("top"), cell, reach, rays.boxes_hit)
 
 
 def mesh_facts(samples: DataFrame, sun: DataFrame, triangles: DataFrame, cell: float = 250.0, reach: float = 2286.0, lift: float = 3.0) -> DataFrame:
