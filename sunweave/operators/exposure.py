@@ -8,7 +8,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from sunweave.functions import solar
 from sunweave.functions.spatial import in_box
 from sunweave.functions.timegrid import snap_timestep, window_index
 from sunweave.operators import analytics, rays
@@ -170,34 +169,6 @@ def step_facts(points: DataFrame, steps: DataFrame, lit: Column) -> DataFrame:
     return points.crossJoin(F.broadcast(steps)).withColumn("is_sunlit", lit)
 
 
-def _rays(samples: DataFrame, live: DataFrame, cell: float, reach: float, lift: float, top: Column) -> DataFrame:
-    """Rays of each sample to each sun, with the cells of places a cell apart along them: (.., cx, cy).
-
-    Any place of a ray lies within half a cell of one of these, so that a caster entered half a cell around its box meets
-    the ray by an equality on cells. A ray ends where it rises above the highest caster, and at reach.
-    """
-    a = F.radians("azimuth")
-    suns = F.broadcast(live.select("datetime", F.sin(a).alias("dx"), F.cos(a).alias("dy"), F.tan(F.radians("elevation")).alias("rise")))
-    rays = samples.select("sample_point_id", "x", "y", (F.col("z") + lift).alias("z")).crossJoin(suns)
-    far = F.least(F.lit(float(reach)), F.when(F.col("rise") > 0, F.greatest(F.lit(0.0), (top - F.col("z")) / F.col("rise"))).otherwise(F.lit(float(reach))))
-    places = F.transform(F.sequence(F.lit(0), F.ceil(far / cell).cast("int")), lambda i: F.struct(F.floor((F.col("x") + i * cell * F.col("dx")) / cell).alias("cx"), F.floor((F.col("y") + i * cell * F.col("dy")) / cell).alias("cy")))
-    return rays.select("*", F.inline(F.array_distinct(places)))
-
-
-def _in_cells(casters: DataFrame, cell: float, x1: Column, y1: Column, x2: Column, y2: Column) -> DataFrame:
-    """Casters with each cell that their box, widened by half a cell, meets."""
-    c = lambda v: F.floor(v / cell)
-    half = cell / 2
-    cells = F.transform(F.sequence(c(x1 - half), c(x2 + half)), lambda i: F.transform(F.sequence(c(y1 - half), c(y2 + half)), lambda j: F.struct(i.alias("cx"), j.alias("cy"))))
-    return casters.select("*", F.inline(F.flatten(cells)))
-
-
-def _facts_without(samples: DataFrame, sun: DataFrame, shaded: DataFrame) -> DataFrame:
-    every = samples.select("sample_point_id").crossJoin(F.broadcast(sun.select("datetime", solar.below_guard(F.col("elevation")).alias("dark"))))
-    out = every.join(shaded.withColumn("shaded", F.lit(True)), ["sample_point_id", "datetime"], "left")
-    return out.select("sample_point_id", "datetime", (F.col("shaded").isNull() & ~F.col("dark")).alias("is_sunlit"))
-
-
 def occluded_facts(samples: DataFrame, sun: DataFrame, casters: DataFrame, cell: float = 250.0, reach: float = 2286.0, lift: float = 3.0) -> DataFrame:
     """Facts (sample_point_id, datetime, is_sunlit) by box casters: a ray to the sun that hits none is lit.
 
@@ -217,23 +188,9 @@ def mesh_facts(samples: DataFrame, sun: DataFrame, triangles: DataFrame, cell: f
     The ray from (x, y, z + lift) along (dx, dy, rise) for each metre of ground meets a triangle's plane at the ground
     distance t, and the triangle where the plane's barycentric coordinates are not negative.
     """
-    live = sun.where(~solar.below_guard(F.col("elevation")))
-    top = triangles.agg(F.max(F.greatest("z1", "z2", "z3")).alias("t")).first()["t"]
-    low, high = (lambda k: F.least(*[k + i for i in "123"])), (lambda k: F.greatest(*[k + i for i in "123"]))
-    corners = [F.col(k + i) for i in "123" for k in "xyz"]
-    meshes = _in_cells(triangles.select(*corners), cell, low("x"), low("y"), high("x"), high("y"))
-    rays = _rays(samples, live, cell, reach, lift, F.lit(top).cast("double")).join(meshes, ["cx", "cy"])
-    v = lambda a, b: tuple(a_ - b_ for a_, b_ in zip(a, b, strict=True))
-    cross = lambda a, b: (a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
-    dot = lambda a, b: a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
-    one, two, three = (tuple(F.col(k + i) for k in "xyz") for i in "123")
-    way, start = (F.col("dx"), F.col("dy"), F.col("rise")), (F.col("x"), F.col("y"), F.col("z"))
-    e1, e2, s = v(two, one), v(three, one), v(start, one)
-    p, q = cross(way, e2), cross(s, e1)
-    rays = rays.withColumn("det", dot(e1, p)).where(F.abs("det") > 1e-12)
-    a, b, t = dot(s, p) / F.col("det"), dot(way, q) / F.col("det"), dot(e2, q) / F.col("det")
-    hit = (a >= 0) & (b >= 0) & (a + b <= 1) & (t >= 0) & (t <= reach)
-    return _facts_without(samples, sun, rays.where(hit).select("sample_point_id", "datetime").distinct())
+    meshes = triangles.select(*[k + i for i in "123" for k in "xyz"])
+    outline = [(f"x{i}", f"y{i}") for i in "123"]
+    return rays.shadow_facts(samples.withColumn("z", F.col("z") + lift), sun, meshes, outline, F.greatest("z1", "z2", "z3"), cell, reach, rays.triangles_hit)
 
 
 def lit_along_paths(path_points: DataFrame, azimuth: float, elevation: float, casters: DataFrame, spacing: float = 2.0, ground: float = 0.0) -> DataFrame:

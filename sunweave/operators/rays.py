@@ -34,6 +34,21 @@ def boxes_hit(x, y, z, dx, dy, rise, reach, x1, y1, x2, y2, top):
     return (enter <= np.minimum(fx, fy)) & (enter <= reach) & (z + enter * rise < top)
 
 
+def triangles_hit(x, y, z, dx, dy, rise, reach, *corners):
+    """Where the ray meets the plane at a distance from 0 to reach, with no negative barycentric coordinate."""
+    v = lambda a, b: tuple(p - q for p, q in zip(a, b, strict=True))
+    cross = lambda a, b: (a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
+    dot = lambda a, b: a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
+    one, two, three = corners[0:3], corners[3:6], corners[6:9]
+    way, (e1, e2, s) = (dx, dy, rise), (v(two, one), v(three, one), v((x, y, z), one))
+    p, q = cross(way, e2), cross(s, e1)
+    det = dot(e1, p)
+    meets = np.abs(det) > 1e-12
+    det = np.where(meets, det, 1.0)
+    a, b, t = dot(s, p) / det, dot(way, q) / det, dot(e2, q) / det
+    return meets & (a >= 0) & (b >= 0) & (a + b <= 1) & (t >= 0) & (t <= reach)
+
+
 def _pairs(key: np.ndarray, order: np.ndarray, casters: np.ndarray, lines: tuple, u: tuple) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places, casters) that share a line, with the place between the caster's bounds along it; some PAIRS at once.
 

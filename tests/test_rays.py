@@ -86,3 +86,20 @@ def test_shadows_of_nothing(spark):
     many = spark.range(1100).select(F.col("id").cast("int").alias("datetime"), F.lit(90.0).alias("azimuth"), (F.col("id") * 0.06 + 6).alias("elevation"))
     box = boxes.select(F.lit(10.0).alias("x1"), "y1", F.lit(20.0).alias("x2"), "y2", F.lit(13.0).alias("top"))
     assert rows(samples, many, box) == [(i, k, 3 + 10 * math.tan(math.radians(k * 0.06 + 6)) >= 13) for i in range(3) for k in range(1100)]
+
+
+def test_triangles_are_tested_on_few_pairs(monkeypatch):
+    places, x, y, top, suns = _woods(3, 400, 600, 1000.0)
+    low = np.zeros_like(x)
+    casters = [x, y, low, x + 20, y + 20, low, x + 20, y + 5, top]
+    _few_pairs(monkeypatch, places, casters, [(casters[i], casters[i + 1]) for i in (0, 3, 6)], top, suns, rays.triangles_hit)
+
+
+def test_mesh_rays_meet_no_join(spark):
+    sample = spark.createDataFrame([(i, 10.0 * i, 0.0, 0.0) for i in range(60)], "sample_point_id int, x double, y double, z double")
+    wall = [(v, -5.0, 0.0, v, 5.0, 0.0, v, 0.0, 30.0) for v in (105.0, 405.0)]
+    mesh = spark.createDataFrame([*wall, wall[0], (None, *wall[0][1:])], ", ".join(f"{c}{i} double" for i in "123" for c in "xyz"))
+    facts = exposure.mesh_facts(sample, spark.createDataFrame([(1, 90.0, 45.0), (2, 270.0, 45.0), (3, 0.0, 45.0)], SUN), mesh, cell=50.0)
+    assert "[cx" not in facts._jdf.queryExecution().executedPlan().toString()
+    dark = {(i, k) for i in range(60) for w in (105, 405) for k, d in ((1, w - 10 * i), (2, 10 * i - w)) if 0 <= d <= 27}
+    assert {(r.sample_point_id, r.datetime) for r in facts.where("NOT is_sunlit").collect()} == dark and facts.count() == 180
