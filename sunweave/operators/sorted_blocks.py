@@ -67,6 +67,7 @@ class Tiles:
         self.tx, self.ty = tx[new], ty[new]
         local = lambda c, t: c - t * TILE + halo + 1
         self.codes = ((np.cumsum(new) - 1) * self.side + local(cx, tx)) * self.side + local(cy, ty)
+        self.end = len(self.tx) * self.side**2
 
     def places(self, codes: np.ndarray) -> tuple[np.ndarray, ...]:
         """(lx, ly, cx, cy) of codes."""

@@ -383,6 +383,19 @@ def test_dilate_across_tiles(spark, blob):
     assert str(huge._jdf.queryExecution().executedPlan().toString()).count("Exchange") == 1
 
 
+@pytest.mark.parametrize("times", [1, 2, 5])
+def test_dilate_off_the_last_tile(spark, times):
+    side = [p + k for p in (256, 512) for k in range(-times - 1, times + 2)]
+    full = {(x, y) for x in side for y in side if (x + 2 * y) % 5 == 0}
+    want = {(x + i, y + j) for x, y in full for i in range(-times, times + 1) for j in range(-times, times + 1)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a tile's right neighbour is in another task
+    try:
+        got = graph.dilate(spark.createDataFrame(sorted(full), "cx long, cy long"), 1000, 1000, times).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 @pytest.mark.parametrize("blob", [(0, 30, 240, 270), (250, 262, 0, 520)])
 def test_ridges_across_tiles(spark, blob):
     w, h = 300, 520
